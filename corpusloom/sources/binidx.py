@@ -117,11 +117,13 @@ def _index_arrays(prefix: str, h: Header, multimodal: bool):
     return lengths, pointers, doc_idx, modes
 
 
-def _schema(table: str, columns: str, dtype: str) -> str:
+def _schema(table: str, columns: str, dtype: str, tagged: bool = False) -> str:
     if table == "documents":
         return "prefix string, doc_id bigint, seq_begin bigint, seq_end bigint"
-    cols = ("prefix string, seq_id bigint, doc_id bigint, sent_pos int, length int, ptr bigint, "
-            "mode tinyint")
+    cols = ("prefix string, seq_id bigint, file_seq bigint, doc_id bigint, sent_pos int, length int, "
+            "ptr bigint, mode tinyint")
+    if tagged:
+        cols += ", tag bigint"
     if columns != "index":
         cols += f", tokens array<{_SPARK_ELEM[dtype]}>"
     return cols
@@ -138,6 +140,7 @@ class _Range(InputPartition):
     n_seq: int
     n_doc_idx: int
     bin_size: int
+    tag: int = -1
 
 
 class BinIdxReader(DataSourceReader):
@@ -151,6 +154,8 @@ class BinIdxReader(DataSourceReader):
         self.max_rows = int(options.get("rowsPerPartition", str(1 << 22)))
 
     def partitions(self):
+        if self.options.get("ranges"):
+            return self._range_partitions(self.options["ranges"])
         parts = []
         seq_base = doc_base = 0
         dtype0 = None
@@ -173,6 +178,26 @@ class BinIdxReader(DataSourceReader):
             doc_base += max(h.n_doc_idx - 1, 0)
         return parts or [_Range("", "int32", 0, 0, 0, 0, 0, 0, 0)]
 
+    def _range_partitions(self, ranges_path: str):
+        """Explicit ``(prefix, lo, hi, tag)`` ranges (JSON lines), e.g. the
+        chunks of a reshard plan: each becomes one input partition."""
+        import json
+        rows = [json.loads(ln) for ln in open(local_path(ranges_path), encoding="utf-8") if ln.strip()]
+        heads, bases = {}, {}
+        seq_base = doc_base = 0
+        for pfx in sorted({r["prefix"] for r in rows}):
+            h = heads[pfx] = read_header(pfx)
+            bases[pfx] = (seq_base, doc_base)
+            seq_base += h.n_seq
+            doc_base += max(h.n_doc_idx - 1, 0)
+        out = []
+        for r in rows:
+            h = heads[r["prefix"]]
+            sb, db = bases[r["prefix"]]
+            out.append(_Range(r["prefix"], h.dtype, int(r["lo"]), int(r["hi"]), sb, db,
+                              h.n_seq, h.n_doc_idx, h.bin_size, int(r.get("tag", -1))))
+        return out or [_Range("", "int32", 0, 0, 0, 0, 0, 0, 0)]
+
     def read(self, part: _Range) -> Iterator[pa.RecordBatch]:
         if part.hi <= part.lo:
             return iter(())
@@ -202,12 +227,15 @@ class BinIdxReader(DataSourceReader):
         docs = np.searchsorted(doc_idx, seq, side="right") - 1
         first = np.asarray(doc_idx[docs], dtype=np.int64)
         n = hi - lo
-        arrays = [pa.array([part.prefix] * n, pa.string()), pa.array(seq + part.seq_base),
+        arrays = [pa.array([part.prefix] * n, pa.string()), pa.array(seq + part.seq_base), pa.array(seq),
                   pa.array(docs.astype(np.int64) + part.doc_base), pa.array((seq - first).astype(np.int32)),
                   pa.array(lens), pa.array(ptrs),
                   pa.array(np.asarray(modes[lo:hi], dtype=np.int8)) if modes is not None
                   else pa.nulls(n, pa.int8())]
-        names = ["prefix", "seq_id", "doc_id", "sent_pos", "length", "ptr", "mode"]
+        names = ["prefix", "seq_id", "file_seq", "doc_id", "sent_pos", "length", "ptr", "mode"]
+        if self.options.get("ranges"):
+            arrays.append(pa.array(np.full(n, part.tag, dtype=np.int64)))
+            names.append("tag")
         if self.columns != "index":
             item = h.itemsize
             start = int(ptrs[0]) if n else 0
@@ -246,6 +274,7 @@ class BinIdxWriter(DataSourceArrowWriter):
         self.multimodal = options.get("multimodal", "false").lower() == "true"
         self.overwrite = overwrite
         self.has_modes = "modes" in schema.fieldNames()
+        self.name_format = options.get("nameFormat", "part-{part:015d}")
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> _Written:
         from pyspark import TaskContext
@@ -264,7 +293,7 @@ class BinIdxWriter(DataSourceArrowWriter):
             _write_idx(tmp + ".idx", self.dtype, np.concatenate(lens) if lens else np.zeros(0, np.int32),
                        np.concatenate(ndocs) if ndocs else np.zeros(0, np.int64),
                        (np.concatenate(modes) if modes else np.zeros(0, np.int8)) if self.multimodal else None)
-            msg.files.append((tmp, os.path.join(self.path, f"part-{part:015d}")))
+            msg.files.append((tmp, os.path.join(self.path, self.name_format.format(part=part))))
 
         for b in iterator:
             parts = np.asarray(b.column("part"), dtype=np.int64)
@@ -306,7 +335,7 @@ class BinIdxWriter(DataSourceArrowWriter):
         for m in messages:
             for _, final in m.files:
                 finals.add(final)
-        if self.overwrite:
+        if self.overwrite and self.name_format.startswith("part-"):
             for f in glob.glob(os.path.join(self.path, "part-*.idx")):
                 if f[:-4] not in finals:
                     for ext in (".idx", ".bin"):
@@ -314,6 +343,7 @@ class BinIdxWriter(DataSourceArrowWriter):
                             os.remove(f[:-4] + ext)
         for m in messages:
             for tmp, final in m.files:
+                os.makedirs(os.path.dirname(final), exist_ok=True)
                 os.replace(tmp + ".bin", final + ".bin")
                 os.replace(tmp + ".idx", final + ".idx")
         shutil.rmtree(os.path.join(self.path, "_temporary"), ignore_errors=True)
@@ -352,10 +382,16 @@ class BinIdxDataSource(DataSource):
         table = self.options.get("table", "sequences")
         columns = self.options.get("columns", "all")
         dtype = self.options.get("dtype")
-        if dtype is None:
+        if dtype is None and not self.options.get("ranges"):
             prefixes = list_prefixes(self.options.get("path", "")) if self.options.get("path") else []
             dtype = read_header(prefixes[0]).dtype if prefixes else "int32"
-        return _schema(table, columns, dtype)
+        ranges = self.options.get("ranges")
+        if dtype is None and ranges:
+            import json
+            with open(local_path(ranges), encoding="utf-8") as f:
+                first = next((json.loads(ln) for ln in f if ln.strip()), None)
+            dtype = read_header(first["prefix"]).dtype if first else "int32"
+        return _schema(table, columns, dtype, tagged=bool(ranges))
 
     def reader(self, schema: StructType) -> BinIdxReader:
         return BinIdxReader(self.options, schema)
@@ -369,12 +405,13 @@ def register(spark) -> None:
 
 
 def write_binidx(df, path: str, dtype: str = "uint16", multimodal: bool = False,
-                 mode: str = "overwrite") -> None:
+                 mode: str = "overwrite", name_format: str | None = None) -> None:
     """SN1: write ``df(part, token_ids, sentence_lens[, modes])`` (one row per
     document, sorted by part then document inside each partition)."""
     register(df.sparkSession)
     (df.write.format("binidx").mode(mode).option("path", path).option("dtype", dtype)
-     .option("multimodal", str(multimodal).lower()).save())
+     .option("multimodal", str(multimodal).lower())
+     .option("nameFormat", name_format or "part-{part:015d}").save())
 
 
 def read_binidx(spark, path: str, table: str = "sequences", columns: str = "all",
