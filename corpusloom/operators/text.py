@@ -24,8 +24,11 @@ MAX_SLICE_CHARS = 1_000_000
 # and RE2 agree (their \s differ on U+000B).
 WS = r"[\t\n\f\r ]"
 # A sentence: text up to a run of . ! ? that is followed by whitespace or the
-# end, plus that whitespace. Every character belongs to exactly one match.
-SENTENCE_PATTERN = r"(?:[^.!?]|[.!?]+[^.!?\t\n\f\r ])+[.!?]*" + WS + r"*|[.!?]+" + WS + r"*"
+# end, plus that whitespace. Every character belongs to exactly one match
+# (an empty match can only occur at the end and is dropped). Written with
+# character-class loops only, so Java's matcher does not recurse per
+# character on long texts.
+SENTENCE_PATTERN = (r"[^.!?]*(?:[.!?]+[^.!?\t\n\f\r ][^.!?]*)*[.!?]*" + WS + r"*")
 # GPT-2 pre-tokenization pattern.
 GPT2_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 # Detokenization clean-up replacements, applied in this order.
