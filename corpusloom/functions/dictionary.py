@@ -20,8 +20,9 @@ def encode_by_dictionary(df: DataFrame, id_col: str, text_col: str, piece_encode
                          pretokenize, append_eod: bool = False) -> DataFrame:
     """``(id, token_ids)`` for every row of ``df`` (empty text → ``[]``)."""
     pieces = df.select(id_col, F.posexplode_outer(pretokenize(F.col(text_col))).alias("pos", "piece"))
-    dictionary = encode_column(pieces.select("piece").where(F.col("piece").isNotNull()).distinct(),
-                               piece_encoder, "piece", "piece_ids")
+    distinct = pieces.select("piece").where(F.col("piece").isNotNull()).distinct()
+    dictionary = encode_column(distinct.select("piece", F.col("piece").alias("_txt")),
+                               piece_encoder, "_txt", "piece_ids", keep=["piece"])
     joined = pieces.join(dictionary, "piece", "left")
     grouped = joined.groupBy(id_col).agg(
         F.array_sort(F.collect_list(F.struct("pos", "piece_ids"))).alias("_p"))

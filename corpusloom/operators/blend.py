@@ -64,9 +64,10 @@ def blend_select(df: DataFrame, corpus_col: str, id_col: str, weights: DataFrame
     counts = scored.groupBy(corpus_col).agg(F.count(F.lit(1)).alias("_n"))
     n_total = F.sum("_n").over(Window.partitionBy()) if total is None else F.lit(int(total))
     quotas = (counts.join(F.broadcast(w), corpus_col)
-              .withColumn("_N", n_total)
-              .withColumn("_W", F.sum("_w").over(Window.partitionBy()))
-              .withColumn("_q", F.least(F.col("_n"), F.floor(F.col("_w") * F.col("_N") / F.col("_W")).cast("long")))
+              .withColumn("_total", n_total)
+              .withColumn("_wsum", F.sum("_w").over(Window.partitionBy()))
+              .withColumn("_q", F.least(F.col("_n"),
+                                        F.floor(F.col("_w") * F.col("_total") / F.col("_wsum")).cast("long")))
               .select(corpus_col, "_q"))
     hist = scored.groupBy(corpus_col, "_bucket").agg(F.count(F.lit(1)).alias("_c"))
     wc = Window.partitionBy(corpus_col).orderBy("_bucket")

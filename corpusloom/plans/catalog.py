@@ -700,3 +700,284 @@ QUERIES = {
     "parse_output": (q_parse_output, SQL_PARSE_OUTPUT),
     "pair_inputs": (q_pair_inputs, SQL_PAIR_INPUTS),
 }
+
+
+# ---------------------------------------------------------------------------
+# M6 vocabulary tokenizers
+
+def _docs(spark, sf_dir):
+    return table(spark, sf_dir, "documents")
+
+
+def q_trie_roundtrip(spark, sf_dir):
+    """S6 + T2 + T9: greedy longest match over a byte + n-gram vocabulary."""
+    from corpusloom.functions.trie import TrieTokenizer
+    from corpusloom.plans.vocab_fixtures import rwkv_vocab_file
+    from corpusloom.sources.vocab import collect_bounded, load_rwkv_vocab
+    docs = _docs(spark, sf_dir)
+    vocab = load_rwkv_vocab(spark, rwkv_vocab_file(spark, docs))
+    tok = TrieTokenizer({bytes(r.token): r.id for r in collect_bounded(vocab.select("id", "token"))}, eod=EOD)
+    enc = encode_documents(docs.select("doc_id", F.array("text").alias("sentences")), tok,
+                           keep=["doc_id"], append_eod=False)
+    return decode_column(enc.select("doc_id", "token_ids"), tok, "token_ids", "text").select(
+        F.col("doc_id").cast("long"), "text")
+
+
+SQL_TRIE_ROUNDTRIP = "SELECT doc_id, text FROM documents"
+
+
+def q_vocab_checks(spark, sf_dir):
+    """S6 validity counts of the derived vocabulary file."""
+    from corpusloom.plans.vocab_fixtures import rwkv_vocab_file
+    from corpusloom.sources.vocab import load_rwkv_vocab, vocab_checks
+    v = load_rwkv_vocab(spark, rwkv_vocab_file(spark, _docs(spark, sf_dir)))
+    return vocab_checks(v).select(*_long("entries", "bad_length", "min_id", "max_id", "distinct_ids"))
+
+
+def _bpe(spark, docs):
+    from corpusloom.functions.bpe import Gpt2BpeTokenizer
+    from corpusloom.plans.vocab_fixtures import bpe_files
+    from corpusloom.sources.vocab import collect_bounded, load_gpt2_vocab
+    vj, mt = bpe_files(spark, docs)
+    vocab, merges = load_gpt2_vocab(spark, vj, mt)
+    enc = {r.token: r.id for r in collect_bounded(vocab)}
+    mer = [(r.left, r.right) for r in collect_bounded(merges.orderBy("rank"))]
+    return Gpt2BpeTokenizer(enc, mer), vj, mt
+
+
+def q_bpe_roundtrip(spark, sf_dir):
+    """S8 + T3 (row strategy, per-task memo) + T9."""
+    docs = _docs(spark, sf_dir)
+    tok, _, _ = _bpe(spark, docs)
+    enc = encode_documents(docs.select("doc_id", F.array("text").alias("sentences")), tok,
+                           keep=["doc_id"], append_eod=False)
+    return decode_column(enc.select("doc_id", "token_ids"), tok, "token_ids", "text").select(
+        F.col("doc_id").cast("long"), "text")
+
+
+SQL_BPE_ROUNDTRIP = "SELECT doc_id, text FROM documents"
+
+
+def q_bpe_dictionary(spark, sf_dir):
+    """T3 dictionary strategy (J2): distinct pieces encoded once, joined back;
+    must equal the row strategy id for id."""
+    from corpusloom.functions.bpe import PieceEncoder
+    from corpusloom.functions.dictionary import encode_by_dictionary
+    docs = _docs(spark, sf_dir)
+    tok, _, _ = _bpe(spark, docs)
+    by_dict = encode_by_dictionary(docs, "doc_id", "text", PieceEncoder(tok), text.pretokenize_gpt2)
+    by_row = encode_documents(docs.select("doc_id", F.array("text").alias("sentences")), tok,
+                              keep=["doc_id"], append_eod=False)
+    j = by_dict.join(by_row.select("doc_id", F.col("token_ids").alias("row_ids")), "doc_id")
+    return j.select(F.col("doc_id").cast("long"), (F.col("token_ids") == F.col("row_ids")).alias("same"))
+
+
+SQL_BPE_DICTIONARY = "SELECT doc_id, true AS same FROM documents"
+
+
+def q_piece_counts(spark, sf_dir):
+    """Distinct pre-token dictionary with counts (the J2 memo's size); every
+    piece's text is checked by the roundtrip queries."""
+    from corpusloom.functions.dictionary import piece_counts
+    pc = piece_counts(_docs(spark, sf_dir), "text", text.pretokenize_gpt2)
+    return pc.agg(F.count(F.lit(1)).alias("n_distinct"), F.sum("n").alias("n_pieces"),
+                  F.sum(F.col("n") * F.length("piece")).alias("n_chars")).select(
+        *_long("n_distinct", "n_pieces", "n_chars"))
+
+
+def q_wordpiece_text(spark, sf_dir):
+    """S7 + P11 + T4 + P14: decode(encode(text)) is the basic-tokenized text
+    joined by spaces with the English clean-up applied."""
+    from corpusloom.functions.wordpiece import WordPieceTokenizer
+    from corpusloom.plans.vocab_fixtures import wordpiece_vocab_file
+    from corpusloom.sources.vocab import collect_bounded, load_wordpiece_vocab
+    docs = _docs(spark, sf_dir)
+    v = load_wordpiece_vocab(spark, wordpiece_vocab_file(spark, docs))
+    tok = WordPieceTokenizer({r.token: r.id for r in collect_bounded(v)}, cleaned=True)
+    cleaned = docs.select("doc_id", F.array(text.clean_text_for_wordpiece(F.col("text"))).alias("sentences"))
+    enc = encode_documents(cleaned, tok, keep=["doc_id"], append_eod=False)
+    return decode_column(enc.select("doc_id", "token_ids"), tok, "token_ids", "text").select(
+        F.col("doc_id").cast("long"), "text")
+
+
+def _sql_wordpiece_text():
+    punct = r"[!-/:-@\[-`{-~\pP]"
+    body = f"array_to_string(regexp_extract_all(strip_accents(lower(text)), '{punct}|[^\\s!-/:-@\\[-`{{-~\\pP]+'), ' ')"
+    for a, b in text.CLEANUP_REPLACEMENTS:
+        body = f"replace({body}, '{a.replace(chr(39), chr(39) * 2)}', '{b.replace(chr(39), chr(39) * 2)}')"
+    return f"SELECT doc_id, {body} AS text FROM documents"
+
+
+SQL_WORDPIECE_TEXT = _sql_wordpiece_text()
+
+
+def q_hf_roundtrip(spark, sf_dir):
+    """``tokenizer.json`` (same byte-level BPE) through the installed
+    ``tokenizers`` package, batch-encoded per Arrow batch."""
+    from corpusloom.functions.adapters import HFTokenizerFile
+    from corpusloom.plans.vocab_fixtures import bpe_files, hf_tokenizer_file
+    docs = _docs(spark, sf_dir)
+    vj, mt = bpe_files(spark, docs)
+    tok = HFTokenizerFile(hf_tokenizer_file(spark, vj, mt))
+    enc = encode_documents(docs.select("doc_id", F.array("text").alias("sentences")), tok,
+                           keep=["doc_id"], append_eod=False)
+    return decode_column(enc.select("doc_id", "token_ids"), tok, "token_ids", "text").select(
+        F.col("doc_id").cast("long"), "text")
+
+
+SQL_HF_ROUNDTRIP = "SELECT doc_id, text FROM documents"
+
+
+QUERIES.update({
+    "trie_roundtrip": (q_trie_roundtrip, SQL_TRIE_ROUNDTRIP),
+    "vocab_checks": (q_vocab_checks, None),
+    "bpe_roundtrip": (q_bpe_roundtrip, SQL_BPE_ROUNDTRIP),
+    "bpe_dictionary": (q_bpe_dictionary, SQL_BPE_DICTIONARY),
+    "piece_counts": (q_piece_counts, None),
+    "wordpiece_text": (q_wordpiece_text, SQL_WORDPIECE_TEXT),
+    "hf_roundtrip": (q_hf_roundtrip, SQL_HF_ROUNDTRIP),
+})
+
+
+# ---------------------------------------------------------------------------
+# M9 reshard / resume
+
+def _chunk_cols(df):
+    part = F.regexp_extract("src_path", r"part-(\d+)$", 1).cast("long").alias("part")
+    return df.select(part, *_long("start_doc", "end_doc", "start_byte", "end_byte", "byte_size", "num_docs",
+                                  "first_len", "last_len"))
+
+
+def q_chunks(spark, sf_dir):
+    """S10 + R5: greedy chunks of every part of the written dataset."""
+    from corpusloom.operators.reshard import chunk_table
+    return _chunk_cols(chunk_table(spark, [_written_dataset(spark, sf_dir)], CHUNK_TARGET))
+
+
+def _sql_chunks(where: str = "") -> str:
+    return f"""
+WITH RECURSIVE {_SEQ_CTE},
+n AS (SELECT ((count(*) + {N_PARTS} - 1) // {N_PARTS})::BIGINT AS size FROM documents),
+ps AS (SELECT doc_id // (SELECT size FROM n) AS part,
+         (row_number() OVER (PARTITION BY doc_id // (SELECT size FROM n) ORDER BY seq_id) - 1)::BIGINT AS i, length,
+         (sum(length * {ITEM}) OVER (PARTITION BY doc_id // (SELECT size FROM n) ORDER BY seq_id
+            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))::BIGINT AS e FROM q),
+tot AS (SELECT part, count(*)::BIGINT AS s, max(e)::BIGINT AS total FROM ps GROUP BY part),
+c(part, start_doc, end_doc, start_byte, end_byte) AS (
+  SELECT t.part, 0::BIGINT, coalesce(x.nxt, t.s), 0::BIGINT, coalesce(x.eb, t.total)
+  FROM tot t LEFT JOIN LATERAL (SELECT (min(i) + 1)::BIGINT AS nxt, min(e)::BIGINT AS eb FROM ps
+                                WHERE ps.part = t.part AND ps.e >= {CHUNK_TARGET}) x ON true
+  UNION ALL
+  SELECT c.part, c.end_doc, coalesce(x.nxt, t.s), c.end_byte, coalesce(x.eb, t.total)
+  FROM c JOIN tot t ON t.part = c.part
+  LEFT JOIN LATERAL (SELECT (min(i) + 1)::BIGINT AS nxt, min(e)::BIGINT AS eb FROM ps
+                     WHERE ps.part = c.part AND ps.e >= c.end_byte + {CHUNK_TARGET}) x ON true
+  WHERE c.end_doc < t.s)
+SELECT c.part::BIGINT AS part, c.start_doc, c.end_doc, c.start_byte, c.end_byte,
+       (c.end_byte - c.start_byte)::BIGINT AS byte_size, (c.end_doc - c.start_doc)::BIGINT AS num_docs,
+       f.length::BIGINT AS first_len, l.length::BIGINT AS last_len
+FROM c JOIN ps f ON f.part = c.part AND f.i = c.start_doc
+       JOIN ps l ON l.part = c.part AND l.i = c.end_doc - 1
+{where}
+"""
+
+
+SQL_CHUNKS = _sql_chunks()
+
+
+def q_shards(spark, sf_dir):
+    """LPT allocation of the chunks to 3 shards (checked by invariants
+    in the tests: every chunk once, max load within 4/3 of the optimum)."""
+    from corpusloom.operators.reshard import allocate, chunk_table
+    ch = chunk_table(spark, [_written_dataset(spark, sf_dir)], CHUNK_TARGET)
+    a = allocate(ch, 3)
+    return a.groupBy("shard_id").agg(F.count(F.lit(1)).alias("n_chunks"), F.sum("byte_size").alias("bytes")).select(
+        *_long("shard_id", "n_chunks", "bytes"))
+
+
+def q_reshard_roundtrip(spark, sf_dir):
+    """R7 + SN4: reshard the written dataset into 3 shards over 2 output
+    folders and read every shard back: the multiset of sequences is kept and
+    each sequence is its own document."""
+    import glob as _glob
+    from corpusloom.operators.reshard import reshard
+    src = _written_dataset(spark, sf_dir)
+    outs = [scratch_dir(spark, "reshard-a"), scratch_dir(spark, "reshard-b")]
+    reshard(spark, [src], outs, 3, target=CHUNK_TARGET)
+    prefixes = sorted(p[:-4] for d in outs for p in _glob.glob(os.path.join(d, "*", "*_final.idx")))
+    r = read_binidx(spark, ",".join(prefixes))
+    return r.select(F.col("length").cast("long"), _sum_ids(F.col("tokens")).alias("tok_sum"),
+                    F.col("sent_pos").cast("long").alias("sent_pos"))
+
+
+SQL_RESHARD_ROUNDTRIP = f"WITH {_SEQ_CTE} SELECT length, tok_sum, 0::BIGINT AS sent_pos FROM q"
+
+
+def q_resume_anti(spark, sf_dir):
+    """R8/R9 + J6/O7: chunks already recorded in a shard manifest (here: the
+    chunks of part 0) are removed with a left-anti join."""
+    from corpusloom.operators.reshard import chunk_table, done_chunks, pending_chunks
+    ch = chunk_table(spark, [_written_dataset(spark, sf_dir)], CHUNK_TARGET).cache()
+    out = scratch_dir(spark, "resume-out")
+    (ch.where(F.col("src_path").endswith("part-000000000000000")).select(F.col("id").alias("chunk_id"))
+     .write.mode("overwrite").parquet(os.path.join(out, "_manifest")))
+    return _chunk_cols(pending_chunks(ch, done_chunks(spark, [out])))
+
+
+SQL_RESUME_ANTI = _sql_chunks("WHERE c.part <> 0")
+
+
+# ---------------------------------------------------------------------------
+# M10 blend, streaming
+
+def q_blend_select(spark, sf_dir):
+    """Weights per source (w = n mod 4 + 1 for source ``srcN``),
+    normalised, applied to rows: each source keeps its share of half the
+    corpus, lowest ``(score, doc_id)`` first."""
+    from corpusloom.operators.blend import blend_select
+    docs = _docs(spark, sf_dir)
+    weights = (docs.select("source").distinct()
+               .select(F.col("source").alias("prefix"),
+                       (F.regexp_extract("source", r"(\d+)$", 1).cast("long") % 4 + 1).cast("double").alias("weight")))
+    total = docs.count() // 2
+    score = F.pmod(F.col("doc_id") * 7919, F.lit(10007))
+    sel = blend_select(docs, "source", "doc_id", weights, total=total, score=score, bucket_shift=6)
+    return sel.select("source", F.col("doc_id").cast("long"))
+
+
+SQL_BLEND_SELECT = r"""
+WITH c AS (SELECT source, count(*) AS n FROM documents GROUP BY source),
+w AS (SELECT source, n, (CAST(regexp_extract(source, '(\d+)$', 1) AS BIGINT) % 4 + 1)::DOUBLE AS weight FROM c),
+q AS (SELECT source, least(n, floor(weight * ((SELECT sum(n) FROM c) // 2) / (SELECT sum(weight) FROM w)))::BIGINT AS quota FROM w),
+r AS (SELECT d.source, d.doc_id, row_number() OVER (PARTITION BY d.source ORDER BY (d.doc_id * 7919) % 10007, d.doc_id) AS rn
+      FROM documents d)
+SELECT r.source, r.doc_id::BIGINT AS doc_id FROM r JOIN q ON q.source = r.source WHERE r.rn <= q.quota
+"""
+
+
+def q_stream_ingest(spark, sf_dir):
+    """ST1: the JSONL corpus ingested incrementally with Structured
+    Streaming; each micro-batch commits one immutable part. Same result as
+    the batch scan."""
+    from corpusloom.streaming.ingest import ingest_corpus_stream
+    src = documents_jsonl(spark, sf_dir)
+    out = scratch_dir(spark, "stream-out")
+    res = ingest_corpus_stream(spark, src, out, keys=["text"])
+    return res.select(F.regexp_extract("file_path", r"(lang=[^/]*)/", 1).alias("dir"),
+                      F.col("line_no").cast("long"), F.element_at("sentences", 1).alias("text"))
+
+
+SQL_STREAM_INGEST = """
+SELECT 'lang=' || lang AS dir, (row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1)::BIGINT AS line_no, text
+FROM documents
+"""
+
+
+QUERIES.update({
+    "chunks": (q_chunks, SQL_CHUNKS),
+    "shards": (q_shards, None),
+    "reshard_roundtrip": (q_reshard_roundtrip, SQL_RESHARD_ROUNDTRIP),
+    "resume_anti": (q_resume_anti, SQL_RESUME_ANTI),
+    "blend_select": (q_blend_select, SQL_BLEND_SELECT),
+    "stream_ingest": (q_stream_ingest, SQL_STREAM_INGEST),
+})
