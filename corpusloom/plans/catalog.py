@@ -981,3 +981,130 @@ QUERIES.update({
     "blend_select": (q_blend_select, SQL_BLEND_SELECT),
     "stream_ingest": (q_stream_ingest, SQL_STREAM_INGEST),
 })
+
+
+# ---------------------------------------------------------------------------
+# U2 jobs, J3/J4 access, S5 checks, SN3
+
+def q_build_corpus(spark, sf_dir):
+    """JSONL corpus → byte tokens → merged indexed dataset, read back."""
+    from corpusloom.plans.build import build_corpus
+    from corpusloom.spec import CorpusSpec, TokenizerSpec
+    src = documents_jsonl(spark, sf_dir)
+    out = os.path.join(scratch_dir(spark, "build"), "corpus")
+    res = build_corpus(spark, CorpusSpec(src, out, TokenizerSpec("byte"), merge_partitions=True))
+    r = read_binidx(spark, res["text"])
+    return r.select(*_long("seq_id", "doc_id", "length", "ptr"), _sum_ids(F.col("tokens")).alias("tok_sum"))
+
+
+SQL_BUILD_CORPUS = f"""
+WITH d AS (SELECT (row_number() OVER (ORDER BY lang, doc_id) - 1)::BIGINT AS doc_id,
+             octet_length(encode(text)) + 1 AS length,
+             list_sum({_BYTE_IDS.format(x='text')}) + {EOD} AS tok_sum FROM documents)
+SELECT doc_id AS seq_id, doc_id, length::BIGINT AS length,
+       (coalesce(sum(length) OVER (ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) * {ITEM})::BIGINT AS ptr,
+       tok_sum::BIGINT AS tok_sum FROM d
+"""
+
+
+def q_build_partitioned(spark, sf_dir):
+    """U2 with R1 + R3: 4 round-robin partitions, sentence split, merged in
+    partition order; one row per document of the merged dataset."""
+    from corpusloom.plans.build import build_corpus
+    from corpusloom.spec import CorpusSpec, TokenizerSpec
+    src = documents_jsonl(spark, sf_dir)
+    out = os.path.join(scratch_dir(spark, "build-rr"), "corpus")
+    res = build_corpus(spark, CorpusSpec(src, out, TokenizerSpec("byte"), partitions=N_PARTS,
+                                         split_sentences=True, merge_partitions=True))
+    d = read_binidx(spark, res["text"], table="documents")
+    return d.select(*_long("doc_id", "seq_begin", "seq_end"))
+
+
+SQL_BUILD_PARTITIONED = f"""
+WITH l AS (SELECT (row_number() OVER (ORDER BY lang, doc_id) - 1)::BIGINT AS line_id, text FROM documents),
+s AS (SELECT line_id, len(list_filter(list_transform(regexp_extract_all(text, '{text.SENTENCE_PATTERN}'),
+             lambda x: regexp_replace(x, '^{text.WS}+|{text.WS}+$', '', 'g')), lambda x: length(x) > 0))::BIGINT AS n
+      FROM l),
+m AS (SELECT (row_number() OVER (ORDER BY line_id % {N_PARTS}, line_id) - 1)::BIGINT AS doc_id, n FROM s)
+SELECT doc_id, coalesce(sum(n) OVER (ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS seq_begin,
+       sum(n) OVER (ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)::BIGINT AS seq_end FROM m
+"""
+
+
+def q_seq_get(spark, sf_dir):
+    """For every sequence, tokens [seq_id mod 5, +7) (NULL length = rest
+    when fewer remain)."""
+    seqs = read_binidx(spark, _written_dataset(spark, sf_dir))
+    req = seqs.select("seq_id", F.least(F.pmod("seq_id", F.lit(5)), F.col("length")).cast("int").alias("offset"),
+                      F.when(F.col("length") - F.pmod("seq_id", F.lit(5)) >= 7, F.lit(7)).cast("int").alias("length"))
+    g = lookup.get_tokens(seqs, req)
+    return g.select(F.col("seq_id").cast("long"), F.col("offset").cast("long"),
+                    F.array_join("tokens", " ").alias("tokens"))
+
+
+SQL_SEQ_GET = f"""
+WITH {_SEQ_CTE},
+t AS (SELECT q.seq_id, list_transform(regexp_extract_all(hex(encode(x.s)), '..'), lambda h: ('0x' || h)::BIGINT + 1)
+             || CASE WHEN x.last THEN [{EOD}::BIGINT] ELSE [] END AS toks
+      FROM q JOIN (SELECT doc_id, unnest(sl) AS s, unnest(range(len(sl)))::BIGINT AS sent_pos,
+                          unnest(list_transform(sl, lambda v, i: i = len(sl))) AS last FROM s) x
+        ON x.doc_id = q.doc_id AND x.sent_pos = q.sent_pos)
+SELECT seq_id, least(seq_id % 5, len(toks))::BIGINT AS offset,
+       array_to_string(toks[least(seq_id % 5, len(toks)) + 1 : least(seq_id % 5, len(toks)) + 7], ' ') AS tokens FROM t
+"""
+
+
+def q_seq_slice(spark, sf_dir):
+    """The contiguous middle half of the sequences."""
+    seqs = read_binidx(spark, _written_dataset(spark, sf_dir), columns="index")
+    n = seqs.count()
+    return lookup.slice_sequences(seqs, n // 4, 3 * n // 4).select(*_long("seq_id", "doc_id", "length"))
+
+
+SQL_SEQ_SLICE = f"""
+WITH {_SEQ_CTE}
+SELECT seq_id, doc_id, length FROM q
+WHERE seq_id >= (SELECT count(*) FROM q) // 4 AND seq_id < 3 * (SELECT count(*) FROM q) // 4
+"""
+
+
+def q_dataset_checks(spark, sf_dir):
+    """Integrity checks of every part of the written dataset."""
+    from corpusloom.sources.checks import dataset_checks
+    return dataset_checks(spark, _written_dataset(spark, sf_dir)).select(
+        F.regexp_extract("prefix", r"part-(\d+)$", 1).cast("long").alias("part"), "check", "ok")
+
+
+SQL_DATASET_CHECKS = f"""
+SELECT p AS part, c AS check, true AS ok
+FROM range(0, {N_PARTS}) r(p), (VALUES ('files'), ('header'), ('doc_index_end'), ('bin_size'), ('pointers')) v(c)
+"""
+
+
+def q_split_output(spark, sf_dir):
+    """SN3: sentence-split JSONL written and read back."""
+    from corpusloom.plans.build import write_split_sentences
+    from corpusloom.spec import CorpusSpec
+    src = documents_jsonl(spark, sf_dir)
+    out = scratch_dir(spark, "split-out")
+    write_split_sentences(spark, CorpusSpec(src, ""), out)
+    back = spark.read.schema("text array<string>").json(out)
+    return back.select(F.size("text").cast("long").alias("n_sents"), F.element_at("text", 1).alias("first"))
+
+
+SQL_SPLIT_OUTPUT = f"""
+WITH p AS (SELECT list_filter(list_transform(regexp_extract_all(text, '{text.SENTENCE_PATTERN}'),
+             lambda x: regexp_replace(x, '^{text.WS}+|{text.WS}+$', '', 'g')), lambda x: length(x) > 0) AS s
+           FROM documents)
+SELECT len(s)::BIGINT AS n_sents, s[1] AS first FROM p
+"""
+
+
+QUERIES.update({
+    "build_corpus": (q_build_corpus, SQL_BUILD_CORPUS),
+    "build_partitioned": (q_build_partitioned, SQL_BUILD_PARTITIONED),
+    "seq_get": (q_seq_get, SQL_SEQ_GET),
+    "seq_slice": (q_seq_slice, SQL_SEQ_SLICE),
+    "dataset_checks": (q_dataset_checks, SQL_DATASET_CHECKS),
+    "split_output": (q_split_output, SQL_SPLIT_OUTPUT),
+})

@@ -93,6 +93,7 @@ def with_line_ids(raw: DataFrame) -> DataFrame:
         "file_path", "file_rank",
         (F.col("_fline0") + local).alias("line_no"),
         (F.col("_line0") + local).alias("line_id"),
+        F.col("_line0").alias("split_line0"),
     )
 
 
@@ -107,7 +108,7 @@ def read_lines(spark: SparkSession, path: str, check: bool = True) -> DataFrame:
     reader = (spark.read.option("recursiveFileLookup", "true")
               .option("pathGlobFilter", JSONL_GLOB))
     raw = _raw_scan(reader, path, "text")
-    return with_line_ids(raw).select("file_path", "file_rank", "line_no", "line_id", "value")
+    return with_line_ids(raw).select("file_path", "file_rank", "line_no", "line_id", "split_line0", "value")
 
 
 def read_parquet_corpus(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
