@@ -22,6 +22,7 @@ from corpusloom.functions.base import encode_documents
 from corpusloom.operators import parse, partition, text
 from corpusloom.operators.index import optimal_dtype
 from corpusloom.operators.merge import merge_binidx
+from corpusloom.operators.parallel import target_partitions
 from corpusloom.session import prepare_session
 from corpusloom.sources.binidx import write_binidx
 from corpusloom.sources.corpus import read_lines, read_parquet_corpus
@@ -43,14 +44,25 @@ def prepared_records(spark: SparkSession, spec: CorpusSpec) -> tuple[DataFrame,
         cls = parse.classify(read_lines(spark, spec.input), keys)
     ok = cls.where(F.col("reason").isNull())
     if spec.partitions > 1:
+        # R1/R2 + R3: lines in merged order (part, line); one range shuffle of
+        # the text puts every partition on a contiguous run of that order.
         parted = (partition.sequential(ok, spec.partitions) if spec.keep_sequential_samples
                   else partition.round_robin(ok, spec.partitions))
-        part = F.col("part_id")
+        if spec.merge_partitions:
+            parted = parted.repartitionByRange(max(spec.partitions, target_partitions(parted)),
+                                               "part_id", "line_id")
+            part = F.spark_partition_id()
+        else:  # one output dataset per reference partition
+            parted, part = parted.repartition(spec.partitions, "part_id"), F.col("part_id")
+    elif ok.rdd.getNumPartitions() >= target_partitions(ok):
+        # enough input splits: each split is one output part, no shuffle
+        parted, part = ok, F.col("split_line0")
     else:
-        parted = ok
-        part = F.col("split_line0")
+        # few large splits: spread the text by line range over all cores
+        parted, part = ok.repartitionByRange(target_partitions(ok), "line_id"), F.spark_partition_id()
     items = ", ".join(f"{i}, `{k}`" for i, k in enumerate(keys))
-    recs = parted.select("line_id", part.cast("long").alias("part"),
+    order = F.col("part_id") if spec.partitions > 1 else F.lit(0)
+    recs = parted.select("line_id", part.cast("long").alias("part"), order.cast("long").alias("ord"),
                          F.expr(f"stack({len(keys)}, {items}) as (key_idx, sentences)"))
     if spec.split_sentences:
         recs = recs.withColumn("sentences", text.split_values(F.col("sentences"), spec.keep_newlines))
@@ -63,18 +75,14 @@ def build_corpus(spark: SparkSession, spec: CorpusSpec) -> dict:
     dtype = spec.dtype or optimal_dtype(tok.vocab_size)
     cls, recs = prepared_records(spark, spec)
     obs = Observation("encode_stats")
-    enc = encode_documents(recs, tok, "sentences", keep=["line_id", "part", "key_idx"],
+    enc = encode_documents(recs, tok, "sentences", keep=["line_id", "part", "ord", "key_idx"],
                            append_eod=spec.append_eod)
     enc = enc.observe(obs, F.count(F.lit(1)).alias("documents"),
                       F.sum(F.size("sentence_lens")).alias("sequences"),
                       F.sum(F.size("token_ids")).alias("tokens"))
     part_id = F.col("key_idx").cast("long") * PART_SPACE + F.col("part")
-    if spec.partitions > 1:
-        # merged order = (part, line): one range shuffle, parts stay contiguous
-        out = enc.repartitionByRange("key_idx", "part", "line_id")
-    else:
-        out = enc  # rows of an input split stay in the scan task: no shuffle
-    out = out.sortWithinPartitions("key_idx", "part", "line_id").select(
+    # rows of a part are already in one task (input split or range partition)
+    out = enc.sortWithinPartitions("key_idx", "part", "ord", "line_id").select(
         part_id.alias("part"), "token_ids", "sentence_lens")
     level = "sentence" if spec.split_sentences else "document"
     staging = spec.output_prefix + "__parts"

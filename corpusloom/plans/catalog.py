@@ -18,6 +18,7 @@ from corpusloom.functions.base import decode_column, encode_documents
 from corpusloom.functions.byte_level import ByteTokenizer
 from corpusloom.functions.null import null_decode_expr, null_encode_expr
 from corpusloom.operators import chat, index, lookup, parse, partition, text
+from corpusloom.operators.parallel import balance
 from corpusloom.plans.fixtures import documents_jsonl, events_jsonl, table
 from corpusloom.session import scratch_dir
 from corpusloom.sources.binidx import read_binidx, write_binidx
@@ -706,7 +707,7 @@ QUERIES = {
 # M6 vocabulary tokenizers
 
 def _docs(spark, sf_dir):
-    return table(spark, sf_dir, "documents")
+    return balance(table(spark, sf_dir, "documents"), "doc_id")
 
 
 def q_trie_roundtrip(spark, sf_dir):
