@@ -391,14 +391,15 @@ def q_embeddings_roundtrip(spark, sf_dir):
     write_binidx(docs.repartition(1).sortWithinPartitions("vec_id")
                  .select(F.lit(0).cast("long").alias("part"), "token_ids", "sentence_lens"), out, dtype="float32")
     r = read_binidx(spark, out)
+    micro = F.aggregate("tokens", F.lit(0).cast("long"),
+                        lambda a, x: a + F.floor(x.cast("double") * 1000000).cast("long"))
     return r.select(F.col("doc_id").cast("long").alias("vec_id"), F.col("length").cast("long"),
-                    F.round(F.aggregate("tokens", F.lit(0.0).cast("double"), lambda a, x: a + x.cast("double")), 3)
-                    .alias("val_sum"))
+                    micro.alias("val_micro"))
 
 
 SQL_EMBEDDINGS_ROUNDTRIP = """
 SELECT (row_number() OVER (ORDER BY vec_id) - 1)::BIGINT AS vec_id, len(embedding)::BIGINT AS length,
-  round(list_reduce(list_prepend(0.0::DOUBLE, list_transform(embedding, lambda x: x::DOUBLE)), lambda a, b: a + b), 3) AS val_sum
+  list_sum(list_transform(embedding, lambda x: floor(x::DOUBLE * 1000000)::BIGINT))::BIGINT AS val_micro
 FROM embeddings
 """
 
