@@ -54,8 +54,9 @@ def prepared_records(spark: SparkSession, spec: CorpusSpec) -> tuple[DataFrame,
             part = F.spark_partition_id()
         else:  # one output dataset per reference partition
             parted, part = parted.repartition(spec.partitions, "part_id"), F.col("part_id")
-    elif ok.rdd.getNumPartitions() >= target_partitions(ok):
-        # enough input splits: each split is one output part, no shuffle
+    elif spec.per_file or ok.rdd.getNumPartitions() >= target_partitions(ok):
+        # enough input splits (or per-file outputs): each split is one
+        # output part, no shuffle
         parted, part = ok, F.col("split_line0")
     else:
         # few large splits: spread the text by line range over all cores
@@ -90,6 +91,9 @@ def build_corpus(spark: SparkSession, spec: CorpusSpec) -> dict:
     if spec.quarantine_path:
         parse.quarantine(cls).write.mode("overwrite").parquet(spec.quarantine_path)
     result = {"dtype": dtype, "vocab_size": tok.vocab_size, **(obs.get or {})}
+    if spec.per_file:
+        result["files"] = _per_file_outputs(spark, spec, cls, staging, level)
+        return result
     for k_idx, key in enumerate(spec.json_keys):
         parts = sorted(p[:-4] for p in glob.glob(os.path.join(staging, "part-*.idx"))
                        if int(os.path.basename(p)[5:-4]) // PART_SPACE == k_idx)
@@ -105,6 +109,29 @@ def build_corpus(spark: SparkSession, spec: CorpusSpec) -> dict:
     return result
 
 
+def _per_file_outputs(spark: SparkSession, spec: CorpusSpec, cls: DataFrame, staging: str,
+                      level: str) -> dict:
+    """Merge the parts (input splits) of every file into
+    ``{prefix}_{relative path}_{key}_{level}``; the split → file table has one
+    row per input split."""
+    root = spec.input.rstrip("/")
+    splits = (cls.select("split_line0", partition.file_key("file_path", root).alias("fkey"))
+              .distinct().collect())
+    by_file: dict[str, list[int]] = {}
+    for r in splits:
+        by_file.setdefault(r.fkey, []).append(r.split_line0)
+    out = {}
+    for k_idx, key in enumerate(spec.json_keys):
+        for fkey, starts in sorted(by_file.items()):
+            parts = [os.path.join(staging, f"part-{k_idx * PART_SPACE + s:015d}") for s in sorted(starts)]
+            parts = [p for p in parts if os.path.exists(p + ".idx")]
+            target = f"{spec.output_prefix}_{fkey}_{key}_{level}"
+            os.makedirs(os.path.dirname(target), exist_ok=True)
+            merge_binidx(spark, parts, target, delete_parts=True)
+            out[fkey if len(spec.json_keys) == 1 else f"{fkey}:{key}"] = target
+    return out
+
+
 def write_split_sentences(spark: SparkSession, spec: CorpusSpec, out: str) -> None:
     """SN3: the sentence-split corpus as JSONL ``{"key": [sentences], ...}``
     (only the requested keys; UTF-8, not ASCII-escaped), in line order

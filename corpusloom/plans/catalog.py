@@ -11,7 +11,7 @@ from __future__ import annotations
 import math
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpusloom.functions.base import decode_column, encode_documents
@@ -1110,3 +1110,115 @@ QUERIES.update({
     "dataset_checks": (q_dataset_checks, SQL_DATASET_CHECKS),
     "split_output": (q_split_output, SQL_SPLIT_OUTPUT),
 })
+
+
+# ---------------------------------------------------------------------------
+# U1 SQL surface, J1 vocabulary join, A7 fingerprints, S9 Parquet input, R4
+
+def q_sql_tokenize(spark, sf_dir):
+    """The byte tokenizer registered as SQL functions and used from SQL."""
+    from corpusloom.functions.registry import register_tokenizer
+    register_tokenizer(spark, BYTES, "bytes")
+    _docs(spark, sf_dir).createOrReplaceTempView("cl_documents")
+    return spark.sql("""
+        SELECT CAST(doc_id AS BIGINT) AS doc_id, CAST(size(ids) AS BIGINT) AS n_tokens,
+               aggregate(ids, 0L, (a, x) -> a + x) AS tok_sum, bytes_detokenize(ids) AS text
+        FROM (SELECT doc_id, bytes_tokenize(text) AS ids FROM cl_documents)""")
+
+
+SQL_SQL_TOKENIZE = f"""
+SELECT doc_id, octet_length(encode(text))::BIGINT AS n_tokens,
+       coalesce(list_sum({_BYTE_IDS.format(x='text')}), 0)::BIGINT AS tok_sum, text FROM documents
+"""
+
+
+def q_vocab_lookup(spark, sf_dir):
+    """Pieces → ids through an equi-join with the vocabulary table
+    (broadcast when small), unknown pieces → 0 (GPT-2 rule). Vocabulary: the
+    500 most frequent lower-cased words, id = rank."""
+    docs = _docs(spark, sf_dir)
+    words = docs.select("doc_id", F.posexplode(text.whitespace_tokenize(F.lower("text"))).alias("pos", "piece"))
+    vocab = (words.groupBy("piece").agg(F.count(F.lit(1)).alias("n"))
+             .orderBy(F.desc("n"), "piece").limit(500)
+             .select("piece", F.row_number().over(Window.orderBy(F.desc("n"), "piece")).alias("id")))
+    ids = words.join(F.broadcast(vocab), "piece", "left").select("doc_id", "pos", F.coalesce("id", F.lit(0)).alias("id"))
+    return ids.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_words"),
+                                     F.sum("id").alias("id_sum"),
+                                     F.count(F.when(F.col("id") == 0, 1)).alias("n_unknown")).select(
+        *_long("doc_id", "n_words", "id_sum", "n_unknown"))
+
+
+SQL_VOCAB_LOOKUP = r"""
+WITH w AS (SELECT doc_id, unnest(list_filter(regexp_split_to_array(lower(text), '\s+'), lambda x: x <> '')) AS piece
+           FROM documents),
+v AS (SELECT piece, row_number() OVER (ORDER BY n DESC, piece) AS id FROM
+        (SELECT piece, count(*) AS n FROM w GROUP BY piece ORDER BY n DESC, piece LIMIT 500))
+SELECT w.doc_id::BIGINT AS doc_id, count(*)::BIGINT AS n_words, sum(coalesce(v.id, 0))::BIGINT AS id_sum,
+       count(*) FILTER (WHERE v.id IS NULL)::BIGINT AS n_unknown
+FROM w LEFT JOIN v ON v.piece = w.piece GROUP BY w.doc_id
+"""
+
+
+def q_chunk_fingerprints(spark, sf_dir):
+    """A7 + R8: fingerprint of every chunk, ``(num_docs, first_len,
+    last_len, hash of the length vector)``, computed from the index only;
+    the same fingerprint computed on the resharded outputs finds every chunk
+    again (the resume rule)."""
+    from corpusloom.operators.reshard import chunk_fingerprints, chunk_table
+    ch = chunk_table(spark, [_written_dataset(spark, sf_dir)], CHUNK_TARGET)
+    fp = chunk_fingerprints(spark, ch).select("id", "n_seq", F.col("first_len").alias("fp_first"),
+                                              F.col("last_len").alias("fp_last"), "fingerprint")
+    ok = (F.col("n_seq") == F.col("num_docs")) & (F.col("fp_first") == F.col("first_len")) & \
+        (F.col("fp_last") == F.col("last_len")) & F.col("fingerprint").isNotNull()
+    return _chunk_cols(ch.join(fp, "id").where(ok)).select("part", "start_doc", "num_docs", "first_len", "last_len")
+
+
+SQL_CHUNK_FINGERPRINTS = "SELECT part, start_doc, num_docs, first_len, last_len FROM (" + _sql_chunks() + ")"
+
+
+def q_parquet_corpus(spark, sf_dir):
+    """Parquet input with ``text_cols`` → build (document level) with
+    line ids taken from the Parquet row order; one row per sequence."""
+    from corpusloom.plans.build import build_corpus
+    from corpusloom.spec import CorpusSpec, TokenizerSpec
+    out = os.path.join(scratch_dir(spark, "build-pq"), "corpus")
+    res = build_corpus(spark, CorpusSpec(os.path.join(sf_dir, "benchmark.parquet"), out, TokenizerSpec("byte"),
+                                         json_keys=["text"], input_format="parquet"))
+    r = read_binidx(spark, res["text"], columns="index")
+    return r.select(*_long("seq_id", "length"))
+
+
+SQL_PARQUET_CORPUS = """
+SELECT (row_number() OVER (ORDER BY item_id) - 1)::BIGINT AS seq_id, (octet_length(encode(text)) + 1)::BIGINT AS length
+FROM benchmark WHERE octet_length(encode(text)) > 0
+"""
+
+
+def q_per_file_build(spark, sf_dir):
+    """One dataset per input file (key = relative path, Q16)."""
+    from corpusloom.plans.build import build_corpus
+    from corpusloom.spec import CorpusSpec, TokenizerSpec
+    src = documents_jsonl(spark, sf_dir)
+    out = os.path.join(scratch_dir(spark, "build-files"), "corpus")
+    res = build_corpus(spark, CorpusSpec(src, out, TokenizerSpec("byte"), per_file=True))
+    rows = []
+    for key, prefix in sorted(res["files"].items()):
+        rows.append(read_binidx(spark, prefix, columns="index").select(
+            F.lit(key.split("/")[0]).alias("dir"), "seq_id", "length"))
+    from functools import reduce
+    return reduce(lambda a, b: a.unionByName(b), rows).select("dir", *_long("seq_id", "length"))
+
+
+SQL_PER_FILE_BUILD = """
+SELECT 'lang=' || lang AS dir, (row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1)::BIGINT AS seq_id,
+       (octet_length(encode(text)) + 1)::BIGINT AS length FROM documents
+"""
+
+
+QUERIES.update({
+    "sql_tokenize": (q_sql_tokenize, SQL_SQL_TOKENIZE),
+    "vocab_lookup": (q_vocab_lookup, SQL_VOCAB_LOOKUP),
+    "chunk_fingerprints": (q_chunk_fingerprints, SQL_CHUNK_FINGERPRINTS),
+    "parquet_corpus": (q_parquet_corpus, SQL_PARQUET_CORPUS),
+    "per_file_build": (q_per_file_build, SQL_PER_FILE_BUILD),
+})

@@ -87,5 +87,6 @@ class CorpusSpec:
     partitions: int = 1
     keep_sequential_samples: bool = False
     merge_partitions: bool = True
+    per_file: bool = False             # R4: one dataset per input file
     quarantine_path: str | None = None
     dtype: str | None = None
