@@ -5,18 +5,16 @@ Every running quantity (sequence id, byte pointer, document boundary) is a
 
 1. rows are grouped in blocks of a dense order key (``key div block``), so a
    block holds at most ``block`` documents whatever the key distribution;
-2. one window, partitioned by block, gives the in-block running value and the
-   block total in the same pass;
-3. the block totals (one row per block) get their exclusive prefix sum and
-   are joined back. That table comes out of a shuffle; AQE broadcasts it when
-   it is small and falls back to a shuffle join otherwise.
-
-The exchange below the window is shared by both branches (Spark reuses it),
-so the input is computed once.
+2. a window partitioned by block gives the in-block running value;
+3. the block totals (one row per block, partial aggregation) get their
+   exclusive prefix sum and are broadcast back (one row per million rows).
+
+The lengths-only input is persisted once so the producing stage runs once.
 """
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -51,25 +49,27 @@ def two_level_prefix(df: DataFrame, order: list[str], values: dict[str, Column],
                      block: Column, counts: list[str] = ()) -> DataFrame:
     """Exclusive prefix sums of ``values`` (and 0-based row counts named in
     ``counts``) in ``order``; ``block`` must group rows into contiguous runs of
-    the order."""
-    d = df.withColumn("_blk", block)
-    w_run = Window.partitionBy("_blk").orderBy(*order)
-    w_ex = w_run.rowsBetween(Window.unboundedPreceding, -1)
-    w_blk = Window.partitionBy("_blk")
-    run_cols, tot_cols = [], []
-    for name, v in values.items():
-        run_cols.append(F.coalesce(F.sum(v).over(w_ex), F.lit(0)).cast("long").alias(f"_l_{name}"))
-        tot_cols.append(F.sum(v).over(w_blk).cast("long").alias(f"_t_{name}"))
-    for name in counts:
-        run_cols.append((F.row_number().over(w_run) - 1).cast("long").alias(f"_l_{name}"))
-        tot_cols.append(F.count(F.lit(1)).over(w_blk).cast("long").alias(f"_t_{name}"))
-    local = d.select("*", *run_cols, *tot_cols)
+    the order.
+
+    The input (lengths only) is persisted once, so the block totals and the
+    in-block windows read the same rows and whatever produced them (a
+    tokenizer stage, a file scan) runs once. The totals table has one row per
+    block (at most rows / block size), so it is broadcast.
+    """
+    d = df.withColumn("_blk", block).persist(StorageLevel.MEMORY_AND_DISK)
     names = list(values) + list(counts)
-    tot = local.groupBy("_blk").agg(*[F.first(f"_t_{n}").alias(f"_t_{n}") for n in names])
+    aggs = [F.sum(v).cast("long").alias(f"_t_{n}") for n, v in values.items()]
+    aggs += [F.count(F.lit(1)).cast("long").alias(f"_t_{n}") for n in counts]
+    tot = d.groupBy("_blk").agg(*aggs)
     w_b = Window.orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
     tot = tot.select("_blk", *[F.coalesce(F.sum(f"_t_{n}").over(w_b), F.lit(0)).cast("long").alias(f"_o_{n}")
                                for n in names])
-    out = local.join(tot, "_blk")
+    w_run = Window.partitionBy("_blk").orderBy(*order)
+    w_ex = w_run.rowsBetween(Window.unboundedPreceding, -1)
+    run_cols = [F.coalesce(F.sum(v).over(w_ex), F.lit(0)).cast("long").alias(f"_l_{n}") for n, v in values.items()]
+    run_cols += [(F.row_number().over(w_run) - 1).cast("long").alias(f"_l_{n}") for n in counts]
+    local = d.select("*", *run_cols)
+    out = local.join(F.broadcast(tot), "_blk")
     return out.select(*df.columns, *[(F.col(f"_o_{n}") + F.col(f"_l_{n}")).alias(n) for n in names])
 
 
@@ -117,3 +117,20 @@ def dataset_summary(encoded: DataFrame, itemsize: int = 2, lens_col: str = "sent
                        F.sum(n_seq).cast("long").alias("n_sequences"),
                        F.sum(n_tok).cast("long").alias("n_tokens"),
                        (F.sum(n_tok) * itemsize).cast("long").alias("n_bytes"))
+
+
+def global_rank(df: DataFrame, order: list[str], name: str = "rank") -> DataFrame:
+    """Gap-free 0-based rank in ``order`` (which must be a total order)
+    without an un-partitioned window: range-partition and sort, number rows
+    inside each partition, add the partition's offset (one row per
+    partition, broadcast)."""
+    n = df.sparkSession.sparkContext.defaultParallelism
+    ranged = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+              .withColumn("_pid", F.spark_partition_id())
+              .withColumn("_mid", F.monotonically_increasing_id())
+              .persist(StorageLevel.MEMORY_AND_DISK))
+    counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_m0"))
+    w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offs = counts.select("_pid", "_m0", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
+    out = ranged.join(F.broadcast(offs), "_pid")
+    return out.select(*df.columns, (F.col("_off") + F.col("_mid") - F.col("_m0")).cast("long").alias(name))

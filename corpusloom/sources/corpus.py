@@ -9,18 +9,20 @@ global ``line_id`` without a global sort:
 * a small table with one row per split (min id, line count) gives each split
   its exclusive prefix sum in (path, block start) order;
 * that table is joined back. It has one row per input split, i.e. it is
-  bounded by the scan plan, and comes out of a shuffle, so AQE broadcasts it
-  only when its measured size is under the broadcast threshold and falls back
-  to a sort-merge join otherwise.
+  bounded by the scan plan; it is counted first and broadcast only under
+  ``MAX_BROADCAST_SPLITS`` rows, otherwise joined with a shuffle join.
 """
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # Case-insensitive ``.jsonl`` suffix (fixed value of the corpus format).
 JSONL_GLOB = "*.[jJ][sS][oO][nN][lL]"
+# Split tables up to this many rows (about 100 bytes each) are broadcast.
+MAX_BROADCAST_SPLITS = 2_000_000
 
 
 def _hadoop_fs(spark: SparkSession, path: str):
@@ -86,7 +88,13 @@ def with_line_ids(raw: DataFrame) -> DataFrame:
         F.coalesce(F.sum("_n").over(w_file), F.lit(0)).alias("_fline0"),
         (F.dense_rank().over(Window.orderBy("file_path")) - 1).cast("int").alias("file_rank"),
     )
-    j = raw.join(splits, ["file_path", "_block"])
+    # One row per input split: bounded by the scan plan. Persisted and counted
+    # so the broadcast is taken only under a checked size; beyond it the
+    # join falls back to a shuffle join on the split key.
+    splits = splits.persist(StorageLevel.MEMORY_AND_DISK)
+    n_splits = splits.count()
+    right = F.broadcast(splits) if n_splits <= MAX_BROADCAST_SPLITS else splits
+    j = raw.join(right, ["file_path", "_block"])
     local = F.col("_mid") - F.col("_mid0")
     return j.select(
         *[c for c in raw.columns if c not in ("file_path", "_block", "_mid")],
