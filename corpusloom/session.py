@@ -25,6 +25,8 @@ _RUNTIME_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # lets the binidx reader prune sequence ranges (seq_id comparisons)
+    "spark.sql.python.filterPushdown.enabled": "true",
 }
 
 

@@ -152,10 +152,52 @@ class BinIdxReader(DataSourceReader):
         self.multimodal = options.get("multimodal", "false").lower() == "true"
         self.target = int(options.get("bytesPerPartition", str(128 << 20)))
         self.max_rows = int(options.get("rowsPerPartition", str(1 << 22)))
+        self.seq_lo, self.seq_hi = 0, None  # pushed-down seq_id bounds [lo, hi)
+
+    def pushFilters(self, filters):
+        """J4 pushdown: comparisons of ``seq_id`` with a constant prune the
+        input partitions and trim their ranges; other filters stay in Spark."""
+        from pyspark.sql.datasource import (EqualTo, GreaterThan, GreaterThanOrEqual, LessThan,
+                                            LessThanOrEqual)
+        for f in filters:
+            col = getattr(f, "attribute", None)
+            if self.table != "sequences" or col != ("seq_id",) or not isinstance(getattr(f, "value", None), int):
+                yield f
+                continue
+            v = f.value
+            if isinstance(f, GreaterThan):
+                self.seq_lo = max(self.seq_lo, v + 1)
+            elif isinstance(f, GreaterThanOrEqual):
+                self.seq_lo = max(self.seq_lo, v)
+            elif isinstance(f, LessThan):
+                self.seq_hi = v if self.seq_hi is None else min(self.seq_hi, v)
+            elif isinstance(f, LessThanOrEqual):
+                self.seq_hi = v + 1 if self.seq_hi is None else min(self.seq_hi, v + 1)
+            elif isinstance(f, EqualTo):
+                self.seq_lo = max(self.seq_lo, v)
+                self.seq_hi = v + 1 if self.seq_hi is None else min(self.seq_hi, v + 1)
+            else:
+                yield f
+
+    def _prune(self, parts):
+        if self.table != "sequences" or (self.seq_lo == 0 and self.seq_hi is None):
+            return parts
+        out = []
+        hi_b = self.seq_hi if self.seq_hi is not None else float("inf")
+        for p in parts:
+            lo = max(p.lo, self.seq_lo - p.seq_base)
+            hi = min(p.hi, hi_b - p.seq_base)
+            if hi > lo:
+                out.append(_Range(p.prefix, p.dtype, int(lo), int(hi), p.seq_base, p.doc_base,
+                                  p.n_seq, p.n_doc_idx, p.bin_size, p.tag))
+        return out or [_Range("", "int32", 0, 0, 0, 0, 0, 0, 0)]
 
     def partitions(self):
         if self.options.get("ranges"):
-            return self._range_partitions(self.options["ranges"])
+            return self._prune(self._range_partitions(self.options["ranges"]))
+        return self._prune(self._file_partitions())
+
+    def _file_partitions(self):
         parts = []
         seq_base = doc_base = 0
         dtype0 = None
@@ -401,6 +443,8 @@ class BinIdxDataSource(DataSource):
 
 
 def register(spark) -> None:
+    from corpusloom.session import prepare_session
+    prepare_session(spark)
     spark.dataSource.register(BinIdxDataSource)
 
 
