@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from corpusloom.sources.binidx import (HEADER_SIZE, MAGIC, VERSION, _index_arrays, list_prefixes,
                                        read_binidx, read_header)
-from corpusloom.operators.index import DTYPE_CODES
+from corpusloom.operators.index import DTYPE_CODES, DTYPE_SIZES
 
 
 def concat_datasets(spark: SparkSession, prefixes: list[str], **kw) -> DataFrame:
@@ -33,46 +33,91 @@ def concat_datasets(spark: SparkSession, prefixes: list[str], **kw) -> DataFrame
 
 def merge_binidx(spark: SparkSession, prefixes: list[str], out_prefix: str, multimodal: bool = False,
                  seqs_per_task: int = 1 << 22, delete_parts: bool = False) -> dict:
-    """SN2: merge the datasets into ``out_prefix`` (``.bin`` + ``.idx``)."""
+    """SN2: merge the datasets into ``out_prefix`` (``.bin`` + ``.idx``),
+    keeping their document boundaries (re-based)."""
     srcs = [p for x in prefixes for p in list_prefixes(x)]
     headers = [read_header(p) for p in srcs]
-    dtypes = {h.dtype for h in headers}
-    if len(dtypes) > 1:
-        raise ValueError(f"cannot merge datasets of different dtypes: {sorted(dtypes)}")
-    dtype = dtypes.pop() if dtypes else "uint16"
-    S = sum(h.n_seq for h in headers)
-    D = 1 + sum(h.n_doc_idx - 1 for h in headers)
-    total_bin = sum(h.bin_size for h in headers)
-    tag = uuid.uuid4().hex[:8]
-    tmp_bin, tmp_idx = f"{out_prefix}.bin.{tag}", f"{out_prefix}.idx.{tag}"
-    idx_size = HEADER_SIZE + 12 * S + 8 * D + (S if multimodal else 0)
-    os.makedirs(os.path.dirname(out_prefix) or ".", exist_ok=True)
-    with open(tmp_bin, "wb") as f:
-        f.truncate(total_bin)
-    with open(tmp_idx, "wb") as f:
-        f.truncate(idx_size)
-        f.write(MAGIC + struct.pack("<Q", VERSION) + struct.pack("<B", DTYPE_CODES[dtype])
-                + struct.pack("<QQ", S, D) )
-        f.seek(HEADER_SIZE + 12 * S)
-        f.write(struct.pack("<q", 0))
-
-    plan = []
-    seq_base = doc_base = byte_base = 0
+    pieces = []
     for h in headers:
         n_tasks = max(1, -(-h.n_seq // seqs_per_task))
-        n_docs = h.n_doc_idx - 1
         for k in range(n_tasks):
-            lo, hi = h.n_seq * k // n_tasks, h.n_seq * (k + 1) // n_tasks
-            dlo, dhi = 1 + n_docs * k // n_tasks, 1 + n_docs * (k + 1) // n_tasks
-            plan.append((h.prefix, h.dtype, h.n_seq, h.n_doc_idx, lo, hi, dlo, dhi,
-                         seq_base, doc_base, byte_base))
-        seq_base += h.n_seq
-        doc_base += n_docs
-        byte_base += h.bin_size
-    schema = ("prefix string, dtype string, n_seq long, n_doc_idx long, lo long, hi long, dlo long, "
-              "dhi long, seq_base long, doc_base long, byte_base long")
-    plan_df = spark.createDataFrame(plan, schema)
-    plan_df = plan_df.repartition(max(1, len(plan)))
+            pieces.append((h.prefix, h.n_seq * k // n_tasks, h.n_seq * (k + 1) // n_tasks))
+    info = gather_binidx(spark, {out_prefix: pieces}, documents="keep", multimodal=multimodal,
+                         headers={h.prefix: h for h in headers})[out_prefix]
+    if delete_parts:
+        for p in srcs:
+            for ext in (".bin", ".idx"):
+                if os.path.exists(p + ext):
+                    os.remove(p + ext)
+    return info
+
+
+def gather_binidx(spark: SparkSession, targets: dict[str, list[tuple[str, int, int]]],
+                  documents: str = "keep", multimodal: bool = False, headers: dict | None = None) -> dict:
+    """Write every target dataset as the concatenation of its pieces
+    ``(source prefix, first sequence, end sequence)``, in the given order.
+
+    ``documents="keep"``: pieces are whole datasets (or consecutive ranges
+    that together cover whole datasets) and their document boundaries are
+    re-based. ``documents="sequence"``: every sequence becomes its own
+    document (document index 0..S), as the re-sharder writes.
+
+    The driver reads headers and lays out every piece's offsets; one Spark
+    task per piece copies its byte range and writes its slices of the
+    index with ``os.pwrite``. No data is shuffled.
+    """
+    headers = dict(headers or {})
+    for pieces in targets.values():
+        for p, _, _ in pieces:
+            if p not in headers:
+                headers[p] = read_header(p)
+    dtypes = {h.dtype for h in headers.values()}
+    if len(dtypes) > 1:
+        raise ValueError(f"cannot combine datasets of different dtypes: {sorted(dtypes)} (Q18)")
+    dtype = dtypes.pop() if dtypes else "uint16"
+    item = DTYPE_SIZES[dtype]
+    plan, layout = [], {}
+    for out_prefix, pieces in targets.items():
+        S = D = 0
+        seq_base = byte_base = doc_base = 0
+        rows = []
+        for prefix, lo, hi in pieces:
+            h = headers[prefix]
+            rows.append([prefix, h.dtype, h.n_seq, h.n_doc_idx, lo, hi, seq_base, byte_base, doc_base])
+            seq_base += hi - lo
+            if documents == "keep":
+                # doc entries of this piece: documents ending inside (lo, hi]
+                doc_base += _docs_ending_in(prefix, h, lo, hi)
+        S = seq_base
+        D = 1 + (S if documents == "sequence" else doc_base)
+        for r in rows:
+            plan.append((out_prefix, *r, S, D))
+        layout[out_prefix] = (S, D)
+    # byte bases need the pieces' byte sizes: from the pointer of the first
+    # sequence of each piece (read on the driver: 16 bytes per piece)
+    byte_sizes = {}
+    for out_prefix, pieces in targets.items():
+        base = 0
+        for prefix, lo, hi in pieces:
+            byte_sizes[(out_prefix, prefix, lo)] = base
+            base += _piece_bytes(prefix, headers[prefix], lo, hi)
+        layout[out_prefix] = (*layout[out_prefix], base)
+    plan = [(o, p, dt, ns, nd, lo, hi, sb, byte_sizes[(o, p, lo)], db, S, D)
+            for (o, p, dt, ns, nd, lo, hi, sb, _bb, db, S, D) in plan]
+    tag = uuid.uuid4().hex[:8]
+    for out_prefix, (S, D, total_bin) in layout.items():
+        os.makedirs(os.path.dirname(out_prefix) or ".", exist_ok=True)
+        with open(f"{out_prefix}.bin.{tag}", "wb") as f:
+            f.truncate(total_bin)
+        with open(f"{out_prefix}.idx.{tag}", "wb") as f:
+            f.truncate(HEADER_SIZE + 12 * S + 8 * D + (S if multimodal else 0))
+            f.write(MAGIC + struct.pack("<Q", VERSION) + struct.pack("<B", DTYPE_CODES[dtype])
+                    + struct.pack("<QQ", S, D))
+            f.seek(HEADER_SIZE + 12 * S)
+            f.write(struct.pack("<q", 0))
+    schema = ("out string, prefix string, dtype string, n_seq long, n_doc_idx long, lo long, hi long, "
+              "seq_base long, byte_base long, doc_base long, S long, D long")
+    plan_df = spark.createDataFrame(plan, schema).repartition(max(1, len(plan)))
 
     def copy(batches):
         from corpusloom.sources.binidx import Header
@@ -81,45 +126,69 @@ def merge_binidx(spark: SparkSession, prefixes: list[str], out_prefix: str, mult
             for r in pdf.itertuples(index=False):
                 h = Header(r.prefix, r.dtype, r.n_seq, r.n_doc_idx, -1)
                 lengths, pointers, doc_idx, modes = _index_arrays(r.prefix, h, multimodal)
-                fi = os.open(tmp_idx, os.O_WRONLY)
-                fb = os.open(tmp_bin, os.O_WRONLY)
+                S, D = r.S, r.D
+                fi = os.open(f"{r.out}.idx.{tag}", os.O_WRONLY)
+                fb = os.open(f"{r.out}.bin.{tag}", os.O_WRONLY)
                 try:
                     if r.hi > r.lo:
-                        os.pwrite(fi, np.asarray(lengths[r.lo:r.hi], "<i4").tobytes(),
-                                  HEADER_SIZE + 4 * (r.seq_base + r.lo))
-                        ptr = np.asarray(pointers[r.lo:r.hi], "<i8") + r.byte_base
-                        os.pwrite(fi, ptr.tobytes(), HEADER_SIZE + 4 * S + 8 * (r.seq_base + r.lo))
+                        lens = np.asarray(lengths[r.lo:r.hi], "<i4")
+                        os.pwrite(fi, lens.tobytes(), HEADER_SIZE + 4 * r.seq_base)
+                        start = int(pointers[r.lo])
+                        ptr = np.asarray(pointers[r.lo:r.hi], "<i8") - start + r.byte_base
+                        os.pwrite(fi, ptr.tobytes(), HEADER_SIZE + 4 * S + 8 * r.seq_base)
                         if multimodal:
                             os.pwrite(fi, np.asarray(modes[r.lo:r.hi], "i1").tobytes(),
-                                      HEADER_SIZE + 12 * S + 8 * D + r.seq_base + r.lo)
-                        item = h.itemsize
-                        start = int(pointers[r.lo])
-                        end = int(pointers[r.hi - 1]) + int(lengths[r.hi - 1]) * item
+                                      HEADER_SIZE + 12 * S + 8 * D + r.seq_base)
+                        end = int(pointers[r.hi - 1]) + int(lengths[r.hi - 1]) * h.itemsize
                         with open(r.prefix + ".bin", "rb") as src:
                             src.seek(start)
                             pos, step = start, 64 << 20
                             while pos < end:
                                 buf = src.read(min(step, end - pos))
-                                os.pwrite(fb, buf, r.byte_base + pos)
+                                os.pwrite(fb, buf, r.byte_base + pos - start)
                                 pos += len(buf)
-                    if r.dhi > r.dlo:
-                        ent = np.asarray(doc_idx[r.dlo:r.dhi], "<i8") + r.seq_base
-                        os.pwrite(fi, ent.tobytes(), HEADER_SIZE + 12 * S + 8 * (r.doc_base + r.dlo))
+                    if documents == "sequence":
+                        ent = np.arange(r.seq_base + 1, r.seq_base + (r.hi - r.lo) + 1, dtype="<i8")
+                        os.pwrite(fi, ent.tobytes(), HEADER_SIZE + 12 * S + 8 * (1 + r.seq_base))
+                    else:
+                        d = np.asarray(doc_idx, dtype=np.int64)
+                        sel = d[1:][(d[1:] > r.lo) & (d[1:] <= r.hi)] if r.hi > r.lo else d[1:][:0]
+                        if r.lo == 0:  # empty documents at the start of the source
+                            sel = np.concatenate((d[1:][d[1:] == 0], sel))
+                        ent = (sel - r.lo + r.seq_base).astype("<i8")
+                        os.pwrite(fi, ent.tobytes(), HEADER_SIZE + 12 * S + 8 * (1 + r.doc_base))
                 finally:
                     os.close(fi)
                     os.close(fb)
-                done.append((r.prefix, int(r.lo), int(r.hi - r.lo)))
-            yield pd.DataFrame(done, columns=["prefix", "lo", "n"])
-
-    copied = plan_df.mapInPandas(copy, "prefix string, lo long, n long").agg({"n": "sum"}).collect()
-    n_copied = copied[0][0] or 0
-    if n_copied != S:
-        raise RuntimeError(f"merge copied {n_copied} of {S} sequences")
-    os.replace(tmp_bin, out_prefix + ".bin")
-    os.replace(tmp_idx, out_prefix + ".idx")
-    if delete_parts:
-        for p in srcs:
-            for ext in (".bin", ".idx"):
-                if os.path.exists(p + ext):
-                    os.remove(p + ext)
-    return {"sequences": S, "documents": D - 1, "bytes": total_bin, "dtype": dtype}
+                done.append((r.out, int(r.hi - r.lo)))
+            yield pd.DataFrame(done, columns=["out", "n"])
+
+    copied = {r[0]: r[1] for r in plan_df.mapInPandas(copy, "out string, n long").groupBy("out")
+              .agg({"n": "sum"}).collect()}
+    result = {}
+    for out_prefix, (S, D, total_bin) in layout.items():
+        if copied.get(out_prefix, 0) != S:
+            raise RuntimeError(f"{out_prefix}: copied {copied.get(out_prefix, 0)} of {S} sequences")
+        os.replace(f"{out_prefix}.bin.{tag}", out_prefix + ".bin")
+        os.replace(f"{out_prefix}.idx.{tag}", out_prefix + ".idx")
+        result[out_prefix] = {"sequences": S, "documents": D - 1, "bytes": total_bin, "dtype": dtype}
+    return result
+
+
+def _docs_ending_in(prefix: str, h, lo: int, hi: int) -> int:
+    """Document-index entries (after the leading 0) that a piece contributes:
+    documents whose end falls in (lo, hi], plus leading empty documents when
+    the piece starts the source."""
+    _, _, doc_idx, _ = _index_arrays(prefix, h, False)
+    d = np.asarray(doc_idx[1:], dtype=np.int64)
+    n = int(np.searchsorted(d, hi, side="right") - np.searchsorted(d, lo, side="right"))
+    if lo == 0:
+        n += int(np.searchsorted(d, 0, side="right"))
+    return n
+
+
+def _piece_bytes(prefix: str, h, lo: int, hi: int) -> int:
+    if hi <= lo:
+        return 0
+    lengths, pointers, _, _ = _index_arrays(prefix, h, False)
+    return int(pointers[hi - 1]) + int(lengths[hi - 1]) * h.itemsize - int(pointers[lo])

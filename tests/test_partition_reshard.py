@@ -40,7 +40,7 @@ def test_chunking_greedy_rule(spark, tmp):
     lens = [3, 1, 4, 1, 5, 9, 2, 6, 5, 3]
     prefix = _lengths_dataset(spark, tmp, lens)
     target = 10  # bytes; uint16 items
-    ch = file_chunks(prefix, target, piece=3)
+    ch = file_chunks(prefix, target)
     # brute force of the rule
     ptr = [0]
     for x in lens:
@@ -77,3 +77,29 @@ def test_parse_blend():
     assert parse_blend(["a", "b", "c"]) == (["a", "b", "c"], None)
     assert parse_blend(["30", " a ", "70", "b"]) == (["a", "b"], [30.0, 70.0])
     assert parse_blend(["x", "a", "70", "b"]) == (["x", "a", "70", "b"], None)
+
+
+def test_reshard_resume_and_keep_documents(spark, tmp):
+    import glob
+    from corpusloom.operators.reshard import reshard
+    from corpusloom.sources.binidx import read_binidx
+    df = spark.createDataFrame([(0, [i % 50 + 1] * (3 + i % 7), [1 + i % 3, 2 + i % 4]) for i in range(200)],
+                               "part long, token_ids array<int>, sentence_lens array<int>")
+    df = df.withColumn("sentence_lens", F.array(F.lit(1), F.size("token_ids") - 1))
+    src = os.path.join(tmp, "src")
+    write_binidx(df.repartition(1), src)
+    outs = [os.path.join(tmp, "o1"), os.path.join(tmp, "o2")]
+    a = reshard(spark, [src], outs, 3, target=200)
+    first = sorted(glob.glob(os.path.join(tmp, "o*", "*", "*_final.idx")))
+    assert len(first) == 3
+    r = read_binidx(spark, ",".join(p[:-4] for p in first))
+    assert r.count() == 400 and r.where(F.col("sent_pos") != 0).count() == 0
+    # second run: every chunk is in a manifest, nothing is rewritten
+    a2 = reshard(spark, [src], outs, 3, target=200)
+    assert a2.count() == 0
+    # keep_documents: documents stay whole
+    k = os.path.join(tmp, "k")
+    reshard(spark, [src], [k], 2, target=200, keep_documents=True)
+    kp = sorted(glob.glob(os.path.join(k, "*", "*_final.idx")))
+    docs = read_binidx(spark, ",".join(p[:-4] for p in kp), table="documents")
+    assert docs.count() == 200
