@@ -21,6 +21,9 @@ GLM_ROLES = ["system", "user", "assistant", "observation"]
 GLM_SPECIAL_TOKENS = ["[MASK]", "[gMASK]", "[sMASK]", "sop", "eop",
                       "<|system|>", "<|user|>", "<|assistant|>", "<|observation|>"]
 ASSISTANT_TAG = "<|assistant|>"
+# Placeholder the GLM response parser rewrites in the returned text only.
+TRAINING_TIME_PLACEHOLDER = "[[训练时间]]"
+TRAINING_TIME_VALUE = "2023年"
 
 
 def collect_turns(convs: DataFrame, conv_col: str = "conv_id", extra: list[str] = ()) -> DataFrame:
@@ -144,4 +147,7 @@ def parse_response(df: DataFrame, output_col: str = "output", keep: list[str] =
     py_strip = f"^{PY_WS}+|{PY_WS}+$"
     blank = F.length(F.regexp_replace(meta, py_strip, "")) == 0
     content = F.when(blank, F.regexp_replace(content, py_strip, "")).otherwise(content)
-    return pieces.select(*keep, "pos", meta.alias("metadata"), content.alias("content"))
+    # the text handed back to the caller (history keeps the raw content)
+    returned = F.when(blank, F.replace(content, F.lit(TRAINING_TIME_PLACEHOLDER), F.lit(TRAINING_TIME_VALUE)))
+    return pieces.select(*keep, "pos", meta.alias("metadata"), content.alias("content"),
+                         returned.alias("returned"))
