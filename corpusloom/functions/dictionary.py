@@ -1,26 +1,72 @@
 """Dictionary strategy for tokenizers with a word boundary.
 
-pieces = posexplode(pre-tokenize(text)) → distinct pieces → encode each once
-(``mapInArrow``) → join back on the piece → per document, pieces ordered by
-position and flattened. The dictionary side has one row per distinct piece;
-AQE broadcasts it when its measured size is small and otherwise keeps a
-sort-merge join whose hot keys (" the") it splits (skew join). The regroup
-collects one document's pieces, a group bounded by the document itself.
+distinct pieces of the pre-tokenized text → encode each once
+(``mapInArrow``) → apply to every document. Under a checked size the encoded
+dictionary is broadcast and documents are encoded by lookups in one narrow
+stage. Beyond it the pieces are joined back (a sort-merge join whose hot keys
+such as " the" AQE splits) and regrouped per document, ordered by position; a
+regroup collects one document's pieces, a group bounded by the document.
 """
 
 from __future__ import annotations
 
+import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpusloom.functions.base import Tokenizer, encode_column
 
 
 def encode_by_dictionary(df: DataFrame, id_col: str, text_col: str, piece_encoder: Tokenizer,
-                         pretokenize, append_eod: bool = False) -> DataFrame:
-    """``(id, token_ids)`` for every row of ``df`` (empty text → ``[]``)."""
-    pieces = df.select(id_col, F.posexplode_outer(pretokenize(F.col(text_col))).alias("pos", "piece"))
-    distinct = pieces.select("piece").where(F.col("piece").isNotNull()).distinct()
+                         pretokenize, append_eod: bool = False,
+                         broadcast_limit: int = 2_000_000) -> DataFrame:
+    """``(id, token_ids)`` for every row of ``df`` (empty text → ``[]``).
+
+    The distinct pieces (deduplicated map-side before the shuffle) are
+    encoded once. When the dictionary has at most ``broadcast_limit`` pieces
+    (counted first) it is broadcast and every document is encoded by
+    lookups in one narrow stage; otherwise the pieces are joined back
+    (AQE splits hot pieces) and regrouped per document.
+    """
+    pieces_col = pretokenize(F.col(text_col))
+    distinct = (df.select(F.explode(pieces_col).alias("piece")).distinct()
+                .persist(StorageLevel.MEMORY_AND_DISK))
+    n = distinct.count()
+    eod = piece_encoder.eod if append_eod else None
+    # encoding is the expensive Python step: spread the (small) dictionary
+    # over all cores; AQE would otherwise coalesce it into one task
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    distinct = distinct.repartition(max(cores, n // 200_000 + 1))
+    if n <= broadcast_limit:
+        dictionary = encode_column(distinct.select("piece", F.col("piece").alias("_txt")),
+                                   piece_encoder, "_txt", "piece_ids", keep=["piece"])
+        # bounded by broadcast_limit (checked above); Arrow transfer, and all
+        # partitions encoded in parallel by one job
+        arrow = dictionary.toArrow()
+        table = dict(zip(arrow.column("piece").to_pylist(), arrow.column("piece_ids").to_pylist()))
+        distinct.unpersist()
+        bc = df.sparkSession.sparkContext.broadcast(table)
+        out_schema = T.StructType([df.schema[id_col], T.StructField("token_ids", T.ArrayType(T.IntegerType()), False)])
+
+        def run(batches):
+            d = bc.value
+            for b in batches:
+                rows = []
+                for ps in b.column("_pieces").to_pylist():
+                    ids = []
+                    for p in ps or ():
+                        ids.extend(d[p])
+                    if eod is not None and ids:
+                        ids.append(eod)
+                    rows.append(ids)
+                yield pa.RecordBatch.from_arrays([b.column(id_col), pa.array(rows, pa.list_(pa.int32()))],
+                                                 names=[id_col, "token_ids"])
+
+        return df.select(id_col, pieces_col.alias("_pieces")).mapInArrow(run, out_schema)
+
+    pieces = df.select(id_col, F.posexplode_outer(pieces_col).alias("pos", "piece"))
     dictionary = encode_column(distinct.select("piece", F.col("piece").alias("_txt")),
                                piece_encoder, "_txt", "piece_ids", keep=["piece"])
     joined = pieces.join(dictionary, "piece", "left")
@@ -28,8 +74,7 @@ def encode_by_dictionary(df: DataFrame, id_col: str, text_col: str, piece_encode
         F.array_sort(F.collect_list(F.struct("pos", "piece_ids"))).alias("_p"))
     ids: Column = F.flatten(F.transform(
         F.filter("_p", lambda s: s["piece_ids"].isNotNull()), lambda s: s["piece_ids"]))
-    if append_eod:
-        eod = piece_encoder.eod
+    if eod is not None:
         ids = F.when(F.size(ids) > 0, F.concat(ids, F.array(F.lit(eod)))).otherwise(ids)
     return grouped.select(id_col, ids.alias("token_ids"))
 

@@ -64,3 +64,15 @@ def test_dtype_rules():
     assert index.optimal_dtype(65534) == "uint16"
     assert index.optimal_dtype(65535) == "int32"
     assert index.padded_vocab_size(50257, 128, 1) == 50304
+
+
+def test_dictionary_strategy_paths_agree(spark):
+    from corpusloom.functions.dictionary import encode_by_dictionary
+    from corpusloom.operators.text import whitespace_tokenize
+    docs = spark.createDataFrame([(0, "a bb a"), (1, ""), (2, "ccc  bb"), (3, "é a")], "doc_id long, text string")
+    tok = ByteTokenizer(eod=None)
+    b = {r.doc_id: r.token_ids for r in encode_by_dictionary(docs, "doc_id", "text", tok, whitespace_tokenize).collect()}
+    j = {r.doc_id: r.token_ids for r in
+         encode_by_dictionary(docs, "doc_id", "text", tok, whitespace_tokenize, broadcast_limit=0).collect()}
+    assert b == j
+    assert b[0] == [98, 99, 99, 98] and b[1] == [] and b[3] == [196, 170, 98]
