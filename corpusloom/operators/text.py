@@ -52,20 +52,35 @@ def _strip_ws(s: Column) -> Column:
     return F.regexp_replace(s, f"^{WS}+|{WS}+$", "")
 
 
-def split_sentences(text: Column, keep_newlines: bool = False) -> Column:
+# Private-use character that stands in for the dot of a known abbreviation
+# while sentences are cut.
+_ABBR_MARK = "\uE000"
+
+
+def split_sentences(text: Column, keep_newlines: bool = False,
+                    abbreviations: list[str] | None = None) -> Column:
     """Sentences of one text (no empty sentence). With ``keep_newlines``
-    the whitespace after a sentence end stays with that sentence."""
+    the whitespace after a sentence end stays with that sentence. A dot that
+    ends one of ``abbreviations`` (a per-language parameter, e.g. ``["Dr",
+    "e.g"]``) does not end a sentence."""
+    if abbreviations:
+        import re
+        alt = "|".join(re.escape(a) for a in sorted(abbreviations, key=len, reverse=True))
+        text = F.regexp_replace(text, f"(?<![\\p{{L}}\\p{{N}}])({alt})\\.", "$1" + _ABBR_MARK)
     pieces = F.regexp_extract_all(text, F.lit(SENTENCE_PATTERN), 0)
+    if abbreviations:
+        pieces = F.transform(pieces, lambda x: F.replace(x, F.lit(_ABBR_MARK), F.lit(".")))
     if not keep_newlines:
         pieces = F.transform(pieces, _strip_ws)
     return F.filter(pieces, lambda s: F.length(_strip_ws(s)) > 0)
 
 
-def split_values(values: Column, keep_newlines: bool = False, n: int = MAX_SLICE_CHARS) -> Column:
+def split_values(values: Column, keep_newlines: bool = False, n: int = MAX_SLICE_CHARS,
+                 abbreviations: list[str] | None = None) -> Column:
     """Sentence mode over a key's list of texts: slice each text (P5), split
     each slice (P6), flatten. A missing / null / empty value gives ``[]``."""
     per_text = F.transform(values, lambda t: F.flatten(
-        F.transform(slice_text(t, n), lambda s: split_sentences(s, keep_newlines))))
+        F.transform(slice_text(t, n), lambda s: split_sentences(s, keep_newlines, abbreviations))))
     return F.flatten(per_text)
 
 

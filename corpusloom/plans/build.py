@@ -66,7 +66,8 @@ def prepared_records(spark: SparkSession, spec: CorpusSpec) -> tuple[DataFrame,
     recs = parted.select("line_id", part.cast("long").alias("part"), order.cast("long").alias("ord"),
                          F.expr(f"stack({len(keys)}, {items}) as (key_idx, sentences)"))
     if spec.split_sentences:
-        recs = recs.withColumn("sentences", text.split_values(F.col("sentences"), spec.keep_newlines))
+        recs = recs.withColumn("sentences", text.split_values(F.col("sentences"), spec.keep_newlines,
+                                                              abbreviations=spec.abbreviations or None))
     return cls, recs
 
 
@@ -139,6 +140,8 @@ def write_split_sentences(spark: SparkSession, spec: CorpusSpec, out: str) -> No
     keys = list(spec.json_keys)
     cls = parse.classify(read_lines(spark, spec.input), keys)
     ok = cls.where(F.col("reason").isNull())
-    js = F.to_json(F.struct(*[text.split_values(F.col(k), spec.keep_newlines).alias(k) for k in keys]))
+    js = F.to_json(F.struct(*[text.split_values(F.col(k), spec.keep_newlines,
+                                                abbreviations=spec.abbreviations or None).alias(k)
+                              for k in keys]))
     (ok.select("line_id", js.alias("value")).repartitionByRange("line_id")
      .sortWithinPartitions("line_id").select("value").write.mode("overwrite").text(out))

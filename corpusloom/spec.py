@@ -83,6 +83,7 @@ class CorpusSpec:
     input_format: str = "jsonl"        # or "parquet" (S9)
     split_sentences: bool = False
     keep_newlines: bool = False
+    abbreviations: list[str] = field(default_factory=list)  # P6 rule parameter for the corpus language
     append_eod: bool = True
     partitions: int = 1
     keep_sequential_samples: bool = False

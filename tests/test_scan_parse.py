@@ -111,3 +111,16 @@ def test_multi_key_fan_out(spark):
     cls = parse.classify(df, ["a", "b", "c"])
     recs = {r.key: r.sentences for r in parse.records(cls, ["a", "b", "c"]).collect()}
     assert recs == {"a": ["x"], "b": ["y", "z"], "c": [""]}
+
+
+def test_sentence_rule_and_abbreviations(spark):
+    from corpusloom.operators.text import split_sentences, split_values
+    df = spark.createDataFrame([("Dr. Smith came. Pi is 3.14! Really?  Yes\\nno",)], "t string")
+    plain = df.select(split_sentences(F.col("t")).alias("s")).first().s
+    assert plain == ["Dr.", "Smith came.", "Pi is 3.14!", "Really?", "Yes\\nno"]
+    ab = df.select(split_sentences(F.col("t"), abbreviations=["Dr"]).alias("s")).first().s
+    assert ab[0] == "Dr. Smith came."
+    kept = df.select(split_sentences(F.col("t"), keep_newlines=True).alias("s")).first().s
+    assert "".join(kept) == "Dr. Smith came. Pi is 3.14! Really?  Yes\\nno"
+    empty = spark.createDataFrame([([""],)], "v array<string>").select(split_values(F.col("v")).alias("s")).first().s
+    assert empty == []
