@@ -1232,3 +1232,22 @@ QUERIES.update({
     "parquet_corpus": (q_parquet_corpus, SQL_PARQUET_CORPUS),
     "per_file_build": (q_per_file_build, SQL_PER_FILE_BUILD),
 })
+
+
+def q_sp_roundtrip(spark, sf_dir):
+    """T5 (Llama-2 variant: BOS first) through the installed SentencePiece
+    package, one model per Python worker, batch-encoded per Arrow batch."""
+    from corpusloom.functions.adapters import SentencePieceTokenizer
+    from corpusloom.plans.vocab_fixtures import sentencepiece_model
+    docs = _docs(spark, sf_dir)
+    tok = SentencePieceTokenizer(sentencepiece_model(spark, docs), variant="llama2")
+    enc = encode_documents(docs.select("doc_id", F.array("text").alias("sentences")), tok,
+                           keep=["doc_id"], append_eod=False)
+    dec = decode_column(enc.select("doc_id", "token_ids", F.col("token_ids")[0].alias("first")), tok,
+                        "token_ids", "text")
+    return dec.select(F.col("doc_id").cast("long"), "text", (F.col("first") == F.lit(tok.bos)).alias("bos_first"))
+
+
+SQL_SP_ROUNDTRIP = "SELECT doc_id, text, true AS bos_first FROM documents"
+
+QUERIES["sp_roundtrip"] = (q_sp_roundtrip, SQL_SP_ROUNDTRIP)

@@ -111,3 +111,20 @@ def hf_tokenizer_file(spark: SparkSession, vocab_json: str, merges_txt: str) ->
     path = os.path.join(scratch_dir(spark, "hf-tokenizer"), "tokenizer.json")
     tok.save(path)
     return path
+
+
+def sentencepiece_model(spark: SparkSession, docs: DataFrame, k: int = 5000, vocab_size: int = 1000) -> str:
+    """A byte-fallback BPE SentencePiece model trained (with the installed
+    ``sentencepiece`` package) on the ``k`` most frequent words of the corpus,
+    fifty per line so word boundaries are seen."""
+    import sentencepiece as spm
+    words = docs.select(F.explode(text.whitespace_tokenize(F.col("text"))).alias("w"))
+    top = [r.w for r in words.groupBy("w").agg(F.count(F.lit(1)).alias("n"))
+           .orderBy(F.desc("n"), "w").limit(k).collect()]
+    lines = [" ".join(top[i:i + 50]) for i in range(0, len(top), 50)]
+    prefix = os.path.join(scratch_dir(spark, "sentencepiece"), "model")
+    spm.SentencePieceTrainer.train(
+        sentence_iterator=iter(lines), model_prefix=prefix, vocab_size=vocab_size, model_type="bpe",
+        byte_fallback=True, normalization_rule_name="identity", add_dummy_prefix=False,
+        remove_extra_whitespaces=False, character_coverage=1.0, hard_vocab_limit=False, minloglevel=2)
+    return prefix + ".model"
