@@ -113,10 +113,15 @@ def q_corpus_scan(spark, sf_dir):
         *_long("line_id", "file_rank", "line_no"), F.element_at("text", 1).alias("text"))
 
 
-SQL_CORPUS_SCAN = """
-SELECT (row_number() OVER (ORDER BY lang, doc_id) - 1)::BIGINT AS line_id,
-       (dense_rank() OVER (ORDER BY lang) - 1)::BIGINT AS file_rank,
-       (row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1)::BIGINT AS line_no,
+# Line order of the documents JSONL fixture: sorted path (lang=xx/bucket=k,
+# compared as text), then doc_id.
+_FILE = "lang, CAST(doc_id // 256 AS VARCHAR)"
+_LINE_ORDER = f"{_FILE}, doc_id"
+
+SQL_CORPUS_SCAN = f"""
+SELECT (row_number() OVER (ORDER BY {_LINE_ORDER}) - 1)::BIGINT AS line_id,
+       (dense_rank() OVER (ORDER BY {_FILE}) - 1)::BIGINT AS file_rank,
+       (row_number() OVER (PARTITION BY {_FILE} ORDER BY doc_id) - 1)::BIGINT AS line_no,
        text
 FROM documents
 """
@@ -414,7 +419,7 @@ def q_round_robin(spark, sf_dir):
 
 SQL_ROUND_ROBIN = f"""
 SELECT line_id, line_id % {N_PARTS} AS part_id, line_id // {N_PARTS} AS part_pos
-FROM (SELECT (row_number() OVER (ORDER BY lang, doc_id) - 1)::BIGINT AS line_id FROM documents)
+FROM (SELECT (row_number() OVER (ORDER BY {_LINE_ORDER}) - 1)::BIGINT AS line_id FROM documents)
 """
 
 
@@ -426,7 +431,7 @@ def q_sequential(spark, sf_dir):
 SQL_SEQUENTIAL = f"""
 WITH n AS (SELECT ((count(*) + {N_PARTS} - 1) // {N_PARTS})::BIGINT AS size FROM documents)
 SELECT line_id, line_id // (SELECT size FROM n) AS part_id, line_id % (SELECT size FROM n) AS part_pos
-FROM (SELECT (row_number() OVER (ORDER BY lang, doc_id) - 1)::BIGINT AS line_id FROM documents)
+FROM (SELECT (row_number() OVER (ORDER BY {_LINE_ORDER}) - 1)::BIGINT AS line_id FROM documents)
 """
 
 
@@ -438,7 +443,7 @@ def q_merge_order(spark, sf_dir):
 
 SQL_MERGE_ORDER = f"""
 SELECT line_id, (row_number() OVER (ORDER BY line_id % {N_PARTS}, line_id) - 1)::BIGINT AS merged_id
-FROM (SELECT (row_number() OVER (ORDER BY lang, doc_id) - 1)::BIGINT AS line_id FROM documents)
+FROM (SELECT (row_number() OVER (ORDER BY {_LINE_ORDER}) - 1)::BIGINT AS line_id FROM documents)
 """
 
 
@@ -975,12 +980,13 @@ def q_stream_ingest(spark, sf_dir):
     src = documents_jsonl(spark, sf_dir)
     out = scratch_dir(spark, "stream-out")
     res = ingest_corpus_stream(spark, src, out, keys=["text"])
-    return res.select(F.regexp_extract("file_path", r"(lang=[^/]*)/", 1).alias("dir"),
+    return res.select(F.regexp_extract("file_path", r"(lang=[^/]*/bucket=[^/]*)/", 1).alias("dir"),
                       F.col("line_no").cast("long"), F.element_at("sentences", 1).alias("text"))
 
 
-SQL_STREAM_INGEST = """
-SELECT 'lang=' || lang AS dir, (row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1)::BIGINT AS line_no, text
+SQL_STREAM_INGEST = f"""
+SELECT 'lang=' || lang || '/bucket=' || CAST(doc_id // 256 AS VARCHAR) AS dir,
+       (row_number() OVER (PARTITION BY {_FILE} ORDER BY doc_id) - 1)::BIGINT AS line_no, text
 FROM documents
 """
 
@@ -1010,7 +1016,7 @@ def q_build_corpus(spark, sf_dir):
 
 
 SQL_BUILD_CORPUS = f"""
-WITH d AS (SELECT (row_number() OVER (ORDER BY lang, doc_id) - 1)::BIGINT AS doc_id,
+WITH d AS (SELECT (row_number() OVER (ORDER BY {_LINE_ORDER}) - 1)::BIGINT AS doc_id,
              octet_length(encode(text)) + 1 AS length,
              list_sum({_BYTE_IDS.format(x='text')}) + {EOD} AS tok_sum FROM documents)
 SELECT doc_id AS seq_id, doc_id, length::BIGINT AS length,
@@ -1033,7 +1039,7 @@ def q_build_partitioned(spark, sf_dir):
 
 
 SQL_BUILD_PARTITIONED = f"""
-WITH l AS (SELECT (row_number() OVER (ORDER BY lang, doc_id) - 1)::BIGINT AS line_id, text FROM documents),
+WITH l AS (SELECT (row_number() OVER (ORDER BY {_LINE_ORDER}) - 1)::BIGINT AS line_id, text FROM documents),
 s AS (SELECT line_id, len(list_filter(list_transform(regexp_extract_all(text, '{text.SENTENCE_PATTERN}'),
              lambda x: regexp_replace(x, '^{text.WS}+|{text.WS}+$', '', 'g')), lambda x: length(x) > 0))::BIGINT AS n
       FROM l),
@@ -1214,13 +1220,14 @@ def q_per_file_build(spark, sf_dir):
     rows = []
     for key, prefix in sorted(res["files"].items()):
         rows.append(read_binidx(spark, prefix, columns="index").select(
-            F.lit(key.split("/")[0]).alias("dir"), "seq_id", "length"))
+            F.lit("/".join(key.split("/")[:2])).alias("dir"), "seq_id", "length"))
     from functools import reduce
     return reduce(lambda a, b: a.unionByName(b), rows).select("dir", *_long("seq_id", "length"))
 
 
-SQL_PER_FILE_BUILD = """
-SELECT 'lang=' || lang AS dir, (row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1)::BIGINT AS seq_id,
+SQL_PER_FILE_BUILD = f"""
+SELECT 'lang=' || lang || '/bucket=' || CAST(doc_id // 256 AS VARCHAR) AS dir,
+       (row_number() OVER (PARTITION BY {_FILE} ORDER BY doc_id) - 1)::BIGINT AS seq_id,
        (octet_length(encode(text)) + 1)::BIGINT AS length FROM documents
 """
 

@@ -20,15 +20,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+# Fixed value of the corpus fixture: documents per file bucket.
+BUCKET_DOCS = 256
+
+
 def documents_jsonl(spark: SparkSession, sf_dir: str) -> str:
-    """``documents`` as a JSONL corpus: one folder per language
-    (``lang=xx/part-*.txt`` renamed to ``.jsonl``), rows in ``doc_id`` order
-    inside each file. Line order of the corpus = (lang, doc_id)."""
+    """``documents`` as a JSONL corpus in nested folders
+    ``lang=xx/bucket=k/part-*.jsonl`` with ``k = doc_id div 256``: one file per
+    (language, bucket), rows in ``doc_id`` order. Every group holds at most
+    256 documents, so no language becomes a hot partition. Line order of the
+    corpus = sorted path, then ``doc_id``."""
     out = scratch_dir(spark, "documents-jsonl")
-    docs = table(spark, sf_dir, "documents")
-    (docs.select(F.to_json(F.struct("doc_id", "text")).alias("value"), "lang")
-     .repartition("lang").sortWithinPartitions("lang", "doc_id")
-     .write.mode("overwrite").partitionBy("lang").text(out))
+    docs = table(spark, sf_dir, "documents").withColumn("bucket", F.expr(f"doc_id div {BUCKET_DOCS}"))
+    (docs.select(F.to_json(F.struct("doc_id", "text")).alias("value"), "lang", "bucket")
+     .repartition("lang", "bucket").sortWithinPartitions("lang", "bucket", "doc_id")
+     .write.mode("overwrite").partitionBy("lang", "bucket").text(out))
     _rename_to_jsonl(spark, out)
     return out
 
