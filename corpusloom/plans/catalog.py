@@ -27,13 +27,14 @@ from corpusloom.sources.corpus import read_lines
 # Fixed parameters of the registered queries.
 EOD = 65532          # end-of-document id of the byte vocabulary family
 NULL_VOCAB = 1000000  # vocabulary size of the whitespace-integer tokenizer
-N_PARTS = 4          # partitions for R1/R2 and dataset parts
+N_PARTS = 4          # partitions for R1/R2 (the reference's partition count)
 ITEM = 2             # uint16 item size
 SLICE = 500          # slice length for P5 on pages
 PAD_BATCH = 8        # conversations per padding batch
 CONV_MAX = 2048      # ids kept per conversation (O5)
 GLM_BASE = 257       # GLM special ids follow the 256 byte ids (ids 1..256)
 CHUNK_TARGET = 65536  # R5 target bytes in the registered query
+PART_DOCS = 256      # documents per part of the written dataset fixture
 
 BYTES = ByteTokenizer(eod=EOD)
 NL = "chr(10)"
@@ -62,21 +63,21 @@ def _line_sentences(spark, sf_dir) -> DataFrame:
                             BYTES, keep=["doc_id"])
 
 
-def _doc_parts(spark, sf_dir) -> tuple[DataFrame, int]:
-    docs = table(spark, sf_dir, "documents")
-    n = docs.count()
-    size = max(1, -(-n // N_PARTS))
-    return docs, size
+def _parts(df: DataFrame, id_col: str) -> DataFrame:
+    """Rows grouped into parts of PART_DOCS consecutive ids, each written by
+    one task in id order (bounded groups, many parallel writers)."""
+    return (df.withColumn("part", F.expr(f"{id_col} div {PART_DOCS}")).repartition("part")
+            .sortWithinPartitions("part", id_col).select("part", "token_ids", "sentence_lens"))
 
 
 def _written_dataset(spark, sf_dir) -> str:
-    """Sentence-level byte dataset written as N_PARTS binidx parts; part p
-    holds documents ``p*size <= doc_id < (p+1)*size``."""
-    docs, size = _doc_parts(spark, sf_dir)
+    """Sentence-level byte dataset written as binidx parts; part p holds the
+    documents ``p*PART_DOCS <= doc_id < (p+1)*PART_DOCS`` (bounded groups)."""
+    docs = table(spark, sf_dir, "documents")
     enc = encode_documents(docs.select("doc_id", F.split("text", "\n").alias("sentences")),
                            BYTES, keep=["doc_id"])
-    parts = (enc.withColumn("part", F.expr(f"doc_id div {size}"))
-             .repartition(N_PARTS, "part").sortWithinPartitions("part", "doc_id"))
+    parts = (enc.withColumn("part", F.expr(f"doc_id div {PART_DOCS}"))
+             .repartition("part").sortWithinPartitions("part", "doc_id"))
     out = scratch_dir(spark, "bytes-ds")
     write_binidx(parts.select("part", "token_ids", "sentence_lens"), out, dtype="uint16")
     return out
@@ -334,7 +335,7 @@ def _sql_part_ptr() -> str:
     return f"""
 WITH {_SEQ_CTE}, n AS (SELECT count(*) AS n FROM documents)
 SELECT seq_id, doc_id, length,
-  (coalesce(sum(length) OVER (PARTITION BY doc_id // (((SELECT n FROM n) + {N_PARTS} - 1) // {N_PARTS})
+  (coalesce(sum(length) OVER (PARTITION BY doc_id // {PART_DOCS}
      ORDER BY seq_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) * {ITEM})::BIGINT AS ptr
 FROM q
 """
@@ -371,8 +372,7 @@ def q_concat_corpora(spark, sf_dir):
         enc = encode_documents(t.select(F.col(id_col).alias("doc_id"), F.array("text").alias("sentences")),
                                BYTES, keep=["doc_id"])
         out = scratch_dir(spark, f"concat-{name}")
-        write_binidx(enc.repartition(1).sortWithinPartitions("doc_id")
-                     .select(F.lit(0).cast("long").alias("part"), "token_ids", "sentence_lens"), out)
+        write_binidx(_parts(enc, "doc_id"), out)
         outs.append(out)
     from corpusloom.operators.merge import concat_datasets
     r = concat_datasets(spark, outs, columns="index")
@@ -393,8 +393,7 @@ def q_embeddings_roundtrip(spark, sf_dir):
     out = scratch_dir(spark, "embeddings")
     docs = emb.select(F.col("vec_id"), F.col("embedding").alias("token_ids"),
                       F.array(F.size("embedding")).alias("sentence_lens"))
-    write_binidx(docs.repartition(1).sortWithinPartitions("vec_id")
-                 .select(F.lit(0).cast("long").alias("part"), "token_ids", "sentence_lens"), out, dtype="float32")
+    write_binidx(_parts(docs, "vec_id"), out, dtype="float32")
     r = read_binidx(spark, out)
     micro = F.aggregate("tokens", F.lit(0).cast("long"),
                         lambda a, x: a + F.floor(x.cast("double") * 1000000).cast("long"))
@@ -874,10 +873,9 @@ def q_chunks(spark, sf_dir):
 def _sql_chunks(where: str = "") -> str:
     return f"""
 WITH RECURSIVE {_SEQ_CTE},
-n AS (SELECT ((count(*) + {N_PARTS} - 1) // {N_PARTS})::BIGINT AS size FROM documents),
-ps AS (SELECT doc_id // (SELECT size FROM n) AS part,
-         (row_number() OVER (PARTITION BY doc_id // (SELECT size FROM n) ORDER BY seq_id) - 1)::BIGINT AS i, length,
-         (sum(length * {ITEM}) OVER (PARTITION BY doc_id // (SELECT size FROM n) ORDER BY seq_id
+ps AS (SELECT doc_id // {PART_DOCS} AS part,
+         (row_number() OVER (PARTITION BY doc_id // {PART_DOCS} ORDER BY seq_id) - 1)::BIGINT AS i, length,
+         (sum(length * {ITEM}) OVER (PARTITION BY doc_id // {PART_DOCS} ORDER BY seq_id
             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))::BIGINT AS e FROM q),
 tot AS (SELECT part, count(*)::BIGINT AS s, max(e)::BIGINT AS total FROM ps GROUP BY part),
 c(part, start_doc, end_doc, start_byte, end_byte) AS (
@@ -1095,7 +1093,7 @@ def q_dataset_checks(spark, sf_dir):
 
 SQL_DATASET_CHECKS = f"""
 SELECT p AS part, c AS check, true AS ok
-FROM range(0, {N_PARTS}) r(p), (VALUES ('files'), ('header'), ('doc_index_end'), ('bin_size'), ('pointers')) v(c)
+FROM range(0, (SELECT (count(*) + {PART_DOCS} - 1) // {PART_DOCS} FROM documents)) r(p), (VALUES ('files'), ('header'), ('doc_index_end'), ('bin_size'), ('pointers')) v(c)
 """
 
 
