@@ -19,7 +19,7 @@ from corpusloom.functions.byte_level import ByteTokenizer
 from corpusloom.functions.null import null_decode_expr, null_encode_expr
 from corpusloom.operators import chat, index, lookup, parse, partition, text
 from corpusloom.operators.parallel import balance
-from corpusloom.plans.fixtures import documents_jsonl, events_jsonl, table
+from corpusloom.plans.fixtures import BUCKET_DOCS, documents_jsonl, events_jsonl, table
 from corpusloom.session import scratch_dir
 from corpusloom.sources.binidx import read_binidx, write_binidx
 from corpusloom.sources.corpus import read_lines
@@ -116,7 +116,7 @@ def q_corpus_scan(spark, sf_dir):
 
 # Line order of the documents JSONL fixture: sorted path (lang=xx/bucket=k,
 # compared as text), then doc_id.
-_FILE = "lang, CAST(doc_id // 256 AS VARCHAR)"
+_FILE = f"lang, CAST(doc_id // {BUCKET_DOCS} AS VARCHAR)"
 _LINE_ORDER = f"{_FILE}, doc_id"
 
 SQL_CORPUS_SCAN = f"""
@@ -983,7 +983,7 @@ def q_stream_ingest(spark, sf_dir):
 
 
 SQL_STREAM_INGEST = f"""
-SELECT 'lang=' || lang || '/bucket=' || CAST(doc_id // 256 AS VARCHAR) AS dir,
+SELECT 'lang=' || lang || '/bucket=' || CAST(doc_id // {BUCKET_DOCS} AS VARCHAR) AS dir,
        (row_number() OVER (PARTITION BY {_FILE} ORDER BY doc_id) - 1)::BIGINT AS line_no, text
 FROM documents
 """
@@ -1224,7 +1224,7 @@ def q_per_file_build(spark, sf_dir):
 
 
 SQL_PER_FILE_BUILD = f"""
-SELECT 'lang=' || lang || '/bucket=' || CAST(doc_id // 256 AS VARCHAR) AS dir,
+SELECT 'lang=' || lang || '/bucket=' || CAST(doc_id // {BUCKET_DOCS} AS VARCHAR) AS dir,
        (row_number() OVER (PARTITION BY {_FILE} ORDER BY doc_id) - 1)::BIGINT AS seq_id,
        (octet_length(encode(text)) + 1)::BIGINT AS length FROM documents
 """

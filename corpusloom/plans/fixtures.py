@@ -21,14 +21,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 # Fixed value of the corpus fixture: documents per file bucket.
-BUCKET_DOCS = 256
+BUCKET_DOCS = 4096
 
 
 def documents_jsonl(spark: SparkSession, sf_dir: str) -> str:
     """``documents`` as a JSONL corpus in nested folders
-    ``lang=xx/bucket=k/part-*.jsonl`` with ``k = doc_id div 256``: one file per
+    ``lang=xx/bucket=k/part-*.jsonl`` with ``k = doc_id div 4096``: one file per
     (language, bucket), rows in ``doc_id`` order. Every group holds at most
-    256 documents, so no language becomes a hot partition. Line order of the
+    4096 documents, so no language becomes a hot partition. Line order of the
     corpus = sorted path, then ``doc_id``."""
     out = scratch_dir(spark, "documents-jsonl")
     docs = table(spark, sf_dir, "documents").withColumn("bucket", F.expr(f"doc_id div {BUCKET_DOCS}"))
