@@ -59,7 +59,8 @@ class TokenizerSpec:
         if self.kind == "wordpiece":
             from corpusloom.functions.wordpiece import WordPieceTokenizer
             with open(self.vocab_file, encoding="utf-8") as f:
-                return WordPieceTokenizer.from_lines(list(f), lower=kw.get("lower", "true") == "true")
+                tok = WordPieceTokenizer.from_lines(list(f), lower=kw.get("lower", "true") == "true")
+            return tok.add_bert_specials(int(kw.get("vocab_extra_ids", "0")))
         if self.kind == "hf":
             from corpusloom.functions.adapters import HFTokenizerFile
             path = self.tokenizer_model or self.vocab_file

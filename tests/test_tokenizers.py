@@ -66,3 +66,12 @@ def test_sentencepiece_adapter(tmp_path):
     assert ids[0] == t.bos and t.detokenize(ids[1:]) == "hello world"
     glm = SentencePieceTokenizer(str(tmp_path / "m.model"), variant="chatglm", special_tokens=["[gMASK]", "sop"])
     assert glm.tokenize("hi")[:2] == [glm.special_ids["[gMASK]"], glm.special_ids["sop"]]
+
+
+def test_wordpiece_bert_specials(tmp_path):
+    v = tmp_path / "vocab.txt"
+    v.write_text("\n".join(["[PAD]", "[UNK]", "[CLS]", "[SEP]", "[MASK]", "a", "b", "a"]) + "\n", encoding="utf-8")
+    tok = TokenizerSpec("wordpiece", vocab_file=str(v), tokenizer_kwargs=["vocab_extra_ids", "2"]).build()
+    assert tok.vocab["a"] == 7  # later duplicate wins
+    # specials continue from the number of distinct tokens, as the reference's len(vocab)
+    assert (tok.bos, tok.eos) == (7, 8) and tok.vocab["<extra_id_1>"] == 10
