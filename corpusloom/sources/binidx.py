@@ -376,6 +376,9 @@ class BinIdxWriter(DataSourceArrowWriter):
         finals = set()
         for m in messages:
             for _, final in m.files:
+                if final in finals:
+                    self.abort(messages)
+                    raise ValueError(f"part {final} was written by two tasks: a part must not span partitions")
                 finals.add(final)
         if self.overwrite and self.name_format.startswith("part-"):
             for f in glob.glob(os.path.join(self.path, "part-*.idx")):

@@ -65,3 +65,12 @@ def test_float_and_range_check(spark, tmp):
         raise AssertionError("expected a range error")
     except Exception as e:  # noqa: BLE001
         assert "out of range" in str(e)
+
+
+def test_part_spanning_partitions_is_rejected(spark, tmp):
+    df = spark.createDataFrame([(0, [1], [1]), (0, [2], [1])], "part long, token_ids array<int>, sentence_lens array<int>")
+    try:
+        write_binidx(df.repartition(2), os.path.join(tmp, "dup"))
+        raise AssertionError("expected an error")
+    except Exception as e:  # noqa: BLE001
+        assert "two tasks" in str(e)
