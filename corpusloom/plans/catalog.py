@@ -1256,3 +1256,20 @@ def q_sp_roundtrip(spark, sf_dir):
 SQL_SP_ROUNDTRIP = "SELECT doc_id, text, true AS bos_first FROM documents"
 
 QUERIES["sp_roundtrip"] = (q_sp_roundtrip, SQL_SP_ROUNDTRIP)
+
+
+def q_resume_by_lengths(spark, sf_dir):
+    """R8 fallback: the resharded outputs are matched back to their source
+    chunks from lengths alone (manifests ignored): every chunk is found."""
+    import glob as _glob
+    from corpusloom.operators.reshard import chunk_table, reshard, used_chunks_by_lengths
+    src = _written_dataset(spark, sf_dir)
+    outs = [scratch_dir(spark, "fallback-a"), scratch_dir(spark, "fallback-b")]
+    reshard(spark, [src], outs, 3, target=CHUNK_TARGET)
+    prefixes = [p[:-4] for d in outs for p in _glob.glob(os.path.join(d, "*", "*_final.idx"))]
+    ch = chunk_table(spark, [src], CHUNK_TARGET).cache()
+    used = used_chunks_by_lengths(spark, ch, prefixes)
+    return _chunk_cols(ch.join(used.withColumnRenamed("chunk_id", "id"), "id", "left_semi"))
+
+
+QUERIES["resume_by_lengths"] = (q_resume_by_lengths, SQL_CHUNKS)

@@ -103,3 +103,18 @@ def test_reshard_resume_and_keep_documents(spark, tmp):
     kp = sorted(glob.glob(os.path.join(k, "*", "*_final.idx")))
     docs = read_binidx(spark, ",".join(p[:-4] for p in kp), table="documents")
     assert docs.count() == 200
+
+
+def test_resume_by_lengths_finds_every_chunk(spark, tmp):
+    import glob
+    from corpusloom.operators.reshard import chunk_table, reshard, used_chunks_by_lengths
+    df = spark.createDataFrame([(0, [1] * (2 + i % 5), [2 + i % 5]) for i in range(120)],
+                               "part long, token_ids array<int>, sentence_lens array<int>")
+    src = os.path.join(tmp, "src")
+    write_binidx(df.repartition(1), src)
+    outs = [os.path.join(tmp, "o")]
+    reshard(spark, [src], outs, 2, target=64)
+    prefixes = [p[:-4] for p in glob.glob(os.path.join(tmp, "o", "*", "*_final.idx"))]
+    ch = chunk_table(spark, [src], 64)
+    used = {r.chunk_id for r in used_chunks_by_lengths(spark, ch, prefixes).collect()}
+    assert used == {r.id for r in ch.collect()}
