@@ -7,6 +7,7 @@ output value, so the group is bounded by what a single row can hold.
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -68,6 +69,21 @@ def glm_turn_ids(role: Column, meta_ids: Column, text_ids: Column, special: dict
     return F.concat(F.array(role_id.cast("int")), meta_ids, text_ids)
 
 
+def glm_system_content(role: Column, content: Column, tools_json: Column) -> Column:
+    """A system turn that carries tools gets them appended as JSON with
+    four-space indentation (non-ASCII kept). The JSON re-indentation is a
+    small per-row Arrow helper; other turns are unchanged (no Python)."""
+
+    @F.arrow_udf("string")
+    def indent(js: pa.Array) -> pa.Array:
+        import json
+        return pa.array([None if v is None else json.dumps(json.loads(v), indent=4, ensure_ascii=False)
+                         for v in js.to_pylist()], pa.string())
+
+    has = (role == "system") & tools_json.isNotNull()
+    return F.when(has, F.concat(content, F.lit("\n"), indent(tools_json))).otherwise(content)
+
+
 def conversation_ids(turn_ids: DataFrame, conv_col: str = "conv_id", ids_col: str = "ids",
                      suffix: list[int] | None = None, prefix: list[int] | None = None,
                      max_len: int | None = None) -> DataFrame:

@@ -40,3 +40,12 @@ def test_split_sentences_output(spark, tmp):
     write_split_sentences(spark, CorpusSpec(f"{tmp}/in", ""), out)
     got = [r.value for r in spark.read.text(out).collect()]
     assert sorted(got) == sorted(['{"text":["One.","Two!"]}', '{"text":[]}'])
+
+
+def test_glm_system_tools(spark):
+    from pyspark.sql import functions as F
+    from corpusloom.operators.chat import glm_system_content
+    df = spark.createDataFrame([("system", "hi", '[{"name":"f"}]'), ("user", "u", '[1]'), ("system", "s", None)],
+                               "role string, text string, tools string")
+    got = [r.c for r in df.select(glm_system_content(F.col("role"), F.col("text"), F.col("tools")).alias("c")).collect()]
+    assert got == ['hi\n[\n    {\n        "name": "f"\n    }\n]', "u", "s"]
