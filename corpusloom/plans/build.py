@@ -63,7 +63,9 @@ def prepared_records(spark: SparkSession, spec: CorpusSpec) -> tuple[DataFrame,
         parted, part = ok.repartitionByRange(target_partitions(ok), "line_id"), F.spark_partition_id()
     items = ", ".join(f"{i}, `{k}`" for i, k in enumerate(keys))
     order = F.col("part_id") if spec.partitions > 1 else F.lit(0)
+    fkey = (partition.file_key("file_path", spec.input) if spec.per_file else F.lit(None)).cast("string")
     recs = parted.select("line_id", part.cast("long").alias("part"), order.cast("long").alias("ord"),
+                         fkey.alias("fkey"),
                          F.expr(f"stack({len(keys)}, {items}) as (key_idx, sentences)"))
     if spec.split_sentences:
         recs = recs.withColumn("sentences", text.split_values(F.col("sentences"), spec.keep_newlines,
@@ -77,7 +79,7 @@ def build_corpus(spark: SparkSession, spec: CorpusSpec) -> dict:
     dtype = spec.dtype or optimal_dtype(tok.vocab_size)
     cls, recs = prepared_records(spark, spec)
     obs = Observation("encode_stats")
-    enc = encode_documents(recs, tok, "sentences", keep=["line_id", "part", "ord", "key_idx"],
+    enc = encode_documents(recs, tok, "sentences", keep=["line_id", "part", "ord", "key_idx", "fkey"],
                            append_eod=spec.append_eod)
     enc = enc.observe(obs, F.count(F.lit(1)).alias("documents"),
                       F.sum(F.size("sentence_lens")).alias("sequences"),
@@ -85,7 +87,9 @@ def build_corpus(spark: SparkSession, spec: CorpusSpec) -> dict:
     part_id = F.col("key_idx").cast("long") * PART_SPACE + F.col("part")
     # rows of a part are already in one task (input split or range partition)
     out = enc.sortWithinPartitions("key_idx", "part", "ord", "line_id").select(
-        part_id.alias("part"), "token_ids", "sentence_lens")
+        part_id.alias("part"), "token_ids", "sentence_lens", *(["fkey"] if spec.per_file else []))
+    if spec.per_file:
+        out = out.withColumnRenamed("fkey", "tag")
     level = "sentence" if spec.split_sentences else "document"
     staging = spec.output_prefix + "__parts"
     write_binidx(out, staging, dtype=dtype)
@@ -93,7 +97,7 @@ def build_corpus(spark: SparkSession, spec: CorpusSpec) -> dict:
         parse.quarantine(cls).write.mode("overwrite").parquet(spec.quarantine_path)
     result = {"dtype": dtype, "vocab_size": tok.vocab_size, **(obs.get or {})}
     if spec.per_file:
-        result["files"] = _per_file_outputs(spark, spec, cls, staging, level)
+        result["files"] = _per_file_outputs(spark, spec, staging, level)
         return result
     for k_idx, key in enumerate(spec.json_keys):
         parts = sorted(p[:-4] for p in glob.glob(os.path.join(staging, "part-*.idx"))
@@ -110,26 +114,24 @@ def build_corpus(spark: SparkSession, spec: CorpusSpec) -> dict:
     return result
 
 
-def _per_file_outputs(spark: SparkSession, spec: CorpusSpec, cls: DataFrame, staging: str,
-                      level: str) -> dict:
+def _per_file_outputs(spark: SparkSession, spec: CorpusSpec, staging: str, level: str) -> dict:
     """Merge the parts (input splits) of every file into
-    ``{prefix}_{relative path}_{key}_{level}``; the split → file table has one
-    row per input split."""
-    root = spec.input.rstrip("/")
-    splits = (cls.select("split_line0", partition.file_key("file_path", root).alias("fkey"))
-              .distinct().collect())
-    by_file: dict[str, list[int]] = {}
-    for r in splits:
-        by_file.setdefault(r.fkey, []).append(r.split_line0)
+    ``{prefix}_{relative path}_{key}_{level}``. The writer recorded each
+    part's file in ``_parts.jsonl`` (one line per part), so no extra scan."""
+    import json
+    by_file: dict[tuple[int, str], list[str]] = {}
+    with open(os.path.join(staging, "_parts.jsonl"), encoding="utf-8") as f:
+        for ln in f:
+            r = json.loads(ln)
+            k_idx = int(r["part"][5:]) // PART_SPACE
+            by_file.setdefault((k_idx, r["tag"]), []).append(os.path.join(staging, r["part"]))
     out = {}
-    for k_idx, key in enumerate(spec.json_keys):
-        for fkey, starts in sorted(by_file.items()):
-            parts = [os.path.join(staging, f"part-{k_idx * PART_SPACE + s:015d}") for s in sorted(starts)]
-            parts = [p for p in parts if os.path.exists(p + ".idx")]
-            target = f"{spec.output_prefix}_{fkey}_{key}_{level}"
-            os.makedirs(os.path.dirname(target), exist_ok=True)
-            merge_binidx(spark, parts, target, delete_parts=True)
-            out[fkey if len(spec.json_keys) == 1 else f"{fkey}:{key}"] = target
+    for (k_idx, fkey), parts in sorted(by_file.items()):
+        key = spec.json_keys[k_idx]
+        target = f"{spec.output_prefix}_{fkey}_{key}_{level}"
+        os.makedirs(os.path.dirname(target), exist_ok=True)
+        merge_binidx(spark, sorted(parts), target, delete_parts=True)
+        out[fkey if len(spec.json_keys) == 1 else f"{fkey}:{key}"] = target
     return out
 
 

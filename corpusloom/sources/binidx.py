@@ -20,7 +20,8 @@ separated by commas), ``table`` = ``sequences`` (default) | ``documents``,
 when the folder is empty).
 
 Writing: one dataset per value of the ``part`` column, named
-``part-{part:015d}``; rows must be ordered by (part, document) inside each
+``part-{part:015d}`` (an optional string column ``tag`` is recorded per part
+in ``_parts.jsonl``); rows must be ordered by (part, document) inside each
 Spark partition and a part must not span partitions (partition by range or by
 input split). Each row is one document: ``token_ids`` and ``sentence_lens``
 (and optional ``modes``). Files are written under attempt-specific names and
@@ -305,6 +306,7 @@ class BinIdxReader(DataSourceReader):
 @dataclass
 class _Written(WriterCommitMessage):
     files: list = field(default_factory=list)  # (tmp_prefix, final_prefix)
+    tags: list = field(default_factory=list)   # (part file name, tag) when a tag column is given
 
 
 class BinIdxWriter(DataSourceArrowWriter):
@@ -325,17 +327,21 @@ class BinIdxWriter(DataSourceArrowWriter):
         tmp_dir = os.path.join(self.path, "_temporary")
         os.makedirs(tmp_dir, exist_ok=True)
         msg = _Written()
-        cur = None  # [part, bin file, lengths list, doc counts list, modes list]
+        cur = None  # [part, bin file, lengths list, doc counts list, modes list, tmp, tag]
+        tags = {}
         np_dtype = np.dtype(self.dtype).newbyteorder("<")
         info = np.iinfo(np_dtype) if np_dtype.kind in "iu" else None
 
         def close(c):
-            part, fh, lens, ndocs, modes, tmp = c
+            part, fh, lens, ndocs, modes, tmp, ptag = c
             fh.close()
             _write_idx(tmp + ".idx", self.dtype, np.concatenate(lens) if lens else np.zeros(0, np.int32),
                        np.concatenate(ndocs) if ndocs else np.zeros(0, np.int64),
                        (np.concatenate(modes) if modes else np.zeros(0, np.int8)) if self.multimodal else None)
-            msg.files.append((tmp, os.path.join(self.path, self.name_format.format(part=part))))
+            final = os.path.join(self.path, self.name_format.format(part=part))
+            msg.files.append((tmp, final))
+            if ptag is not None:
+                msg.tags.append((os.path.basename(final), ptag))
 
         for b in iterator:
             parts = np.asarray(b.column("part"), dtype=np.int64)
@@ -348,7 +354,8 @@ class BinIdxWriter(DataSourceArrowWriter):
                     if cur is not None:
                         close(cur)
                     tmp = os.path.join(tmp_dir, f"part-{p:015d}-{tag}")
-                    cur = [p, open(tmp + ".bin", "wb"), [], [], [], tmp]
+                    ptag = (b.column("tag")[int(s)].as_py() if "tag" in b.schema.names else None)
+                    cur = [p, open(tmp + ".bin", "wb"), [], [], [], tmp, ptag]
                 sub = b.slice(s, e - s)
                 toks = sub.column("token_ids")
                 lens = sub.column("sentence_lens")
@@ -391,6 +398,12 @@ class BinIdxWriter(DataSourceArrowWriter):
                 os.makedirs(os.path.dirname(final), exist_ok=True)
                 os.replace(tmp + ".bin", final + ".bin")
                 os.replace(tmp + ".idx", final + ".idx")
+        tags = [t for m in messages for t in m.tags]
+        if tags:  # which part holds what (e.g. the input file of a split)
+            import json
+            with open(os.path.join(self.path, "_parts.jsonl"), "a", encoding="utf-8") as f:
+                for name, t in sorted(tags):
+                    f.write(json.dumps({"part": name, "tag": t}) + "\n")
         shutil.rmtree(os.path.join(self.path, "_temporary"), ignore_errors=True)
 
     def abort(self, messages) -> None:
