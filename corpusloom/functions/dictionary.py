@@ -11,7 +11,6 @@ regroup collects one document's pieces, a group bounded by the document.
 from __future__ import annotations
 
 import pyarrow as pa
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,7 +31,7 @@ def encode_by_dictionary(df: DataFrame, id_col: str, text_col: str, piece_encode
     """
     pieces_col = pretokenize(F.col(text_col))
     distinct = (df.select(F.explode(pieces_col).alias("piece")).distinct()
-                .persist(StorageLevel.MEMORY_AND_DISK))
+                .checkpoint(eager=True))
     n = distinct.count()
     eod = piece_encoder.eod if append_eod else None
     # encoding is the expensive Python step: spread the (small) dictionary
@@ -46,7 +45,6 @@ def encode_by_dictionary(df: DataFrame, id_col: str, text_col: str, piece_encode
         # partitions encoded in parallel by one job
         arrow = dictionary.toArrow()
         table = dict(zip(arrow.column("piece").to_pylist(), arrow.column("piece_ids").to_pylist()))
-        distinct.unpersist()
         bc = df.sparkSession.sparkContext.broadcast(table)
         out_schema = T.StructType([df.schema[id_col], T.StructField("token_ids", T.ArrayType(T.IntegerType()), False)])
 

@@ -9,12 +9,12 @@ Every running quantity (sequence id, byte pointer, document boundary) is a
 3. the block totals (one row per block, partial aggregation) get their
    exclusive prefix sum and are broadcast back (one row per million rows).
 
-The lengths-only input is persisted once so the producing stage runs once.
+The lengths-only input is checkpointed once (written to the shared checkpoint
+folder), so the producing stage runs once and the lineage is cut.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -51,12 +51,15 @@ def two_level_prefix(df: DataFrame, order: list[str], values: dict[str, Column],
     ``counts``) in ``order``; ``block`` must group rows into contiguous runs of
     the order.
 
-    The input (lengths only) is persisted once, so the block totals and the
+    The input (lengths only) is checkpointed once, so the block totals and the
     in-block windows read the same rows and whatever produced them (a
     tokenizer stage, a file scan) runs once. The totals table has one row per
     block (at most rows / block size), so it is broadcast.
     """
-    d = df.withColumn("_blk", block).persist(StorageLevel.MEMORY_AND_DISK)
+    # a reliable checkpoint, not a cache: a cache would be reused by any
+    # later plan that looks the same, even after the input or the split
+    # settings changed
+    d = df.withColumn("_blk", block).checkpoint(eager=True)
     names = list(values) + list(counts)
     aggs = [F.sum(v).cast("long").alias(f"_t_{n}") for n, v in values.items()]
     aggs += [F.count(F.lit(1)).cast("long").alias(f"_t_{n}") for n in counts]
@@ -128,7 +131,7 @@ def global_rank(df: DataFrame, order: list[str], name: str = "rank") -> DataFram
     ranged = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
               .withColumn("_pid", F.spark_partition_id())
               .withColumn("_mid", F.monotonically_increasing_id())
-              .persist(StorageLevel.MEMORY_AND_DISK))
+              .checkpoint(eager=True))  # fixes the ids once for both uses
     counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_m0"))
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offs = counts.select("_pid", "_m0", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))

@@ -15,7 +15,6 @@ global ``line_id`` without a global sort:
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -88,10 +87,11 @@ def with_line_ids(raw: DataFrame) -> DataFrame:
         F.coalesce(F.sum("_n").over(w_file), F.lit(0)).alias("_fline0"),
         (F.dense_rank().over(Window.orderBy("file_path")) - 1).cast("int").alias("file_rank"),
     )
-    # One row per input split: bounded by the scan plan. Persisted and counted
-    # so the broadcast is taken only under a checked size; beyond it the
-    # join falls back to a shuffle join on the split key.
-    splits = splits.persist(StorageLevel.MEMORY_AND_DISK)
+    # One row per input split: bounded by the scan plan. Checkpointed (not
+    # cached: a cache would be reused by a later identical-looking plan after
+    # the files or the split size changed) and counted, so the broadcast is
+    # taken only under a checked size; beyond it a shuffle join on the key.
+    splits = splits.checkpoint(eager=True)
     n_splits = splits.count()
     right = F.broadcast(splits) if n_splits <= MAX_BROADCAST_SPLITS else splits
     j = raw.join(right, ["file_path", "_block"])

@@ -49,3 +49,25 @@ def test_glm_system_tools(spark):
                                "role string, text string, tools string")
     got = [r.c for r in df.select(glm_system_content(F.col("role"), F.col("text"), F.col("tools")).alias("c")).collect()]
     assert got == ['hi\n[\n    {\n        "name": "f"\n    }\n]', "u", "s"]
+
+
+def test_output_bytes_do_not_depend_on_partitioning(spark, tmp):
+    """Same .bin/.idx bytes for different shuffle and split settings."""
+    lines = [f'{{"text":"doc {i} ' + "word " * (i % 17) + '. end"}' for i in range(400)]
+    write_lines(f"{tmp}/in/x/a.jsonl", lines[:250])
+    write_lines(f"{tmp}/in/y/b.jsonl", lines[250:])
+    outs = []
+    old_sp = spark.conf.get("spark.sql.shuffle.partitions")
+    old_mp = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for i, (sp, mp) in enumerate([("8", "134217728"), ("3", "2048")]):
+            spark.conf.set("spark.sql.shuffle.partitions", sp)
+            spark.conf.set("spark.sql.files.maxPartitionBytes", mp)
+            res = build_corpus(spark, CorpusSpec(f"{tmp}/in", f"{tmp}/out{i}/ds", TokenizerSpec("byte"),
+                                                 split_sentences=True, partitions=3))
+            outs.append(res["text"])
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old_sp)
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old_mp)
+    for ext in (".bin", ".idx"):
+        assert open(outs[0] + ext, "rb").read() == open(outs[1] + ext, "rb").read()
