@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusloom.functions.base import Tokenizer, encode_column
+from corpusloom.session import checkpoint
 
 
 def encode_by_dictionary(df: DataFrame, id_col: str, text_col: str, piece_encoder: Tokenizer,
@@ -30,8 +31,7 @@ def encode_by_dictionary(df: DataFrame, id_col: str, text_col: str, piece_encode
     (AQE splits hot pieces) and regrouped per document.
     """
     pieces_col = pretokenize(F.col(text_col))
-    distinct = (df.select(F.explode(pieces_col).alias("piece")).distinct()
-                .checkpoint(eager=True))
+    distinct = checkpoint(df.select(F.explode(pieces_col).alias("piece")).distinct())
     n = distinct.count()
     eod = piece_encoder.eod if append_eod else None
     # encoding is the expensive Python step: spread the (small) dictionary

@@ -18,6 +18,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpusloom.session import checkpoint
+
 # Fixed values of the binary format: dtype codes and item sizes.
 DTYPE_CODES = {"uint8": 1, "int8": 2, "int16": 3, "int32": 4, "int64": 5,
                "float64": 6, "float32": 7, "uint16": 8}
@@ -59,7 +61,7 @@ def two_level_prefix(df: DataFrame, order: list[str], values: dict[str, Column],
     # a reliable checkpoint, not a cache: a cache would be reused by any
     # later plan that looks the same, even after the input or the split
     # settings changed
-    d = df.withColumn("_blk", block).checkpoint(eager=True)
+    d = checkpoint(df.withColumn("_blk", block))
     names = list(values) + list(counts)
     aggs = [F.sum(v).cast("long").alias(f"_t_{n}") for n, v in values.items()]
     aggs += [F.count(F.lit(1)).cast("long").alias(f"_t_{n}") for n in counts]
@@ -128,10 +130,9 @@ def global_rank(df: DataFrame, order: list[str], name: str = "rank") -> DataFram
     inside each partition, add the partition's offset (one row per
     partition, broadcast)."""
     n = df.sparkSession.sparkContext.defaultParallelism
-    ranged = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
-              .withColumn("_pid", F.spark_partition_id())
-              .withColumn("_mid", F.monotonically_increasing_id())
-              .checkpoint(eager=True))  # fixes the ids once for both uses
+    ranged = checkpoint(df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+                        .withColumn("_pid", F.spark_partition_id())
+                        .withColumn("_mid", F.monotonically_increasing_id()))  # ids fixed once for both uses
     counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_m0"))
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offs = counts.select("_pid", "_m0", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))

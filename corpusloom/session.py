@@ -82,3 +82,11 @@ def local_path(path: str) -> str:
     if path.startswith("file:"):
         return path[len("file:"):]
     return path
+
+
+def checkpoint(df):
+    """Reliable, eager checkpoint into the shared checkpoint folder (never a
+    machine-local one on a cluster): cuts the lineage, survives executor
+    loss, and is never silently reused by a later look-alike plan."""
+    _checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)

@@ -18,6 +18,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from corpusloom.session import checkpoint
+
 # Case-insensitive ``.jsonl`` suffix (fixed value of the corpus format).
 JSONL_GLOB = "*.[jJ][sS][oO][nN][lL]"
 # Split tables up to this many rows (about 100 bytes each) are broadcast.
@@ -91,7 +93,7 @@ def with_line_ids(raw: DataFrame) -> DataFrame:
     # cached: a cache would be reused by a later identical-looking plan after
     # the files or the split size changed) and counted, so the broadcast is
     # taken only under a checked size; beyond it a shuffle join on the key.
-    splits = splits.checkpoint(eager=True)
+    splits = checkpoint(splits)
     n_splits = splits.count()
     right = F.broadcast(splits) if n_splits <= MAX_BROADCAST_SPLITS else splits
     j = raw.join(right, ["file_path", "_block"])
