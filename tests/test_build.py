@@ -71,3 +71,16 @@ def test_output_bytes_do_not_depend_on_partitioning(spark, tmp):
         spark.conf.set("spark.sql.files.maxPartitionBytes", old_mp)
     for ext in (".bin", ".idx"):
         assert open(outs[0] + ext, "rb").read() == open(outs[1] + ext, "rb").read()
+
+
+def test_build_resume_by_fingerprint(spark, tmp):
+    write_lines(f"{tmp}/in/a.jsonl", ['{"text":"ab"}'])
+    spec = CorpusSpec(f"{tmp}/in", f"{tmp}/out/ds", TokenizerSpec("byte"))
+    r1 = build_corpus(spark, spec)
+    mtime = os.path.getmtime(r1["text"] + ".bin")
+    r2 = build_corpus(spark, spec)  # same input: nothing recomputed
+    assert r2 == r1 and os.path.getmtime(r1["text"] + ".bin") == mtime
+    write_lines(f"{tmp}/in/a.jsonl", ['{"text":"abc"}'])  # input changed: rebuilt
+    os.utime(f"{tmp}/in/a.jsonl", (mtime + 10, mtime + 10))
+    r3 = build_corpus(spark, spec)
+    assert read_binidx(spark, r3["text"]).first().length == 4
