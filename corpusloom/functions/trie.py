@@ -48,7 +48,7 @@ class TrieTokenizer(Tokenizer):
         self.encoder = dict(vocab)
         self.decoder = {i: t for t, i in self.encoder.items()}
         self.max_len = max((len(t) for t in self.encoder), default=1)
-        self.by_len = sorted({len(t) for t in self.encoder}, reverse=True)
+        self._prefixes = {t[:j] for t in self.encoder for j in range(1, len(t) + 1)}
         self.eod = eod
         self.vocab_size = max(self.decoder, default=0) + 1
         single = np.full(256, -1, dtype=np.int64)
@@ -68,20 +68,26 @@ class TrieTokenizer(Tokenizer):
         return cls(vocab, eod)
 
     def _encode_bytes(self, data: bytes) -> list[int]:
+        # trie walk over the set of token prefixes: extend while the piece is
+        # a prefix of some token, remember the longest piece that is a token
         out = []
-        enc = self.encoder
+        enc, pre, maxl = self.encoder, self._prefixes, self.max_len
         i, n = 0, len(data)
-        lens = self.by_len
         while i < n:
-            for ln in lens:
-                if i + ln <= n:
-                    tid = enc.get(data[i:i + ln])
-                    if tid is not None:
-                        out.append(tid)
-                        i += ln
-                        break
-            else:
+            best, end = -1, i
+            j, lim = i + 1, min(n, i + maxl)
+            while j <= lim:
+                piece = data[i:j]
+                if piece not in pre:
+                    break
+                tid = enc.get(piece)
+                if tid is not None:
+                    best, end = tid, j
+                j += 1
+            if best < 0:
                 raise ValueError(f"byte 0x{data[i]:02x} is not in the vocabulary")
+            out.append(best)
+            i = end
         return out
 
     def encode_batch(self, texts):

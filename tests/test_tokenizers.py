@@ -75,3 +75,9 @@ def test_wordpiece_bert_specials(tmp_path):
     assert tok.vocab["a"] == 7  # later duplicate wins
     # specials continue from the number of distinct tokens, as the reference's len(vocab)
     assert (tok.bos, tok.eos) == (7, 8) and tok.vocab["<extra_id_1>"] == 10
+
+
+def test_trie_unknown_byte_names_it():
+    t = TrieTokenizer.from_lines(["1 'a' 1"])
+    with pytest.raises(ValueError, match="0x62"):
+        t.tokenize("ab")
