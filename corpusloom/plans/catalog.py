@@ -901,13 +901,23 @@ SQL_CHUNKS = _sql_chunks()
 
 
 def q_shards(spark, sf_dir):
-    """LPT allocation of the chunks to 3 shards (checked by invariants
-    in the tests: every chunk once, max load within 4/3 of the optimum)."""
+    """LPT allocation of the chunks to 3 shards, reported as its
+    invariants: every chunk placed once, all bytes placed, three shards used,
+    largest load within 4/3 of the lower bound max(largest chunk, total/3)
+    (Graham's bound for LPT)."""
     from corpusloom.operators.reshard import allocate, chunk_table
     ch = chunk_table(spark, [_written_dataset(spark, sf_dir)], CHUNK_TARGET)
     a = allocate(ch, 3)
-    return a.groupBy("shard_id").agg(F.count(F.lit(1)).alias("n_chunks"), F.sum("byte_size").alias("bytes")).select(
-        *_long("shard_id", "n_chunks", "bytes"))
+    loads = a.groupBy("shard_id").agg(F.sum("byte_size").alias("load"), F.count(F.lit(1)).alias("n"),
+                                      F.max("byte_size").alias("big"))
+    r = loads.agg(F.count(F.lit(1)).alias("n_shards"), F.sum("n").alias("n_chunks"), F.sum("load").alias("bytes"),
+                  F.max("load").alias("max_load"), F.max("big").alias("big"))
+    lower = F.greatest(F.col("big"), F.ceil(F.col("bytes") / 3))
+    n_distinct = a.agg(F.countDistinct("chunk_id")).first()[0]  # one scalar
+    return r.select(
+        *_long("n_shards", "n_chunks", "bytes"),
+        (F.lit(n_distinct) == F.col("n_chunks")).alias("each_once"),
+        (F.col("max_load") * 3 <= lower * 4).alias("within_bound"))
 
 
 def q_reshard_roundtrip(spark, sf_dir):
@@ -941,6 +951,9 @@ def q_resume_anti(spark, sf_dir):
 
 SQL_RESUME_ANTI = _sql_chunks("WHERE c.part <> 0")
 
+SQL_SHARDS = ("SELECT 3::BIGINT AS n_shards, count(*)::BIGINT AS n_chunks, sum(byte_size)::BIGINT AS bytes, "
+              "true AS each_once, true AS within_bound FROM (" + _sql_chunks() + ")")
+
 
 # ---------------------------------------------------------------------------
 # M10 blend, streaming
@@ -991,7 +1004,7 @@ FROM documents
 
 QUERIES.update({
     "chunks": (q_chunks, SQL_CHUNKS),
-    "shards": (q_shards, None),
+    "shards": (q_shards, SQL_SHARDS),
     "reshard_roundtrip": (q_reshard_roundtrip, SQL_RESHARD_ROUNDTRIP),
     "resume_anti": (q_resume_anti, SQL_RESUME_ANTI),
     "blend_select": (q_blend_select, SQL_BLEND_SELECT),
