@@ -19,6 +19,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from corpusloom.session import prepare_session
+
 
 def list_offsets(arr: pa.Array) -> np.ndarray:
     """Offsets of a (large) list / string / binary array, re-based to 0."""
@@ -115,6 +117,7 @@ def encode_documents(df: DataFrame, tokenizer: Tokenizer, sentences_col: str = "
     Narrow (no shuffle): one ``mapInArrow`` stage, the tokenizer object is
     shipped once per task with the closure.
     """
+    prepare_session(df.sparkSession)
     keep = [c for c in (keep if keep is not None else df.columns) if c != sentences_col]
     id_t = T.LongType() if tokenizer.id_type == pa.int64() else T.IntegerType()
     fields = [df.schema[c] for c in keep] + [
@@ -143,6 +146,7 @@ def _arrow_schema(schema: T.StructType) -> pa.Schema:
 def decode_column(df: DataFrame, tokenizer: Tokenizer, ids_col: str = "token_ids",
                   out_col: str = "text", keep: list[str] | None = None) -> DataFrame:
     """Ids → text with ``mapInArrow``."""
+    prepare_session(df.sparkSession)
     keep = [c for c in (keep if keep is not None else df.columns) if c != ids_col]
     schema = T.StructType([df.schema[c] for c in keep] + [T.StructField(out_col, T.StringType(), True)])
 
@@ -158,6 +162,7 @@ def decode_column(df: DataFrame, tokenizer: Tokenizer, ids_col: str = "token_ids
 def encode_column(df: DataFrame, tokenizer: Tokenizer, text_col: str = "text",
                   out_col: str = "token_ids", keep: list[str] | None = None) -> DataFrame:
     """Encode one string column to one id list column (no eod, no sentences)."""
+    prepare_session(df.sparkSession)
     keep = [c for c in (keep if keep is not None else df.columns) if c != text_col]
     id_t = T.LongType() if tokenizer.id_type == pa.int64() else T.IntegerType()
     schema = T.StructType([df.schema[c] for c in keep]

@@ -30,6 +30,8 @@ def encode_by_dictionary(df: DataFrame, id_col: str, text_col: str, piece_encode
     lookups in one narrow stage; otherwise the pieces are joined back
     (AQE splits hot pieces) and regrouped per document.
     """
+    from corpusloom.session import prepare_session
+    prepare_session(df.sparkSession)
     pieces_col = pretokenize(F.col(text_col))
     distinct = checkpoint(df.select(F.explode(pieces_col).alias("piece")).distinct())
     n = distinct.count()

@@ -50,9 +50,48 @@ def prepare_session(spark: SparkSession) -> SparkSession:
         if spark.conf.get(k, None) != v:
             spark.conf.set(k, v)
     _checkpoint_root(spark)
+    ship_package(spark)
     return spark
 
 
+_SHIPPED: set[int] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``corpusloom`` importable in the Python workers (what
+    ``--py-files`` does): the package is zipped once per SparkContext into the
+    shared checkpoint folder and added with ``addPyFile``."""
+    import io
+    import zipfile
+
+    sc = spark.sparkContext
+    key = id(sc._jsc)
+    if key in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
+        for d, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(d, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    root = _checkpoint_root(spark).rstrip("/")
+    target = f"{root}/corpusloom-pkg-{uuid.uuid4().hex[:12]}.zip"
+    loc = local_path(target)
+    if "://" not in loc:
+        with open(loc, "wb") as f:
+            f.write(buf.getvalue())
+    else:  # shared file system named by a URI (hdfs://, s3a://, ...)
+        jvm = sc._jvm
+        hpath = jvm.org.apache.hadoop.fs.Path(target)
+        out = hpath.getFileSystem(sc._jsc.hadoopConfiguration()).create(hpath, True)
+        out.write(bytearray(buf.getvalue()))
+        out.close()
+    sc.addPyFile(target)
+    _SHIPPED.add(key)
+
+
 def _checkpoint_root(spark: SparkSession) -> str:
     sc = spark.sparkContext
     root = sc.getCheckpointDir()
