@@ -372,7 +372,17 @@ class BinIdxWriter(DataSourceArrowWriter):
                 cur[3].append(np.diff(lo).astype(np.int64))
                 if self.multimodal:
                     if self.has_modes:
-                        cur[4].append(np.asarray(sub.column("modes").flatten(), dtype=np.int8))
+                        mcol = sub.column("modes")
+                        per_doc = np.diff(lo)
+                        if mcol.null_count:  # a document without modes gets zeros (Q23)
+                            ms = [np.zeros(per_doc[i], np.int8) if m is None else np.asarray(m, np.int8)
+                                  for i, m in enumerate(mcol.to_pylist())]
+                            mv = np.concatenate(ms) if ms else np.zeros(0, np.int8)
+                        else:
+                            mv = np.asarray(mcol.flatten(), dtype=np.int8)
+                        if len(mv) != len(lv):
+                            raise ValueError("modes must have one entry per sequence")
+                        cur[4].append(mv)
                     else:
                         cur[4].append(np.zeros(len(lv), np.int8))
         if cur is not None:

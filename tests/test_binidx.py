@@ -74,3 +74,14 @@ def test_part_spanning_partitions_is_rejected(spark, tmp):
         raise AssertionError("expected an error")
     except Exception as e:  # noqa: BLE001
         assert "two tasks" in str(e)
+
+
+def test_multimodal_modes_roundtrip(spark, tmp):
+    df = spark.createDataFrame([(0, [1, 2, 3], [2, 1], [1, 2]), (0, [4], [1], None)],
+                               "part long, token_ids array<int>, sentence_lens array<int>, modes array<tinyint>")
+    path = os.path.join(tmp, "mm")
+    write_binidx(df.repartition(1), path, multimodal=True)
+    rows = read_binidx(spark, path, multimodal=True).orderBy("seq_id").collect()
+    assert [r.mode for r in rows] == [1, 2, 0]  # missing modes are zeros (Q23)
+    # the header does not flag modes: a plain read sees the same sequences
+    assert read_binidx(spark, path).count() == 3
