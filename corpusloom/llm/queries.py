@@ -4,14 +4,25 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusloom.llm import simhash
+from corpusloom.llm import line_dedup, quality_rules, simhash
 from corpusloom.llm.common import read_table
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.score_quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return line_dedup.dedup_lines(docs, counts=True).select("doc_id", "text", "n_lines", "n_removed_lines")
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(read_table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
+    "op1_quality_rules": (op1_quality_rules, None),
+    "op2_line_dedup": (op2_line_dedup, line_dedup.ORACLE),
     "op6_simhash": (op6_simhash, None),
 }
