@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusloom.llm import line_dedup, quality_rules, simhash
+from corpusloom.llm import line_dedup, pieces, quality_model, quality_rules, simhash
 from corpusloom.llm.common import read_table
 
 
@@ -17,12 +17,27 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(docs, counts=True).select("doc_id", "text", "n_lines", "n_removed_lines")
 
 
+def piece_model_path() -> str:
+    import public_tokenizers
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.digests(read_table(spark, sf_dir, "documents"), piece_model_path())
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(read_table(spark, sf_dir, "documents"))
 
 
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_model.score_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_quality_rules": (op1_quality_rules, None),
     "op2_line_dedup": (op2_line_dedup, line_dedup.ORACLE),
+    "op3_sentencepiece": (op3_sentencepiece, None),
     "op6_simhash": (op6_simhash, None),
+    "op9_quality_classifier": (op9_quality_classifier, None),
 }
