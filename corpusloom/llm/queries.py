@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusloom.llm import line_dedup, pieces, quality_model, quality_rules, simhash
+from corpusloom.llm import line_dedup, pieces, pq_dedup, quality_model, quality_rules, simhash
 from corpusloom.llm.common import read_table
 
 
@@ -34,10 +34,15 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_model.score_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pq_dedup.near_duplicates(read_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_quality_rules": (op1_quality_rules, None),
     "op2_line_dedup": (op2_line_dedup, line_dedup.ORACLE),
     "op3_sentencepiece": (op3_sentencepiece, None),
     "op6_simhash": (op6_simhash, None),
     "op9_quality_classifier": (op9_quality_classifier, None),
+    "op10_embedding_dedup": (op10_embedding_dedup, None),
 }
