@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusloom.llm import line_dedup, pieces, pq_dedup, quality_model, quality_rules, simhash
+from corpusloom.llm import licenses, line_dedup, mixing, pieces, pq_dedup, quality_model, quality_rules, simhash
 from corpusloom.llm.common import read_table
 
 
@@ -26,6 +26,14 @@ def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digests(read_table(spark, sf_dir, "documents"), piece_model_path())
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(read_table(spark, sf_dir, "documents"))
+
+
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.document_rates(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(read_table(spark, sf_dir, "documents"))
 
@@ -42,6 +50,8 @@ QUERIES = {
     "op1_quality_rules": (op1_quality_rules, None),
     "op2_line_dedup": (op2_line_dedup, line_dedup.ORACLE),
     "op3_sentencepiece": (op3_sentencepiece, None),
+    "op4_license_scan": (op4_license_scan, licenses.oracle()),
+    "op5_mixing": (op5_mixing, None),
     "op6_simhash": (op6_simhash, None),
     "op9_quality_classifier": (op9_quality_classifier, None),
     "op10_embedding_dedup": (op10_embedding_dedup, None),
