@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusloom.plans.fixtures import table as _table
-from corpusloom.session import checkpoint, prepare_session
+from corpusloom.session import checkpoint, prepare_session, scratch_dir
 
-__all__ = ["checkpoint", "extend_schema", "fresh", "prepare", "read_table", "text_key"]
+__all__ = ["checkpoint", "extend_schema", "fresh", "prepare", "read_table", "stored", "text_key"]
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -43,3 +43,11 @@ def text_key(text: Column) -> Column:
     """64-bit hash that, with ``doc_id``, names a row: rows with equal ``doc_id``
     and equal text are one document for every operator here."""
     return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` written as a table in the shared checkpoint folder and read back:
+    cuts the lineage as a checkpoint does, with columns and compression."""
+    path = scratch_dir(df.sparkSession, "llm")
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -4,7 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusloom.llm import licenses, line_dedup, mixing, pieces, pq_dedup, quality_model, quality_rules, simhash
+from corpusloom.llm import (
+    html_extract,
+    licenses,
+    line_dedup,
+    mixing,
+    pieces,
+    pq_dedup,
+    quality_model,
+    quality_rules,
+    simhash,
+    suffix_dedup,
+)
 from corpusloom.llm.common import read_table
 
 
@@ -38,6 +49,14 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(read_table(spark, sf_dir, "documents"))
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digests(read_table(spark, sf_dir, "documents"))
+
+
+def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(read_table(spark, sf_dir, "pages"))
+
+
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_model.score_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
@@ -53,6 +72,8 @@ QUERIES = {
     "op4_license_scan": (op4_license_scan, licenses.oracle()),
     "op5_mixing": (op5_mixing, None),
     "op6_simhash": (op6_simhash, None),
+    "op7_suffix_dedup": (op7_suffix_dedup, None),
+    "op8_html_extraction": (op8_html_extraction, None),
     "op9_quality_classifier": (op9_quality_classifier, None),
     "op10_embedding_dedup": (op10_embedding_dedup, None),
 }
