@@ -19,7 +19,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,7 +27,7 @@ from corpusloom.llm.common import extend_schema, prepare
 
 MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6  # piece types of the model format
-MEMO_WORDS = 300_000
+MEMO_WORDS = 400_000
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -118,8 +118,13 @@ class PieceModel:
         self.is_byte = [t == BYTE for _, _, t in self.pieces]
         # bytes of a piece in the normalised text
         self.width = np.array([1 if t == BYTE else len(p.encode("utf-8")) for p, _, t in self.pieces], dtype=np.int64)
+        # bytes of a piece in an unmapped source text
+        self.source_width = np.array([len(x) for x in self.surface], dtype=np.int64)
         by_word = not any(MARK in p.lstrip(MARK) for p in self.ids)
         self.words = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+" if by_word else r"(?s).+")
+        # neighbouring characters that some piece holds: merges never cross any others
+        self.joins = {p[i:i + 2] for p in self.ids for i in range(len(p) - 1)}
+        self.chunks = _Memo(self._encode_chunk)
         self.memo = _Memo(self._encode_word)
 
     # -- normalisation ----------------------------------------------------
@@ -174,6 +179,19 @@ class PieceModel:
 
     # -- encoding ---------------------------------------------------------
     def _encode_word(self, word: str) -> tuple[int, ...]:
+        """Ids of a word: its chunks between characters that no piece joins."""
+        joins, chunks = self.joins, self.chunks
+        cut = [i for i in range(1, len(word)) if word[i - 1:i + 1] not in joins]
+        if not cut:
+            return self._encode_chunk(word)
+        out: list[int] = []
+        for a, b in zip([0, *cut], [*cut, len(word)]):
+            out.extend(chunks[word[a:b]])
+        return tuple(out)
+
+    def _encode_chunk(self, word: str) -> tuple[int, ...]:
+        if len(word) == 1 and word in self.ids:
+            return (self.ids[word],)
         out: list[int] = []
         for part in (_merge_short if len(word) <= 48 else _merge_long)(word, self.score):
             i = self.ids.get(part)
@@ -197,6 +215,13 @@ class PieceModel:
 
     def encode_spans(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids, and for each the first and the end byte of its source span."""
+        if self.plain() and MARK not in text and self.byte_fallback:
+            # blanks are one byte on either side, so the widths of the pieces tell the spans
+            if not text:
+                return (np.zeros(0, np.int32),) * 3
+            ids = self._ids((MARK if self.dummy_prefix else "") + text.replace(" ", MARK))
+            end = np.cumsum(self.source_width[ids]) - int(self.dummy_prefix)
+            return ids, np.maximum(end - self.source_width[ids], 0), end
         normalized, align = self.normalize(text)
         ids = self._ids(normalized)
         if not self.byte_fallback and (ids == self.unknown).any():
@@ -243,18 +268,23 @@ class PieceModel:
 
 
 class _Memo(dict):
-    """Word to ids; emptied when full, so memory stays bounded and every later
-    word can be remembered again."""
+    """Word to ids in two generations: when the young one is full it becomes
+    the old one, and words met again move back. Memory stays bounded, frequent
+    words stay, and every new word can be remembered."""
 
     def __init__(self, encode):
         super().__init__()
         self.encode = encode
+        self.old: dict[str, tuple[int, ...]] = {}
 
     def __missing__(self, word: str) -> tuple[int, ...]:
-        if len(self) >= MEMO_WORDS:
-            self.clear()
-        ids = self.encode(word)
+        ids = self.old.get(word)
+        if ids is None:
+            ids = self.encode(word)
         if len(word) <= 64:
+            if len(self) >= MEMO_WORDS:
+                self.old = dict(self)
+                self.clear()
             self[word] = ids
         return ids
 
@@ -341,13 +371,16 @@ def encode_documents(docs: DataFrame, model_path: str, column: str = "text", *,
     return slim.mapInArrow(run, schema)
 
 
+def digest_columns() -> list[Column]:
+    """``ids_sha256``, ``decoded_sha256`` and ``n_span_bytes`` (source bytes that
+    the spans cover) of encoded rows."""
+    sha = lambda c: F.sha2(c.cast("binary"), 256)
+    return [sha(F.array_join(F.col("ids").cast("array<string>"), ",")).alias("ids_sha256"),
+            sha(F.col("decoded")).alias("decoded_sha256"),
+            F.coalesce(F.get("ends", F.size("ends") - 1) - F.get("begins", F.lit(0)), F.lit(0)).cast("long").alias("n_span_bytes")]
+
+
 def digests(docs: DataFrame, model_path: str, column: str = "text") -> DataFrame:
-    """``doc_id``, ``n_tokens``, ``ids_sha256``, ``decoded_sha256`` and
-    ``n_span_bytes`` (source bytes that the spans cover) per row."""
+    """``doc_id``, ``n_tokens`` and the digest columns per row."""
     enc = encode_documents(docs.select("doc_id", F.col(column).alias("text")), model_path, "text")
-    sha = lambda c: F.sha2(c.cast("binary"), 256)
-    return enc.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
-                      sha(F.array_join(F.col("ids").cast("array<string>"), ",")).alias("ids_sha256"),
-                      sha(F.col("decoded")).alias("decoded_sha256"),
-                      F.coalesce(F.get("ends", F.size("ends") - 1) - F.get("begins", F.lit(0)), F.lit(0))
-                      .cast("long").alias("n_span_bytes"))
+    return enc.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), *digest_columns())
