@@ -30,6 +30,7 @@ BUCKETS = 1 << 16          # per feature family
 DIM = 16
 GRAMS = (3, 4)             # bytes of an n-gram, borders included
 EPOCHS = 6
+LEAST_STEPS = 12_000      # small samples are gone over more often
 RATE = 0.5
 SAMPLE_PER_CLASS = 1500    # labelled rows of each class that the model is fitted on, at most
 FOLDS = 5
@@ -120,6 +121,7 @@ def train(rows: list[tuple[int, np.ndarray, np.ndarray]], epochs: int = EPOCHS,
     y = np.array([r[0] for r in rows], dtype=np.int64)
     if not len(y) or y.min() == y.max():
         return m
+    epochs = max(epochs, -(-LEAST_STEPS // len(rows)))
     step, steps = 0, epochs * len(rows)
     for _ in range(epochs):
         for i in rng.permutation(len(rows)):
