@@ -28,11 +28,6 @@ def list_offsets(arr: pa.Array) -> np.ndarray:
     return offs - offs[0] if len(offs) else np.zeros(1, dtype=np.int64)
 
 
-def flat_values(arr: pa.Array) -> pa.Array:
-    """Child values of a list array honouring slicing."""
-    return arr.flatten()
-
-
 def strings_to_bytes(arr: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Zero-copy view of a string array as (offsets int64, uint8 data)."""
     if pa.types.is_large_string(arr.type):
@@ -52,6 +47,51 @@ def strings_to_bytes(arr: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return offs - lo, data[lo:hi]
 
 
+class Memo(dict):
+    """Bounded per-task memo ``key -> encode(key)`` in two generations: a full
+    young generation becomes the old one, keys met again move back. Frequent
+    keys stay and new keys can always be remembered."""
+
+    def __init__(self, encode, size: int = 500_000):
+        super().__init__()
+        self.encode, self.size, self.old = encode, size, {}
+
+    def __missing__(self, key):
+        value = self.old[key] if key in self.old else self.encode(key)
+        if len(self) >= self.size:
+            self.old = dict(self)
+            self.clear()
+        self[key] = value
+        return value
+
+
+def decode_pieces(pieces) -> str:
+    """Text of a sequence of token bytes: pieces wait until, together, they are
+    valid UTF-8 without U+FFFD; what never becomes valid is dropped, with
+    everything after it."""
+    import codecs
+    whole = b"".join(pieces)
+    try:
+        text = whole.decode("utf-8")
+        if "\ufffd" not in text:
+            return text
+    except UnicodeDecodeError:
+        pass
+    step = codecs.getincrementaldecoder("utf-8")("strict")
+    out, waiting = [], ""
+    for piece in pieces:
+        try:
+            waiting += step.decode(piece)
+        except UnicodeDecodeError:
+            break
+        if "\ufffd" in waiting:
+            break
+        if not step.getstate()[0]:
+            out.append(waiting)
+            waiting = ""
+    return "".join(out)
+
+
 class Tokenizer:
     """Minimal tokenizer protocol used by the Spark jobs.
 
@@ -94,6 +134,8 @@ def _assemble(sents: pa.Array, tok: Tokenizer, eod: int | None) -> tuple[pa.Arra
     ids = tok.encode_arrow(flat)
     ids_offs = list_offsets(ids)
     vals = np.asarray(ids.flatten(), dtype=np.int64 if tok.id_type == pa.int64() else np.int32)
+    if len(vals) + len(sents) > 2 ** 31 - 1:
+        raise ValueError("more than 2^31 tokens in one Arrow batch; lower spark.sql.execution.arrow.maxRecordsPerBatch")
     lens = np.diff(ids_offs)
     doc_tok = ids_offs[doc_offs]
     nonzero = lens > 0

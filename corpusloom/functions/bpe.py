@@ -13,7 +13,7 @@ import json
 
 import pyarrow as pa
 
-from corpusloom.functions.base import Tokenizer
+from corpusloom.functions.base import Memo, Tokenizer
 from corpusloom.operators.text import GPT2_PATTERN
 
 
@@ -49,7 +49,7 @@ class Gpt2BpeTokenizer(Tokenizer):
         self.special_dec = {v: k for k, v in self.special.items()}
         self.vocab_size = len(self.encoder) + len(self.special)
         self.eod = self.encoder.get(eod_token, self.special.get(eod_token))
-        self._memo: dict[str, list[int]] = {}
+        self._memo = Memo(self._encode_piece)
         self._pat = None
 
     @classmethod
@@ -66,9 +66,13 @@ class Gpt2BpeTokenizer(Tokenizer):
     def __getstate__(self):
         d = dict(self.__dict__)
         d["_pat"] = None
-        d["_memo"] = {}
+        del d["_memo"]
         return d
 
+    def __setstate__(self, state):
+        self.__dict__.update(state)
+        self._memo = Memo(self._encode_piece)
+
     @property
     def pattern(self):
         if self._pat is None:
@@ -100,24 +104,16 @@ class Gpt2BpeTokenizer(Tokenizer):
             word = merged
         return word
 
+    def _encode_piece(self, piece: str) -> list[int]:
+        syms = "".join(self.byte_enc[b] for b in piece.encode("utf-8"))
+        return [self.special[s] if s in self.special else self.encoder.get(s, 0) for s in self.bpe(syms)]
+
     def encode_piece(self, piece: str) -> list[int]:
-        ids = self._memo.get(piece)
-        if ids is None:
-            syms = "".join(self.byte_enc[b] for b in piece.encode("utf-8"))
-            ids = [self.special[s] if s in self.special else self.encoder.get(s, 0)
-                   for s in self.bpe(syms)]
-            if len(self._memo) < 1_000_000:
-                self._memo[piece] = ids
-        return ids
+        return self._memo[piece]
 
     def encode_batch(self, texts):
-        out = []
-        for t in texts:
-            ids = []
-            for piece in self.pattern.findall(t):
-                ids.extend(self.encode_piece(piece))
-            out.append(ids)
-        return out
+        memo = self._memo
+        return [[i for piece in self.pattern.findall(t) for i in memo[piece]] for t in texts]
 
     def encode_pieces_arrow(self, pieces: pa.Array) -> pa.Array:
         """Encode strings that are already single pieces (dictionary strategy)."""

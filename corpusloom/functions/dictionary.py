@@ -1,82 +1,58 @@
 """Dictionary strategy for tokenizers with a word boundary.
 
-distinct pieces of the pre-tokenized text → encode each once
-(``mapInArrow``) → apply to every document. Under a checked size the encoded
-dictionary is broadcast and documents are encoded by lookups in one narrow
-stage. Beyond it the pieces are joined back (a sort-merge join whose hot keys
-such as " the" AQE splits) and regrouped per document, ordered by position; a
-regroup collects one document's pieces, a group bounded by the document.
+The pieces of a batch of documents arrive from the JVM's pre-tokenizer as one
+Arrow list column. Arrow's dictionary encoding finds the distinct ones, each
+is encoded once (and remembered by the tokenizer's bounded memo across
+batches), and numpy gathers the ids back to the documents by index. The stage
+is narrow: no piece crosses a shuffle or the driver, frequent pieces make no
+hot key, rows with equal ids stay apart, and it is the same at every size.
 """
 
 from __future__ import annotations
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusloom.functions.base import Tokenizer, encode_column
-from corpusloom.session import checkpoint
+from corpusloom.functions.base import Tokenizer, list_offsets
 
 
-def encode_by_dictionary(df: DataFrame, id_col: str, text_col: str, piece_encoder: Tokenizer,
-                         pretokenize, append_eod: bool = False,
-                         broadcast_limit: int = 2_000_000) -> DataFrame:
-    """``(id, token_ids)`` for every row of ``df`` (empty text → ``[]``).
+def gather_lists(values: np.ndarray, offsets: np.ndarray, index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Concatenation of the lists ``index`` of a ragged array, and its offsets."""
+    size = np.diff(offsets)[index]
+    end = np.concatenate(([0], np.cumsum(size)))
+    at = np.arange(end[-1]) - np.repeat(end[:-1], size) + np.repeat(offsets[:-1][index], size)
+    return values[at], end
+
 
-    The distinct pieces (deduplicated map-side before the shuffle) are
-    encoded once. When the dictionary has at most ``broadcast_limit`` pieces
-    (counted first) it is broadcast and every document is encoded by
-    lookups in one narrow stage; otherwise the pieces are joined back
-    (AQE splits hot pieces) and regrouped per document.
-    """
+def encode_by_dictionary(df: DataFrame, id_col: str, text_col: str, piece_encoder: Tokenizer,
+                         pretokenize, append_eod: bool = False) -> DataFrame:
+    """``(id, token_ids)`` for every row of ``df`` (empty text → ``[]``)."""
     from corpusloom.session import prepare_session
     prepare_session(df.sparkSession)
-    pieces_col = pretokenize(F.col(text_col))
-    distinct = checkpoint(df.select(F.explode(pieces_col).alias("piece")).distinct())
-    n = distinct.count()
     eod = piece_encoder.eod if append_eod else None
-    # encoding is the expensive Python step: spread the (small) dictionary
-    # over all cores; AQE would otherwise coalesce it into one task
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    distinct = distinct.repartition(max(cores, n // 200_000 + 1))
-    if n <= broadcast_limit:
-        dictionary = encode_column(distinct.select("piece", F.col("piece").alias("_txt")),
-                                   piece_encoder, "_txt", "piece_ids", keep=["piece"])
-        # bounded by broadcast_limit (checked above); Arrow transfer, and all
-        # partitions encoded in parallel by one job
-        arrow = dictionary.toArrow()
-        table = dict(zip(arrow.column("piece").to_pylist(), arrow.column("piece_ids").to_pylist()))
-        bc = df.sparkSession.sparkContext.broadcast(table)
-        out_schema = T.StructType([df.schema[id_col], T.StructField("token_ids", T.ArrayType(T.IntegerType()), False)])
-
-        def run(batches):
-            d = bc.value
-            for b in batches:
-                rows = []
-                for ps in b.column("_pieces").to_pylist():
-                    ids = []
-                    for p in ps or ():
-                        ids.extend(d[p])
-                    if eod is not None and ids:
-                        ids.append(eod)
-                    rows.append(ids)
-                yield pa.RecordBatch.from_arrays([b.column(id_col), pa.array(rows, pa.list_(pa.int32()))],
-                                                 names=[id_col, "token_ids"])
-
-        return df.select(id_col, pieces_col.alias("_pieces")).mapInArrow(run, out_schema)
-
-    pieces = df.select(id_col, F.posexplode_outer(pieces_col).alias("pos", "piece"))
-    dictionary = encode_column(distinct.select("piece", F.col("piece").alias("_txt")),
-                               piece_encoder, "_txt", "piece_ids", keep=["piece"])
-    joined = pieces.join(dictionary, "piece", "left")
-    grouped = joined.groupBy(id_col).agg(
-        F.array_sort(F.collect_list(F.struct("pos", "piece_ids"))).alias("_p"))
-    ids: Column = F.flatten(F.transform(
-        F.filter("_p", lambda s: s["piece_ids"].isNotNull()), lambda s: s["piece_ids"]))
-    if eod is not None:
-        ids = F.when(F.size(ids) > 0, F.concat(ids, F.array(F.lit(eod)))).otherwise(ids)
-    return grouped.select(id_col, ids.alias("token_ids"))
+    schema = T.StructType([df.schema[id_col], T.StructField("token_ids", T.ArrayType(T.IntegerType()), False)])
+
+    def run(batches):
+        for b in batches:
+            pieces = b.column(1)
+            doc = list_offsets(pieces).astype(np.int64)  # a null list has no pieces
+            coded = pieces.flatten().dictionary_encode()
+            ids = piece_encoder.encode_arrow(coded.dictionary)
+            values, end = gather_lists(np.asarray(ids.flatten()), list_offsets(ids).astype(np.int64),
+                                       np.asarray(coded.indices))
+            bounds = end[doc]
+            if eod is not None:
+                full = np.diff(bounds) > 0
+                values = np.insert(values, bounds[1:][full], eod)
+                bounds = bounds + np.concatenate(([0], np.cumsum(full)))
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(values.astype(np.int32)))],
+                names=[id_col, "token_ids"])
+
+    return df.select(id_col, pretokenize(F.col(text_col)).alias("_pieces")).mapInArrow(run, schema)
 
 
 def piece_counts(df: DataFrame, text_col: str, pretokenize) -> DataFrame:

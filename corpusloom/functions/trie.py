@@ -4,33 +4,37 @@ Vocabulary file lines are ``id literal n_bytes`` where the literal is a
 Python string or bytes literal; its UTF-8 length must equal ``n_bytes``.
 Encoding walks the UTF-8 bytes and at each position takes the longest
 vocabulary entry that matches (tokens are looked up by length, longest
-first). Decoding concatenates bytes, stops at id 0 and drops an incomplete
-UTF-8 tail.
+first). Decoding stops at id 0; token bytes wait until they are valid UTF-8, and
+what never becomes valid ends the text.
 """
 
 from __future__ import annotations
 
 import ast
+import itertools
+import re
 
 import numpy as np
 import pyarrow as pa
 
-from corpusloom.functions.base import Tokenizer, list_offsets, strings_to_bytes
+from corpusloom.functions.base import Tokenizer, decode_pieces, strings_to_bytes
+
+
+VOCAB_LINE = re.compile(r"(\d+) (.*) (\d+)", re.S)
 
 
 def parse_vocab_line(line: str) -> tuple[int, bytes, int]:
     """One ``id literal n_bytes`` line → (id, token bytes, n_bytes)."""
-    first = line.index(" ")
-    last = line.rindex(" ")
-    idx = int(line[:first])
-    lit = ast.literal_eval(line[first:last].strip())
-    tok = lit.encode("utf-8") if isinstance(lit, str) else lit
-    if not isinstance(tok, bytes):
+    m = VOCAB_LINE.fullmatch(line.strip("\r\n"))
+    if m is None:
+        raise ValueError(f"not a vocabulary line: {line!r}")
+    value = ast.literal_eval(m[2].strip())
+    if not isinstance(value, (str, bytes)):
         raise ValueError(f"vocabulary literal is neither str nor bytes: {line!r}")
-    n = int(line[last:])
-    if len(tok) != n:
-        raise ValueError(f"length mismatch for id {idx}: {len(tok)} != {n}")
-    return idx, tok, n
+    token = value.encode("utf-8") if isinstance(value, str) else value
+    if len(token) != int(m[3]):
+        raise ValueError(f"length mismatch for id {m[1]}: {len(token)} != {m[3]}")
+    return int(m[1]), token, len(token)
 
 
 def format_vocab_line(idx: int, tok: bytes) -> str:
@@ -104,24 +108,8 @@ class TrieTokenizer(Tokenizer):
         return super().encode_arrow(texts)
 
     def decode_batch(self, ids):
-        out = []
-        for row in ids:
-            buf = bytearray()
-            for i in row:
-                if i == 0:
-                    break
-                buf += self.decoder.get(i, b"")
-            b = bytes(buf)
-            # drop an incomplete UTF-8 tail
-            for cut in range(len(b), max(len(b) - 4, -1), -1):
-                try:
-                    out.append(b[:cut].decode("utf-8"))
-                    break
-                except UnicodeDecodeError:
-                    continue
-            else:
-                out.append(b.decode("utf-8", errors="ignore"))
-        return out
+        known = self.decoder
+        return [decode_pieces([known.get(i, b"") for i in itertools.takewhile(bool, row)]) for row in ids]
 
 
 def byte_vocab_lines(offset: int = 1) -> list[str]:

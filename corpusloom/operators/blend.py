@@ -1,8 +1,7 @@
 """Weighted blend of corpora.
 
-``parse_blend`` follows the reference's list rule; ``blend_select`` applies
-the normalised weights to rows (our re-aim: the reference stops at the
-weights). Selection is exact and skew-safe: rows are ranked inside a corpus
+``parse_blend`` reads the list form; ``blend_select`` applies the normalised
+weights to rows. Selection is exact and skew-safe: rows are ranked inside a corpus
 by a seeded score without a window over the whole corpus. A histogram of the
 score's top bits per corpus (map-side combined) locates the bucket where the
 quota ends; only that one bucket per corpus is ranked exactly.
@@ -14,24 +13,24 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
+def _number(text: str) -> float | None:
+    try:
+        return float(text)
+    except ValueError:
+        return None
+
+
 def parse_blend(blend: list[str] | None) -> tuple[list[str], list[float] | None] | None:
-    """Odd length → prefixes only. Even length → (weight, prefix) pairs when
-    every weight parses as a number, else prefixes only (all-or-nothing,
-    Q25 fixed). Prefixes are stripped."""
+    """A list of ``weight prefix`` pairs gives prefixes and weights; any other
+    list (odd length, or a weight that is no number) is prefixes only. Blanks
+    around prefixes are dropped."""
     if blend is None:
         return None
-    if len(blend) % 2 == 1:
-        return [p.strip() for p in blend], None
-    weights, prefixes = [], []
-    for i in range(0, len(blend), 2):
-        try:
-            weights.append(float(blend[i]))
-        except ValueError:
-            weights.append(None)
-        prefixes.append(blend[i + 1])
-    if any(w is None for w in weights):
-        return [p.strip() for p in blend], None
-    return [p.strip() for p in prefixes], weights
+    names = [entry.strip() for entry in blend]
+    weights = [_number(w) for w in names[::2]]
+    if len(names) % 2 or None in weights:
+        return names, None
+    return names[1::2], weights
 
 
 def blend_table(spark: SparkSession, blend: list[str]) -> DataFrame:

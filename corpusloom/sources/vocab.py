@@ -8,8 +8,6 @@ before it is collected.
 
 from __future__ import annotations
 
-import json
-
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -59,8 +57,10 @@ def vocab_checks(vocab: DataFrame) -> DataFrame:
 def load_wordpiece_vocab(spark: SparkSession, path: str) -> DataFrame:
     """One token per line, id = line number, stripped; a later duplicate
     of a token wins (``max_by`` over the line number)."""
+    from corpusloom.operators.text import PY_WS
     lines = _text_lines(spark, path)
-    return (lines.select(F.trim("value").alias("token"), F.col("line_id").cast("int").alias("id"))
+    token = F.regexp_replace("value", f"^{PY_WS}+|{PY_WS}+$", "")
+    return (lines.select(token.alias("token"), F.col("line_id").cast("int").alias("id"))
             .groupBy("token").agg(F.max("id").alias("id")))
 
 
@@ -83,8 +83,3 @@ def collect_bounded(df: DataFrame, max_entries: int = MAX_VOCAB_ENTRIES) -> list
     if len(rows) > max_entries:
         raise ValueError(f"dimension table has more than {max_entries} rows; not collected")
     return rows
-
-
-def write_json(path: str, obj) -> None:
-    with open(path, "w", encoding="utf-8") as f:
-        json.dump(obj, f, ensure_ascii=False)

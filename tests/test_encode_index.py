@@ -66,13 +66,17 @@ def test_dtype_rules():
     assert index.padded_vocab_size(50257, 128, 1) == 50304
 
 
-def test_dictionary_strategy_paths_agree(spark):
+def test_dictionary_strategy_equals_row_strategy(spark):
     from corpusloom.functions.dictionary import encode_by_dictionary
     from corpusloom.operators.text import whitespace_tokenize
-    docs = spark.createDataFrame([(0, "a bb a"), (1, ""), (2, "ccc  bb"), (3, "é a")], "doc_id long, text string")
-    tok = ByteTokenizer(eod=None)
-    b = {r.doc_id: r.token_ids for r in encode_by_dictionary(docs, "doc_id", "text", tok, whitespace_tokenize).collect()}
-    j = {r.doc_id: r.token_ids for r in
-         encode_by_dictionary(docs, "doc_id", "text", tok, whitespace_tokenize, broadcast_limit=0).collect()}
-    assert b == j
-    assert b[0] == [98, 99, 99, 98] and b[1] == [] and b[3] == [196, 170, 98]
+    rows = [(0, "a bb a"), (1, ""), (2, "ccc  bb"), (3, "é a"), (3, "bb"), (4, None), (0, "a bb a")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for eod in (None, 7):
+        tok = ByteTokenizer(eod=eod)
+        got = encode_by_dictionary(docs, "doc_id", "text", tok, whitespace_tokenize, append_eod=eod is not None).collect()
+        want = []
+        for i, t in rows:
+            ids = [b + 1 for w in (t or "").split() for b in w.encode()]
+            want.append((i, ids + [eod] if ids and eod is not None else ids))
+        # rows that share an id stay apart
+        assert sorted((r.doc_id, list(r.token_ids)) for r in got) == sorted(want)

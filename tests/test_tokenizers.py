@@ -81,3 +81,53 @@ def test_trie_unknown_byte_names_it():
     t = TrieTokenizer.from_lines(["1 'a' 1"])
     with pytest.raises(ValueError, match="0x62"):
         t.tokenize("ab")
+
+
+def test_decode_waits_for_valid_text():
+    from corpusloom.functions.base import decode_pieces
+    from corpusloom.functions.trie import TrieTokenizer
+    assert decode_pieces([b"a", b"\xff", b"bcdefgh"]) == "a"
+    assert decode_pieces([b"a", b"\xc3", b"\xa9", b"b"]) == "aéb"
+    assert decode_pieces([b"ab", b"\xe2\x82"]) == "ab"
+    assert decode_pieces([b"x", "\ufffd".encode(), b"y"]) == "x"
+    assert decode_pieces([]) == ""
+
+    def slow(pieces):  # the rule, token by token
+        out, start = "", 0
+        for i in range(len(pieces)):
+            try:
+                t = b"".join(pieces[start:i + 1]).decode("utf-8")
+            except UnicodeDecodeError:
+                continue
+            if "\ufffd" not in t:
+                out, start = out + t, i + 1
+        return out
+    import random
+    r = random.Random(1)
+    parts = [b"a", b"\xff", b"\xc3", b"\xa9", "é€".encode(), b"\xe2\x82", b"\xac", "\ufffd".encode(), b"zz"]
+    for _ in range(3000):
+        p = [r.choice(parts) for _ in range(r.randrange(0, 8))]
+        assert decode_pieces(p) == slow(p)
+    tok = TrieTokenizer({bytes([b]): b + 1 for b in range(256)})
+    assert tok.decode_batch([[98, 256, 99], [98, 0, 99], []]) == ["a", "a", ""]
+
+
+def test_memo_keeps_learning():
+    from corpusloom.functions.base import Memo
+    calls = []
+    memo = Memo(lambda k: calls.append(k) or k * 2, size=2)
+    assert [memo[k] for k in "abcdaabbcc"] == [k * 2 for k in "abcdaabbcc"]
+    assert len(memo) <= 2 and len(memo.old) <= 2
+
+
+def test_wordpiece_vocabulary_lines_are_stripped_of_all_white_space(spark, tmp):
+    import os
+    from corpusloom.functions.wordpiece import WordPieceTokenizer
+    from corpusloom.sources.vocab import load_wordpiece_vocab
+    path = os.path.join(tmp, "v.txt")
+    lines = ["[UNK]", "\tab\t", "##c\u3000 ", " \x0bde ", "ab"]
+    with open(path, "w", encoding="utf-8") as f:
+        f.write("\n".join(lines) + "\n")
+    got = {r.token: r.id for r in load_wordpiece_vocab(spark, path).collect()}
+    assert got == WordPieceTokenizer.from_lines(lines).vocab == {"[UNK]": 0, "##c": 2, "de": 3, "ab": 4}
+    assert WordPieceTokenizer(got).encode_batch(["abc ab-x de"]) == [[4, 2, 4, 0, 0, 3]]
