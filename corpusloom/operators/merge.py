@@ -16,6 +16,7 @@ from __future__ import annotations
 import os
 import struct
 import uuid
+from bisect import bisect_right
 
 import numpy as np
 import pandas as pd
@@ -87,6 +88,8 @@ def gather_binidx(spark: SparkSession, targets: dict[str, list[tuple[str, int, i
             h = headers[prefix]
             rows.append([prefix, h.dtype, h.n_seq, h.n_doc_idx, lo, hi, seq_base, byte_base, doc_base])
             seq_base += hi - lo
+            # from the pointers at the piece's ends (20 bytes of the index)
+            byte_base += _piece_bytes(prefix, h, lo, hi)
             if documents == "keep":
                 # doc entries of this piece: documents ending inside (lo, hi]
                 doc_base += _docs_ending_in(prefix, h, lo, hi)
@@ -94,18 +97,7 @@ def gather_binidx(spark: SparkSession, targets: dict[str, list[tuple[str, int, i
         D = 1 + (S if documents == "sequence" else doc_base)
         for r in rows:
             plan.append((out_prefix, *r, S, D))
-        layout[out_prefix] = (S, D)
-    # byte bases need the pieces' byte sizes: from the pointer of the first
-    # sequence of each piece (read on the driver: 16 bytes per piece)
-    byte_sizes = {}
-    for out_prefix, pieces in targets.items():
-        base = 0
-        for prefix, lo, hi in pieces:
-            byte_sizes[(out_prefix, prefix, lo)] = base
-            base += _piece_bytes(prefix, headers[prefix], lo, hi)
-        layout[out_prefix] = (*layout[out_prefix], base)
-    plan = [(o, p, dt, ns, nd, lo, hi, sb, byte_sizes[(o, p, lo)], db, S, D)
-            for (o, p, dt, ns, nd, lo, hi, sb, _bb, db, S, D) in plan]
+        layout[out_prefix] = (S, D, byte_base)
     tag = uuid.uuid4().hex[:8]
     for out_prefix, (S, D, total_bin) in layout.items():
         os.makedirs(os.path.dirname(out_prefix) or ".", exist_ok=True)
@@ -153,10 +145,9 @@ def gather_binidx(spark: SparkSession, targets: dict[str, list[tuple[str, int, i
                         ent = np.arange(r.seq_base + 1, r.seq_base + (r.hi - r.lo) + 1, dtype="<i8")
                         os.pwrite(fi, ent.tobytes(), HEADER_SIZE + 12 * S + 8 * (1 + r.seq_base))
                     else:
-                        d = np.asarray(doc_idx, dtype=np.int64)
-                        sel = d[1:][(d[1:] > r.lo) & (d[1:] <= r.hi)] if r.hi > r.lo else d[1:][:0]
-                        if r.lo == 0:  # empty documents at the start of the source
-                            sel = np.concatenate((d[1:][d[1:] == 0], sel))
+                        # documents that end in (lo, hi]; the first piece also has the empty ones at the start
+                        a = 1 if r.lo == 0 else bisect_right(doc_idx, r.lo)
+                        sel = np.array(doc_idx[a:bisect_right(doc_idx, r.hi)], dtype=np.int64)
                         ent = (sel - r.lo + r.seq_base).astype("<i8")
                         os.pwrite(fi, ent.tobytes(), HEADER_SIZE + 12 * S + 8 * (1 + r.doc_base))
                 finally:
@@ -182,11 +173,7 @@ def _docs_ending_in(prefix: str, h, lo: int, hi: int) -> int:
     documents whose end falls in (lo, hi], plus leading empty documents when
     the piece starts the source."""
     _, _, doc_idx, _ = _index_arrays(prefix, h, False)
-    d = np.asarray(doc_idx[1:], dtype=np.int64)
-    n = int(np.searchsorted(d, hi, side="right") - np.searchsorted(d, lo, side="right"))
-    if lo == 0:
-        n += int(np.searchsorted(d, 0, side="right"))
-    return n
+    return bisect_right(doc_idx, hi) - (1 if lo == 0 else bisect_right(doc_idx, lo))
 
 
 def _piece_bytes(prefix: str, h, lo: int, hi: int) -> int:

@@ -17,6 +17,7 @@ import os
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpusloom.functions.base import encode_documents
 from corpusloom.operators import parse, partition, text
@@ -31,22 +32,42 @@ from corpusloom.spec import CorpusSpec
 PART_SPACE = 10 ** 12  # part ids of key k live in [k * PART_SPACE, (k + 1) * PART_SPACE)
 
 
+def classify_columns(lines: DataFrame, keys: list[str]) -> DataFrame:
+    """Parquet columns as the JSON keys are read: a string is one sentence, a
+    list of strings several, null an empty one; a list with a null, or a column
+    of another type that is not null, is ``bad_type``. ``value`` holds the keys
+    as JSON, for the quarantine."""
+    texts, bad = [], F.lit(False)
+    for k in keys:
+        kind, col = lines.schema[k].dataType, F.col(f"`{k}`")
+        if isinstance(kind, T.StringType):
+            texts.append(F.array(F.coalesce(col, F.lit(""))))
+        elif isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.StringType):
+            texts.append(F.coalesce(col, F.array(F.lit(""))))
+            bad = bad | F.coalesce(F.exists(col, lambda x: x.isNull()), F.lit(False))
+        else:
+            texts.append(F.array(F.lit("")))
+            bad = bad | col.isNotNull()
+    rest = [c for c in lines.columns if c not in keys and c != "value"]
+    return lines.select(*rest, F.to_json(F.struct(*[F.col(f"`{k}`") for k in keys])).alias("value"),
+                        F.when(bad, "bad_type").alias("reason"), *[t.cast("array<string>").alias(k) for t, k in zip(texts, keys)])
+
+
 def prepared_records(spark: SparkSession, spec: CorpusSpec) -> tuple[DataFrame, DataFrame]:
     """``(classified lines, records(line_id, part, key_idx, sentences))``."""
     keys = list(spec.json_keys)
     if spec.input_format == "parquet":
         lines = read_parquet_corpus(spark, spec.input)
-        cls = lines.select("*", F.lit(None).cast("string").alias("reason"),
-                           *[F.array(F.coalesce(F.col(k).cast("string"), F.lit(""))).alias(f"_k_{k}")
-                             for k in keys])
-        cls = cls.drop(*keys).select("*", *[F.col(f"_k_{k}").alias(k) for k in keys]).drop(*[f"_k_{k}" for k in keys])
+        cls = classify_columns(lines, keys)
     else:
-        cls = parse.classify(read_lines(spark, spec.input), keys)
+        lines = read_lines(spark, spec.input)
+        cls = parse.classify(lines, keys)
     ok = cls.where(F.col("reason").isNull())
     if spec.partitions > 1:
         # R1/R2 + R3: lines in merged order (part, line); one range shuffle of
         # the text puts every partition on a contiguous run of that order.
-        parted = (partition.sequential(ok, spec.partitions) if spec.keep_sequential_samples
+        # R2 counts every line, accepted or not
+        parted = (partition.sequential(ok, spec.partitions, n_lines=lines.count()) if spec.keep_sequential_samples
                   else partition.round_robin(ok, spec.partitions))
         if spec.merge_partitions:
             parted = parted.repartitionByRange(max(spec.partitions, target_partitions(parted)),
@@ -75,12 +96,18 @@ def prepared_records(spark: SparkSession, spec: CorpusSpec) -> tuple[DataFrame,
 
 def input_fingerprint(spark: SparkSession, spec: CorpusSpec) -> str:
     """Fingerprint of the input files (path, size, modification time,
-    from the file system listing) and of the job parameters."""
+    from the file system listing), of the job parameters and of the contents
+    of the tokenizer's files."""
     import hashlib
     import json
     from corpusloom.sources.corpus import _hadoop_fs
     fs, root = _hadoop_fs(spark, spec.input)
     h = hashlib.sha256(json.dumps({k: str(v) for k, v in sorted(spec.__dict__.items())}).encode())
+    tok = spec.tokenizer
+    for path in (tok.vocab_file, tok.merges_file, tok.tokenizer_model):
+        for name in sorted(_files_of(path)):
+            with open(name, "rb") as f:
+                h.update(repr((name, hashlib.file_digest(f, "sha256").hexdigest())).encode())
     it = fs.listFiles(root, True)
     files = []
     while it.hasNext():
@@ -91,6 +118,14 @@ def input_fingerprint(spark: SparkSession, spec: CorpusSpec) -> str:
     return h.hexdigest()
 
 
+def _files_of(path: str | None) -> list[str]:
+    if not path or not os.path.exists(path):
+        return []
+    if os.path.isfile(path):
+        return [path]
+    return [os.path.join(d, n) for d, _, names in os.walk(path) for n in names]
+
+
 def build_corpus(spark: SparkSession, spec: CorpusSpec, resume: bool = True) -> dict:
     """The whole build. With ``resume``, a finished build whose manifest
     carries the same input fingerprint is returned without recomputation
@@ -103,8 +138,7 @@ def build_corpus(spark: SparkSession, spec: CorpusSpec, resume: bool = True) ->
     if resume and os.path.exists(manifest):
         with open(manifest, encoding="utf-8") as f:
             done = json.load(f)
-        outs = [v for k, v in done.get("result", {}).items() if k in spec.json_keys]
-        if done.get("fingerprint") == fp and all(os.path.exists(o + ".idx") or os.path.isdir(o) for o in outs):
+        if done.get("fingerprint") == fp and all(map(_complete, _outputs(spec, done["result"]))):
             return done["result"]
     result = _build(spark, spec)
     with open(manifest + ".tmp", "w", encoding="utf-8") as f:
@@ -113,6 +147,25 @@ def build_corpus(spark: SparkSession, spec: CorpusSpec, resume: bool = True) ->
     return result
 
 
+def _outputs(spec: CorpusSpec, result: dict) -> list[str]:
+    """Dataset prefixes (or folders of datasets) that a build has written."""
+    return list(result["files"].values()) if spec.per_file else [result[k] for k in spec.json_keys]
+
+
+def _complete(output: str) -> bool:
+    """Both files of a dataset are there, with the sizes that its header gives."""
+    from corpusloom.sources.binidx import list_prefixes, read_header
+    prefixes = list_prefixes(output) if os.path.isdir(output) else [output]
+    for p in prefixes:
+        try:
+            h = read_header(p)
+        except (OSError, ValueError):
+            return False
+        if h.bin_size < 0 or os.path.getsize(p + ".idx") < 34 + 12 * h.n_seq + 8 * h.n_doc_idx:
+            return False
+    return bool(prefixes)
+
+
 def _build(spark: SparkSession, spec: CorpusSpec) -> dict:
     tok = spec.tokenizer.build()
     dtype = spec.dtype or optimal_dtype(tok.vocab_size)

@@ -36,6 +36,7 @@ import os
 import shutil
 import struct
 import uuid
+from bisect import bisect_left, bisect_right
 from dataclasses import dataclass, field
 from typing import Iterator
 
@@ -59,6 +60,10 @@ _ARROW_ELEM = {"uint8": pa.int16(), "int8": pa.int8(), "int16": pa.int16(), "uin
                "int32": pa.int32(), "int64": pa.int64(), "float32": pa.float32(), "float64": pa.float64()}
 
 
+# Bytes of tokens in one Arrow batch of the reader, at most (unless one sequence is longer).
+BATCH_BYTES = 64 << 20
+
+
 @dataclass
 class Header:
     prefix: str
@@ -211,9 +216,7 @@ class BinIdxReader(DataSourceReader):
             n_items = h.n_doc_idx - 1 if self.table == "documents" else h.n_seq
             size = max(h.bin_size, 0) if self.table != "documents" and self.columns != "index" else 12 * n_items
             n_split = max(1, -(-size // self.target), -(-n_items // self.max_rows))
-            step = max(1, -(-n_items // n_split)) if n_items else 1
-            for lo in range(0, max(n_items, 1), step):
-                hi = min(n_items, lo + step)
+            for lo, hi in self._cuts(prefix, h, n_items, n_split):
                 if hi > lo:
                     parts.append(_Range(prefix, h.dtype, lo, hi, seq_base, doc_base,
                                         h.n_seq, h.n_doc_idx, h.bin_size))
@@ -221,6 +224,19 @@ class BinIdxReader(DataSourceReader):
             doc_base += max(h.n_doc_idx - 1, 0)
         return parts or [_Range("", "int32", 0, 0, 0, 0, 0, 0, 0)]
 
+    def _cuts(self, prefix: str, h: Header, n_items: int, n: int):
+        """Ranges of a file: ``n`` of about equal bytes of ``.bin``, found by
+        bisecting the pointers (a few page reads per cut), and none of more than
+        ``rowsPerPartition`` items."""
+        edges = [n_items * k // n for k in range(n + 1)]
+        if n > 1 and self.table != "documents" and self.columns != "index":
+            pointers = _index_arrays(prefix, h, False)[1]
+            by_bytes = [bisect_left(pointers, h.bin_size * k // n) for k in range(1, n)]
+            edges = sorted({0, n_items, *by_bytes})
+        for lo, hi in zip(edges, edges[1:]):
+            for a in range(lo, hi, self.max_rows):
+                yield a, min(hi, a + self.max_rows)
+
     def _range_partitions(self, ranges_path: str):
         """Explicit ``(prefix, lo, hi, tag)`` ranges (JSON lines), e.g. the
         chunks of a reshard plan: each becomes one input partition."""
@@ -259,16 +275,25 @@ class BinIdxReader(DataSourceReader):
             return
         chunk = 1 << 16
         for lo in range(part.lo, part.hi, chunk):
-            hi = min(part.hi, lo + chunk)
-            yield self._batch(part, h, lengths, pointers, doc_idx, modes, lo, hi)
+            end = min(part.hi, lo + chunk)
+            while lo < end:  # a batch holds at most BATCH_BYTES of tokens, or one sequence
+                hi = end if self.columns == "index" else max(
+                    lo + 1, bisect_right(pointers, int(pointers[lo]) + BATCH_BYTES, lo, end) - 1)
+                if end - hi <= 1 and int(pointers[end - 1]) + int(lengths[end - 1]) * h.itemsize - int(pointers[lo]) <= BATCH_BYTES:
+                    hi = end
+                yield self._batch(part, h, lengths, pointers, doc_idx, modes, lo, hi)
+                lo = hi
 
     def _batch(self, part, h, lengths, pointers, doc_idx, modes, lo, hi):
         seq = np.arange(lo, hi, dtype=np.int64)
         lens = np.asarray(lengths[lo:hi], dtype=np.int32)
         ptrs = np.asarray(pointers[lo:hi], dtype=np.int64)
         # document of each sequence: last boundary <= seq (binary search on the map)
-        docs = np.searchsorted(doc_idx, seq, side="right") - 1
-        first = np.asarray(doc_idx[docs], dtype=np.int64)
+        # (only the boundaries around this window are read)
+        d0, d1 = bisect_right(doc_idx, lo) - 1, bisect_right(doc_idx, hi - 1)
+        bounds = np.array(doc_idx[d0:d1], dtype=np.int64)
+        at = np.searchsorted(bounds, seq, side="right") - 1
+        docs, first = at + d0, bounds[at]
         n = hi - lo
         arrays = [pa.array([part.prefix] * n, pa.string()), pa.array(seq + part.seq_base), pa.array(seq),
                   pa.array(docs.astype(np.int64) + part.doc_base), pa.array((seq - first).astype(np.int32)),
@@ -409,9 +434,9 @@ class BinIdxWriter(DataSourceArrowWriter):
                 os.replace(tmp + ".bin", final + ".bin")
                 os.replace(tmp + ".idx", final + ".idx")
         tags = [t for m in messages for t in m.tags]
-        if tags:  # which part holds what (e.g. the input file of a split)
+        if tags:  # which part holds what (e.g. the input file of a split); an overwrite starts anew
             import json
-            with open(os.path.join(self.path, "_parts.jsonl"), "a", encoding="utf-8") as f:
+            with open(os.path.join(self.path, "_parts.jsonl"), "w" if self.overwrite else "a", encoding="utf-8") as f:
                 for name, t in sorted(tags):
                     f.write(json.dumps({"part": name, "tag": t}) + "\n")
         shutil.rmtree(os.path.join(self.path, "_temporary"), ignore_errors=True)
