@@ -21,6 +21,7 @@ from bisect import bisect_right
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from corpusloom.sources.binidx import (HEADER_SIZE, MAGIC, VERSION, _index_arrays, list_prefixes,
                                        read_binidx, read_header)
@@ -56,118 +57,132 @@ def merge_binidx(spark: SparkSession, prefixes: list[str], out_prefix: str, mult
 def gather_binidx(spark: SparkSession, targets: dict[str, list[tuple[str, int, int]]],
                   documents: str = "keep", multimodal: bool = False, headers: dict | None = None) -> dict:
     """Write every target dataset as the concatenation of its pieces
-    ``(source prefix, first sequence, end sequence)``, in the given order.
+    ``(source prefix, first sequence, end sequence)``, in the given order
+    (a list on the driver; ``gather_table`` takes a table of any length)."""
+    from corpusloom.session import prepare_session
+    prepare_session(spark)
+    headers = dict(headers or {})
+    rows = []
+    for out, pieces in targets.items():
+        seq = byte = doc = 0
+        if not pieces:
+            rows.append((out, "", "uint16", 0, 0, 0, 0, 0, 0, 0, 0))
+        for prefix, lo, hi in pieces:
+            h = headers.setdefault(prefix, None) or read_header(prefix)
+            headers[prefix] = h
+            n_bytes, n_docs = _piece_bytes(prefix, h, lo, hi), _docs_ending_in(prefix, h, lo, hi)
+            rows.append((out, prefix, h.dtype, lo, hi, seq, byte, doc, hi - lo, n_bytes, n_docs))
+            seq, byte, doc = seq + hi - lo, byte + n_bytes, doc + n_docs
+    return gather_table(spark, spark.createDataFrame(rows, PLAN_SCHEMA), documents, multimodal)
+
+
+# One row per piece: where it comes from, where it goes, and what it adds.
+PLAN_SCHEMA = ("out string, prefix string, dtype string, lo long, hi long, seq_base long, byte_base long, doc_base long, "
+               "n_seq long, n_bytes long, n_docs long")
+
+
+def gather_table(spark: SparkSession, plan: DataFrame, documents: str = "keep", multimodal: bool = False) -> dict:
+    """Write the datasets that ``plan`` (``PLAN_SCHEMA``) lays out.
 
     ``documents="keep"``: pieces are whole datasets (or consecutive ranges
     that together cover whole datasets) and their document boundaries are
     re-based. ``documents="sequence"``: every sequence becomes its own
     document (document index 0..S), as the re-sharder writes.
 
-    The driver reads headers and lays out every piece's offsets; one Spark
-    task per piece copies its byte range and writes its slices of the
-    index with ``os.pwrite``. No data is shuffled.
+    The driver sees one row per target: it makes the empty files. Tasks copy
+    pieces, several each, and write their slices of data and index at the
+    pieces' places with ``os.pwrite``; a retried task writes the same bytes.
     """
     from corpusloom.session import prepare_session
     prepare_session(spark)
-    headers = dict(headers or {})
-    for pieces in targets.values():
-        for p, _, _ in pieces:
-            if p not in headers:
-                headers[p] = read_header(p)
-    dtypes = {h.dtype for h in headers.values()}
+    sums = plan.groupBy("out").agg(F.sum("n_seq").alias("S"), F.sum("n_docs").alias("docs"), F.sum("n_bytes").alias("total"),
+                                   F.collect_set(F.when(F.col("prefix") != "", F.col("dtype"))).alias("dtypes"),
+                                   F.count(F.lit(1)).alias("pieces"))
+    targets = {r["out"]: r for r in sums.collect()}  # one row per target dataset
+    dtypes = {d for r in targets.values() for d in r["dtypes"]}
     if len(dtypes) > 1:
         raise ValueError(f"cannot combine datasets of different dtypes: {sorted(dtypes)} (Q18)")
     dtype = dtypes.pop() if dtypes else "uint16"
-    item = DTYPE_SIZES[dtype]
-    plan, layout = [], {}
-    for out_prefix, pieces in targets.items():
-        S = D = 0
-        seq_base = byte_base = doc_base = 0
-        rows = []
-        for prefix, lo, hi in pieces:
-            h = headers[prefix]
-            rows.append([prefix, h.dtype, h.n_seq, h.n_doc_idx, lo, hi, seq_base, byte_base, doc_base])
-            seq_base += hi - lo
-            # from the pointers at the piece's ends (20 bytes of the index)
-            byte_base += _piece_bytes(prefix, h, lo, hi)
-            if documents == "keep":
-                # doc entries of this piece: documents ending inside (lo, hi]
-                doc_base += _docs_ending_in(prefix, h, lo, hi)
-        S = seq_base
-        D = 1 + (S if documents == "sequence" else doc_base)
-        for r in rows:
-            plan.append((out_prefix, *r, S, D))
-        layout[out_prefix] = (S, D, byte_base)
     tag = uuid.uuid4().hex[:8]
-    for out_prefix, (S, D, total_bin) in layout.items():
-        os.makedirs(os.path.dirname(out_prefix) or ".", exist_ok=True)
-        with open(f"{out_prefix}.bin.{tag}", "wb") as f:
-            f.truncate(total_bin)
-        with open(f"{out_prefix}.idx.{tag}", "wb") as f:
-            f.truncate(HEADER_SIZE + 12 * S + 8 * D + (S if multimodal else 0))
-            f.write(MAGIC + struct.pack("<Q", VERSION) + struct.pack("<B", DTYPE_CODES[dtype])
-                    + struct.pack("<QQ", S, D))
+    entries = {}
+    for out, r in targets.items():
+        S, docs = r["S"], 1 + (r["S"] if documents == "sequence" else r["docs"])
+        entries[out] = (S, docs)
+        os.makedirs(os.path.dirname(out) or ".", exist_ok=True)
+        with open(f"{out}.bin.{tag}", "wb") as f:
+            f.truncate(r["total"])
+        with open(f"{out}.idx.{tag}", "wb") as f:
+            f.truncate(HEADER_SIZE + 12 * S + 8 * docs + (S if multimodal else 0))
+            f.write(MAGIC + struct.pack("<Q", VERSION) + struct.pack("<B", DTYPE_CODES[dtype]) + struct.pack("<QQ", S, docs))
             f.seek(HEADER_SIZE + 12 * S)
             f.write(struct.pack("<q", 0))
-    schema = ("out string, prefix string, dtype string, n_seq long, n_doc_idx long, lo long, hi long, "
-              "seq_base long, byte_base long, doc_base long, S long, D long")
-    plan_df = spark.createDataFrame(plan, schema).repartition(max(1, len(plan)))
+    n_pieces = sum(r["pieces"] for r in targets.values())
+    # enough tasks for every core, not one for each piece
+    tasks = max(1, min(n_pieces, 4 * spark.sparkContext.defaultParallelism + n_pieces // 64))
+    item = DTYPE_SIZES[dtype]
 
     def copy(batches):
         from corpusloom.sources.binidx import Header
         for pdf in batches:
             done = []
             for r in pdf.itertuples(index=False):
-                h = Header(r.prefix, r.dtype, r.n_seq, r.n_doc_idx, -1)
-                lengths, pointers, doc_idx, modes = _index_arrays(r.prefix, h, multimodal)
-                S, D = r.S, r.D
-                fi = os.open(f"{r.out}.idx.{tag}", os.O_WRONLY)
-                fb = os.open(f"{r.out}.bin.{tag}", os.O_WRONLY)
-                try:
-                    if r.hi > r.lo:
-                        lens = np.asarray(lengths[r.lo:r.hi], "<i4")
-                        os.pwrite(fi, lens.tobytes(), HEADER_SIZE + 4 * r.seq_base)
-                        start = int(pointers[r.lo])
-                        ptr = np.asarray(pointers[r.lo:r.hi], "<i8") - start + r.byte_base
-                        os.pwrite(fi, ptr.tobytes(), HEADER_SIZE + 4 * S + 8 * r.seq_base)
-                        if multimodal:
-                            os.pwrite(fi, np.asarray(modes[r.lo:r.hi], "i1").tobytes(),
-                                      HEADER_SIZE + 12 * S + 8 * D + r.seq_base)
-                        end = int(pointers[r.hi - 1]) + int(lengths[r.hi - 1]) * h.itemsize
-                        with open(r.prefix + ".bin", "rb") as src:
-                            src.seek(start)
-                            pos, step = start, 64 << 20
-                            while pos < end:
-                                buf = src.read(min(step, end - pos))
-                                os.pwrite(fb, buf, r.byte_base + pos - start)
-                                pos += len(buf)
-                    if documents == "sequence":
-                        ent = np.arange(r.seq_base + 1, r.seq_base + (r.hi - r.lo) + 1, dtype="<i8")
-                        os.pwrite(fi, ent.tobytes(), HEADER_SIZE + 12 * S + 8 * (1 + r.seq_base))
-                    else:
-                        # documents that end in (lo, hi]; the first piece also has the empty ones at the start
-                        a = 1 if r.lo == 0 else bisect_right(doc_idx, r.lo)
-                        sel = np.array(doc_idx[a:bisect_right(doc_idx, r.hi)], dtype=np.int64)
-                        ent = (sel - r.lo + r.seq_base).astype("<i8")
-                        os.pwrite(fi, ent.tobytes(), HEADER_SIZE + 12 * S + 8 * (1 + r.doc_base))
-                finally:
-                    os.close(fi)
-                    os.close(fb)
+                S, D = entries[r.out]
+                if r.prefix:
+                    head = read_header(r.prefix)
+                    h = Header(r.prefix, head.dtype, head.n_seq, head.n_doc_idx, -1)
+                    _copy_piece(r, h, S, D, f"{r.out}.idx.{tag}", f"{r.out}.bin.{tag}", item, documents, multimodal)
                 done.append((r.out, int(r.hi - r.lo)))
             yield pd.DataFrame(done, columns=["out", "n"])
 
-    copied = {r[0]: r[1] for r in plan_df.mapInPandas(copy, "out string, n long").groupBy("out")
+    copied = {r[0]: r[1] for r in plan.repartition(tasks).mapInPandas(copy, "out string, n long").groupBy("out")
               .agg({"n": "sum"}).collect()}
     result = {}
-    for out_prefix, (S, D, total_bin) in layout.items():
-        if copied.get(out_prefix, 0) != S:
-            raise RuntimeError(f"{out_prefix}: copied {copied.get(out_prefix, 0)} of {S} sequences")
-        os.replace(f"{out_prefix}.bin.{tag}", out_prefix + ".bin")
-        os.replace(f"{out_prefix}.idx.{tag}", out_prefix + ".idx")
-        result[out_prefix] = {"sequences": S, "documents": D - 1, "bytes": total_bin, "dtype": dtype}
+    for out, r in targets.items():
+        S, D = entries[out]
+        if copied.get(out, 0) != S:
+            raise RuntimeError(f"{out}: copied {copied.get(out, 0)} of {S} sequences")
+        os.replace(f"{out}.bin.{tag}", out + ".bin")
+        os.replace(f"{out}.idx.{tag}", out + ".idx")
+        result[out] = {"sequences": S, "documents": D - 1, "bytes": r["total"], "dtype": dtype}
     return result
 
 
+COPY_SEQUENCES = 1 << 20  # index entries written at a time
+
+
+def _copy_piece(r, h, S: int, D: int, idx: str, data: str, item: int, documents: str, multimodal: bool) -> None:
+    """One piece, in blocks: memory does not follow its number of sequences."""
+    lengths, pointers, doc_idx, modes = _index_arrays(r.prefix, h, multimodal)
+    fi, fb = os.open(idx, os.O_WRONLY), os.open(data, os.O_WRONLY)
+    try:
+        start = int(pointers[r.lo]) if r.hi > r.lo else 0
+        for a in range(r.lo, r.hi, COPY_SEQUENCES):
+            b, at = min(r.hi, a + COPY_SEQUENCES), r.seq_base + a - r.lo
+            os.pwrite(fi, np.array(lengths[a:b], "<i4").tobytes(), HEADER_SIZE + 4 * at)
+            os.pwrite(fi, (np.array(pointers[a:b], "<i8") - start + r.byte_base).tobytes(), HEADER_SIZE + 4 * S + 8 * at)
+            if multimodal:
+                os.pwrite(fi, np.array(modes[a:b], "i1").tobytes(), HEADER_SIZE + 12 * S + 8 * D + at)
+            if documents == "sequence":
+                os.pwrite(fi, np.arange(at + 1, at + 1 + b - a, dtype="<i8").tobytes(), HEADER_SIZE + 12 * S + 8 * (1 + at))
+        if r.hi > r.lo:
+            end = int(pointers[r.hi - 1]) + int(lengths[r.hi - 1]) * item
+            with open(r.prefix + ".bin", "rb") as src:
+                src.seek(start)
+                pos = start
+                while pos < end and (buf := src.read(min(64 << 20, end - pos))):
+                    os.pwrite(fb, buf, r.byte_base + pos - start)
+                    pos += len(buf)
+        if documents != "sequence":
+            # documents that end in (lo, hi]; the first piece also has the empty ones at the start
+            a, b = 1 if r.lo == 0 else bisect_right(doc_idx, r.lo), bisect_right(doc_idx, r.hi)
+            for k in range(a, b, COPY_SEQUENCES):
+                ent = np.array(doc_idx[k:min(b, k + COPY_SEQUENCES)], dtype="<i8") - r.lo + r.seq_base
+                os.pwrite(fi, ent.astype("<i8").tobytes(), HEADER_SIZE + 12 * S + 8 * (1 + r.doc_base + k - a))
+    finally:
+        os.close(fi)
+        os.close(fb)
+
+
 def _docs_ending_in(prefix: str, h, lo: int, hi: int) -> int:
     """Document-index entries (after the leading 0) that a piece contributes:
     documents whose end falls in (lo, hi], plus leading empty documents when

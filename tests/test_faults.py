@@ -112,3 +112,82 @@ def test_rebuild_after_the_vocabulary_changed(spark, tmp):
     write([(1, "a"), (2, "b"), (3, "aa")])
     assert tokens(spark, build_corpus(spark, spec)["text"]) == [[3, 2, 65532]]
     assert np.dtype("uint16").itemsize == 2
+
+
+def shard_tokens(spark, dirs):
+    import glob
+    files = sorted(p[:-4] for d in dirs for p in glob.glob(os.path.join(d, "shard_*", "*_final.idx")))
+    return sorted(tuple(r.tokens) for r in read_binidx(spark, ",".join(files)).collect())
+
+
+def numbered(n, at=0):
+    return [[[i + 1] * (1 + i % 5)] for i in range(at, at + n)]
+
+
+def test_reshard_runs_keep_finished_shards(spark, tmp):
+    from corpusloom.operators.reshard import reshard
+    outs = [os.path.join(tmp, "o1"), os.path.join(tmp, "o2")]
+    src = os.path.join(tmp, "src")
+    dataset(spark, os.path.join(src, "x"), numbered(40))
+    os.rename(os.path.join(src, "x"), os.path.join(tmp, "s1"))
+    s1, s2 = os.path.join(tmp, "s1"), os.path.join(tmp, "s2")
+    reshard(spark, [s1], outs, 2, target=16)
+    want = sorted(tuple(s) for d in numbered(40) for s in d)
+    assert shard_tokens(spark, outs) == want
+    dataset(spark, s2, numbered(10, 100))
+    reshard(spark, [s1, s2], outs, 2, target=64)  # a new source, and another chunk size
+    want = sorted(want + [tuple(s) for d in numbered(10, 100) for s in d])
+    assert shard_tokens(spark, outs) == want
+    assert reshard(spark, [s1, s2], outs, 3, target=32).count() == 0
+    assert shard_tokens(spark, outs) == want
+
+
+def test_reshard_resumes_partial_ranges_and_broken_files(spark, tmp):
+    import glob
+    from corpusloom.operators import reshard as R
+    s1, out = os.path.join(tmp, "s1"), os.path.join(tmp, "o")
+    prefix = dataset(spark, s1, numbered(40))
+    want = sorted(tuple(s) for d in numbered(40) for s in d)
+    # only sequences 4-7 are done; the next run uses another target size
+    R.reshard(spark, [s1], [out], 2, target=16)
+    listed = spark.read.parquet(os.path.join(out, "_manifest")).collect()
+    assert sum(r.end_doc - r.start_doc for r in listed) == 40 and all(r.src_path == prefix for r in listed)
+    table = R.chunk_table(spark, [s1], 1 << 20, done=spark.createDataFrame(
+        [(prefix, R.source_key(prefix), 4, 8)], "src_path string, source_key string, start_doc long, end_doc long"))
+    assert sorted((r.start_doc, r.end_doc) for r in table.collect()) == [(0, 4), (8, 40)]
+    # a shard file that was cut short is made again, and nothing twice
+    broken = sorted(glob.glob(os.path.join(out, "shard_*", "*.idx")))[0]
+    with open(broken, "r+b") as f:
+        f.truncate(60)
+    R.reshard(spark, [s1], [out], 2, target=48)
+    assert shard_tokens(spark, [out]) == want
+    # a run that died before its manifest append leaves files that the next run removes
+    stray = os.path.join(out, "shard_00", "data_00_r9_final")
+    for ext in (".idx", ".bin", ".idx.0123abcd"):
+        open(stray + ext, "wb").write(b"x")
+    R.reshard(spark, [s1], [out], 2, target=48)
+    assert not glob.glob(stray + "*") and shard_tokens(spark, [out]) == want
+
+
+def test_many_tiny_chunks(spark, tmp):
+    from corpusloom.operators.reshard import chunk_table, reshard
+    n = 20_000
+    s1 = os.path.join(tmp, "s1")
+    df = spark.range(n).selectExpr("0L AS part", "array(CAST(id % 60000 AS INT)) AS token_ids", "array(1) AS sentence_lens").coalesce(1)
+    write_binidx(df, s1)
+    assert chunk_table(spark, [s1], 2).count() == n
+    reshard(spark, [s1], [os.path.join(tmp, "o")], 5, target=2)
+    assert shard_tokens(spark, [os.path.join(tmp, "o")]) == sorted((i % 60000,) for i in range(n))
+
+
+def test_fingerprints_follow_lengths(spark, tmp):
+    from corpusloom.operators.reshard import FINGERPRINT_FACTOR, FINGERPRINT_PRIME, chunk_fingerprints, chunk_table
+    s1 = os.path.join(tmp, "s1")
+    dataset(spark, s1, numbered(50))
+    lengths = [1 + i % 5 for i in range(50)]
+    ch = chunk_table(spark, [s1], 20)
+    got = {r.id: r for r in chunk_fingerprints(spark, ch).collect()}
+    for c in ch.collect():
+        mine = lengths[c.start_doc:c.end_doc]
+        want = sum((v + 1) * (((i + 1) ** 2 % 2 ** 32) * FINGERPRINT_FACTOR % 2 ** 32) for i, v in enumerate(mine)) % FINGERPRINT_PRIME
+        assert (got[c.id].n_seq, got[c.id].first_len, got[c.id].last_len, got[c.id].fingerprint) == (len(mine), mine[0], mine[-1], want)

@@ -65,12 +65,12 @@ def test_lpt_invariants():
     assert loads.max() <= 4 / 3 * opt_lb + 1e-9
 
 
-def test_allocate_distributed_path(spark):
-    df = spark.createDataFrame([(f"c{i}", 10 + i % 3) for i in range(30)], "id string, byte_size long")
-    a = allocate(df, 4, exact_limit=0).collect()
-    assert len({r.chunk_id for r in a}) == 30
-    a2 = allocate(df, 4).collect()
-    assert len({r.chunk_id for r in a2}) == 30
+def test_allocation_does_not_depend_on_segments(spark):
+    df = spark.createDataFrame([(f"c{i}", 10 + i % 7) for i in range(60)], "id string, byte_size long")
+    whole = sorted(map(tuple, allocate(df, 4).collect()))
+    assert sorted(map(tuple, allocate(df, 4, segment=7).collect())) == whole
+    assert len({c for _, c, _ in whole}) == 60
+    assert allocate(df.limit(0), 4).count() == 0
 
 
 def test_parse_blend():
