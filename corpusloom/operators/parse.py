@@ -9,6 +9,10 @@ so only those lines pay for the second wrapper
 the value that does not start with ``}`` or ``,``. No line passes both wrappers
 unless it is exactly one JSON value.
 
+Spark's variant values are limited in size, so a long line that the variant
+parser refuses takes a second JVM route, ``from_json`` with the same two
+wrappers; no line is rejected for its length.
+
 Rejected lines get a reason: ``bad_utf8``, ``bad_json``, ``not_object`` or
 ``bad_type`` (a key value that is neither a string, a list of strings, null
 nor missing).
@@ -19,6 +23,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Refused lines above this many bytes are read again (shorter ones are no JSON).
+LONG_LINE = 8 << 20
+# from_json as strict as the variant parser, for strings of any length.
+_STRICT = "map('maxStringLen', '2147483647', 'allowNonNumericNumbers', 'false', 'allowSingleQuotes', 'false')"
 REASONS = ("bad_json", "not_object", "bad_type", "bad_utf8")
 
 
@@ -64,6 +72,31 @@ def _key_ok(kind: Column, sents: Column) -> Column:
     return good_kind & no_null_items
 
 
+def _long_route(value: str, keys: list[str]) -> tuple[Column, dict[str, tuple[Column, Column]]]:
+    """For long lines: the reason (NULL: accepted) and per key ``(sentences,
+    type is allowed)``. A key's raw text tells its type: only a list equals the
+    JSON form of its items read as strings when all of them are strings."""
+    def read(schema: str, text: str) -> str:
+        return f"from_json({text}, {_sql_str(schema)}, {_STRICT})"
+    whole, wrapped = f"concat('[', {value}, ']')", "concat('{\"k\":', " + value + ", '}')"
+    one = F.expr(f"size({read('array<string>', whole)}) = 1 AND {read('map<string,string>', wrapped)} IS NOT NULL")
+    is_object = F.expr(f"ltrim(' \\t', {value}) LIKE '{{%'")
+    fields, ok = {}, F.lit(True)
+    for k in keys:
+        name = "`" + k.replace("`", "``") + "`"
+        get = lambda kind, name=name, k=k: F.expr(f"get({read(f'array<struct<{name}:{kind}>>', whole)}, 0)").getField(k)
+        raw, items = get("string"), get("array<string>")
+        other = get("double").isNotNull() | get("boolean").isNotNull() | get("map<string,string>").isNotNull()
+        strings_only = (F.to_json(items) == raw) & ~F.exists(items, lambda x: x.isNull())
+        sentences = F.when(items.isNotNull(), items).otherwise(F.array(F.coalesce(raw, F.lit(""))))
+        allowed = F.when(items.isNotNull(), strings_only).otherwise(~other)
+        fields[k] = sentences, allowed
+        ok = ok & allowed
+    reason = (F.when(~F.coalesce(one, F.lit(False)), F.lit("bad_json")).when(~is_object, F.lit("not_object"))
+              .when(~ok, F.lit("bad_type")))
+    return reason, fields
+
+
 def classify(lines: DataFrame, keys=("text",), value: str = "value") -> DataFrame:
     """All input columns plus ``reason`` (NULL when accepted) and, for every
     key, an ``ARRAY<STRING>`` column named after the key: a string becomes a
@@ -88,9 +121,10 @@ def classify(lines: DataFrame, keys=("text",), value: str = "value") -> DataFram
                     F.lit("bad_json"))
               .when(~F.expr("schema_of_variant(_rec)").startswith("OBJECT"), F.lit("not_object"))
               .when(~type_ok, F.lit("bad_type")))
-    out_cols = [c for c in lines.columns]
-    return df.select(*out_cols, reason.alias("reason"),
-                     *[F.col(f"_s{i}").alias(k) for i, k in enumerate(keys)])
+    is_long = F.col("_a").isNull() & (F.octet_length(value) > LONG_LINE) & F.expr(f"is_valid_utf8({value})")
+    long_reason, long_keys = _long_route(value, keys)
+    return df.select(*lines.columns, F.when(is_long, long_reason).otherwise(reason).alias("reason"),
+                     *[F.when(is_long, long_keys[k][0]).otherwise(F.col(f"_s{i}")).alias(k) for i, k in enumerate(keys)])
 
 
 def records(classified: DataFrame, keys=("text",), id_col: str = "line_id") -> DataFrame:

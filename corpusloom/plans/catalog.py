@@ -19,7 +19,7 @@ from corpusloom.functions.byte_level import ByteTokenizer
 from corpusloom.functions.null import null_decode_expr, null_encode_expr
 from corpusloom.operators import chat, index, lookup, parse, partition, text
 from corpusloom.operators.parallel import balance
-from corpusloom.plans.fixtures import BUCKET_DOCS, documents_jsonl, events_jsonl, table
+from corpusloom.plans.fixtures import BUCKET_DOCS, documents_jsonl, events_jsonl, rename_to_jsonl, table
 from corpusloom.session import scratch_dir
 from corpusloom.sources.binidx import read_binidx, write_binidx
 from corpusloom.sources.corpus import read_lines
@@ -827,23 +827,6 @@ def _sql_wordpiece_text():
 SQL_WORDPIECE_TEXT = _sql_wordpiece_text()
 
 
-def q_hf_roundtrip(spark, sf_dir):
-    """``tokenizer.json`` (same byte-level BPE) through the installed
-    ``tokenizers`` package, batch-encoded per Arrow batch."""
-    from corpusloom.functions.adapters import HFTokenizerFile
-    from corpusloom.plans.vocab_fixtures import bpe_files, hf_tokenizer_file
-    docs = _docs(spark, sf_dir)
-    vj, mt = bpe_files(spark, docs)
-    tok = HFTokenizerFile(hf_tokenizer_file(spark, vj, mt))
-    enc = encode_documents(docs.select("doc_id", F.array("text").alias("sentences")), tok,
-                           keep=["doc_id"], append_eod=False)
-    return decode_column(enc.select("doc_id", "token_ids"), tok, "token_ids", "text").select(
-        F.col("doc_id").cast("long"), "text")
-
-
-SQL_HF_ROUNDTRIP = "SELECT doc_id, text FROM documents"
-
-
 QUERIES.update({
     "trie_roundtrip": (q_trie_roundtrip, SQL_TRIE_ROUNDTRIP),
     "vocab_checks": (q_vocab_checks, SQL_VOCAB_CHECKS),
@@ -851,7 +834,6 @@ QUERIES.update({
     "bpe_dictionary": (q_bpe_dictionary, SQL_BPE_DICTIONARY),
     "piece_counts": (q_piece_counts, None),
     "wordpiece_text": (q_wordpiece_text, SQL_WORDPIECE_TEXT),
-    "hf_roundtrip": (q_hf_roundtrip, SQL_HF_ROUNDTRIP),
 })
 
 
@@ -1187,20 +1169,25 @@ FROM w LEFT JOIN v ON v.piece = w.piece GROUP BY w.doc_id
 
 
 def q_chunk_fingerprints(spark, sf_dir):
-    """A7 + R8: fingerprint of every chunk, ``(num_docs, first_len,
-    last_len, hash of the length vector)``, computed from the index only;
-    the same fingerprint computed on the resharded outputs finds every chunk
-    again (the resume rule)."""
+    """Fingerprint of every chunk, computed from the index only."""
     from corpusloom.operators.reshard import chunk_fingerprints, chunk_table
     ch = chunk_table(spark, [_written_dataset(spark, sf_dir)], CHUNK_TARGET)
     fp = chunk_fingerprints(spark, ch).select("id", "n_seq", F.col("first_len").alias("fp_first"),
                                               F.col("last_len").alias("fp_last"), "fingerprint")
-    ok = (F.col("n_seq") == F.col("num_docs")) & (F.col("fp_first") == F.col("first_len")) & \
-        (F.col("fp_last") == F.col("last_len")) & F.col("fingerprint").isNotNull()
-    return _chunk_cols(ch.join(fp, "id").where(ok)).select("part", "start_doc", "num_docs", "first_len", "last_len")
-
-
-SQL_CHUNK_FINGERPRINTS = "SELECT part, start_doc, num_docs, first_len, last_len FROM (" + _sql_chunks() + ")"
+    part = F.regexp_extract("src_path", r"part-(\d+)$", 1).cast("long").alias("part")
+    return ch.join(fp, "id").select(part, *_long("start_doc", "n_seq", "fp_first", "fp_last", "fingerprint"))
+
+
+SQL_CHUNK_FINGERPRINTS = f"""
+WITH RECURSIVE ch AS ({_sql_chunks()}), {_SEQ_CTE},
+sx AS (SELECT doc_id // {PART_DOCS} AS part, (row_number() OVER (PARTITION BY doc_id // {PART_DOCS} ORDER BY seq_id) - 1)::BIGINT AS i,
+              length FROM q),
+j AS (SELECT ch.part, ch.start_doc, sx.length, (sx.i - ch.start_doc + 1)::HUGEINT AS k, ch.first_len, ch.last_len
+      FROM ch JOIN sx ON sx.part = ch.part AND sx.i >= ch.start_doc AND sx.i < ch.end_doc)
+SELECT part, start_doc, count(*)::BIGINT AS n_seq, any_value(first_len) AS fp_first, any_value(last_len) AS fp_last,
+       (sum((length + 1)::HUGEINT * ((k * k % 4294967296) * 2654435761 % 4294967296)) % 2305843009213693951)::BIGINT AS fingerprint
+FROM j GROUP BY part, start_doc
+"""
 
 
 def q_parquet_corpus(spark, sf_dir):
@@ -1252,25 +1239,6 @@ QUERIES.update({
 })
 
 
-def q_sp_roundtrip(spark, sf_dir):
-    """T5 (Llama-2 variant: BOS first) through the installed SentencePiece
-    package, one model per Python worker, batch-encoded per Arrow batch."""
-    from corpusloom.functions.adapters import SentencePieceTokenizer
-    from corpusloom.plans.vocab_fixtures import sentencepiece_model
-    docs = _docs(spark, sf_dir)
-    tok = SentencePieceTokenizer(sentencepiece_model(spark, docs), variant="llama2")
-    enc = encode_documents(docs.select("doc_id", F.array("text").alias("sentences")), tok,
-                           keep=["doc_id"], append_eod=False)
-    dec = decode_column(enc.select("doc_id", "token_ids", F.col("token_ids")[0].alias("first")), tok,
-                        "token_ids", "text")
-    return dec.select(F.col("doc_id").cast("long"), "text", (F.col("first") == F.lit(tok.bos)).alias("bos_first"))
-
-
-SQL_SP_ROUNDTRIP = "SELECT doc_id, text, true AS bos_first FROM documents"
-
-QUERIES["sp_roundtrip"] = (q_sp_roundtrip, SQL_SP_ROUNDTRIP)
-
-
 def q_resume_by_lengths(spark, sf_dir):
     """R8 fallback: the resharded outputs are matched back to their source
     chunks from lengths alone (manifests ignored): every chunk is found."""
@@ -1286,3 +1254,102 @@ def q_resume_by_lengths(spark, sf_dir):
 
 
 QUERIES["resume_by_lengths"] = (q_resume_by_lengths, SQL_CHUNKS)
+
+
+# ---------------------------------------------------------------------------
+# Runs after the first: what is there stays, what changed is read anew
+
+def _shard_rows(spark, outs):
+    import glob as _glob
+    prefixes = sorted(p[:-4] for d in outs for p in _glob.glob(os.path.join(d, "*", "*_final.idx")))
+    r = read_binidx(spark, ",".join(prefixes))
+    return r.select(F.col("length").cast("long"), _sum_ids(F.col("tokens")).alias("tok_sum"))
+
+
+def q_reshard_two_runs(spark, sf_dir):
+    """R8/R9 + SN4: the documents, then the benchmark items as a second source
+    with another chunk size: every sequence of both is there once."""
+    from corpusloom.operators.reshard import reshard
+    first, second = _written_dataset(spark, sf_dir), scratch_dir(spark, "second")
+    items = table(spark, sf_dir, "benchmark").select("item_id", F.array("text").alias("sentences"))
+    enc = encode_documents(items, ByteTokenizer(eod=EOD), keep=["item_id"])
+    write_binidx(enc.coalesce(1).select(F.lit(0).cast("long").alias("part"), "token_ids", "sentence_lens"), second)
+    outs = [scratch_dir(spark, "runs-a"), scratch_dir(spark, "runs-b")]
+    reshard(spark, [first], outs, 3, target=CHUNK_TARGET)
+    reshard(spark, [first, second], outs, 2, target=CHUNK_TARGET // 3)
+    reshard(spark, [first, second], outs, 2, target=CHUNK_TARGET)
+    return _shard_rows(spark, outs)
+
+
+SQL_RESHARD_TWO_RUNS = f"""
+WITH {_SEQ_CTE},
+b AS (SELECT octet_length(encode(text)) AS n, list_sum({_BYTE_IDS.format(x='text')}) AS t FROM benchmark)
+SELECT length, tok_sum FROM q UNION ALL
+SELECT (n + 1)::BIGINT AS length, (t + {EOD})::BIGINT AS tok_sum FROM b WHERE n > 0
+"""
+
+
+def q_rebuild_per_file(spark, sf_dir):
+    """One dataset per file, built, then built again after the corpus
+    doubled: each file's sequences once."""
+    from corpusloom.plans.build import build_corpus
+    from corpusloom.spec import CorpusSpec, TokenizerSpec
+    src = scratch_dir(spark, "rebuild-in")
+    items = table(spark, sf_dir, "benchmark").select("item_id", F.to_json(F.struct("text")).alias("value"))
+    spec = CorpusSpec(src, os.path.join(scratch_dir(spark, "rebuild"), "c"), TokenizerSpec("byte"), per_file=True)
+    for half in ("item_id % 2 = 0", "true"):
+        (items.where(half).coalesce(1).sortWithinPartitions("item_id").select("value").write.mode("overwrite").text(src))
+        rename_to_jsonl(spark, src)
+        res = build_corpus(spark, spec)
+    return read_binidx(spark, ",".join(sorted(res["files"].values())), columns="index").select(*_long("seq_id", "length"))
+
+
+def q_decode_broken(spark, sf_dir):
+    """Decoding stops where bytes never become valid text (each text with a
+    stray byte after its first half)."""
+    docs = _docs(spark, sf_dir).select("doc_id", "text")
+    half = F.expr("substring(text, 1, length(text) div 2)")
+    rest = F.expr("substring(text, length(text) div 2 + 1)")
+    tok = ByteTokenizer(eod=None)
+    enc = encode_documents(docs.select("doc_id", F.array(half, rest).alias("sentences")), tok, keep=["doc_id"], append_eod=False)
+    n = F.element_at("sentence_lens", 1)
+    broken = enc.where(F.size("sentence_lens") == 2).select("doc_id", F.concat(
+        F.slice("token_ids", F.lit(1), n), F.array(F.lit(255 + BYTES.offset)),
+        F.slice("token_ids", n + 1, F.size("token_ids"))).alias("token_ids"))
+    from corpusloom.functions.trie import TrieTokenizer
+    trie = TrieTokenizer({bytes([b]): b + BYTES.offset for b in range(256)}, eod=None)
+    return decode_column(broken, trie, "token_ids", "text", keep=["doc_id"])
+
+
+SQL_DECODE_BROKEN = """
+SELECT doc_id, substr(text, 1, length(text) // 2) AS text FROM documents WHERE length(text) >= 2
+"""
+
+
+def q_parquet_lists(spark, sf_dir):
+    """A list column gives one sentence per element, in sentence mode
+    without further splitting rules (document level here)."""
+    from corpusloom.plans.build import build_corpus
+    from corpusloom.spec import CorpusSpec, TokenizerSpec
+    src = scratch_dir(spark, "lists")
+    (table(spark, sf_dir, "benchmark").coalesce(1).sortWithinPartitions("item_id")
+     .select(F.split("text", " ").alias("words")).write.mode("overwrite").parquet(src))
+    res = build_corpus(spark, CorpusSpec(src, os.path.join(scratch_dir(spark, "lists-out"), "c"), TokenizerSpec("byte"),
+                                         json_keys=["words"], input_format="parquet"))
+    return read_binidx(spark, res["words"], columns="index").select(*_long("doc_id", "sent_pos", "length"))
+
+
+SQL_PARQUET_LISTS = """
+WITH w AS (SELECT (row_number() OVER (ORDER BY item_id) - 1)::BIGINT AS doc_id, string_split(text, ' ') AS l FROM benchmark),
+u AS (SELECT doc_id, unnest(l) AS s, generate_subscripts(l, 1) AS i FROM w),
+k AS (SELECT doc_id, i, octet_length(encode(s)) AS n FROM u WHERE s <> '')
+SELECT doc_id, (row_number() OVER (PARTITION BY doc_id ORDER BY i) - 1)::BIGINT AS sent_pos,
+       (n + CASE WHEN i = max(i) OVER (PARTITION BY doc_id) THEN 1 ELSE 0 END)::BIGINT AS length FROM k
+"""
+
+QUERIES.update({
+    "reshard_two_runs": (q_reshard_two_runs, SQL_RESHARD_TWO_RUNS),
+    "rebuild_per_file": (q_rebuild_per_file, SQL_PARQUET_CORPUS),
+    "decode_broken": (q_decode_broken, SQL_DECODE_BROKEN),
+    "parquet_lists": (q_parquet_lists, SQL_PARQUET_LISTS),
+})

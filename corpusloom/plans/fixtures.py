@@ -35,7 +35,7 @@ def documents_jsonl(spark: SparkSession, sf_dir: str) -> str:
     (docs.select(F.to_json(F.struct("doc_id", "text")).alias("value"), "lang", "bucket")
      .repartition("lang", "bucket").sortWithinPartitions("lang", "bucket", "doc_id")
      .write.mode("overwrite").partitionBy("lang", "bucket").text(out))
-    _rename_to_jsonl(spark, out)
+    rename_to_jsonl(spark, out)
     return out
 
 
@@ -70,11 +70,11 @@ def events_jsonl(spark: SparkSession, sf_dir: str) -> str:
             .otherwise(F.expr("substring(props, 1, length(props) - 1)")))
     (ev.select("event_id", line.alias("value")).repartitionByRange(4, "event_id")
      .sortWithinPartitions("event_id").select("value").write.mode("overwrite").text(out))
-    _rename_to_jsonl(spark, out)
+    rename_to_jsonl(spark, out)
     return out
 
 
-def _rename_to_jsonl(spark: SparkSession, root: str) -> None:
+def rename_to_jsonl(spark: SparkSession, root: str) -> None:
     """Spark's text writer names files ``part-*.txt``; a corpus wants
     ``.jsonl``. Renamed through the Hadoop file system of the path."""
     from corpusloom.sources.corpus import _hadoop_fs

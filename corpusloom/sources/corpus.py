@@ -8,9 +8,9 @@ global ``line_id`` without a global sort:
   one file split carry consecutive ids;
 * a small table with one row per split (min id, line count) gives each split
   its exclusive prefix sum in (path, block start) order;
-* that table is joined back. It has one row per input split, i.e. it is
-  bounded by the scan plan; it is counted first and broadcast only under
-  ``MAX_BROADCAST_SPLITS`` rows, otherwise joined with a shuffle join.
+* that table is written to the shared scratch folder and joined back. It has
+  one row per input split, and its size is known to the planner, which
+  broadcasts it while it is small.
 """
 
 from __future__ import annotations
@@ -18,12 +18,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from corpusloom.session import checkpoint
+from corpusloom.session import scratch_dir
 
 # Case-insensitive ``.jsonl`` suffix (fixed value of the corpus format).
 JSONL_GLOB = "*.[jJ][sS][oO][nN][lL]"
-# Split tables up to this many rows (about 100 bytes each) are broadcast.
-MAX_BROADCAST_SPLITS = 2_000_000
 
 
 def _hadoop_fs(spark: SparkSession, path: str):
@@ -89,14 +87,12 @@ def with_line_ids(raw: DataFrame) -> DataFrame:
         F.coalesce(F.sum("_n").over(w_file), F.lit(0)).alias("_fline0"),
         (F.dense_rank().over(Window.orderBy("file_path")) - 1).cast("int").alias("file_rank"),
     )
-    # One row per input split: bounded by the scan plan. Checkpointed (not
-    # cached: a cache would be reused by a later identical-looking plan after
-    # the files or the split size changed) and counted, so the broadcast is
-    # taken only under a checked size; beyond it a shuffle join on the key.
-    splits = checkpoint(splits)
-    n_splits = splits.count()
-    right = F.broadcast(splits) if n_splits <= MAX_BROADCAST_SPLITS else splits
-    j = raw.join(right, ["file_path", "_block"])
+    # Written, not cached: a cache would be reused by a later identical-looking
+    # plan after the files or the split size changed. The planner sees its size.
+    spark = raw.sparkSession
+    path = scratch_dir(spark, "splits")
+    splits.write.mode("overwrite").parquet(path)
+    j = raw.join(spark.read.schema(splits.schema).parquet(path), ["file_path", "_block"])
     local = F.col("_mid") - F.col("_mid0")
     return j.select(
         *[c for c in raw.columns if c not in ("file_path", "_block", "_mid")],

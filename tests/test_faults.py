@@ -191,3 +191,30 @@ def test_fingerprints_follow_lengths(spark, tmp):
         mine = lengths[c.start_doc:c.end_doc]
         want = sum((v + 1) * (((i + 1) ** 2 % 2 ** 32) * FINGERPRINT_FACTOR % 2 ** 32) for i, v in enumerate(mine)) % FINGERPRINT_PRIME
         assert (got[c.id].n_seq, got[c.id].first_len, got[c.id].last_len, got[c.id].fingerprint) == (len(mine), mine[0], mine[-1], want)
+
+
+def test_long_lines_are_read(spark):
+    from corpusloom.operators import parse
+    # every line takes the long route here; the answers are those of the short one
+    good = ['{"text": "a"}', ' {"text": ["a","b"], "z": 1}', '{"text": []}', '{"text": null}', '{"other": 1}', '{"text":"a","text":"b"}',
+            '{"text": "3"}', '{"text": "NaN"}', '{"text": "[1]"}', '{"text": ["a\\u00e9\\n\\"", "/"]}', '{"text": "{}"}']
+    bad = ['{bad', '{"text":"a"}{"text":"b"}', '{"text":"a"}],[', '{"text":"a"},"z":1', '{"text":"a",}', '{"text": NaN}', '[1]', '5', 'null',
+           '"{}"', '{"text": 3}', '{"text": {"k":1}}', '{"text": ["a",1]}', '{"text": ["a", null]}', '{"text": true}', '', '{"text": [["a"]]}', '{"text": {}}']
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(good + bad)], "i int, value string")
+    want = [(r.i, r.reason, r.text if r.reason is None else None) for r in parse.classify(df).orderBy("i").collect()]
+    assert [w[1] is None for w in want] == [True] * len(good) + [False] * len(bad)
+    reason, fields = parse._long_route("value", ["text"])
+    got = df.select("i", reason.alias("reason"), fields["text"][0].alias("text")).orderBy("i").collect()
+    assert [(r.i, r.reason, r.text if r.reason is None else None) for r in got] == want
+
+
+def test_lines_beyond_the_variant_limit(spark):
+    from pyspark.sql import functions as F
+    from corpusloom.operators import parse
+    x = "repeat('x', 40 * 1024 * 1024)"
+    df = spark.sql(f"""SELECT 1 AS i, concat('{{"text": "', {x}, '"}}') AS value UNION ALL
+                       SELECT 2, concat('{{"text": "', {x}, '"}} trailing') UNION ALL
+                       SELECT 3, concat('{{"text": ["a", "', {x}, '"], "n": 1}}')""")
+    out = parse.classify(df).select("i", "reason", F.size("text").alias("n"), F.length(F.element_at("text", -1)).alias("len")).orderBy("i").collect()
+    assert [(r.reason, r.n, r.len) for r in out if r.i != 2] == [(None, 1, 40 << 20), (None, 2, 40 << 20)]
+    assert out[1].reason == "bad_json"
