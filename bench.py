@@ -34,7 +34,7 @@ def noop(df):
 
 def run_suite(spark, sf_dir):
     from corpusloom.operators.parallel import balance
-    docs = balance(table(spark, sf_dir, "documents"), "doc_id").cache()
+    docs = balance(table(spark, sf_dir, "documents"), "doc_id")
     n_docs, n_chars, n_bytes = docs.agg(F.count(F.lit(1)), F.sum(F.length("text")),
                                         F.sum(F.octet_length("text"))).first()
     corpus = documents_jsonl(spark, sf_dir)
@@ -86,7 +86,6 @@ def run_suite(spark, sf_dir):
     timed("reshard", reshard)
     timed("chatml", lambda: noop(chat.collect_turns(table(spark, sf_dir, "conversations"))
                                  .select("conv_id", chat.render_chatml(F.col("msgs")).alias("t"))))
-    docs.unpersist()
     return times, (n_docs, n_chars, n_bytes)
 
 

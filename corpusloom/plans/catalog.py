@@ -1080,15 +1080,32 @@ WHERE seq_id >= (SELECT count(*) FROM q) // 4 AND seq_id < 3 * (SELECT count(*)
 
 
 def q_dataset_checks(spark, sf_dir):
-    """Integrity checks of every part of the written dataset."""
+    """Integrity checks of every part of the written dataset, and of three
+    broken copies of part 0: data cut short (part 10^6), no data file
+    (10^6 + 1), another magic (10^6 + 2)."""
+    import shutil
     from corpusloom.sources.checks import dataset_checks
-    return dataset_checks(spark, _written_dataset(spark, sf_dir)).select(
+    path = _written_dataset(spark, sf_dir)
+    part = lambda p: os.path.join(path, f"part-{p:015d}")
+    for k in range(3):
+        for ext in (".idx", ".bin"):
+            shutil.copyfile(part(0) + ext, part(10 ** 6 + k) + ext)
+    with open(part(10 ** 6) + ".bin", "r+b") as f:
+        f.truncate(os.path.getsize(part(0) + ".bin") - 1)
+    os.remove(part(10 ** 6 + 1) + ".bin")
+    with open(part(10 ** 6 + 2) + ".idx", "r+b") as f:
+        f.write(b"NOINDEX")
+    return dataset_checks(spark, path).select(
         F.regexp_extract("prefix", r"part-(\d+)$", 1).cast("long").alias("part"), "check", "ok")
 
 
 SQL_DATASET_CHECKS = f"""
 SELECT p AS part, c AS check, true AS ok
 FROM range(0, (SELECT (count(*) + {PART_DOCS} - 1) // {PART_DOCS} FROM documents)) r(p), (VALUES ('files'), ('header'), ('doc_index_end'), ('bin_size'), ('pointers')) v(c)
+UNION ALL SELECT p, c, ok FROM (VALUES
+  (1000000, 'files', true), (1000000, 'header', true), (1000000, 'doc_index_end', true), (1000000, 'bin_size', false), (1000000, 'pointers', true),
+  (1000001, 'files', false), (1000001, 'header', true), (1000001, 'doc_index_end', true), (1000001, 'bin_size', false), (1000001, 'pointers', true),
+  (1000002, 'files', true), (1000002, 'header', false), (1000002, 'doc_index_end', false), (1000002, 'bin_size', false), (1000002, 'pointers', false)) x(p, c, ok)
 """
 
 
@@ -1353,3 +1370,21 @@ QUERIES.update({
     "decode_broken": (q_decode_broken, SQL_DECODE_BROKEN),
     "parquet_lists": (q_parquet_lists, SQL_PARQUET_LISTS),
 })
+
+
+def q_stream_dataset(spark, sf_dir):
+    """ST1 up to a dataset: the corpus streamed into indexed parts, read back as
+    one dataset."""
+    from corpusloom.streaming.ingest import ingest_corpus_stream, streamed_prefixes
+    out = scratch_dir(spark, "stream-dataset")
+    ingest_corpus_stream(spark, documents_jsonl(spark, sf_dir), out, keys=["text"], tokenizer=BYTES)
+    r = read_binidx(spark, streamed_prefixes(out, "text"))
+    return r.select(F.col("length").cast("long"), _sum_ids(F.col("tokens")).alias("tok_sum"))
+
+
+SQL_STREAM_DATASET = f"""
+SELECT (octet_length(encode(text)) + 1)::BIGINT AS length,
+       (list_sum({_BYTE_IDS.format(x='text')}) + {EOD})::BIGINT AS tok_sum FROM documents WHERE octet_length(encode(text)) > 0
+"""
+
+QUERIES["stream_dataset"] = (q_stream_dataset, SQL_STREAM_DATASET)

@@ -99,7 +99,9 @@ def _checkpoint_root(spark: SparkSession) -> str:
         return root
     root = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not root:
-        # Only reached when nobody configured a shared folder (local mode).
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        # local mode: nobody configured a folder
         root = tempfile.mkdtemp(prefix="corpusloom-ckpt-")
     sc.setCheckpointDir(root)
     return sc.getCheckpointDir() or root

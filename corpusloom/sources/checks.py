@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from corpusloom.sources.binidx import _index_arrays, list_prefixes, read_header
 
+BLOCK = 1 << 20  # sequences looked at together
 CHECKS = ["files", "header", "doc_index_end", "bin_size", "pointers"]
 
 
@@ -32,10 +33,14 @@ def _check(prefix: str) -> list[tuple]:
         return rows + [(prefix, c, False) for c in CHECKS[2:]]
     lengths, pointers, doc_idx, _ = _index_arrays(prefix, h, False)
     rows.append((prefix, "doc_index_end", bool(h.n_doc_idx > 0 and int(doc_idx[-1]) == h.n_seq)))
-    total = int(np.asarray(lengths, dtype=np.int64).sum()) * h.itemsize
+    total, right = 0, True
+    for a in range(0, h.n_seq, BLOCK):  # in blocks: memory does not follow the number of sequences
+        size = np.array(lengths[a:a + BLOCK], dtype=np.int64) * h.itemsize
+        ends = total + np.cumsum(size)
+        right = right and bool(np.array_equal(np.array(pointers[a:a + BLOCK], dtype=np.int64), ends - size))
+        total = int(ends[-1])
     rows.append((prefix, "bin_size", present and total == h.bin_size))
-    exp = np.concatenate(([0], np.cumsum(np.asarray(lengths[:-1], dtype=np.int64) * h.itemsize))) if h.n_seq else []
-    rows.append((prefix, "pointers", bool(np.array_equal(np.asarray(pointers, dtype=np.int64), exp))))
+    rows.append((prefix, "pointers", right))
     return rows
 
 

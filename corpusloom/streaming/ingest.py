@@ -3,9 +3,9 @@
 The reference is batch-only; its closest behaviours are the ordered line
 iterator and artifact-based resume. Here new ``.jsonl`` files in the corpus
 folder are picked up by a file stream; every micro-batch runs the same
-parse (P1-P4) as the batch job inside ``foreachBatch`` and writes one
-immutable part named after its batch id (overwrite of the same id makes a
-replayed batch idempotent). The streaming checkpoint replaces the
+parse (P1-P4) as the batch job inside ``foreachBatch``, and with a tokenizer
+the same encoding, and writes immutable parts named after its batch id
+(overwrite of the same id makes a replayed batch idempotent). The streaming checkpoint replaces the
 reference's resume markers.
 
 A file is read whole inside one micro-batch, so ``line_no`` (position inside
@@ -15,13 +15,18 @@ assigned by the batch scan (S2) when the parts are merged.
 
 from __future__ import annotations
 
+import glob
 import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusloom.functions.base import Tokenizer, encode_documents
 from corpusloom.operators import parse
+from corpusloom.operators.index import optimal_dtype
+from corpusloom.operators.parallel import target_partitions
 from corpusloom.session import prepare_session, scratch_dir
+from corpusloom.sources.binidx import write_binidx
 from corpusloom.sources.corpus import JSONL_GLOB, with_line_ids
 
 
@@ -33,29 +38,52 @@ def corpus_stream(spark: SparkSession, src: str, max_files_per_trigger: int | No
                               F.col("_metadata.file_block_start").alias("_block"))
 
 
-def process_batch(batch: DataFrame, batch_id: int, out: str, keys: list[str]) -> None:
+def process_batch(batch: DataFrame, batch_id: int, out: str, keys: list[str],
+                  tokenizer: Tokenizer | None = None, dtype: str | None = None) -> None:
+    """One micro-batch: parsed once into the scratch folder (nothing is
+    cached), then written as records and quarantine and, with a tokenizer, as
+    one indexed dataset folder per key. All are named after the batch and
+    overwritten when it is replayed."""
+    spark = batch.sparkSession
     raw = batch.select("*", F.monotonically_increasing_id().alias("_mid"))
-    lines = with_line_ids(raw)
-    cls = parse.classify(lines, keys).cache()
-    try:
-        (cls.where(F.col("reason").isNull())
-         .select("file_path", "line_no", *[F.col(k).alias("sentences" if len(keys) == 1 else k) for k in keys])
-         .write.mode("overwrite").parquet(os.path.join(out, "records", f"batch={batch_id}")))
-        (parse.quarantine(cls).write.mode("overwrite")
-         .parquet(os.path.join(out, "quarantine", f"batch={batch_id}")))
-    finally:
-        cls.unpersist()
+    staged = scratch_dir(spark, f"batch-{batch_id}")
+    parse.classify(with_line_ids(raw), keys).write.mode("overwrite").parquet(staged)
+    cls = spark.read.parquet(staged)
+    ok = cls.where(F.col("reason").isNull())
+    (ok.select("file_path", "line_no", *[F.col(k).alias("sentences" if len(keys) == 1 else k) for k in keys])
+     .write.mode("overwrite").parquet(os.path.join(out, "records", f"batch={batch_id}")))
+    (parse.quarantine(cls).write.mode("overwrite")
+     .parquet(os.path.join(out, "quarantine", f"batch={batch_id}")))
+    for key in keys if tokenizer is not None else ():
+        # text is put in order before it is encoded; a task's range is one part
+        texts = (ok.select("file_path", "line_no", F.col(key).alias("sentences"))
+                 .repartitionByRange(target_partitions(ok), "file_path", "line_no").sortWithinPartitions("file_path", "line_no"))
+        enc = encode_documents(texts, tokenizer, keep=["file_path", "line_no"])
+        write_binidx(enc.select(F.spark_partition_id().cast("long").alias("part"), "token_ids", "sentence_lens"),
+                     os.path.join(dataset_dir(out, key), f"batch-{batch_id:09d}"), dtype=dtype or optimal_dtype(tokenizer.vocab_size))
+
+
+def dataset_dir(out: str, key: str) -> str:
+    return os.path.join(out, "dataset", key)
+
+
+def streamed_prefixes(out: str, key: str) -> str:
+    """Folders of the key's datasets in batch order, as ``read_binidx`` takes
+    them: together they are one dataset with re-based offsets."""
+    return ",".join(sorted(glob.glob(os.path.join(dataset_dir(out, key), "batch-*"))))
 
 
 def ingest_corpus_stream(spark: SparkSession, src: str, out: str, keys=("text",),
-                         checkpoint: str | None = None, max_files_per_trigger: int | None = None) -> DataFrame:
+                         checkpoint: str | None = None, max_files_per_trigger: int | None = None,
+                         tokenizer: Tokenizer | None = None, dtype: str | None = None) -> DataFrame:
     """Run the stream until all files present now are processed
-    (``availableNow``) and return the records written so far."""
+    (``availableNow``) and return the records written so far. Files are taken
+    ``max_files_per_trigger`` at a time; without it one batch holds all new files."""
     prepare_session(spark)
     keys = list(keys)
     checkpoint = checkpoint or scratch_dir(spark, "stream-checkpoint")
     q = (corpus_stream(spark, src, max_files_per_trigger).writeStream
-         .foreachBatch(lambda df, bid: process_batch(df, bid, out, keys))
+         .foreachBatch(lambda df, bid: process_batch(df, bid, out, keys, tokenizer, dtype))
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()

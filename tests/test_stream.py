@@ -16,3 +16,21 @@ def test_batch_equals_stream(spark, tmp):
     s = ingest_corpus_stream(spark, f"{tmp}/in", f"{tmp}/out", max_files_per_trigger=1)
     assert sorted(r.sentences[0] for r in s.collect()) == b
     assert spark.read.parquet(f"{tmp}/out/quarantine").count() == 3
+
+
+def test_stream_writes_a_dataset_that_replays(spark, tmp):
+    from corpusloom.functions.byte_level import ByteTokenizer
+    from corpusloom.sources.binidx import read_binidx
+    from corpusloom.streaming.ingest import process_batch, streamed_prefixes
+    for i in range(3):
+        write_lines(f"{tmp}/in/f{i}.jsonl", [f'{{"text":"t{i}-{j}"}}' for j in range(20)] + ["{bad"])
+    tok = ByteTokenizer(eod=257)
+    ingest_corpus_stream(spark, f"{tmp}/in", f"{tmp}/out", max_files_per_trigger=1, tokenizer=tok)
+    read = lambda: sorted(bytes(t - tok.offset for t in r.tokens[:-1]).decode()
+                          for r in read_binidx(spark, streamed_prefixes(f"{tmp}/out", "text")).collect())
+    want = sorted(f"t{i}-{j}" for i in range(3) for j in range(20))
+    assert read() == want
+    one = read_lines(spark, f"{tmp}/in/f0.jsonl").select("value", "file_path").withColumn("_block", F.lit(0).cast("long"))
+    process_batch(one, 77, f"{tmp}/out", ["text"], tok)
+    process_batch(one, 77, f"{tmp}/out", ["text"], tok)  # the same batch again
+    assert read() == sorted(want + [f"t0-{j}" for j in range(20)])
