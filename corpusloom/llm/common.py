@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -9,7 +11,7 @@ from pyspark.sql import types as T
 from corpusloom.plans.fixtures import table as _table
 from corpusloom.session import checkpoint, prepare_session, scratch_dir
 
-__all__ = ["checkpoint", "extend_schema", "fresh", "prepare", "read_table", "stored", "text_key"]
+__all__ = ["checkpoint", "discard", "extend_schema", "fresh", "prepare", "read_table", "release", "stored", "text_key"]
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -48,6 +50,25 @@ def text_key(text: Column) -> Column:
 def stored(df: DataFrame) -> DataFrame:
     """``df`` written as a table in the shared checkpoint folder and read back:
     cuts the lineage as a checkpoint does, with columns and compression."""
-    path = scratch_dir(df.sparkSession, "llm")
+    spark, schema, path = df.sparkSession, df.schema, scratch_dir(df.sparkSession, "llm")
+    release(spark)
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    release(spark)
+    out = spark.read.schema(schema).parquet(path)
+    out._stored_path = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Deletes the table behind a ``stored`` DataFrame that nothing reads any more."""
+    spark, path = df.sparkSession, df._stored_path
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
+def release(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffle files of finished steps now: it does so when
+    the driver's garbage collector finds their plans unreachable, which on a
+    quiet driver may be much later than the next step fills the disks."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()

@@ -11,8 +11,8 @@ never sorted in one place:
    holds the anchor) form a class; all but its first member are covered.
 3. *Suffix arrays.* What is left is one row per class: anchors of equal hash
    with different surroundings. Their surroundings are written over a small
-   alphabet (a symbol stands for the bytes between two depths at which rows of
-   the group part) and sorted by ``gsaca``; in the suffix array, rows that
+   alphabet (a symbol stands for the bytes between two depths at which other
+   rows of the group part) and sorted by ``gsaca``; in the suffix array, rows that
    agree on a whole window are neighbours and all but the first are covered.
    Anchors with very many classes are cut into blocks; the blocks' first rows
    then meet in an aggregation per window.
@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import prepare, stored, text_key
+from corpusloom.llm.common import discard, prepare, stored, text_key
 from corpusloom.llm.gsaca import suffix_array
 
 LENGTH = 100
@@ -141,7 +141,8 @@ def _order(pos: str | Column = "pos") -> Column:
 def _shared(rows: list[bytes], group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """``(order, common)``: rows sorted within groups, and for each place in
     that order the length of the common prefix with the row before."""
-    order = np.array(sorted(range(len(rows)), key=lambda i: (group[i], rows[i])), dtype=np.int64)
+    keys = [b"%08x" % g + r for g, r in zip(group.tolist(), rows)]
+    order = np.array(sorted(range(len(rows)), key=keys.__getitem__), dtype=np.int64)
     size = np.array([len(r) for r in rows], dtype=np.int64)
     wide = np.zeros((len(rows), SIDE + 1), dtype=np.uint8)
     flat = np.frombuffer(b"".join(rows), dtype=np.uint8)
@@ -154,28 +155,29 @@ def _shared(rows: list[bytes], group: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return order, common
 
 
-def _depths(group: np.ndarray, order: np.ndarray, common: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _branches(group: np.ndarray, order: np.ndarray, common: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Per row the longest prefix shared with another row of its group (``reach``);
-    ``(depth, symbol)``: for each row and each k, the k-th depth at which rows of
-    the group part (0 beyond ``reach``) and the class of the row's prefix of that depth."""
+    ``(depth, symbol)``: for each row and each k, the k-th depth at which some row
+    parts from it, and the class of the rows that are still together there (0
+    beyond). Rows of a class have the class's depths in common, so the smallest
+    of them that is not below d tells which rows share a prefix of length d."""
     n = len(order)
-    nxt = np.append(common[1:], 0)
     reach = np.zeros(n, dtype=np.int64)
-    reach[order] = np.maximum(common, nxt)
+    reach[order] = np.maximum(common, np.append(common[1:], 0))
     depth = np.zeros((n, SIDE), dtype=np.int64)
     symbol = np.zeros((n, SIDE), dtype=np.int64)
+    many = np.zeros(n, dtype=np.int64)
     g = group[order]
     first = np.append(True, g[1:] != g[:-1])
-    parted = np.zeros((int(g.max()) + 1 if n else 0, SIDE + 1), dtype=bool)
-    parted[g[~first], common[~first]] = True
-    parted[:, 0] = False
-    rank = np.cumsum(parted, axis=1)  # k of each depth
-    for d in np.nonzero(parted.any(axis=0))[0].tolist():
+    for d in np.unique(common[common > 0]).tolist():
         classes = np.cumsum(first | (common < d))
-        here = np.nonzero(parted[g, d] & (reach[order] >= d))[0]
-        k = rank[g[here], d] - 1
-        depth[order[here], k] = d
-        symbol[order[here], k] = classes[here]
+        parting = np.zeros(classes[-1] + 1, dtype=bool)
+        parting[classes[common == d]] = True
+        here = np.nonzero(parting[classes])[0]
+        row = order[here]
+        depth[row, many[row]] = d
+        symbol[row, many[row]] = classes[here] + d * (n + 1)
+        many[row] += 1
     return reach, depth, symbol
 
 
@@ -185,38 +187,35 @@ def covered_windows(group: np.ndarray, place: np.ndarray, left: list[bytes], rig
     ``place``) also has. ``left`` holds the bytes before the anchor in reverse."""
     lo, lc = _shared(left, group)
     ro, rc = _shared(right, group)
-    l_reach, l_depth, l_symbol = _depths(group, lo, lc)
-    r_reach, r_depth, r_symbol = _depths(group, ro, rc)
+    l_reach, l_depth, l_symbol = _branches(group, lo, lc)
+    r_reach, r_depth, r_symbol = _branches(group, ro, rc)
     rows = np.nonzero(l_reach + r_reach >= SIDE)[0]  # others share no whole window
     if len(rows) < 2:
         return []
-    # text: left symbols from the outermost in, the anchor, right symbols, a separator
-    l_many, r_many = (l_depth[rows] > 0).sum(1), (r_depth[rows] > 0).sum(1)
-    codes, begin = [], []
-    at = 0
-    for i, a, b in zip(rows.tolist(), l_many.tolist(), r_many.tolist()):
-        if a:
-            codes.append(l_symbol[i, :a][::-1] * 4 + 1)
-        codes.append(np.array([int(group[i]) * 4 + 2]))
-        if b:
-            codes.append(r_symbol[i, :b] * 4 + 3)
-        codes.append(np.array([0]))
-        begin.append(at + a)  # the anchor's place
-        at += a + b + 2
-    text = np.unique(np.concatenate(codes), return_inverse=True)[1].reshape(-1) + 1
+    # text of a row: left symbols from the outermost in, the anchor, right symbols, a separator
+    ld, rd = l_depth[rows], r_depth[rows]
+    l_many, r_many = (ld > 0).sum(1), (rd > 0).sum(1)
+    size = l_many + r_many + 2
+    begin = np.cumsum(size) - size + l_many  # the anchor's place
+    codes = np.zeros(int(size.sum()), dtype=np.int64)
+    codes[begin] = group[rows] * 4 + 2
+    i, k = np.nonzero(ld)
+    codes[begin[i] - 1 - k] = l_symbol[rows[i], k] * 4 + 1
+    i, k = np.nonzero(rd)
+    codes[begin[i] + 1 + k] = r_symbol[rows[i], k] * 4 + 3
+    text = np.unique(codes, return_inverse=True)[1].reshape(-1) + 1
     order = np.array(suffix_array(text.tolist()), dtype=np.int64)
     rank = np.empty(len(order), dtype=np.int64)
     rank[order] = np.arange(len(order))
     # windows: how many bytes before the anchor -> depths needed on either side
     w_row, w_left, w_right, w_before = [], [], [], []
-    begin = np.array(begin)
     for before in range(SIDE + 1):
         ok = np.nonzero((l_reach[rows] >= before) & (r_reach[rows] >= SIDE - before))[0]
         if not len(ok):
             continue
-        need_l = np.where(l_depth[rows[ok]] >= before, l_depth[rows[ok]], SIDE + 1).argmin(1) + 1 if before else np.zeros(len(ok), np.int64)
+        need_l = np.where(ld[ok] >= before, ld[ok], SIDE + 1).argmin(1) + 1 if before else np.zeros(len(ok), np.int64)
         need = SIDE - before
-        need_r = np.where(r_depth[rows[ok]] >= need, r_depth[rows[ok]], SIDE + 1).argmin(1) + 1 if need else np.zeros(len(ok), np.int64)
+        need_r = np.where(rd[ok] >= need, rd[ok], SIDE + 1).argmin(1) + 1 if need else np.zeros(len(ok), np.int64)
         w_row.append(ok)
         w_left.append(need_l)
         w_right.append(need_r)
@@ -318,28 +317,40 @@ def _contexts(keyed: DataFrame, wanted: DataFrame) -> DataFrame:
         run, "h long, blocks int, doc_id long, tkey long, pos int, left binary, right binary"))
 
 
+def _per_doc(spans: DataFrame) -> DataFrame:
+    """Ranges gathered by document (no more than its bytes)."""
+    return spans.groupBy("doc_id", "tkey").agg(F.collect_set(F.struct("begin", "stop")).alias("cut"))
+
+
 def covered_spans(docs: DataFrame, column: str = "text") -> DataFrame:
-    """``(doc_id, tkey, begin, stop)``: byte ranges to remove, overlapping freely."""
+    """``(doc_id, tkey, cut)``: byte ranges to remove, overlapping freely, up to
+    two rows a document. Tables between steps are deleted after their last use."""
     prepare(docs.sparkSession)
     keyed = _keyed(docs, column)
-    often = (_anchor_rows(keyed, False).groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h"))
-    found = stored(_anchor_rows(keyed, True).join(stored(often), "h"))
+    often = stored(_anchor_rows(keyed, False).groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h"))
+    found = stored(_anchor_rows(keyed, True).join(often, "h"))
+    discard(often)
     classes = stored(found.groupBy("h", "around").agg(F.min(_order()).alias("first")))
-    many = classes.groupBy("h").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
     # all but the first of a class: every window around the anchor repeats
-    rest = (found.join(classes, ["h", "around"]).where(_order() != F.col("first"))
-            .select("doc_id", "tkey", F.greatest(F.col("pos") - SIDE, F.lit(0)).alias("begin"), (F.col("pos") + LENGTH).alias("stop")))
-    wanted = (classes.join(many, "h").select("h", F.ceil(F.col("m") / CLASSES).cast("int").alias("blocks"), "around",
-                                             "first.doc_id", "first.tkey", "first.pos"))
-    contexts = stored(_contexts(keyed, wanted.select("h", "blocks", "doc_id", "tkey", "pos")).distinct()
+    equal = stored(_per_doc(found.join(classes, ["h", "around"]).where(_order() != F.col("first")).select(
+        "doc_id", "tkey", F.greatest(F.col("pos") - SIDE, F.lit(0)).alias("begin"), (F.col("pos") + LENGTH).alias("stop"))))
+    discard(found)
+    many = classes.groupBy("h").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
+    wanted = classes.join(many, "h").select("h", F.ceil(F.col("m") / CLASSES).cast("int").alias("blocks"),
+                                            "first.doc_id", "first.tkey", "first.pos")
+    contexts = stored(_contexts(keyed, wanted).distinct()
                       .withColumn("block", F.pmod(F.xxhash64("doc_id", "tkey", "pos"), F.col("blocks"))))
+    discard(classes)
     spans = _block_results(contexts, False)
     firsts = stored(_block_results(contexts.where("blocks > 1"), True))
     lead = firsts.groupBy("w").agg(F.min(_order()).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     across = (firsts.join(lead, "w").where(_order() != F.col("first"))
               .select("doc_id", "tkey", (F.col("pos") - F.col("before")).alias("begin"),
                       (F.col("pos") - F.col("before") + LENGTH).alias("stop")))
-    return rest.unionByName(spans).unionByName(across)
+    different = stored(_per_doc(spans.unionByName(across)))
+    discard(contexts)
+    discard(firsts)
+    return equal.unionByName(different)
 
 
 def _merge(n: int, begins: list[int], stops: list[int]) -> list[tuple[int, int]]:
@@ -363,8 +374,7 @@ def remove_repeats(docs: DataFrame, column: str = "text") -> DataFrame:
     without an id come last. Other columns are ignored; an empty table gives no
     rows. Repeats are judged on the input, not on what is left of it.
     """
-    spans = covered_spans(docs, column)
-    per_doc = spans.groupBy("doc_id", "tkey").agg(F.collect_set(F.struct("begin", "stop")).alias("cut")).select(
+    per_doc = covered_spans(docs, column).groupBy("doc_id", "tkey").agg(F.flatten(F.collect_list("cut")).alias("cut")).select(
         F.col("doc_id").alias("d"), F.col("tkey").alias("k"), "cut")
     keyed = _keyed(docs, column)
     joined = keyed.join(per_doc, keyed["doc_id"].eqNullSafe(F.col("d")) & (F.col("tkey") == F.col("k")), "left").select(
