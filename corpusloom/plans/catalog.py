@@ -494,11 +494,17 @@ SELECT doc_id, len(s)::BIGINT AS n_sents, array_to_string(list_transform(s, lamb
 
 
 def q_pretokens(spark, sf_dir):
+    """The pieces themselves, separated by U+001F."""
     docs = table(spark, sf_dir, "documents")
-    return docs.select(F.col("doc_id").cast("long"), F.array_join(text.pretokenize_gpt2(F.col("text")), "").alias("text"))
+    return docs.select(F.col("doc_id").cast("long"), F.array_join(text.pretokenize_gpt2(F.col("text")), "\x1f").alias("pieces"))
 
 
-SQL_PRETOKENS = "SELECT doc_id, text FROM documents"
+# The pattern's look-ahead in a form without one: a mark before the last of several
+# white-space characters that something follows, then the same alternatives.
+_PIECES_SQL = (r"list_filter(regexp_extract_all(regexp_replace(text, '(\s)(\s\S)', '\1' || chr(57344) || '\2', 'g'), "
+               r"'''s|''t|''re|''ve|''m|''ll|''d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}\x{E000}]+|\s+|\x{E000}'), "
+               "lambda x: x <> chr(57344))")
+SQL_PRETOKENS = f"SELECT doc_id, coalesce(array_to_string({_PIECES_SQL}, chr(31)), '') AS pieces FROM documents"
 
 
 def q_whitespace_tokens(spark, sf_dir):
@@ -801,6 +807,12 @@ def q_piece_counts(spark, sf_dir):
         *_long("n_distinct", "n_pieces", "n_chars"))
 
 
+SQL_PIECE_COUNTS = f"""
+WITH p AS (SELECT unnest({_PIECES_SQL}) AS piece FROM documents)
+SELECT count(DISTINCT piece)::BIGINT AS n_distinct, count(*)::BIGINT AS n_pieces, sum(length(piece))::BIGINT AS n_chars FROM p
+"""
+
+
 def q_wordpiece_text(spark, sf_dir):
     """S7 + P11 + T4 + P14: decode(encode(text)) is the basic-tokenized text
     joined by spaces with the English clean-up applied."""
@@ -832,7 +844,7 @@ QUERIES.update({
     "vocab_checks": (q_vocab_checks, SQL_VOCAB_CHECKS),
     "bpe_roundtrip": (q_bpe_roundtrip, SQL_BPE_ROUNDTRIP),
     "bpe_dictionary": (q_bpe_dictionary, SQL_BPE_DICTIONARY),
-    "piece_counts": (q_piece_counts, None),
+    "piece_counts": (q_piece_counts, SQL_PIECE_COUNTS),
     "wordpiece_text": (q_wordpiece_text, SQL_WORDPIECE_TEXT),
 })
 
