@@ -48,11 +48,9 @@ def _words(text: Column) -> Column:
 def _measures(text: str, words: str) -> Column:
     """Binned surface measures as feature names."""
     t, n = F.coalesce(F.col(text), F.lit("")), F.greatest(F.size(words), F.lit(1))
-    without = lambda chars: F.length(t) - F.length(F.translate(t, chars, ""))
-    chars = F.greatest(F.length(t), F.lit(1))
     marks = F.length(t) - F.length(F.replace(t, F.lit("!"), F.lit("")))
-    parts = {"symbols": without("#*$%&|<>") / n, "marks": marks / n,
-             "upper": without("ABCDEFGHIJKLMNOPQRSTUVWXYZ") / chars,
+    parts = {"symbols": F.regexp_count(t, F.lit("[#*$%&|<>]")) / n, "marks": marks / n,
+             "upper": F.regexp_count(t, F.lit("[A-Z]{2}")) / n,
              "variety": F.size(F.array_distinct(words)) / n, "short": F.lit(10.0) / (n + 10)}
     bins = [F.concat(F.lit(f"{name} "), sum((F.when(value > b, 1).otherwise(0) for b in BREAKS), F.lit(0)).cast("string"))
             for name, value in parts.items()]
