@@ -22,13 +22,14 @@ from pyspark.sql import types as T
 from corpusloom.functions.base import encode_documents
 from corpusloom.operators import parse, partition, text
 from corpusloom.operators.index import optimal_dtype
-from corpusloom.operators.merge import merge_binidx
+from corpusloom.operators.merge import gather_binidx, merge_binidx
 from corpusloom.operators.parallel import target_partitions
 from corpusloom.session import prepare_session
-from corpusloom.sources.binidx import write_binidx
+from corpusloom.sources.binidx import read_header, write_binidx
 from corpusloom.sources.corpus import read_lines, read_parquet_corpus
 from corpusloom.spec import CorpusSpec
 
+SUB_PARTS = 10 ** 6    # tasks that may write to one reference partition
 PART_SPACE = 10 ** 12  # part ids of key k live in [k * PART_SPACE, (k + 1) * PART_SPACE)
 
 
@@ -53,6 +54,16 @@ def classify_columns(lines: DataFrame, keys: list[str]) -> DataFrame:
                         F.when(bad, "bad_type").alias("reason"), *[t.cast("array<string>").alias(k) for t, k in zip(texts, keys)])
 
 
+def input_splits(spark: SparkSession, path: str) -> int:
+    """About as many scan splits as the input has, from its size alone (no plan
+    is run to find out)."""
+    from corpusloom.sources.corpus import _hadoop_fs
+    fs, root = _hadoop_fs(spark, path)
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes", "128m").strip().lower().rstrip("b")
+    unit = {"k": 10, "m": 20, "g": 30, "t": 40}.get(size[-1:], 0)
+    return fs.getContentSummary(root).getLength() // (int(size.rstrip("kmgt")) << unit)
+
+
 def prepared_records(spark: SparkSession, spec: CorpusSpec) -> tuple[DataFrame, DataFrame]:
     """``(classified lines, records(line_id, part, key_idx, sentences))``."""
     keys = list(spec.json_keys)
@@ -69,13 +80,11 @@ def prepared_records(spark: SparkSession, spec: CorpusSpec) -> tuple[DataFrame,
         # R2 counts every line, accepted or not
         parted = (partition.sequential(ok, spec.partitions, n_lines=lines.count()) if spec.keep_sequential_samples
                   else partition.round_robin(ok, spec.partitions))
-        if spec.merge_partitions:
-            parted = parted.repartitionByRange(max(spec.partitions, target_partitions(parted)),
-                                               "part_id", "line_id")
-            part = F.spark_partition_id()
-        else:  # one output dataset per reference partition
-            parted, part = parted.repartition(spec.partitions, "part_id"), F.col("part_id")
-    elif spec.per_file or ok.rdd.getNumPartitions() >= target_partitions(ok):
+        parted = parted.repartitionByRange(max(spec.partitions, target_partitions(parted)), "part_id", "line_id")
+        # unmerged: one output dataset per reference partition, written by several tasks
+        part = (F.spark_partition_id() if spec.merge_partitions
+                else F.col("part_id") * SUB_PARTS + F.spark_partition_id())
+    elif spec.per_file or input_splits(spark, spec.input) >= target_partitions(ok):
         # enough input splits (or per-file outputs): each split is one
         # output part, no shuffle
         parted, part = ok, F.col("split_line0")
@@ -154,7 +163,7 @@ def _outputs(spec: CorpusSpec, result: dict) -> list[str]:
 
 def _complete(output: str) -> bool:
     """Both files of a dataset are there, with the sizes that its header gives."""
-    from corpusloom.sources.binidx import list_prefixes, read_header
+    from corpusloom.sources.binidx import list_prefixes
     prefixes = list_prefixes(output) if os.path.isdir(output) else [output]
     for p in prefixes:
         try:
@@ -197,6 +206,8 @@ def _build(spark: SparkSession, spec: CorpusSpec) -> dict:
         target = f"{spec.output_prefix}_{key}_{level}"
         if spec.merge_partitions:
             merge_binidx(spark, parts, target, delete_parts=True)
+        elif spec.partitions > 1:
+            _join_sub_parts(spark, parts, target)
         else:
             os.makedirs(target, exist_ok=True)
             for p in parts:
@@ -206,6 +217,23 @@ def _build(spark: SparkSession, spec: CorpusSpec) -> dict:
     return result
 
 
+def _join_sub_parts(spark: SparkSession, parts: list[str], target: str) -> None:
+    """What several tasks wrote for a reference partition becomes its dataset."""
+    outputs: dict[str, list[tuple[str, int, int]]] = {}
+    for p in parts:
+        k = int(os.path.basename(p)[5:]) % PART_SPACE // SUB_PARTS
+        outputs.setdefault(os.path.join(target, f"part-{k:015d}"), []).append((p, 0, read_header(p).n_seq))
+    if os.path.isdir(target):  # parts of an earlier build that this one does not write
+        for old in glob.glob(os.path.join(target, "part-*.*")):
+            if old[:-4] not in outputs:
+                os.remove(old)
+    if outputs:
+        gather_binidx(spark, outputs, documents="keep")
+    for p in parts:
+        for ext in (".bin", ".idx"):
+            os.remove(p + ext)
+
+
 def _per_file_outputs(spark: SparkSession, spec: CorpusSpec, staging: str, level: str) -> dict:
     """Merge the parts (input splits) of every file into
     ``{prefix}_{relative path}_{key}_{level}``. The writer recorded each

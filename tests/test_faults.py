@@ -218,3 +218,22 @@ def test_lines_beyond_the_variant_limit(spark):
     out = parse.classify(df).select("i", "reason", F.size("text").alias("n"), F.length(F.element_at("text", -1)).alias("len")).orderBy("i").collect()
     assert [(r.reason, r.n, r.len) for r in out if r.i != 2] == [(None, 1, 40 << 20), (None, 2, 40 << 20)]
     assert out[1].reason == "bad_json"
+
+
+def test_unmerged_partitions_are_written_by_several_tasks(spark, tmp):
+    import glob
+    from corpusloom.plans import build as B
+    corpus(os.path.join(tmp, "in"), [f"line {i}" for i in range(500)])
+    spec = CorpusSpec(os.path.join(tmp, "in"), os.path.join(tmp, "o"), TokenizerSpec("byte"), partitions=2, merge_partitions=False)
+    _, recs = B.prepared_records(spark, spec)
+    tasks = [{r.part // B.SUB_PARTS for r in p} for p in recs.select("part").rdd.glom().collect() if p]
+    assert len(tasks) >= 4 and set.union(*tasks) == {0, 1}
+    for _ in range(2):  # built twice: nothing doubles
+        out = build_corpus(spark, spec, resume=False)["text"]
+    parts = sorted(glob.glob(os.path.join(out, "*.idx")))
+    assert len(parts) == 2
+    off = TokenizerSpec("byte").build().offset
+    for k, p in enumerate(parts):
+        got = [bytes(t - off for t in x[:-1]).decode() for x in tokens(spark, p)]
+        assert got == [f"line {i}" for i in range(k, 500, 2)]
+    assert B.input_splits(spark, os.path.join(tmp, "in")) == 0
