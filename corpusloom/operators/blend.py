@@ -51,7 +51,7 @@ def blend_select(df: DataFrame, corpus_col: str, id_col: str, weights: DataFrame
                  bucket_shift: int = 48) -> DataFrame:
     """Rows of each corpus up to ``quota = min(n_c, (w_c * N) div sum(w))``,
     taking the lowest ``(score, id)`` first. ``weights(prefix, weight)`` has
-    one row per blend entry (a user-written list, broadcast).
+    one row per blend entry; whether a join broadcasts is the planner's choice.
 
     ``score`` defaults to ``xxhash64(id, seed)``; buckets are its top bits
     (``score >> bucket_shift``), which keeps the score order.
@@ -62,7 +62,7 @@ def blend_select(df: DataFrame, corpus_col: str, id_col: str, weights: DataFrame
     w = weights.select(F.col("prefix").alias(corpus_col), F.col("weight").cast("double").alias("_w"))
     counts = scored.groupBy(corpus_col).agg(F.count(F.lit(1)).alias("_n"))
     n_total = F.sum("_n").over(Window.partitionBy()) if total is None else F.lit(int(total))
-    quotas = (counts.join(F.broadcast(w), corpus_col)
+    quotas = (counts.join(w, corpus_col)
               .withColumn("_total", n_total)
               .withColumn("_wsum", F.sum("_w").over(Window.partitionBy()))
               .withColumn("_q", F.least(F.col("_n"),
@@ -71,10 +71,10 @@ def blend_select(df: DataFrame, corpus_col: str, id_col: str, weights: DataFrame
     hist = scored.groupBy(corpus_col, "_bucket").agg(F.count(F.lit(1)).alias("_c"))
     wc = Window.partitionBy(corpus_col).orderBy("_bucket")
     hist = (hist.withColumn("_cum", F.sum("_c").over(wc.rowsBetween(Window.unboundedPreceding, 0)))
-            .join(F.broadcast(quotas), corpus_col)
+            .join(quotas, corpus_col)
             .where((F.col("_cum") - F.col("_c") < F.col("_q")) & (F.col("_cum") >= F.col("_q")))
             .select(corpus_col, F.col("_bucket").alias("_edge"), (F.col("_q") - (F.col("_cum") - F.col("_c"))).alias("_need")))
-    j = scored.join(F.broadcast(hist), corpus_col)
+    j = scored.join(hist, corpus_col)
     below = j.where(F.col("_bucket") < F.col("_edge"))
     edge = j.where(F.col("_bucket") == F.col("_edge"))
     we = Window.partitionBy(corpus_col, "_bucket").orderBy("_score", id_col)

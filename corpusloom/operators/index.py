@@ -3,13 +3,13 @@
 Every running quantity (sequence id, byte pointer, document boundary) is a
 *two-level* prefix sum, never an un-partitioned window over all rows:
 
-1. rows are grouped in blocks of a dense order key (``key div block``), so a
-   block holds at most ``block`` documents whatever the key distribution;
+1. rows are range-partitioned by the order: a partition is a block, of about
+   equal size whatever the keys are (dense, sparse or clustered);
 2. a window partitioned by block gives the in-block running value;
-3. the block totals (one row per block, partial aggregation) get their
-   exclusive prefix sum and are broadcast back (one row per million rows).
+3. the block totals (one row per partition, partial aggregation) get their
+   exclusive prefix sum and are joined back.
 
-The lengths-only input is checkpointed once (written to the shared checkpoint
+The lengths-only input is checkpointed (written to the shared checkpoint
 folder), so the producing stage runs once and the lineage is cut.
 """
 
@@ -27,8 +27,6 @@ DTYPE_SIZES = {"uint8": 1, "int8": 1, "int16": 2, "int32": 4, "int64": 8,
                "float64": 8, "float32": 4, "uint16": 2}
 CODE_DTYPES = {v: k for k, v in DTYPE_CODES.items()}
 
-DEFAULT_BLOCK = 1 << 20
-
 
 def optimal_dtype(vocab_size: int | None) -> str:
     """uint16 when the vocabulary has fewer than 65535 ids, else int32."""
@@ -47,21 +45,19 @@ def id_range(encoded: DataFrame, ids_col: str = "token_ids") -> DataFrame:
                        F.max(F.array_max(ids_col)).alias("max_id"))
 
 
-def two_level_prefix(df: DataFrame, order: list[str], values: dict[str, Column],
-                     block: Column, counts: list[str] = ()) -> DataFrame:
+def two_level_prefix(df: DataFrame, order: list[str], values: dict[str, Column], counts: list[str] = ()) -> DataFrame:
     """Exclusive prefix sums of ``values`` (and 0-based row counts named in
-    ``counts``) in ``order``; ``block`` must group rows into contiguous runs of
-    the order.
+    ``counts``) in ``order``.
 
-    The input (lengths only) is checkpointed once, so the block totals and the
-    in-block windows read the same rows and whatever produced them (a
-    tokenizer stage, a file scan) runs once. The totals table has one row per
-    block (at most rows / block size), so it is broadcast.
+    The input (lengths only) is checkpointed before the range partitioning
+    samples it, so whatever produced it (a tokenizer stage, a file scan) runs
+    once, and again after it, so the block totals and the in-block windows
+    read the same rows. Equal order keys share a block.
     """
-    # a reliable checkpoint, not a cache: a cache would be reused by any
-    # later plan that looks the same, even after the input or the split
-    # settings changed
-    d = checkpoint(df.withColumn("_blk", block))
+    # reliable checkpoints, not caches: a cache would be reused by any later
+    # plan that looks the same, even after the input or the split settings
+    # changed
+    d = checkpoint(checkpoint(df).repartitionByRange(*order).withColumn("_blk", F.spark_partition_id()))
     names = list(values) + list(counts)
     aggs = [F.sum(v).cast("long").alias(f"_t_{n}") for n, v in values.items()]
     aggs += [F.count(F.lit(1)).cast("long").alias(f"_t_{n}") for n in counts]
@@ -74,13 +70,12 @@ def two_level_prefix(df: DataFrame, order: list[str], values: dict[str, Column],
     run_cols = [F.coalesce(F.sum(v).over(w_ex), F.lit(0)).cast("long").alias(f"_l_{n}") for n, v in values.items()]
     run_cols += [(F.row_number().over(w_run) - 1).cast("long").alias(f"_l_{n}") for n in counts]
     local = d.select("*", *run_cols)
-    out = local.join(F.broadcast(tot), "_blk")
+    out = local.join(tot, "_blk")
     return out.select(*df.columns, *[(F.col(f"_o_{n}") + F.col(f"_l_{n}")).alias(n) for n in names])
 
 
 def sequence_index(encoded: DataFrame, order_col: str = "line_id", itemsize: int = 2,
-                   block: int = DEFAULT_BLOCK, lens_col: str = "sentence_lens",
-                   keep: list[str] = ()) -> DataFrame:
+                   lens_col: str = "sentence_lens", keep: list[str] = ()) -> DataFrame:
     """One row per sequence ``(order, sent_pos, seq_id, length, ptr)``.
 
     ``ptr`` is the exclusive prefix sum of ``length * itemsize`` in
@@ -89,19 +84,18 @@ def sequence_index(encoded: DataFrame, order_col: str = "line_id", itemsize: int
     """
     seqs = encoded.select(order_col, *keep, F.posexplode(lens_col).alias("sent_pos", "length"))
     out = two_level_prefix(seqs, [order_col, "sent_pos"], {"_tok": F.col("length").cast("long")},
-                           F.expr(f"{order_col} div {int(block)}"), counts=["seq_id"])
+                           counts=["seq_id"])
     return out.select(order_col, *keep, F.col("sent_pos").cast("int").alias("sent_pos"),
                       "seq_id", F.col("length").cast("int").alias("length"),
                       (F.col("_tok") * itemsize).alias("ptr"))
 
 
-def document_index(encoded: DataFrame, order_col: str = "line_id", block: int = DEFAULT_BLOCK,
+def document_index(encoded: DataFrame, order_col: str = "line_id",
                    lens_col: str = "sentence_lens", keep: list[str] = ()) -> DataFrame:
     """``(order, seq_begin, seq_end)``; a document without sequences
     has ``seq_begin == seq_end`` (Q6)."""
     docs = encoded.select(order_col, *keep, F.size(lens_col).cast("long").alias("_n"))
-    out = two_level_prefix(docs, [order_col], {"seq_begin": F.col("_n")},
-                           F.expr(f"{order_col} div {int(block)}"))
+    out = two_level_prefix(docs, [order_col], {"seq_begin": F.col("_n")})
     return out.select(order_col, *keep, "seq_begin", (F.col("seq_begin") + F.col("_n")).alias("seq_end"))
 
 

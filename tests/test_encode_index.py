@@ -46,13 +46,13 @@ def test_null_tokenizer():
 def test_two_level_offsets_match_single_window(spark):
     df = spark.createDataFrame([(i, [1 + (i * 7) % 5 for _ in range(i % 4)]) for i in range(500)],
                                "line_id long, sentence_lens array<int>")
-    seq = index.sequence_index(df, itemsize=2, block=37).orderBy("seq_id").collect()
+    seq = index.sequence_index(df, itemsize=2).orderBy("seq_id").collect()
     ptr, sid = 0, 0
     for r in seq:
         assert (r.seq_id, r.ptr) == (sid, ptr)
         ptr += r.length * 2
         sid += 1
-    docs = index.document_index(df, block=37).orderBy("line_id").collect()
+    docs = index.document_index(df).orderBy("line_id").collect()
     n = 0
     for r in docs:
         assert r.seq_begin == n
@@ -80,3 +80,19 @@ def test_dictionary_strategy_equals_row_strategy(spark):
             want.append((i, ids + [eod] if ids and eod is not None else ids))
         # rows that share an id stay apart
         assert sorted((r.doc_id, list(r.token_ids)) for r in got) == sorted(want)
+
+
+def test_index_of_sparse_and_clustered_keys(spark):
+    from corpusloom.operators import index
+    keys = [i * 10 ** 12 for i in range(60)] + [7, 8, 9] + [10 ** 6 + i for i in range(40)]
+    rows = [(k, [1 + (k + j) % 5 for j in range(k % 4)]) for k in keys]
+    df = spark.createDataFrame(rows, "line_id long, sentence_lens array<int>")
+    seq = index.sequence_index(df).orderBy("seq_id").collect()
+    want, ptr = [], 0
+    for k, lens in sorted(rows):
+        for j, n in enumerate(lens):
+            want.append((k, j, len(want), n, ptr))
+            ptr += 2 * n
+    assert [tuple(r) for r in seq] == want
+    got = index.document_index(df).orderBy("line_id").collect()
+    assert [r.seq_end - r.seq_begin for r in got] == [len(x) for _, x in sorted(rows)] and got[-1].seq_end == len(want)
