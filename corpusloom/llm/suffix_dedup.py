@@ -79,9 +79,9 @@ def _sliding(a: np.ndarray, width: int, pick) -> np.ndarray:
     return pick(a[:len(a) - rest], a[rest:]) if rest else a
 
 
-def anchors(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Position, hash and hash of the surroundings of every anchor. Long texts
-    are read in overlapping blocks."""
+def anchors(data: bytes, full: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Position, hash and (``full``) hash of the surroundings of every anchor.
+    Long texts are read in overlapping blocks."""
     n, found = len(data), []
     if n < LENGTH:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
@@ -94,10 +94,14 @@ def anchors(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         sums = _sums(x, 0)
         a, b = at - low, min(n, at + BLOCK + LENGTH - 1) - low
         h = _mix((sums[a + GRAM:b + 1] - sums[a:b - GRAM + 1]) * back[a:b - GRAM + 1])
-        least = _sliding(h, WINDOW, np.minimum)
-        edge = np.zeros(WINDOW - 1, dtype=np.uint64)
+        rank = (h >> np.uint64(32)).astype(np.uint32)  # half the hash chooses; ties are all anchors
+        least = _sliding(rank, WINDOW, np.minimum)
+        edge = np.zeros(WINDOW - 1, dtype=np.uint32)
         most = _sliding(np.concatenate([edge, least, edge]), WINDOW, np.maximum)
-        pos = np.nonzero(most == h)[0]
+        pos = np.nonzero(most == rank)[0]
+        if not full:
+            found.append((pos + at, h[pos], pos))
+            continue
         left = np.maximum(pos + a - SIDE, 0)
         right = np.minimum(pos + a + GRAM + SIDE, len(x))
         sums, (_, back) = _sums(x, 1), _powers(1)
@@ -116,7 +120,7 @@ def _anchor_rows(keyed: DataFrame, full: bool) -> DataFrame:
     """``h`` alone, or with ``around``, the document's key and the position."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            got = [anchors(t.encode("utf-8")) for t in b.column(2).to_pylist()]
+            got = [anchors(t.encode("utf-8"), full) for t in b.column(2).to_pylist()]
             sizes = np.array([len(g[0]) for g in got], dtype=np.int64)
             if not sizes.sum():
                 continue
