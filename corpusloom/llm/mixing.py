@@ -26,8 +26,9 @@ DOMAINS = ("clean", "junk", "toxic")
 SHARES = {"clean": 0.90, "junk": 0.04, "toxic": 0.06}   # of all tokens
 SAMPLE_PER_DOMAIN = 1500   # labelled rows of a domain that the classifier is fitted on, at most
 WORDS = 64                 # words that the classifier looks at (a top-k report)
-MAX_ROUNDS = 60
+MAX_ROUNDS = 400
 TOLERANCE = 1e-9
+SETTLED = 1e-5             # of all targets: totals that move less in each of three rounds have converged
 BREAKS = (0.02, 0.05, 0.1, 0.2, 0.35, 0.5, 0.7, 0.9)
 
 
@@ -58,22 +59,29 @@ def _measures(text: str, words: str) -> Column:
 
 
 def _first(rows: DataFrame, domain: str, n: int) -> DataFrame:
-    return rows.where(F.col("domain") == domain).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
+    return rows.where(F.col("domain") == domain).orderBy(F.xxhash64("doc_id"), "doc_id", "tkey").limit(n)
 
 
 def fit_classifier(docs: DataFrame, labels: DataFrame, column: str = "text",
                    per_domain: int = SAMPLE_PER_DOMAIN, words: int = WORDS):
     """``(vocabulary, weights)``: the chosen words and, per feature, the log
-    likelihood in each domain; ``weights[""]`` holds the log priors. ``labels``
-    has ``doc_id`` and ``domain``."""
+    likelihood in each domain; ``weights[""]`` holds the log priors, minus
+    infinity for a domain without labelled rows in ``docs`` (all zero when no
+    domain has any). ``labels`` has ``doc_id`` and ``domain``; sample and
+    priors are taken from the labelled rows of ``docs`` only."""
+    key = text_key(F.col(column))
+    here = checkpoint(docs.select("doc_id", key.alias("tkey")).join(labels, "doc_id")
+                      .groupBy("doc_id", "tkey", "domain").agg(F.count(F.lit(1)).alias("n")))
+    seen = {r["domain"]: r["n"] for r in here.groupBy("domain").agg(F.sum("n").alias("n")).collect()
+            if r["domain"] in DOMAINS}
     picked = None
     for d in DOMAINS:
-        part = _first(labels, d, per_domain)
+        part = _first(here, d, per_domain)
         picked = part if picked is None else picked.unionByName(part)
-    picked = checkpoint(picked)  # at most domains x per_domain rows, so the broadcast is bounded
-    seen = {r["domain"]: r["n"] for r in labels.groupBy("domain").agg(F.count(F.lit(1)).alias("n")).collect()
-            if r["domain"] in DOMAINS}
-    rows = docs.join(F.broadcast(picked), "doc_id").select("domain", F.col(column).alias("t"))
+    # at most domains x per_domain rows, so the broadcast is bounded
+    picked = checkpoint(picked.select(F.col("doc_id").alias("d"), F.col("tkey").alias("k"), "domain"))
+    rows = (docs.join(F.broadcast(picked), (F.col("doc_id") == F.col("d")) & (key == F.col("k")))
+            .groupBy("d", "k", "domain").agg(F.first(column).alias("t")))  # repeated rows are one document
     rows = rows.withColumn("w", _words(F.col("t")))
     rows = checkpoint(rows.select("domain", F.array_distinct("w").alias("w"), _measures("t", "w").alias("m")))
     size = {r["domain"]: r["n"] for r in rows.groupBy("domain").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -92,9 +100,12 @@ def fit_classifier(docs: DataFrame, labels: DataFrame, column: str = "text",
     bins = counted("m").collect()  # a few dozen
 
     def logs(r) -> list[float]:
-        return [float(np.log((r[d] + 0.5) / (size.get(d, 0) + 1.0))) for d in DOMAINS]
+        # one more row that has the feature as often as all rows do: a domain
+        # with few rows, or none, gains nothing from what it has not seen
+        usual = (r["n"] + 0.5) / (total + 1.0)
+        return [float(np.log((r[d] + usual) / (size.get(d, 0) + 1.0))) for d in DOMAINS]
     everyone = sum(seen.values())
-    weights = {"": [float(np.log((seen.get(d, 0) + 0.5) / (everyone + 1.5))) for d in DOMAINS]}
+    weights = {"": [float(np.log(seen[d] / everyone)) if d in seen else float("-inf") for d in DOMAINS]}
     weights |= {r["f"]: logs(r) for r in bins}
     weights |= {"=" + r["f"]: logs(r) for r in best}
     return sorted(r["f"] for r in best), weights
@@ -129,20 +140,23 @@ def _dot(p: Column, v: np.ndarray) -> Column:
 
 def fit_rates(members: DataFrame, targets: np.ndarray, rounds: int = MAX_ROUNDS) -> DataFrame:
     """``members`` (with ``n_tokens`` and ``p``) plus ``rate``; ``targets`` are
-    domain token totals. Rates start at one."""
+    domain token totals; a domain that no document belongs to has none. Rates
+    start at one. Raises when the totals still move after ``rounds``."""
     k = len(targets)
     p, t = F.col("p"), F.col("n_tokens")
     got = members.agg(*(F.coalesce(F.sum(t * p[i] * p[j]), F.lit(0.0)).alias(f"m{i}_{j}") for i in range(k) for j in range(i, k))).first()
     m = np.array([[got[f"m{min(i, j)}_{max(i, j)}"] for j in range(k)] for i in range(k)])
     weight = np.linalg.pinv(m, rcond=1e-10, hermitian=True)
+    targets = np.where(np.diag(m) > 0, targets, 0.0)
     scale = max(float(np.abs(targets).sum()), 1.0)
     # accelerated: the gradient is taken at "ahead", a little further along the last move
-    state, last = members.withColumn("rate", F.lit(1.0)).withColumn("ahead", F.lit(1.0)), None
+    state, last, quiet = members.withColumn("rate", F.lit(1.0)).withColumn("ahead", F.lit(1.0)), None, 0
     for i in range(rounds):
         sums = [F.coalesce(F.sum(F.col(c) * t * p[j]), F.lit(0.0)).alias(f"{c}{j}") for c in ("rate", "ahead") for j in range(k)]
         now = state.agg(*sums).first()
         miss, there = (np.array([now[f"{c}{j}"] for j in range(k)]) - targets for c in ("rate", "ahead"))
-        if np.abs(miss).max() <= TOLERANCE * scale or (last is not None and np.abs(miss - last).max() <= 1e-4 * TOLERANCE * scale):
+        quiet = quiet + 1 if last is not None and np.abs(miss - last).max() <= SETTLED * scale else 0
+        if np.abs(miss).max() <= TOLERANCE * scale or quiet == 3:
             break
         last = miss
         state = (state.withColumn("new", F.greatest(F.lit(0.0), F.col("ahead") - _dot(p, weight @ there)))
@@ -150,6 +164,8 @@ def fit_rates(members: DataFrame, targets: np.ndarray, rounds: int = MAX_ROUNDS)
                  .withColumn("rate", F.col("new")).drop("new"))
         if i % 6 == 5:
             state = checkpoint(state)
+    else:
+        raise RuntimeError(f"rates have not converged after {rounds} rounds: totals miss their targets by {miss.tolist()}")
     return state.drop("ahead")
 
 
@@ -176,9 +192,10 @@ def document_rates(docs: DataFrame, labels: DataFrame, column: str = "text", sha
 
     ``labels`` has ``doc_id``, ``quality``, ``toxic``. Null and empty texts have
     no tokens and never weigh; repeated rows get equal rates and weigh twice;
-    without labelled rows every posterior is uniform; a domain that no document
-    belongs to cannot be reached and leaves the least-squares rest; other
-    columns are ignored; an empty table gives no rows.
+    without labelled rows every posterior is uniform; a domain without labelled
+    rows in ``docs`` has probability 0 and no target; targets that no rates
+    reach leave the least-squares rest; other columns are ignored; an empty
+    table gives no rows.
     """
     out = mixed(docs, label_domain(labels), column, shares)
     return out.select("doc_id", "n_tokens", *(F.col("p")[i].alias(f"p_{d}") for i, d in enumerate(DOMAINS)), "rate")

@@ -77,3 +77,33 @@ def test_empty(spark):
     out = M.document_rates(d, lab).collect()
     assert len(out) == len(awkward()) and all(abs(x.p_clean - 1 / 3) < 1e-9 for x in out)
     assert M.apply_rates(d, lab, factors=dict.fromkeys(M.DOMAINS, 1.0)).count() == len(awkward())
+
+
+def test_labels_of_missing_documents_do_not_count(spark):
+    rows, labels = labelled()
+    rows = [x for x, y in zip(rows, labels) if y[1]]  # every labelled junk document is gone
+    lab = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    out = {x.doc_id: x for x in M.document_rates(docs(spark, rows), lab).collect()}
+    assert all(x.p_junk == 0 for x in out.values())
+    assert out[100].p_clean > 0.8 and out[102].p_toxic > 0.8
+    t = sum(x.n_tokens for x in out.values())
+    assert sum(x.rate * x.n_tokens * x.p_clean for x in out.values()) == pytest.approx(0.9 * t, rel=1e-6)
+
+
+def test_sample_is_taken_from_rows_that_are_there(spark):
+    rows, labels = labelled()
+    gone = [(10000 + i, 0, 0) for i in range(500)]
+    lab = M.label_domain(spark.createDataFrame(labels + gone, "doc_id long, quality int, toxic int"))
+    d = docs(spark, rows + rows[:1])
+    _, weights = M.fit_classifier(d, lab, per_domain=5)
+    _, without = M.fit_classifier(d, lab.where("doc_id < 10000"), per_domain=5)
+    assert weights == without
+    assert np.allclose(np.exp(weights[""]), [21 / 61, 20 / 61, 20 / 61])
+
+
+def test_rates_that_have_not_converged_raise(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, 1 + i % 30, x.tolist()) for i, x in enumerate(rng.dirichlet([0.4, 0.3, 0.3], 80))]
+    members = spark.createDataFrame(rows, "doc_id long, n_tokens long, p array<double>")
+    with pytest.raises(RuntimeError, match="not converged"):
+        M.fit_rates(members, np.array([10.0, 900.0, 0.0]), 4)
