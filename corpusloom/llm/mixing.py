@@ -25,7 +25,7 @@ from corpusloom.llm.common import checkpoint, fresh, prepare, text_key
 DOMAINS = ("clean", "junk", "toxic")
 SHARES = {"clean": 0.90, "junk": 0.04, "toxic": 0.06}   # of all tokens
 SAMPLE_PER_DOMAIN = 1500   # labelled rows of a domain that the classifier is fitted on, at most
-WORDS = 64                 # words that the classifier looks at (a top-k report)
+WORDS = 2048               # most telling words that the classifier looks at, kept as a table
 MAX_ROUNDS = 400
 TOLERANCE = 1e-9
 SETTLED = 1e-5             # of all targets: totals that move less in each of three rounds have converged
@@ -64,8 +64,9 @@ def _first(rows: DataFrame, domain: str, n: int) -> DataFrame:
 
 def fit_classifier(docs: DataFrame, labels: DataFrame, column: str = "text",
                    per_domain: int = SAMPLE_PER_DOMAIN, words: int = WORDS):
-    """``(vocabulary, weights)``: the chosen words and, per feature, the log
-    likelihood in each domain; ``weights[""]`` holds the log priors, minus
+    """``(vocabulary, weights)``: the chosen words as a table ``(f, l0, l1, ..)``
+    with the log likelihood in each domain (None without labelled rows), and the
+    same per surface measure; ``weights[""]`` holds the log priors, minus
     infinity for a domain without labelled rows in ``docs`` (all zero when no
     domain has any). ``labels`` has ``doc_id`` and ``domain``; sample and
     priors are taken from the labelled rows of ``docs`` only."""
@@ -87,7 +88,7 @@ def fit_classifier(docs: DataFrame, labels: DataFrame, column: str = "text",
     size = {r["domain"]: r["n"] for r in rows.groupBy("domain").agg(F.count(F.lit(1)).alias("n")).collect()}
     total = sum(size.values())
     if not total:
-        return [], {"": [0.0] * len(DOMAINS)}
+        return None, {"": [0.0] * len(DOMAINS)}
 
     def counted(feature: str) -> DataFrame:
         return rows.select("domain", F.explode(feature).alias("f")).groupBy("f").agg(
@@ -96,37 +97,43 @@ def fit_classifier(docs: DataFrame, labels: DataFrame, column: str = "text",
     gain = F.array_max(F.array(F.lit(0.0), *(
         F.when(F.col(d) > 0, F.col(d) * F.log(F.col(d) * F.lit(total) / (F.col("n") * F.lit(size[d])))).otherwise(0.0)
         for d in DOMAINS if d in size)))
-    best = counted("w").orderBy(F.round(gain, 6).desc(), "f").limit(words).collect()
-    bins = counted("m").collect()  # a few dozen
-
-    def logs(r) -> list[float]:
-        # one more row that has the feature as often as all rows do: a domain
-        # with few rows, or none, gains nothing from what it has not seen
-        usual = (r["n"] + 0.5) / (total + 1.0)
-        return [float(np.log((r[d] + usual) / (size.get(d, 0) + 1.0))) for d in DOMAINS]
+    # one more row that has the feature as often as all rows do: a domain with
+    # few rows, or none, gains nothing from what it has not seen
+    usual = (F.col("n") + 0.5) / (total + 1.0)
+    logs = [F.log((F.col(d) + usual) / (size.get(d, 0) + 1.0)).alias(f"l{k}") for k, d in enumerate(DOMAINS)]
+    best = checkpoint(counted("w").orderBy(F.round(gain, 6).desc(), "f").limit(words).select("f", *logs))
+    bins = counted("m").select("f", *logs).collect()  # a few dozen
     everyone = sum(seen.values())
     weights = {"": [float(np.log(seen[d] / everyone)) if d in seen else float("-inf") for d in DOMAINS]}
-    weights |= {r["f"]: logs(r) for r in bins}
-    weights |= {"=" + r["f"]: logs(r) for r in best}
-    return sorted(r["f"] for r in best), weights
+    weights |= {r["f"]: [r[f"l{k}"] for k in range(len(DOMAINS))] for r in bins}
+    return best, weights
 
 
 def _adder(table: Column):
     return lambda total, f: total + F.coalesce(F.element_at(table, f), F.lit(0.0))
 
 
-def posteriors(docs: DataFrame, vocabulary: list[str], weights: dict[str, list[float]], column: str = "text") -> DataFrame:
+def posteriors(docs: DataFrame, vocabulary: DataFrame | None, weights: dict[str, list[float]], column: str = "text") -> DataFrame:
     """``(doc_id, tkey, n_tokens, p)``, ``p`` an array in the order of ``DOMAINS``."""
     df = docs.select("doc_id", text_key(F.col(column)).alias("tkey"), F.col(column).alias("t"))
     df = df.withColumn("w", _words(F.col("t")))
-    present = (F.transform(F.array_intersect("w", F.array(*(F.lit(w) for w in vocabulary))), lambda w: F.concat(F.lit("="), w))
-               if vocabulary else F.array().cast("array<string>"))
-    df = df.select("doc_id", "tkey", F.size("w").cast("long").alias("n_tokens"), F.concat(_measures("t", "w"), present).alias("f"))
+    df = df.select("doc_id", "tkey", F.size("w").cast("long").alias("n_tokens"), "w", _measures("t", "w").alias("f"))
     logit = []
     for k in range(len(DOMAINS)):
         table = F.create_map(*(x for f, v in weights.items() if f for x in (F.lit(f), F.lit(v[k])))) if len(weights) > 1 else None
         start = F.lit(weights[""][k])
         logit.append(start if table is None else F.aggregate("f", start, _adder(table)))
+    if vocabulary is not None:
+        # a row per distinct word and one for no word, so that every text stays; only known words reach the sum
+        mark = [F.lit("").alias("f"), *(F.lit(0.0).alias(f"l{k}") for k in range(len(DOMAINS)))]
+        known = vocabulary.unionByName(docs.sparkSession.range(1).select(*mark))  # bounded by the number of words
+        df = df.select(F.monotonically_increasing_id().alias("row"), "doc_id", "tkey", "n_tokens",
+                       *(x.alias(f"z{k}") for k, x in enumerate(logit)), F.array_append(F.array_distinct("w"), "").alias("w"))
+        df = (df.select("row", "doc_id", "tkey", "n_tokens", *(f"z{k}" for k in range(len(DOMAINS))), F.explode("w").alias("f"))
+              .join(F.broadcast(known), "f").groupBy("row")
+              .agg(*(F.first(c).alias(c) for c in ("doc_id", "tkey", "n_tokens")),
+                   *((F.first(f"z{k}") + F.sum(f"l{k}")).alias(f"z{k}") for k in range(len(DOMAINS)))))
+        logit = [F.col(f"z{k}") for k in range(len(DOMAINS))]
     df = df.select("doc_id", "tkey", "n_tokens", F.array(*logit).alias("z"))
     e = F.transform("z", lambda x: F.exp(x - F.array_max("z")))
     df = df.withColumn("z", e)

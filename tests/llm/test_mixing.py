@@ -107,3 +107,18 @@ def test_rates_that_have_not_converged_raise(spark):
     members = spark.createDataFrame(rows, "doc_id long, n_tokens long, p array<double>")
     with pytest.raises(RuntimeError, match="not converged"):
         M.fit_rates(members, np.array([10.0, 900.0, 0.0]), 4)
+
+
+def test_held_out_posteriors(spark):
+    """Every domain is told by 300 words of its own, of which a text has six."""
+    r = np.random.default_rng(7)
+    rows, labels = [], []
+    for i in range(900):
+        kind = i % 3
+        words = [f"{'abc'[kind]}{k}" for k in r.integers(0, 300, 6)] + [f"w{k}" for k in r.integers(0, 40, 14)]
+        rows.append((i, " ".join(words)))
+        labels.append((i, 0 if kind == 1 else 1, 1 if kind == 2 else 0))
+    lab = spark.createDataFrame([x for x in labels if x[0] < 600], "doc_id long, quality int, toxic int")
+    out = [x for x in M.document_rates(docs(spark, rows), lab).collect() if x.doc_id >= 600]
+    for kind, d in enumerate(M.DOMAINS):
+        assert np.mean([x[f"p_{d}"] for x in out if x.doc_id % 3 == kind]) > 0.95, d
