@@ -15,6 +15,7 @@ from corpusloom.llm import line_dedup, mixing, pieces, quality_rules, simhash
 from corpusloom.llm.common import read_table, stored
 from corpusloom.llm.queries import piece_model_path
 
+REPEATED_WORDS = 50  # words of a repeated passage that goes whatever its number of lines
 # Multiples of each domain's expected tokens that the mixture is to have.
 MIX = {"clean": 1.02, "junk": 0.5, "toxic": 0.75}
 
@@ -26,7 +27,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Later repeated runs of lines go; ``n_chars`` follows the text."""
-    out = line_dedup.dedup_lines(docs)
+    out = line_dedup.dedup_lines(docs, min_words=REPEATED_WORDS)
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
 
 

@@ -8,6 +8,7 @@ joined, each is extended both ways to the windows that chose it, and windows
 with equal hashes are compared with the first of their kind: a group is a
 partial minimum, never a list of pairs. Overlapping matched windows grow into
 the maximal repeated runs, which are deleted; the first occurrence stays.
+With ``min_words``, shorter runs that reach so many words are windows too.
 """
 
 from __future__ import annotations
@@ -31,18 +32,32 @@ def _content(text: Column) -> Column:
                        lambda x: F.struct(x["i"].alias("i"), F.xxhash64(x["s"]).alias("h")))
 
 
-def repeated_windows(docs: DataFrame, column: str = "text", min_lines: int = MIN_LINES) -> DataFrame:
-    """``(doc_id, tkey, at)``: start (in non-blank lines) of every window of
-    ``min_lines`` lines that also occurs earlier (smaller ``doc_id``, nulls
-    last, ties by the text's hash; or earlier in the same text)."""
-    w = min_lines
+def _word_counts(text: Column) -> Column:
+    """Number of words of every non-blank line."""
+    trimmed = F.transform(_lines(text), lambda x: F.btrim(x, F.lit(" \t\r")))
+    return F.transform(F.filter(trimmed, lambda x: x != ""), lambda x: F.regexp_count(x, F.lit(r"\S+")))
+
+
+def repeated_windows(docs: DataFrame, column: str = "text", min_lines: int = MIN_LINES,
+                     min_words: int | None = None) -> DataFrame:
+    """``(doc_id, tkey, at, n)``: start and length (in non-blank lines) of every
+    window that also occurs earlier (smaller ``doc_id``, nulls last, ties by the
+    text's hash; or earlier in the same text). Windows are all runs of
+    ``min_lines`` lines and, with ``min_words``, all shorter runs of so many words."""
     h = F.transform(_content(F.col(column)), lambda x: x["h"])
-    rows = (docs.select("doc_id", text_key(F.col(column)).alias("tkey"), h.alias("h"))
-            .where(F.size("h") >= w))
-    starts = F.sequence(F.lit(0), F.size("h") - w)
-    chosen = F.transform(starts, lambda j: F.struct(
-        F.array_min(F.transform(F.slice("h", j + 1, w), lambda x, i: F.struct(x.alias("h"), (i + j).alias("p")))).alias("f"),
-        j.alias("at"), F.slice("h", j + 1, w).alias("run")))
+    rows = docs.select("doc_id", text_key(F.col(column)).alias("tkey"), h.alias("h"),
+                       *([_word_counts(F.col(column)).alias("words")] if min_words is not None else []))
+
+    def windows_of(w: int) -> Column:
+        starts = F.when(F.size("h") >= w, F.sequence(F.lit(0), F.size("h") - w)).otherwise(F.array().cast("array<int>"))
+        if w < min_lines:
+            starts = F.filter(starts, lambda j: F.aggregate(F.slice("words", j + 1, w), F.lit(0), lambda a, x: a + x) >= min_words)
+        return F.transform(starts, lambda j: F.struct(
+            F.array_min(F.transform(F.slice("h", j + 1, w), lambda x, i: F.struct(x.alias("h"), (i + j).alias("p")))).alias("f"),
+            j.alias("at"), F.slice("h", j + 1, w).alias("run")))
+    sizes = range(1 if min_words is not None else min_lines, min_lines + 1)
+    chosen = F.concat(*(windows_of(w) for w in sizes))
+    rows = rows.where(F.size("h") >= sizes[0])
     # one row per fingerprint, with the windows that chose it: what "extend both ways" looks at
     windows = checkpoint(rows.select("doc_id", "tkey", F.explode(chosen).alias("c"))
                          .select("doc_id", "tkey", F.col("c.f.h").alias("f"), F.col("c.f.p").alias("p"), "c.at", "c.run"))
@@ -53,30 +68,32 @@ def repeated_windows(docs: DataFrame, column: str = "text", min_lines: int = MIN
     first = (joined.groupBy("run").agg(F.min("k").alias("first"), F.count(F.lit(1)).alias("n"))
              .where(F.col("n") > 1).drop("n"))
     later = joined.join(first, "run").where(F.col("k") != F.col("first"))
-    return later.select(F.col("k.doc_id").alias("doc_id"), F.col("k.tkey").alias("tkey"), F.col("k.at").alias("at"))
+    return later.select(F.col("k.doc_id").alias("doc_id"), F.col("k.tkey").alias("tkey"), F.col("k.at").alias("at"),
+                        F.size("run").alias("n"))
 
 
 def dedup_lines(docs: DataFrame, column: str = "text", min_lines: int = MIN_LINES,
-                counts: bool = False) -> DataFrame:
-    """``docs`` with the repeated runs deleted from ``column``; ``counts`` adds
-    ``n_lines`` and ``n_removed_lines`` (longs).
+                counts: bool = False, min_words: int | None = None) -> DataFrame:
+    """``docs`` with the repeated runs of ``min_lines`` lines or, when given, of
+    ``min_words`` words deleted from ``column``; ``counts`` adds ``n_lines`` and
+    ``n_removed_lines`` (longs).
 
     Lines are split at ``\\n``. Blank lines are never compared or deleted. A
     null text stays null (no lines), an empty one empty; texts with fewer than
-    ``min_lines`` lines are unchanged; a text of which every line goes becomes
+    ``min_lines`` lines (and ``min_words`` words) are unchanged; a text of which every line goes becomes
     empty. Rows with the same ``doc_id`` and text count as one document and
     get the same result; null ids come last; other columns are kept, whatever
     their names. An empty table gives no rows.
     """
     prepare(docs.sparkSession)
     key, hits, lines, gone = (fresh(docs, n) for n in ("_tkey", "_hits", "_lines", "_gone"))
-    windows = repeated_windows(docs, column, min_lines)
+    windows = repeated_windows(docs, column, min_lines, min_words)
     d, t = fresh(docs, "_d"), fresh(docs, "_t")
-    per_doc = (windows.groupBy("doc_id", "tkey").agg(F.collect_set("at").alias(hits))
+    per_doc = (windows.groupBy("doc_id", "tkey").agg(F.collect_set(F.struct("at", "n")).alias(hits))
                .select(F.col("doc_id").alias(d), F.col("tkey").alias(t), hits))
     at = docs.withColumn(key, text_key(F.col(column)))
     out = at.join(per_doc, F.col("doc_id").eqNullSafe(F.col(d)) & (F.col(key) == F.col(t)), "left")
-    covered = F.array_distinct(F.flatten(F.transform(hits, lambda a: F.sequence(a, a + (min_lines - 1)))))
+    covered = F.array_distinct(F.flatten(F.transform(hits, lambda x: F.sequence(x["at"], x["at"] + x["n"] - 1))))
     # positions among the non-blank lines back to line numbers
     numbers = F.transform(_content(F.col(column)), lambda x: x["i"])
     out = out.withColumn(lines, _lines(F.col(column))).withColumn(
