@@ -8,6 +8,7 @@ from corpusloom.llm import (
     html_extract,
     licenses,
     line_dedup,
+    merkle,
     mixing,
     pieces,
     pq_dedup,
@@ -15,6 +16,7 @@ from corpusloom.llm import (
     quality_rules,
     simhash,
     suffix_dedup,
+    turn_repair,
 )
 from corpusloom.llm.common import read_table
 
@@ -65,6 +67,14 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pq_dedup.near_duplicates(read_table(spark, sf_dir, "embeddings"))
 
 
+def op12_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turn_repair.repair(turn_repair.damaged(read_table(spark, sf_dir, "conversations")))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.audited(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_quality_rules": (op1_quality_rules, None),
     "op2_line_dedup": (op2_line_dedup, line_dedup.ORACLE),
@@ -76,4 +86,6 @@ QUERIES = {
     "op8_html_extraction": (op8_html_extraction, None),
     "op9_quality_classifier": (op9_quality_classifier, None),
     "op10_embedding_dedup": (op10_embedding_dedup, None),
+    "op12_turn_repair": (op12_turn_repair, None),
+    "op13_merkle_manifest": (op13_merkle_manifest, None),
 }

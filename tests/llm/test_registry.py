@@ -6,8 +6,8 @@ from corpusloom.llm import queries as Q
 
 
 def test_names():
-    assert [n.split("_")[0] for n in Q.QUERIES] == [f"op{i}" for i in range(1, 11)] or \
-        {n.split("_")[0] for n in Q.QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert [n.split("_")[0] for n in Q.QUERIES] == [f"op{i}" for i in range(1, 14)] or \
+        {n.split("_")[0] for n in Q.QUERIES} == {f"op{i}" for i in range(1, 14)}
 
 
 @pytest.mark.parametrize("name", [n for n, (_, sql) in Q.QUERIES.items() if sql])
