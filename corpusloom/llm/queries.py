@@ -11,6 +11,7 @@ from corpusloom.llm import (
     merkle,
     mixing,
     pieces,
+    pitman_yor,
     pq_dedup,
     quality_model,
     quality_rules,
@@ -67,6 +68,10 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pq_dedup.near_duplicates(read_table(spark, sf_dir, "embeddings"))
 
 
+def op11_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pitman_yor.score_documents(read_table(spark, sf_dir, "documents"))
+
+
 def op12_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return turn_repair.repair(turn_repair.damaged(read_table(spark, sf_dir, "conversations")))
 
@@ -86,6 +91,7 @@ QUERIES = {
     "op8_html_extraction": (op8_html_extraction, None),
     "op9_quality_classifier": (op9_quality_classifier, None),
     "op10_embedding_dedup": (op10_embedding_dedup, None),
+    "op11_pitman_yor": (op11_pitman_yor, None),
     "op12_turn_repair": (op12_turn_repair, None),
     "op13_merkle_manifest": (op13_merkle_manifest, None),
 }
