@@ -81,7 +81,8 @@ PLAN_SCHEMA = ("out string, prefix string, dtype string, lo long, hi long, seq_b
                "n_seq long, n_bytes long, n_docs long")
 
 
-def gather_table(spark: SparkSession, plan: DataFrame, documents: str = "keep", multimodal: bool = False) -> dict:
+def gather_table(spark: SparkSession, plan: DataFrame, documents: str = "keep", multimodal: bool = False,
+                 before_names=None) -> dict:
     """Write the datasets that ``plan`` (``PLAN_SCHEMA``) lays out.
 
     ``documents="keep"``: pieces are whole datasets (or consecutive ranges
@@ -92,6 +93,8 @@ def gather_table(spark: SparkSession, plan: DataFrame, documents: str = "keep",
     The driver sees one row per target: it makes the empty files. Tasks copy
     pieces, several each, and write their slices of data and index at the
     pieces' places with ``os.pwrite``; a retried task writes the same bytes.
+    ``before_names`` is called when everything is copied, before the files get
+    their final names.
     """
     from corpusloom.session import prepare_session
     prepare_session(spark)
@@ -136,11 +139,14 @@ def gather_table(spark: SparkSession, plan: DataFrame, documents: str = "keep",
 
     copied = {r[0]: r[1] for r in plan.repartition(tasks).mapInPandas(copy, "out string, n long").groupBy("out")
               .agg({"n": "sum"}).collect()}
+    for out, (S, _) in entries.items():
+        if copied.get(out, 0) != S:
+            raise RuntimeError(f"{out}: copied {copied.get(out, 0)} of {S} sequences")
+    if before_names:
+        before_names()
     result = {}
     for out, r in targets.items():
         S, D = entries[out]
-        if copied.get(out, 0) != S:
-            raise RuntimeError(f"{out}: copied {copied.get(out, 0)} of {S} sequences")
         os.replace(f"{out}.bin.{tag}", out + ".bin")
         os.replace(f"{out}.idx.{tag}", out + ".idx")
         result[out] = {"sequences": S, "documents": D - 1, "bytes": r["total"], "dtype": dtype}
