@@ -9,14 +9,19 @@ never sorted in one place:
    anchors at equal offsets, and only anchors whose hash occurs twice matter.
 2. *Classes.* Anchors with equal surroundings (the bytes of every window that
    holds the anchor) form a class; all but its first member are covered.
-3. *Suffix arrays.* What is left is one row per class: anchors of equal hash
-   with different surroundings. Their surroundings are written over a small
+3. *Halving.* What is left is one row per class: anchors of equal hash with
+   different surroundings. A window reaches ``SIDE`` bytes beyond the anchor, on
+   both sides together, so it takes half of them on the left or half on the
+   right: each row is dealt twice, with the nearer left half and with the nearer
+   right half, and only rows of one deal can share a window there. A group of
+   more than ``GROUP_ROWS`` rows is dealt again in the same way, with what is
+   left of its sides, until groups are small or share the whole window.
+4. *Suffix arrays.* The sides of a group's rows are written over a small
    alphabet (a symbol stands for the bytes between two depths at which other
-   rows of the group part) and sorted by ``gsaca``; in the suffix array, rows that
-   agree on a whole window are neighbours and all but the first are covered.
-   Anchors with very many classes are cut into blocks; the blocks' first rows
-   then meet in an aggregation per window.
-4. Covered ranges are merged per document and cut out of its text.
+   rows of the group part) and sorted by ``gsaca``; a window is an interval of
+   the suffix array whose neighbours have its length in common, and all rows of
+   an interval but the first are covered.
+5. Covered ranges are merged per document and cut out of its text.
 """
 
 from __future__ import annotations
@@ -39,7 +44,7 @@ GRAM = 50
 WINDOW = LENGTH - GRAM + 1   # grams in a window
 SIDE = LENGTH - GRAM         # bytes on either side of an anchor that its windows reach
 BLOCK = 1 << 18              # bytes of a text that are hashed at a time
-CLASSES = 4096               # classes of one anchor in one block of rows
+GROUP_ROWS = 4096            # rows of a group that are sorted together, at most
 SORTED_ROWS = 4096           # rows whose suffix array is built at a time, about
 _BASES = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 
@@ -140,36 +145,34 @@ def _order(pos: str | Column = "pos") -> Column:
     return F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id"), F.col("tkey"), (F.col(pos) if isinstance(pos, str) else pos).alias("pos"))
 
 
-# -- windows of different surroundings ---------------------------------------
+# -- windows of different surroundings
 
-def _shared(rows: list[bytes], group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _shared(rows: list[bytes], group: np.ndarray, side: int) -> tuple[np.ndarray, np.ndarray]:
     """``(order, common)``: rows sorted within groups, and for each place in
     that order the length of the common prefix with the row before."""
     keys = [b"%08x" % g + r for g, r in zip(group.tolist(), rows)]
     order = np.array(sorted(range(len(rows)), key=keys.__getitem__), dtype=np.int64)
     size = np.array([len(r) for r in rows], dtype=np.int64)
-    wide = np.zeros((len(rows), SIDE + 1), dtype=np.uint8)
+    wide = np.zeros((len(rows), side + 1), dtype=np.uint8)
     flat = np.frombuffer(b"".join(rows), dtype=np.uint8)
     at = np.repeat(np.arange(len(rows)), size)
     wide[at, np.arange(len(flat)) - np.repeat(np.cumsum(size) - size, size)] = flat
     wide, size, g = wide[order], size[order], group[order]
     common = np.zeros(len(rows), dtype=np.int64)
-    same = np.minimum((wide[1:] != wide[:-1]).argmax(axis=1) + SIDE * (wide[1:] == wide[:-1]).all(axis=1), SIDE)
+    same = np.minimum((wide[1:] != wide[:-1]).argmax(axis=1) + side * (wide[1:] == wide[:-1]).all(axis=1), side)
     common[1:] = np.where(g[1:] == g[:-1], np.minimum(same, np.minimum(size[1:], size[:-1])), 0)
     return order, common
 
 
-def _branches(group: np.ndarray, order: np.ndarray, common: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _branches(group: np.ndarray, order: np.ndarray, common: np.ndarray, side: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Per row the longest prefix shared with another row of its group (``reach``);
     ``(depth, symbol)``: for each row and each k, the k-th depth at which some row
-    parts from it, and the class of the rows that are still together there (0
-    beyond). Rows of a class have the class's depths in common, so the smallest
-    of them that is not below d tells which rows share a prefix of length d."""
+    parts from it, and a symbol for the bytes up to there (0 beyond)."""
     n = len(order)
     reach = np.zeros(n, dtype=np.int64)
     reach[order] = np.maximum(common, np.append(common[1:], 0))
-    depth = np.zeros((n, SIDE), dtype=np.int64)
-    symbol = np.zeros((n, SIDE), dtype=np.int64)
+    depth = np.zeros((n, side), dtype=np.int64)
+    symbol = np.zeros((n, side), dtype=np.int64)
     many = np.zeros(n, dtype=np.int64)
     g = group[order]
     first = np.append(True, g[1:] != g[:-1])
@@ -185,15 +188,29 @@ def _branches(group: np.ndarray, order: np.ndarray, common: np.ndarray) -> tuple
     return reach, depth, symbol
 
 
-def covered_windows(group: np.ndarray, place: np.ndarray, left: list[bytes], right: list[bytes]) -> list[tuple[int, int, int]]:
-    """``(row, least, most)``: windows of a row that start ``least`` to ``most``
-    bytes before its anchor and that an earlier row of its group (smaller
-    ``place``) also has. ``left`` holds the bytes before the anchor in reverse."""
-    lo, lc = _shared(left, group)
-    ro, rc = _shared(right, group)
-    l_reach, l_depth, l_symbol = _branches(group, lo, lc)
-    r_reach, r_depth, r_symbol = _branches(group, ro, rc)
-    rows = np.nonzero(l_reach + r_reach >= SIDE)[0]  # others share no whole window
+def _common_prefixes(text: np.ndarray, order: np.ndarray, most: int) -> np.ndarray:
+    """Symbols (``most`` at most) that each suffix of the array shares with the one before it."""
+    padded = np.concatenate([text, np.zeros(most + 1, dtype=text.dtype)])
+    out = np.zeros(len(order), dtype=np.int64)
+    live = np.arange(1, len(order))
+    for d in range(most):
+        live = live[padded[order[live] + d] == padded[order[live - 1] + d]]
+        if not len(live):
+            break
+        out[live] += 1
+    return out
+
+
+def covered_windows(group: np.ndarray, left: list[bytes], right: list[bytes], side: int) -> list[tuple[int, int, int]]:
+    """``(row, least, most)``: windows of a row that take ``least`` to ``most``
+    bytes of its left side (and the rest of ``side`` bytes of its right one) and
+    that an earlier row of its group also has. Rows stand in the order of their
+    places; ``left`` holds the bytes before the anchor in reverse."""
+    lo, lc = _shared(left, group, side)
+    ro, rc = _shared(right, group, side)
+    l_reach, l_depth, l_symbol = _branches(group, lo, lc, side)
+    r_reach, r_depth, r_symbol = _branches(group, ro, rc, side)
+    rows = np.nonzero(l_reach + r_reach >= side)[0]  # others share no whole window
     if len(rows) < 2:
         return []
     # text of a row: left symbols from the outermost in, the anchor, right symbols, a separator
@@ -211,35 +228,37 @@ def covered_windows(group: np.ndarray, place: np.ndarray, left: list[bytes], rig
     order = np.array(suffix_array(text.tolist()), dtype=np.int64)
     rank = np.empty(len(order), dtype=np.int64)
     rank[order] = np.arange(len(order))
-    # windows: how many bytes before the anchor -> depths needed on either side
-    w_row, w_left, w_right, w_before = [], [], [], []
-    for before in range(SIDE + 1):
-        ok = np.nonzero((l_reach[rows] >= before) & (r_reach[rows] >= SIDE - before))[0]
+    # windows: how many bytes on the left -> where their symbols start, and how many there are
+    w_row, w_left, w_size, w_before = [], [], [], []
+    for before in range(side + 1):
+        ok = np.nonzero((l_reach[rows] >= before) & (r_reach[rows] >= side - before))[0]
         if not len(ok):
             continue
-        need_l = np.where(ld[ok] >= before, ld[ok], SIDE + 1).argmin(1) + 1 if before else np.zeros(len(ok), np.int64)
-        need = SIDE - before
-        need_r = np.where(rd[ok] >= need, rd[ok], SIDE + 1).argmin(1) + 1 if need else np.zeros(len(ok), np.int64)
+        need_l = np.where(ld[ok] >= before, ld[ok], side + 1).argmin(1) + 1 if before else np.zeros(len(ok), np.int64)
+        need = side - before
+        need_r = np.where(rd[ok] >= need, rd[ok], side + 1).argmin(1) + 1 if need else np.zeros(len(ok), np.int64)
         w_row.append(ok)
         w_left.append(need_l)
-        w_right.append(need_r)
+        w_size.append(need_l + 1 + need_r)
         w_before.append(np.full(len(ok), before))
     if not w_row:
         return []
-    w_row, w_left, w_right, w_before = (np.concatenate(x) for x in (w_row, w_left, w_right, w_before))
+    w_row, w_left, w_size, w_before = (np.concatenate(x) for x in (w_row, w_left, w_size, w_before))
     start = rank[begin[w_row] - w_left]  # where the window's suffix stands in the array
-    sort = np.lexsort((start, w_before, group[rows[w_row]]))
-    r, lk, rk = w_row[sort], w_left[sort], w_right[sort]
-    g, before = group[rows[r]], w_before[sort]
-    ls = np.where(lk > 0, l_symbol[rows[r], lk - 1], 0)
-    rs = np.where(rk > 0, r_symbol[rows[r], rk - 1], 0)
-    same = (g[1:] == g[:-1]) & (before[1:] == before[:-1]) & (ls[1:] == ls[:-1]) & (rs[1:] == rs[:-1])
-    run = np.concatenate([[0], np.cumsum(~same)])
-    heads = np.nonzero(np.append(True, ~same))[0]
-    p = place[rows[r]]
-    earliest = np.minimum.reduceat(p, heads)[run]
-    hit = p > earliest
-    out_row, out_before = rows[r[hit]], before[hit]
+    common = _common_prefixes(text, order, int(w_size.max()))
+    interval = np.empty(len(start), dtype=np.int64)
+    by_size = np.argsort(w_size, kind="stable")
+    cuts = np.nonzero(np.diff(w_size[by_size], prepend=-1))[0]
+    for a, b in zip(cuts, np.append(cuts[1:], len(by_size))):
+        own = by_size[a:b]  # suffixes with so many symbols in common stand together
+        interval[own] = np.cumsum(common < w_size[own[0]])[start[own]]
+    key = (w_before * (int(w_size.max()) + 1) + w_size) * (len(order) + 1) + interval
+    sort = np.argsort(key, kind="stable")
+    key, r, before = key[sort], rows[w_row[sort]], w_before[sort]
+    head = np.append(True, key[1:] != key[:-1])
+    earliest = np.minimum.reduceat(r, np.nonzero(head)[0])[np.cumsum(head) - 1]
+    hit = r > earliest
+    out_row, out_before = r[hit], before[hit]
     order = np.lexsort((out_before, out_row))
     out_row, out_before = out_row[order], out_before[order]
     if not len(out_row):
@@ -250,57 +269,100 @@ def covered_windows(group: np.ndarray, place: np.ndarray, left: list[bytes], rig
     return list(zip(out_row[a].tolist(), out_before[a].tolist(), out_before[b].tolist()))
 
 
-_SPAN = "doc_id long, tkey long, begin int, stop int"
-_FIRST = "w long, doc_id long, tkey long, pos int, before int"
+_DEAL = "h long, key long, base int, doc_id long, tkey long, pos int, left binary, right binary"
+_KINDS = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary())
+_NAMES = [x.split()[0] for x in _DEAL.split(", ")]
+
+
+def halves(side: int) -> tuple[int, int]:
+    """Bytes that rows of one deal share, and what is left of ``side`` then."""
+    shared = (side + 1) // 2
+    return shared, side - shared
+
+
+def _dealt(row: tuple, side: int) -> list[tuple]:
+    """The one or two deals of a row (h, key, base, doc_id, tkey, pos, left, right)
+    whose windows take ``side`` bytes of both sides together."""
+    h, key, base, doc, tkey, pos, left, right = row
+    shared, rest = halves(side)
+    out = []
+    if len(left) >= shared:
+        out.append((h, _deal_key(key, b"l", left[:shared]), base + shared, doc, tkey, pos, left[shared:side], right[:rest]))
+    if len(right) >= shared:
+        out.append((h, _deal_key(key, b"r", right[:shared]), base, doc, tkey, pos, left[:rest], right[shared:side]))
+    return out
 
 
-def _block_results(contexts: DataFrame, firsts: bool) -> DataFrame:
-    """Sorts the rows of each (anchor, block). Gives covered spans, or with
-    ``firsts`` (blocks of an anchor that has several) one row per distinct
-    window with its first place in the block."""
-    def work(rows: list[tuple]) -> list[tuple]:
-        # place: rank of (null id, doc_id, tkey, pos) among the rows at hand
-        by = sorted(range(len(rows)), key=lambda i: (rows[i][2] is None, rows[i][2] or 0, rows[i][3], rows[i][4]))
-        place = np.empty(len(rows), dtype=np.int64)
-        place[by] = np.arange(len(rows))
+def _deal_key(key: int, half: bytes, shared: bytes) -> int:
+    return xxhash.xxh64_intdigest(b"%d%s" % (key, half) + shared) - (1 << 63)
+
+
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    cols = list(zip(*rows)) or [()] * len(_NAMES)
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, _KINDS)], names=_NAMES)
+
+
+def _resolve(dealt: DataFrame, side: int) -> DataFrame:
+    """Covered spans (``h`` null, ``pos`` to ``key``) of all groups of a deal
+    whose windows still take ``side`` bytes, and the next deal of large groups."""
+    def spans(rows: list[tuple]) -> list[tuple]:
         ids: dict[tuple, int] = {}
-        group = np.array([ids.setdefault((x[0], x[1]), len(ids)) for x in rows], dtype=np.int64)
-        left, right = [x[5] for x in rows], [x[6] for x in rows]
-        hits = covered_windows(group, place, left, right)
-        if not firsts:
-            return [(rows[i][2], rows[i][3], rows[i][4] - b, rows[i][4] - a + LENGTH) for i, a, b in hits]
-        taken = {(i, k) for i, a, b in hits for k in range(a, b + 1)}
+        group = np.array([ids.setdefault(x[:2], len(ids)) for x in rows], dtype=np.int64)
         out = []
-        for i, x in enumerate(rows):
-            for k in range(max(0, SIDE - len(x[6])), min(len(x[5]), SIDE) + 1):
-                if (i, k) not in taken:
-                    w = xxhash.xxh64_intdigest(b"%d,%d," % (x[0], k) + x[5][:k] + b"|" + x[6][:SIDE - k])
-                    out.append((w - (1 << 63), x[2], x[3], x[4], k))
+        for i, a, b in covered_windows(group, [x[6] for x in rows], [x[7] for x in rows], side):
+            _, _, base, doc, tkey, pos, _, _ = rows[i]
+            out.append((None, pos - base - a + LENGTH, None, doc, tkey, pos - base - b, None, None))
         return out
 
-    names = ["w", "doc_id", "tkey", "pos", "before"] if firsts else ["doc_id", "tkey", "begin", "stop"]
-    kinds = ([pa.int64()] * 3 + [pa.int32()] * 2) if firsts else ([pa.int64()] * 2 + [pa.int32()] * 2)
-
-    def batch(rows: list[tuple]) -> pa.RecordBatch:
-        cols = list(zip(*work(rows))) or [()] * len(names)
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=names)
+    def whole(rows: Iterator[list[tuple]]) -> Iterator[pa.RecordBatch]:
+        """Nothing is left of the sides: all but the first of a group are covered."""
+        last = None
+        for some in rows:
+            out = []
+            for x in some:
+                if last and x[:2] == last[:2] and x[3:6] != last[3:6]:  # not a repeated row of the input
+                    out.append((None, x[5] - x[2] + LENGTH, None, x[3], x[4], x[5] - x[2], None, None))
+                last = x
+            yield _batch(out)
+
+    def groups(rows: Iterator[list[tuple]]) -> Iterator[pa.RecordBatch]:
+        held, now, large, out = [], [], False, []   # whole groups, the group that is being read
+        for some in rows:
+            for x in some:
+                if now and x[:2] != now[-1][:2]:
+                    if len(now) > 1 and not large:
+                        held += now
+                    now, large = [], False
+                    if len(held) >= SORTED_ROWS:
+                        out += spans(held)
+                        held = []
+                if now and x[3:6] == now[-1][3:6]:
+                    continue  # a repeated row of the input
+                now.append(x)
+                if large:
+                    out += _dealt(x, side)
+                elif len(now) > GROUP_ROWS:
+                    large = True
+                    for y in now:
+                        out += _dealt(y, side)
+                if large:
+                    now = now[-1:]
+            if len(out) >= SORTED_ROWS:
+                yield _batch(out)
+                out = []
+        if len(now) > 1 and not large:
+            held += now
+        yield _batch(out + (spans(held) if held else []))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows: list[tuple] = []
-        for b in batches:
-            for x in zip(*(c.to_pylist() for c in b.columns)):
-                if len(rows) >= SORTED_ROWS and x[:2] != rows[-1][:2]:
-                    yield batch(rows)
-                    rows = []
-                rows.append(x)
-        if rows:
-            yield batch(rows)
-    return (contexts.select("h", "block", "doc_id", "tkey", "pos", "left", "right")
-            .repartition("h", "block").sortWithinPartitions("h", "block").mapInArrow(run, _FIRST if firsts else _SPAN))
+        rows = (list(zip(*(c.to_pylist() for c in b.columns))) for b in batches)
+        yield from groups(rows) if side else whole(rows)
+    return (dealt.repartition("h", "key").sortWithinPartitions("h", "key", F.col("doc_id").isNull(), "doc_id", "tkey", "pos")
+            .mapInArrow(run, _DEAL))
 
 
 def _contexts(keyed: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Bytes around the wanted anchors of each document."""
+    """The first deal: bytes around the wanted anchors of each document."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out = []
@@ -308,17 +370,12 @@ def _contexts(keyed: DataFrame, wanted: DataFrame) -> DataFrame:
                 data = text.encode("utf-8")
                 for a in asked:
                     p = a["pos"]
-                    out.append((a["h"], a["blocks"], doc, tkey, p, data[max(0, p - SIDE):p][::-1], data[p + GRAM:p + GRAM + SIDE]))
-            cols = list(zip(*out)) or [()] * 7
-            kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)],
-                                             names=["h", "blocks", "doc_id", "tkey", "pos", "left", "right"])
-    asked = wanted.groupBy("doc_id", "tkey").agg(F.collect_list(F.struct("h", "blocks", "pos")).alias("asked")).select(
+                    out += _dealt((a["h"], 0, 0, doc, tkey, p, data[max(0, p - SIDE):p][::-1], data[p + GRAM:p + GRAM + SIDE]), SIDE)
+            yield _batch(out)
+    asked = wanted.groupBy("doc_id", "tkey").agg(F.collect_list(F.struct("h", "pos")).alias("asked")).select(
         F.col("doc_id").alias("d"), F.col("tkey").alias("k"), "asked")
     once = keyed.join(asked, keyed["doc_id"].eqNullSafe(F.col("d")) & (F.col("tkey") == F.col("k")))
-    # equal rows hold equal bytes: they ask for the same surroundings, and one answer is enough
-    return (once.select("doc_id", "tkey", "t", "asked").mapInArrow(
-        run, "h long, blocks int, doc_id long, tkey long, pos int, left binary, right binary"))
+    return once.select("doc_id", "tkey", "t", "asked").mapInArrow(run, _DEAL)
 
 
 def _per_doc(spans: DataFrame) -> DataFrame:
@@ -339,22 +396,22 @@ def covered_spans(docs: DataFrame, column: str = "text") -> DataFrame:
     equal = stored(_per_doc(found.join(classes, ["h", "around"]).where(_order() != F.col("first")).select(
         "doc_id", "tkey", F.greatest(F.col("pos") - SIDE, F.lit(0)).alias("begin"), (F.col("pos") + LENGTH).alias("stop"))))
     discard(found)
-    many = classes.groupBy("h").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
-    wanted = classes.join(many, "h").select("h", F.ceil(F.col("m") / CLASSES).cast("int").alias("blocks"),
-                                            "first.doc_id", "first.tkey", "first.pos")
-    contexts = stored(_contexts(keyed, wanted).distinct()
-                      .withColumn("block", F.pmod(F.xxhash64("doc_id", "tkey", "pos"), F.col("blocks"))))
-    discard(classes)
-    spans = _block_results(contexts, False)
-    firsts = stored(_block_results(contexts.where("blocks > 1"), True))
-    lead = firsts.groupBy("w").agg(F.min(_order()).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    across = (firsts.join(lead, "w").where(_order() != F.col("first"))
-              .select("doc_id", "tkey", (F.col("pos") - F.col("before")).alias("begin"),
-                      (F.col("pos") - F.col("before") + LENGTH).alias("stop")))
-    different = stored(_per_doc(spans.unionByName(across)))
-    discard(contexts)
-    discard(firsts)
-    return equal.unionByName(different)
+    many = classes.groupBy("h").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("h")
+    wanted = classes.join(many, "h").select("h", "first.doc_id", "first.tkey", "first.pos")
+    dealt, side = _contexts(keyed, wanted), SIDE
+    found, out = [], equal
+    while True:
+        side = halves(side)[1]
+        found.append(stored(_resolve(dealt, side)))
+        if len(found) == 1:
+            discard(classes)
+        dealt = found[-1].where("h IS NOT NULL")
+        if not side or dealt.isEmpty():
+            break
+    for f in found:
+        out = out.unionByName(_per_doc(f.where("h IS NULL").select("doc_id", "tkey", F.col("pos").alias("begin"),
+                                                                   F.col("key").cast("int").alias("stop"))))
+    return out
 
 
 def _merge(n: int, begins: list[int], stops: list[int]) -> list[tuple[int, int]]:

@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 from helpers import awkward, docs
 
@@ -46,16 +47,83 @@ def corpus(seed):
     return rows
 
 
-@pytest.mark.parametrize("classes", [4096, 3])
-def test_against_definition(spark, monkeypatch, classes):
-    monkeypatch.setattr(S, "CLASSES", classes)  # 3: anchors are cut into blocks
-    rows = corpus(classes)
+@pytest.mark.parametrize("most", [4096, 3, 1])
+def test_against_definition(spark, monkeypatch, most):
+    monkeypatch.setattr(S, "GROUP_ROWS", most)  # small: groups are dealt again, down to single windows
+    rows = corpus(most)
     want = S.brute_force([(i, (t or "").encode()) for i, t in rows])
     out = S.digests(docs(spark, rows)).collect()
     assert {x.doc_id: (x.n_removed, x.n_spans, x.kept_sha256) for x in out} == want
     assert sum(x.n_removed for x in out) > 5000
 
 
+def sides(r, n):
+    """Rows of a few groups whose sides share prefixes of every length."""
+    stems = [bytes(r.choice(b"ab") for _ in range(50)) for _ in range(3)]
+
+    def one():
+        x = bytearray(r.choice(stems))
+        for _ in range(r.randrange(3)):
+            x[r.randrange(50)] = r.choice(b"abc")
+        return bytes(x[:r.choice([50, 50, r.randrange(51)])])
+    return np.array([r.randrange(3) for _ in range(n)]), [one() for _ in range(n)], [one() for _ in range(n)]
+
+
+def slow_windows(group, left, right, side):
+    seen, out = set(), []
+    for i in range(len(left)):
+        for k in range(side + 1):
+            if len(left[i]) >= k and len(right[i]) >= side - k:
+                w = group[i], k, left[i][:k], right[i][:side - k]
+                if w in seen:
+                    out.append((i, k))
+                seen.add(w)
+    return out
+
+
+@pytest.mark.parametrize("side", [50, 25, 12, 1])
+def test_windows_of_a_group(side):
+    r = random.Random(side)
+    for _ in range(60):
+        group, left, right = sides(r, r.randrange(1, 40))
+        left, right = [x[:side] for x in left], [x[:side] for x in right]
+        got = [(i, k) for i, a, b in S.covered_windows(group, left, right, side) for k in range(a, b + 1)]
+        assert sorted(got) == slow_windows(group, left, right, side)
+
+
+def test_the_suffix_array_decides(monkeypatch):
+    """With another order of the suffixes the windows are not found."""
+    r = random.Random(9)
+    group, left, right = sides(r, 40)
+    want = S.covered_windows(group, left, right, 50)
+    monkeypatch.setattr(S, "suffix_array", lambda t: random.Random(1).sample(range(len(t)), len(t)))
+    assert S.covered_windows(group, left, right, 50) != want
+
+
+def test_deals_hold_every_window():
+    """Every window of a row is in one of its deals, at every depth, under the bytes that all rows there share."""
+    r = random.Random(4)
+    left, right = (bytes(r.choice(b"abcdef") for _ in range(50)) for _ in range(2))
+    rows, side = [(1, 0, 0, 5, 6, 200, left, right)], 50
+    while side:
+        rows = [y for x in rows for y in S._dealt(x, side)]
+        side = S.halves(side)[1]
+        have = {x[2] + k for x in rows for k in range(side + 1) if len(x[6]) >= k and len(x[7]) >= side - k}
+        assert have == set(range(51))
+
+
+def test_hot_anchor(spark, monkeypatch):
+    """Thousands of places with one anchor and different surroundings, many of them alike on one side."""
+    monkeypatch.setattr(S, "GROUP_ROWS", 40)
+    r = random.Random(11)
+    core = "".join(r.choice("klmnopqrst") for _ in range(60))
+    ends = ["".join(r.choice("abc") for _ in range(45)) for _ in range(4)]
+    rows = [(i, r.choice(ends)[r.randrange(45):] + core + r.choice(ends)[:r.randrange(45)]) for i in range(900)]
+    want = S.brute_force([(i, t.encode()) for i, t in rows])
+    out = S.digests(docs(spark, rows)).collect()
+    assert {x.doc_id: (x.n_removed, x.n_spans, x.kept_sha256) for x in out} == want
+
+
 def test_awkward_rows(spark):
     rows = awkward()
     d = docs(spark, rows)
