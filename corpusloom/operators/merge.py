@@ -25,7 +25,8 @@ from pyspark.sql import functions as F
 
 from corpusloom.sources.binidx import (HEADER_SIZE, MAGIC, VERSION, _index_arrays, list_prefixes,
                                        read_binidx, read_header)
-from corpusloom.operators.index import DTYPE_CODES, DTYPE_SIZES
+from corpusloom.operators.index import DTYPE_CODES, DTYPE_SIZES, two_level_prefix
+from corpusloom.session import checkpoint
 
 
 def concat_datasets(spark: SparkSession, prefixes: list[str], **kw) -> DataFrame:
@@ -37,23 +38,49 @@ def merge_binidx(spark: SparkSession, prefixes: list[str], out_prefix: str, mult
                  seqs_per_task: int = 1 << 22, delete_parts: bool = False) -> dict:
     """SN2: merge the datasets into ``out_prefix`` (``.bin`` + ``.idx``),
     keeping their document boundaries (re-based)."""
-    srcs = [p for x in prefixes for p in list_prefixes(x)]
-    headers = [read_header(p) for p in srcs]
-    pieces = []
-    for h in headers:
-        n_tasks = max(1, -(-h.n_seq // seqs_per_task))
-        for k in range(n_tasks):
-            pieces.append((h.prefix, h.n_seq * k // n_tasks, h.n_seq * (k + 1) // n_tasks))
-    info = gather_binidx(spark, {out_prefix: pieces}, documents="keep", multimodal=multimodal,
-                         headers={h.prefix: h for h in headers})[out_prefix]
+    from corpusloom.sources.catalogue import catalogue
+    parts = catalogue(spark, ",".join(prefixes))
+    n_parts = parts.count()
+    pieces = two_level_prefix(cut_pieces(parts, seqs_per_task), ["ord", "prefix", "lo"],
+                              {"seq_base": F.col("n_seq"), "byte_base": F.col("n_bytes"), "doc_base": F.col("n_docs")})
+    plan = checkpoint(pieces.select(F.lit(out_prefix).alias("out"), *[c.split()[0] for c in PLAN_SCHEMA.split(", ")[1:]]))
+    if not n_parts:
+        plan = spark.createDataFrame([(out_prefix, "", "uint16", 0, 0, 0, 0, 0, 0, 0, 0)], PLAN_SCHEMA)
+    info = gather_table(spark, plan, documents="keep", multimodal=multimodal)[out_prefix]
     if delete_parts:
-        for p in srcs:
-            for ext in (".bin", ".idx"):
-                if os.path.exists(p + ext):
-                    os.remove(p + ext)
+        remove_parts(parts)
     return info
 
 
+def cut_pieces(parts: DataFrame, seqs_per_piece: int) -> DataFrame:
+    """The catalogue's parts cut into pieces, with the bytes and documents of
+    each: found in tasks, by bisecting the mapped index."""
+    def cut(batches):
+        for b in batches:
+            rows = []
+            for k, prefix, n in b.itertuples(index=False):
+                h = read_header(prefix)
+                many = max(1, -(-n // seqs_per_piece))
+                for i in range(many):
+                    lo, hi = n * i // many, n * (i + 1) // many
+                    rows.append((k, prefix, h.dtype, lo, hi, hi - lo, _piece_bytes(prefix, h, lo, hi), _docs_ending_in(prefix, h, lo, hi)))
+            yield pd.DataFrame(rows, columns=["ord", "prefix", "dtype", "lo", "hi", "n_seq", "n_bytes", "n_docs"])
+    return parts.select("ord", "prefix", "n_seq").mapInPandas(
+        cut, "ord long, prefix string, dtype string, lo long, hi long, n_seq long, n_bytes long, n_docs long")
+
+
+def remove_parts(parts: DataFrame) -> None:
+    """Deletes the files of the catalogue's parts, in tasks."""
+    def remove(batches):
+        for b in batches:
+            for prefix in b["prefix"]:
+                for ext in (".bin", ".idx"):
+                    if os.path.exists(prefix + ext):
+                        os.remove(prefix + ext)
+            yield pd.DataFrame({"n": [len(b)]})
+    parts.select("prefix").mapInPandas(remove, "n long").agg({"n": "sum"}).collect()
+
+
 def gather_binidx(spark: SparkSession, targets: dict[str, list[tuple[str, int, int]]],
                   documents: str = "keep", multimodal: bool = False, headers: dict | None = None) -> dict:
     """Write every target dataset as the concatenation of its pieces

@@ -20,7 +20,7 @@ from corpusloom.functions.null import null_decode_expr, null_encode_expr
 from corpusloom.operators import chat, index, lookup, parse, partition, text
 from corpusloom.operators.parallel import balance
 from corpusloom.plans.fixtures import BUCKET_DOCS, documents_jsonl, events_jsonl, rename_to_jsonl, table
-from corpusloom.session import scratch_dir
+from corpusloom.session import checkpoint, scratch_dir
 from corpusloom.sources.binidx import read_binidx, write_binidx
 from corpusloom.sources.corpus import read_lines
 
@@ -936,7 +936,7 @@ def q_resume_anti(spark, sf_dir):
     """R8/R9 + J6/O7: chunks already recorded in a shard manifest (here: the
     chunks of part 0) are removed with a left-anti join."""
     from corpusloom.operators.reshard import chunk_table, done_chunks, pending_chunks
-    ch = chunk_table(spark, [_written_dataset(spark, sf_dir)], CHUNK_TARGET).cache()
+    ch = checkpoint(chunk_table(spark, [_written_dataset(spark, sf_dir)], CHUNK_TARGET))
     out = scratch_dir(spark, "resume-out")
     (ch.where(F.col("src_path").endswith("part-000000000000000")).select(F.col("id").alias("chunk_id"))
      .write.mode("overwrite").parquet(os.path.join(out, "_manifest")))
@@ -1277,7 +1277,7 @@ def q_resume_by_lengths(spark, sf_dir):
     outs = [scratch_dir(spark, "fallback-a"), scratch_dir(spark, "fallback-b")]
     reshard(spark, [src], outs, 3, target=CHUNK_TARGET)
     prefixes = [p[:-4] for d in outs for p in _glob.glob(os.path.join(d, "*", "*_final.idx"))]
-    ch = chunk_table(spark, [src], CHUNK_TARGET).cache()
+    ch = checkpoint(chunk_table(spark, [src], CHUNK_TARGET))
     used = used_chunks_by_lengths(spark, ch, prefixes)
     return _chunk_cols(ch.join(used.withColumnRenamed("chunk_id", "id"), "id", "left_semi"))
 

@@ -8,9 +8,10 @@ global ``line_id`` without a global sort:
   one file split carry consecutive ids;
 * a small table with one row per split (min id, line count) gives each split
   its exclusive prefix sum in (path, block start) order;
-* that table is written to the shared scratch folder and joined back. It has
-  one row per input split, and its size is known to the planner, which
-  broadcasts it while it is small.
+* that table is written to the shared scratch folder and goes with the tasks:
+  four numbers per input split under one 64-bit key, so the text itself is never
+  exchanged. The number of splits is checked first; only beyond ``MOST_SPLITS``
+  (half a petabyte of full splits) it is a shuffle join.
 """
 
 from __future__ import annotations
@@ -22,6 +23,8 @@ from corpusloom.session import scratch_dir
 
 # Case-insensitive ``.jsonl`` suffix (fixed value of the corpus format).
 JSONL_GLOB = "*.[jJ][sS][oO][nN][lL]"
+# Input splits whose offsets go with the tasks (some 40 bytes each), at most.
+MOST_SPLITS = 4_000_000
 
 
 def _hadoop_fs(spark: SparkSession, path: str):
@@ -88,11 +91,18 @@ def with_line_ids(raw: DataFrame) -> DataFrame:
         (F.dense_rank().over(Window.orderBy("file_path")) - 1).cast("int").alias("file_rank"),
     )
     # Written, not cached: a cache would be reused by a later identical-looking
-    # plan after the files or the split size changed. The planner sees its size.
+    # plan after the files or the split size changed.
     spark = raw.sparkSession
     path = scratch_dir(spark, "splits")
+    key = F.xxhash64("file_path", "_block").alias("_split")
+    splits = splits.select(key, "file_path", "_block", "_mid0", "_line0", "_fline0", "file_rank")
     splits.write.mode("overwrite").parquet(path)
-    j = raw.join(spark.read.schema(splits.schema).parquet(path), ["file_path", "_block"])
+    splits = spark.read.schema(splits.schema).parquet(path)
+    size = splits.agg(F.count(F.lit(1)).alias("n"), F.countDistinct("_split").alias("d")).first()
+    if size["n"] == size["d"] and size["n"] <= MOST_SPLITS:
+        j = raw.withColumn("_split", key).join(F.broadcast(splits.drop("file_path", "_block")), "_split")
+    else:  # two splits share a key, or there are too many
+        j = raw.join(splits.drop("_split"), ["file_path", "_block"])
     local = F.col("_mid") - F.col("_mid0")
     return j.select(
         *[c for c in raw.columns if c not in ("file_path", "_block", "_mid")],

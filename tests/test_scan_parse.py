@@ -124,3 +124,29 @@ def test_sentence_rule_and_abbreviations(spark):
     assert "".join(kept) == "Dr. Smith came. Pi is 3.14! Really?  Yes\\nno"
     empty = spark.createDataFrame([([""],)], "v array<string>").select(split_values(F.col("v")).alias("s")).first().s
     assert empty == []
+
+
+def test_line_ids_never_exchange_the_text(spark, tmp, monkeypatch):
+    """Without automatic broadcasts and over many splits: the same ids, and no exchange of ``value``."""
+    from corpusloom.sources import corpus as C
+    want = []
+    for k in range(3):
+        lines = [f"file {k} line {i} " + "x" * (i % 37) for i in range(400)]
+        write_lines(os.path.join(tmp, "in", f"d{k}", f"f{k}.jsonl"), lines)
+        want += [(k, i, line) for i, line in enumerate(lines)]
+    want = [(i, *w) for i, w in enumerate(want)]
+    old = {c: spark.conf.get(c) for c in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        for c, v in zip(old, ("-1", "4000", "0")):
+            spark.conf.set(c, v)
+        rows = C.read_lines(spark, os.path.join(tmp, "in"))
+        assert rows.rdd.getNumPartitions() > 8
+        got = rows.select("line_id", "file_rank", "line_no", "value").collect()
+        assert sorted(map(tuple, got)) == want
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan and not [x for x in plan.splitlines() if "Exchange" in x and "value" in x]
+        monkeypatch.setattr(C, "MOST_SPLITS", 2)  # the way beyond
+        assert sorted(map(tuple, C.read_lines(spark, os.path.join(tmp, "in")).select("line_id", "file_rank", "line_no", "value").collect())) == want
+    finally:
+        for c, v in old.items():
+            spark.conf.set(c, v)
