@@ -10,6 +10,7 @@ cluster-wide memo is the dictionary strategy in ``dictionary.py``.
 from __future__ import annotations
 
 import json
+from heapq import heapify, heappop, heappush
 
 import pyarrow as pa
 
@@ -43,6 +44,7 @@ class Gpt2BpeTokenizer(Tokenizer):
         self.encoder = dict(encoder)
         self.decoder = {v: k for k, v in self.encoder.items()}
         self.ranks = {tuple(m): i for i, m in enumerate(merges)}
+        self.merges = [tuple(m) for m in merges]
         self.byte_enc = byte_symbols()
         self.byte_dec = {v: k for k, v in self.byte_enc.items()}
         self.special = {t: len(self.encoder) + i for i, t in enumerate(special_tokens or [])}
@@ -81,28 +83,40 @@ class Gpt2BpeTokenizer(Tokenizer):
         return self._pat
 
     def bpe(self, symbols: str) -> list[str]:
-        word = list(symbols)
-        if len(word) < 2:
-            return word
-        ranks = self.ranks
-        while len(word) > 1:
-            best, best_rank = None, None
-            for a, b in zip(word, word[1:]):
-                r = ranks.get((a, b))
-                if r is not None and (best_rank is None or r < best_rank):
-                    best, best_rank = (a, b), r
-            if best is None:
-                break
-            merged, i = [], 0
-            while i < len(word):
-                if i + 1 < len(word) and word[i] == best[0] and word[i + 1] == best[1]:
-                    merged.append(best[0] + best[1])
-                    i += 2
-                else:
-                    merged.append(word[i])
-                    i += 1
-            word = merged
-        return word
+        """Symbols after all merges, lowest rank first and, for one rank, from left
+        to right. Neighbours are a linked list, mergeable pairs wait in a heap
+        by (rank, position): O(n log n) for a piece of n bytes. The pairs of one
+        rank are taken together, so that a merge of an earlier rank that they
+        bring about comes after them, whatever the order of the merge list."""
+        word, ranks, heap = list(symbols), self.ranks, []
+        right = list(range(1, len(word) + 1))
+        left = list(range(-1, len(word) - 1))
+        for i in range(len(word) - 1):
+            rank = ranks.get((word[i], word[i + 1]))
+            if rank is not None:
+                heap.append((rank, i))
+        heapify(heap)
+        while heap:
+            now, touched = heap[0][0], []
+            pair = self.merges[now]
+            while heap and heap[0][0] == now:
+                i = heappop(heap)[1]
+                j = right[i]
+                if j >= len(word) or (word[i], word[j]) != pair:
+                    continue  # one of the two is part of another symbol by now
+                word[i], word[j] = pair[0] + pair[1], None
+                right[i] = right[j]
+                if right[j] < len(word):
+                    left[right[j]] = i
+                touched.append(i)
+            for i in touched:
+                if word[i] is None:
+                    continue
+                for a in (left[i], i):
+                    b = right[a] if a >= 0 else len(word)
+                    if b < len(word) and (rank := ranks.get((word[a], word[b]))) is not None:
+                        heappush(heap, (rank, a))
+        return [s for s in word if s is not None]
 
     def _encode_piece(self, piece: str) -> list[int]:
         syms = "".join(self.byte_enc[b] for b in piece.encode("utf-8"))

@@ -45,6 +45,23 @@ def format_vocab_line(idx: int, tok: bytes) -> str:
     return f"{idx} {lit} {len(tok)}"
 
 
+def _automaton(vocab: dict[bytes, int]):
+    """Aho-Corasick automaton over the tokens (a byte is one Latin-1 character), or
+    False where the library is absent: the walk gives the same ids."""
+    try:
+        import ahocorasick
+    except ImportError:
+        return False
+    out = ahocorasick.Automaton()
+    for token, tid in vocab.items():
+        if token:
+            out.add_word(token.decode("latin-1"), (len(token), tid))
+    if not len(out):
+        return False
+    out.make_automaton()
+    return out
+
+
 class TrieTokenizer(Tokenizer):
     name = "trie"
 
@@ -61,6 +78,7 @@ class TrieTokenizer(Tokenizer):
                 single[t[0]] = i
         self._single = single
         self._only_single = self.max_len == 1
+        self._automaton = None  # built where it is used
 
     @classmethod
     def from_lines(cls, lines, eod: int | None = 65532) -> "TrieTokenizer":
@@ -71,9 +89,9 @@ class TrieTokenizer(Tokenizer):
                 vocab[t] = i
         return cls(vocab, eod)
 
-    def _encode_bytes(self, data: bytes) -> list[int]:
-        # trie walk over the set of token prefixes: extend while the piece is
-        # a prefix of some token, remember the longest piece that is a token
+    def _walk(self, data: bytes) -> list[int]:
+        """Walk over the set of token prefixes: extend while the piece is a prefix
+        of some token, remember the longest piece that is a token."""
         out = []
         enc, pre, maxl = self.encoder, self._prefixes, self.max_len
         i, n = 0, len(data)
@@ -94,6 +112,24 @@ class TrieTokenizer(Tokenizer):
             i = end
         return out
 
+    def _encode_bytes(self, data: bytes) -> list[int]:
+        """Ids by the automaton over the vocabulary; its leftmost longest matches
+        are the greedy ones as long as they lie end to end."""
+        if self._automaton is None:
+            self._automaton = _automaton(self.encoder)
+        if not self._automaton:
+            return self._walk(data)
+        out, at = [], 0
+        for last, (size, tid) in self._automaton.iter_long(data.decode("latin-1")):
+            if last + 1 - size != at:
+                break
+            out.append(tid)
+            at = last + 1
+        return out if at == len(data) else self._walk(data)
+
+    def __getstate__(self):
+        return {**self.__dict__, "_automaton": None}
+
     def encode_batch(self, texts):
         return [self._encode_bytes(t.encode("utf-8")) for t in texts]
 

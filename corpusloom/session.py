@@ -116,6 +116,14 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return path
 
 
+def stored_table(df):
+    """``df`` written as Parquet below the shared checkpoint folder and read back:
+    a checkpoint with columns and compression."""
+    schema, path = df.schema, scratch_dir(df.sparkSession, "table")
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(schema).parquet(path)
+
+
 def local_path(path: str) -> str:
     """Strip a ``file:`` scheme so Python file APIs can use the path."""
     if path.startswith("file://"):
