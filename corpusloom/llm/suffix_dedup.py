@@ -44,7 +44,7 @@ GRAM = 50
 WINDOW = LENGTH - GRAM + 1   # grams in a window
 SIDE = LENGTH - GRAM         # bytes on either side of an anchor that its windows reach
 BLOCK = 1 << 18              # bytes of a text that are hashed at a time
-GROUP_ROWS = 4096            # rows of a group that are sorted together, at most
+GROUP_ROWS = 1 << 16         # rows of a group that are sorted together, at most (some 30 MB)
 SORTED_ROWS = 4096           # rows whose suffix array is built at a time, about
 _BASES = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 
