@@ -65,11 +65,31 @@ def test_lpt_invariants():
     assert loads.max() <= 4 / 3 * opt_lb + 1e-9
 
 
-def test_allocation_does_not_depend_on_segments(spark):
-    df = spark.createDataFrame([(f"c{i}", 10 + i % 7) for i in range(60)], "id string, byte_size long")
-    whole = sorted(map(tuple, allocate(df, 4).collect()))
-    assert sorted(map(tuple, allocate(df, 4, segment=7).collect())) == whole
-    assert len({c for _, c, _ in whole}) == 60
+def test_fill_level():
+    from corpusloom.operators.reshard import fill_level
+    assert fill_level([0, 0], 10) == 5 and fill_level([8, 0, 2], 6) == 4 and fill_level([100, 0], 7) == 7 and fill_level([3], 0) == 3
+
+
+def test_allocation_is_balanced_and_whole(spark, monkeypatch):
+    """Many small chunks beside a few large ones: the bound holds, the greedy walk
+    sees a bounded number, and neither partitions nor the walk's size lose a chunk."""
+    import random
+    from corpusloom.operators import reshard as R
+    r = random.Random(1)
+    cases = {"equal": [10] * 300, "mixed": [r.randrange(1, 60) for _ in range(500)] + [4000, 3500, 2000], "one": [7], "few": [5, 9, 9],
+             "huge": [10 ** 12] * 5 + [1] * 400, "zero": [0] * 5 + [3] * 9}
+    for name, sizes in cases.items():
+        df = spark.createDataFrame([(f"c{i}", n) for i, n in enumerate(sizes)], "id string, byte_size long")
+        for n_shards, segment in ((4, R.SEGMENT), (4, 7), (1, R.SEGMENT)):
+            out = allocate(df.repartition(5), n_shards, segment=segment).collect()
+            assert sorted((x.chunk_id, x.byte_size) for x in out) == sorted((f"c{i}", n) for i, n in enumerate(sizes))
+            loads = [sum(x.byte_size for x in out if x.shard_id == k) for k in range(n_shards)]
+            assert sum(loads) == sum(sizes) and all(0 <= x.shard_id < n_shards for x in out)
+            lower = max(max(sizes), -(-sum(sizes) // n_shards), sorted(sizes)[-n_shards - 1:][0] * 2 if len(sizes) > n_shards else 0)
+            small = sum(sizes) / min(R.SMALL * n_shards, segment)
+            assert max(loads) <= max(4 / 3 * lower, lower + small) + 1, (name, n_shards, loads)
+        again = sorted(map(tuple, allocate(df.repartition(2), 4).collect()))
+        assert again == sorted(map(tuple, allocate(df.repartition(7), 4).collect()))
     assert allocate(df.limit(0), 4).count() == 0
 
 
