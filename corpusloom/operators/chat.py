@@ -7,7 +7,11 @@ output value, so the group is bounded by what a single row can hold.
 
 from __future__ import annotations
 
+import ast
+import json
+
 import pyarrow as pa
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -154,7 +158,8 @@ def special_tokens_mask(a: Column, b: Column | None, n_prefix: int, n_sep: int =
 def parse_response(df: DataFrame, output_col: str = "output", keep: list[str] = ()) -> DataFrame:
     """Split generated text at ``<|assistant|>``; per piece, the first
     line is metadata and the rest content (no newline: metadata is empty);
-    blank metadata → stripped content. Tool-call evaluation is not done."""
+    blank metadata → stripped content. A tool call's arguments are read by
+    ``parse_tool_calls``; nothing is evaluated."""
     pieces = df.select(*keep, F.posexplode(F.split(F.col(output_col), r"<\|assistant\|>", -1))
                        .alias("pos", "response"))
     nl = F.instr("response", "\n")
@@ -167,3 +172,43 @@ def parse_response(df: DataFrame, output_col: str = "output", keep: list[str] =
     returned = F.when(blank, F.replace(content, F.lit(TRAINING_TIME_PLACEHOLDER), F.lit(TRAINING_TIME_VALUE)))
     return pieces.select(*keep, "pos", meta.alias("metadata"), content.alias("content"),
                          returned.alias("returned"))
+
+
+def call_arguments(source: str | None) -> tuple[dict[str, str] | None, str | None]:
+    """``(arguments, error)`` of one ``tool_call(name=literal, ...)``: values as JSON
+    text. The source is parsed, never run: a value may be a string, number,
+    boolean, None, or a list, tuple or dict of those, signs and joined strings
+    included; anything else is an error."""
+    try:
+        call = ast.parse((source or "").strip(), mode="eval").body
+    except (SyntaxError, ValueError, MemoryError, RecursionError):
+        return None, "not_an_expression"
+    if not isinstance(call, ast.Call) or not isinstance(call.func, ast.Name) or call.func.id != "tool_call":
+        return None, "not_a_tool_call"
+    if call.args or any(k.arg is None for k in call.keywords):
+        return None, "not_only_keywords"
+    out = {}
+    for k in call.keywords:
+        if k.arg in out:
+            return None, "repeated_keyword"
+        try:
+            out[k.arg] = json.dumps(ast.literal_eval(k.value), ensure_ascii=False, allow_nan=False)
+        except (ValueError, TypeError, RecursionError, MemoryError):
+            return None, "not_a_literal"
+    return out, None
+
+
+def parse_tool_calls(df: DataFrame, metadata_col: str = "metadata", content_col: str = "content", keep: list[str] = ()) -> DataFrame:
+    """Generated tool calls → ``name`` (the stripped metadata), ``parameters``
+    (argument → JSON text of its value) and ``error``. The call is what lies
+    between the first and the last line of the content (its code fence). A call
+    that is not one, or whose arguments are not literals, has null parameters and
+    its reason in ``error``, so that malformed output can be set aside."""
+    @F.pandas_udf("parameters map<string,string>, error string")
+    def read(sources: pd.Series) -> pd.DataFrame:
+        got = [call_arguments(s) for s in sources]
+        return pd.DataFrame({"parameters": [g[0] for g in got], "error": [g[1] for g in got]})
+    lines = F.split(F.coalesce(content_col, F.lit("")), "\n", -1)
+    inner = F.array_join(F.slice(lines, 2, F.greatest(F.size(lines) - 2, F.lit(0))), "\n")
+    name = F.regexp_replace(F.coalesce(metadata_col, F.lit("")), f"^{PY_WS}+|{PY_WS}+$", "")
+    return df.select(*keep, name.alias("name"), read(inner).alias("_call")).select(*keep, "name", "_call.parameters", "_call.error")
