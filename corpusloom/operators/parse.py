@@ -159,3 +159,11 @@ def parse_stats(classified: DataFrame, name: str = "parse_stats") -> DataFrame:
         F.sum(F.length("value")).alias("chars"),
         F.sum(F.octet_length("value")).alias("bytes"),
     )
+
+
+def interval_stats(classified: DataFrame, every: int = 100_000) -> DataFrame:
+    """A5: lines, accepted lines, characters and bytes of every run of ``every``
+    lines of the corpus (a partial aggregation; what a progress report prints)."""
+    return (classified.groupBy(F.expr(f"line_id div {int(every)}").alias("interval"))
+            .agg(F.count(F.lit(1)).alias("lines"), F.count_if(F.col("reason").isNull()).alias("accepted"),
+                 F.sum(F.length("value")).alias("chars"), F.sum(F.octet_length("value")).alias("bytes")))

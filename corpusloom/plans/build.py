@@ -15,17 +15,18 @@ from __future__ import annotations
 import glob
 import os
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusloom.functions.base import encode_documents
 from corpusloom.operators import parse, partition, text
 from corpusloom.operators.index import optimal_dtype
-from corpusloom.operators.merge import gather_binidx, merge_binidx
+from corpusloom.operators.merge import cut_pieces, gather_table, merge_binidx, remove_parts
 from corpusloom.operators.parallel import target_partitions
-from corpusloom.session import prepare_session
+from corpusloom.session import checkpoint, prepare_session
 from corpusloom.sources.binidx import read_header, write_binidx
+from corpusloom.sources.catalogue import catalogue_of
 from corpusloom.sources.corpus import read_lines, read_parquet_corpus
 from corpusloom.spec import CorpusSpec
 
@@ -80,7 +81,10 @@ def prepared_records(spark: SparkSession, spec: CorpusSpec) -> tuple[DataFrame,
         # R2 counts every line, accepted or not
         parted = (partition.sequential(ok, spec.partitions, n_lines=lines.count()) if spec.keep_sequential_samples
                   else partition.round_robin(ok, spec.partitions))
-        parted = parted.repartitionByRange(max(spec.partitions, target_partitions(parted)), "part_id", "line_id")
+        tasks = max(spec.partitions, target_partitions(parted))
+        if tasks >= SUB_PARTS:
+            raise ValueError(f"{tasks} tasks for one build; part ids leave room for {SUB_PARTS}")
+        parted = parted.repartitionByRange(tasks, "part_id", "line_id")
         # unmerged: one output dataset per reference partition, written by several tasks
         part = (F.spark_partition_id() if spec.merge_partitions
                 else F.col("part_id") * SUB_PARTS + F.spark_partition_id())
@@ -217,42 +221,44 @@ def _build(spark: SparkSession, spec: CorpusSpec) -> dict:
     return result
 
 
+def _gather_parts(spark: SparkSession, parts: DataFrame) -> None:
+    """Merges ``parts(prefix, out)`` into their output datasets, all in one plan:
+    pieces are cut in tasks, their places are running sums per output."""
+    cat = catalogue_of(spark, parts.select("prefix"))
+    pieces = cut_pieces(cat, 1 << 22).join(parts, "prefix")
+    before = Window.partitionBy("out").orderBy("prefix", "lo").rowsBetween(Window.unboundedPreceding, -1)
+    base = lambda c: F.coalesce(F.sum(c).over(before), F.lit(0))
+    plan = pieces.select("out", "prefix", "dtype", "lo", "hi", base("n_seq").alias("seq_base"), base("n_bytes").alias("byte_base"),
+                         base("n_docs").alias("doc_base"), "n_seq", "n_bytes", "n_docs")
+    gather_table(spark, checkpoint(plan), documents="keep")
+    remove_parts(cat)
+
+
 def _join_sub_parts(spark: SparkSession, parts: list[str], target: str) -> None:
     """What several tasks wrote for a reference partition becomes its dataset."""
-    outputs: dict[str, list[tuple[str, int, int]]] = {}
-    for p in parts:
-        k = int(os.path.basename(p)[5:]) % PART_SPACE // SUB_PARTS
-        outputs.setdefault(os.path.join(target, f"part-{k:015d}"), []).append((p, 0, read_header(p).n_seq))
+    rows = [(p, os.path.join(target, f"part-{int(os.path.basename(p)[5:]) % PART_SPACE // SUB_PARTS:015d}")) for p in parts]
+    outputs = {out for _, out in rows}
     if os.path.isdir(target):  # parts of an earlier build that this one does not write
         for old in glob.glob(os.path.join(target, "part-*.*")):
             if old[:-4] not in outputs:
                 os.remove(old)
-    if outputs:
-        gather_binidx(spark, outputs, documents="keep")
-    for p in parts:
-        for ext in (".bin", ".idx"):
-            os.remove(p + ext)
+    if rows:
+        _gather_parts(spark, spark.createDataFrame(rows, "prefix string, out string"))
 
 
 def _per_file_outputs(spark: SparkSession, spec: CorpusSpec, staging: str, level: str) -> dict:
     """Merge the parts (input splits) of every file into
-    ``{prefix}_{relative path}_{key}_{level}``. The writer recorded each
-    part's file in ``_parts.jsonl`` (one line per part), so no extra scan."""
-    import json
-    by_file: dict[tuple[int, str], list[str]] = {}
-    with open(os.path.join(staging, "_parts.jsonl"), encoding="utf-8") as f:
-        for ln in f:
-            r = json.loads(ln)
-            k_idx = int(r["part"][5:]) // PART_SPACE
-            by_file.setdefault((k_idx, r["tag"]), []).append(os.path.join(staging, r["part"]))
-    out = {}
-    for (k_idx, fkey), parts in sorted(by_file.items()):
-        key = spec.json_keys[k_idx]
-        target = f"{spec.output_prefix}_{fkey}_{key}_{level}"
-        os.makedirs(os.path.dirname(target), exist_ok=True)
-        merge_binidx(spark, sorted(parts), target, delete_parts=True)
-        out[fkey if len(spec.json_keys) == 1 else f"{fkey}:{key}"] = target
-    return out
+    ``{prefix}_{relative path}_{key}_{level}``, all files in one plan. The writer
+    recorded each part's file in ``parts.jsonl`` (one line per part), so no
+    extra scan."""
+    keys = F.array(*[F.lit(k) for k in spec.json_keys])
+    key = F.element_at(keys, F.expr(f"CAST(substring(part, 6) AS BIGINT) div {PART_SPACE}").cast("int") + 1)
+    parts = (spark.read.schema("part string, tag string").json(os.path.join(staging, "parts.jsonl"))
+             .select(F.concat(F.lit(staging + "/"), "part").alias("prefix"), F.col("tag").alias("file"), key.alias("key")))
+    parts = checkpoint(parts.withColumn("out", F.concat(F.lit(spec.output_prefix + "_"), "file", F.lit("_"), "key", F.lit("_" + level))))
+    _gather_parts(spark, parts.select("prefix", "out"))
+    files = parts.select("file", "key", "out").distinct().orderBy("key", "file").collect()  # one row per output dataset
+    return {r["file"] if len(spec.json_keys) == 1 else f"{r['file']}:{r['key']}": r["out"] for r in files}
 
 
 def write_split_sentences(spark: SparkSession, spec: CorpusSpec, out: str) -> None:

@@ -21,7 +21,7 @@ when the folder is empty).
 
 Writing: one dataset per value of the ``part`` column, named
 ``part-{part:015d}`` (an optional string column ``tag`` is recorded per part
-in ``_parts.jsonl``); rows must be ordered by (part, document) inside each
+in ``parts.jsonl``); rows must be ordered by (part, document) inside each
 Spark partition and a part must not span partitions (partition by range or by
 input split). Each row is one document: ``token_ids`` and ``sentence_lens``
 (and optional ``modes``). Files are written under attempt-specific names and
@@ -436,7 +436,7 @@ class BinIdxWriter(DataSourceArrowWriter):
         tags = [t for m in messages for t in m.tags]
         if tags:  # which part holds what (e.g. the input file of a split); an overwrite starts anew
             import json
-            with open(os.path.join(self.path, "_parts.jsonl"), "w" if self.overwrite else "a", encoding="utf-8") as f:
+            with open(os.path.join(self.path, "parts.jsonl"), "w" if self.overwrite else "a", encoding="utf-8") as f:
                 for name, t in sorted(tags):
                     f.write(json.dumps({"part": name, "tag": t}) + "\n")
         shutil.rmtree(os.path.join(self.path, "_temporary"), ignore_errors=True)

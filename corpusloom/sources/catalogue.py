@@ -40,6 +40,11 @@ def part_names(spark: SparkSession, path: str) -> DataFrame:
 
 
 def catalogue(spark: SparkSession, path: str) -> DataFrame:
+    """The catalogue of the parts under ``path`` (see ``catalogue_of``)."""
+    return catalogue_of(spark, part_names(spark, path))
+
+
+def catalogue_of(spark: SparkSession, names: DataFrame) -> DataFrame:
     """One row per part with its header and the bases of its ids (``seq_base``,
     ``doc_base``, ``byte_base``) in (given path, name) order. Parts of different
     dtypes are an error."""
@@ -52,7 +57,9 @@ def catalogue(spark: SparkSession, path: str) -> DataFrame:
                 h = read_header(prefix)
                 rows.append((k, prefix, h.dtype, h.n_seq, max(h.n_doc_idx - 1, 0), h.bin_size))
             yield pd.DataFrame(rows, columns=[c.split()[0] for c in CATALOGUE.split(", ")])
-    parts = part_names(spark, path).repartition(4 * spark.sparkContext.defaultParallelism).mapInPandas(heads, CATALOGUE)
+    if "ord" not in names.columns:
+        names = names.select(F.lit(0).cast("long").alias("ord"), "prefix")
+    parts = names.repartition(4 * spark.sparkContext.defaultParallelism).mapInPandas(heads, CATALOGUE)
     out = checkpoint(two_level_prefix(parts, ["ord", "prefix"], {"seq_base": F.col("n_seq"), "doc_base": F.col("n_docs"),
                                                                  "byte_base": F.greatest("bin_size", F.lit(0))}))
     kinds = out.agg(F.min("dtype"), F.max("dtype")).first()
