@@ -1,6 +1,7 @@
 """Licence recognition by sentence rules, in DataFrame functions only.
 
-A text is cut into sentences, each is normalised and mapped to the identifier
+Comment marks are cut off and wrapped lines joined; a text is cut into sentences
+at sentence ends, blank lines and lines that end one; each is normalised and mapped to the identifier
 of a known licence sentence; the sequence of identifiers is then matched with
 ordered licence rules. A rule is a run of identifiers (sentences without an
 identifier in between don't break it, but a sentence that only looks like
@@ -32,27 +33,45 @@ SENTENCES = (
     ("spdx-gpl-2", r"(.* )?spdx-license-identifier gpl-2.0(-only|-or-later|\+)?"),
     ("spdx-gpl-3", r"(.* )?spdx-license-identifier gpl-3.0(-only|-or-later|\+)?"),
     ("spdx-mpl-2", r"(.* )?spdx-license-identifier mpl-2.0"),
-    ("mit-named", r"(.* )?(released|licensed|distributed|available|provided) under (the )?(terms of )?(the )?mit licen[sc]e"),
+    ("spdx-lgpl", r"(.* )?spdx-license-identifier lgpl-[0-9.]+(-only|-or-later|\+)?"),
+    ("spdx-agpl", r"(.* )?spdx-license-identifier agpl-3.0(-only|-or-later|\+)?"),
+    ("spdx-isc", r"(.* )?spdx-license-identifier isc"),
+    ("spdx-zlib", r"(.* )?spdx-license-identifier zlib"),
+    ("spdx-boost", r"(.* )?spdx-license-identifier bsl-1.0"),
+    ("spdx-epl-2", r"(.* )?spdx-license-identifier epl-2.0"),
+    ("spdx-unlicense", r"(.* )?spdx-license-identifier unlicense"),
+    ("spdx-cc0", r"(.* )?spdx-license-identifier cc0-1.0"),
+    ("mit-named", r"(.* )?(released|licensed|distributed|available|provided) under (the )?(terms of )?(the )?mit licen[sc]e( .*)?"),
     ("mit-title", r"(the )?mit license( mit)?"),
-    ("mit-grant", r"permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files .*"),
-    ("mit-notice", r"the above copyright notice and this permission notice .*shall be included in all copies or substantial portions of the software"),
-    ("as-is", r"the software is provided as is without warranty of any kind .*"),
-    ("isc-grant", r"permission to use copy modify and( or)? distribute this software for any purpose with or without fee is hereby granted .*"),
-    ("bsd-grant", r"redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met.*"),
+    ("mit-grant", r"(.* )?permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files .*"),
+    ("mit-notice", r"(.* )?the above copyright notice and this permission notice .*shall be included in all copies or substantial portions of the software"),
+    ("as-is", r"(.* )?the software is provided as is without warranty of any kind .*"),
+    ("isc-grant", r"(.* )?permission to use copy modify and( or)? distribute this software for any purpose with or without fee is hereby granted .*"),
+    ("isc-as-is", r"the software is provided as is and the author disclaims all warranties .*"),
+    ("boost-grant", r"(.* )?permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation .*"),
+    ("boost-named", r"(.* )?distributed under the boost software license version 1.0.*"),
+    ("zlib-as-is", r"(.* )?this software is provided as-is without any express or implied warranty"),
+    ("zlib-grant", r"permission is granted to anyone to use this software for any purpose .*"),
+    ("unlicense-grant", r"(.* )?this is free and unencumbered software released into the public domain"),
+    ("epl-2-named", r"(.* )?(under the terms of|licensed under) the eclipse public license (v(ersion)? ?)?2.0.*"),
+    ("bsd-grant", r"(.* )?redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met.*"),
     ("bsd-source", r"([0-9] )?redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer"),
     ("bsd-binary", r"([0-9] )?redistributions in binary form must reproduce the above copyright notice .*"),
     ("bsd-endorse", r"([0-9] )?neither the name of .* may be used to endorse or promote products derived from this software without specific prior written permission"),
     ("bsd-as-is", r"this software is provided by the .* as is and any express or implied warranties .*"),
-    ("apache-2.0-named", r"(.* )?(licensed|released|distributed|available) under (the )?(terms of )?(the )?apache license(,)? version 2.0( the license)?"),
+    ("apache-2.0-named", r"(.* )?(licensed|released|distributed|available) under (the )?(terms of )?(the )?apache license(,)? version 2.0( .*)?"),
     ("apache-comply", r"you may not use this file except in compliance with the license"),
     ("apache-copy", r"you may obtain a copy of the license at.*"),
     ("apache-as-is", r"unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis .*"),
     ("gpl-3-named", r"(.* )?(licensed|released|distributed|available) under (the )?(terms of )?(the )?gnu general public license( as published by the free software foundation)?( either)? version 3.*"),
     ("gpl-2-named", r"(.* )?(licensed|released|distributed|available) under (the )?(terms of )?(the )?gnu general public license( as published by the free software foundation)?( either)? version 2.*"),
+    ("agpl-grant", r"(.* )?free software you can redistribute it and or modify it under the terms of the gnu affero general public license .*"),
+    ("lgpl-grant", r"(.* )?free software you can redistribute it and or modify it under the terms of the gnu (lesser|library) general public license .*"),
+    ("agpl-named", r"(.* )?(licensed|released|distributed|available) under (the )?(terms of )?(the )?gnu affero general public license.*"),
     ("gpl-grant-3", r"(.* )?free software you can redistribute it and or modify it under the terms of the gnu general public license .*version 3.*"),
     ("gpl-grant-2", r"(.* )?free software you can redistribute it and or modify it under the terms of the gnu general public license .*version 2.*"),
     ("gpl-hope", r"(.* )?distributed in the hope that it will be useful but without any warranty.*"),
-    ("gpl-copy", r"you should have received a copy of the gnu general public license .*"),
+    ("gpl-copy", r"you should have received a copy of the gnu (lesser |library |affero )?general public license .*"),
     ("lgpl-named", r"(.* )?(licensed|released|distributed|available) under (the )?(terms of )?(the )?gnu (lesser|library) general public license.*"),
     ("mpl-2-named", r"(.* )?(subject to|licensed under|released under) the terms of the mozilla public license v(ersion)?\.? ?2.0.*"),
     ("cc-by-nc-sa", r"(.* )?(licensed|released|distributed|available) under (a |the )?(cc|creative commons) by-nc-sa [0-9.]+.*"),
@@ -69,7 +88,27 @@ RULES = (
     ("MIT", ("mit-title", "copyright", "mit-grant", "mit-notice", "as-is")),
     ("MIT", ("mit-grant", "mit-notice", "as-is")),
     ("MIT", ("mit-grant", "mit-notice")),
+    ("ISC", ("isc-grant", "isc-as-is")),
     ("ISC", ("isc-grant", "as-is")),
+    ("Zlib", ("zlib-as-is", "zlib-grant")),
+    ("AGPL-3.0", ("agpl-grant", "gpl-hope", "gpl-copy")),
+    ("LGPL", ("lgpl-grant", "gpl-hope", "gpl-copy")),
+    ("AGPL-3.0", ("agpl-grant",)),
+    ("LGPL", ("lgpl-grant",)),
+    ("BSL-1.0", ("boost-grant", "as-is")),
+    ("BSL-1.0", ("boost-grant",)),
+    ("BSL-1.0", ("boost-named",)),
+    ("Unlicense", ("unlicense-grant",)),
+    ("EPL-2.0", ("epl-2-named",)),
+    ("AGPL-3.0", ("agpl-named",)),
+    ("LGPL", ("spdx-lgpl",)),
+    ("AGPL-3.0", ("spdx-agpl",)),
+    ("ISC", ("spdx-isc",)),
+    ("Zlib", ("spdx-zlib",)),
+    ("BSL-1.0", ("spdx-boost",)),
+    ("EPL-2.0", ("spdx-epl-2",)),
+    ("Unlicense", ("spdx-unlicense",)),
+    ("CC0-1.0", ("spdx-cc0",)),
     ("BSD-3-Clause", ("bsd-grant", "bsd-source", "bsd-binary", "bsd-endorse", "bsd-as-is")),
     ("BSD-3-Clause", ("bsd-grant", "bsd-source", "bsd-binary", "bsd-endorse")),
     ("BSD-2-Clause", ("bsd-grant", "bsd-source", "bsd-binary", "bsd-as-is")),
@@ -110,11 +149,26 @@ ANCHORS = ("licen", "copyright", "permission", "redistribut", "warrant", "all ri
 LOOKS_LIKE = r"(.* )?(licen[sc]ed? under|license version|hereby granted|all copies|without warranty|redistributions? )( .*|$)"
 BREAK = r"[\n\r]+|[.!?;]+[ \t]+"
 UNKNOWN = "?"
+# Comment marks at the start of a line; a line that goes on in the next one (no sentence end before the
+# line end, and the next line is not blank); stops inside a known sentence.
+MARKS = r"(^|\n)[ \t]*(?:/\*+|\*+/?|//+|#+|;+|--+|<!--|%+)[ \t]*"
+TAG = r"(spdx-license-identifier:[ \t]*[a-z0-9.+\-]+)"  # ends a sentence of its own
+WRAPPED = r"([^.!?:;\s])[ \t]*\r?\n[ \t]*([^\s])"
+INSIDE = (("free software; you can", "free software you can"), ("foundation; either", "foundation either"), ("public license, v. ", "public license v"), ("public license - v ", "public license v"))
+
+
+def unwrapped(text: Column) -> Column:
+    """Lower-cased text without comment marks, wrapped lines joined."""
+    text = F.regexp_replace(F.regexp_replace(F.lower(text), MARKS, "$1"), TAG, "$1; ")
+    text = F.regexp_replace(text, WRAPPED, "$1 $2")
+    for a, b in INSIDE:
+        text = F.replace(text, F.lit(a), F.lit(b))
+    return text
 
 
 def sentences(text: Column) -> Column:
     """Normalised sentences that hold an anchor word, in order."""
-    parts = F.filter(F.split(F.lower(text), BREAK, -1), lambda s: reduce(lambda a, b: a | b, (F.contains(s, F.lit(w)) for w in ANCHORS)))
+    parts = F.filter(F.split(unwrapped(text), BREAK, -1), lambda s: reduce(lambda a, b: a | b, (F.contains(s, F.lit(w)) for w in ANCHORS)))
     clean = lambda s: F.btrim(F.regexp_replace(F.regexp_replace(s, r"[^a-z0-9.+\-]+", " "), r"[.\-]+( |$)", "$1"), F.lit(" "))
     return F.transform(parts, clean)
 
@@ -173,12 +227,16 @@ def oracle() -> str:
         steps.append(f"r{k} AS (SELECT * EXCLUDE (rest), replace(rest, {token}, '|') AS rest, "
                      f"((length(rest) - length(replace(rest, {token}, '|'))) / {len(token) - 3})::BIGINT AS n{k} FROM {last})")
         last = f"r{k}"
+    text = f"regexp_replace(regexp_replace(lower(coalesce(text, '')), {q(MARKS)}, '\\1', 'g'), {q(TAG)}, '\\1; ', 'g')"
+    text = f"regexp_replace({text}, {q(WRAPPED)}, '\\1 \\2', 'g')"
+    for a, b in INSIDE:
+        text = f"replace({text}, {q(a)}, {q(b)})"
     names = ", ".join(f"CASE WHEN n{k} > 0 THEN {q(n)} END" for k, (n, _) in enumerate(RULES))
     total = " + ".join(f"n{k}" for k in range(len(RULES)))
     return f"""
 WITH parts AS (
   SELECT doc_id, unnest(x) AS s, generate_subscripts(x, 1) AS i
-  FROM (SELECT doc_id, regexp_split_to_array(lower(coalesce(text, '')), '{BREAK}') AS x FROM documents)),
+  FROM (SELECT doc_id, regexp_split_to_array({text}, '{BREAK}') AS x FROM documents)),
 clean AS (
   SELECT doc_id, i, trim(regexp_replace(regexp_replace(s, '[^a-z0-9.+\\-]+', ' ', 'g'), '[.\\-]+( |$)', '\\1', 'g')) AS t
   FROM parts WHERE {anchors}),
