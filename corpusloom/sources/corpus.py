@@ -57,7 +57,7 @@ def check_corpus_path(spark: SparkSession, path: str, check_hidden: bool = True)
         while it.hasNext():
             p = it.next().getPath()
             # a hidden folder anywhere below the root hides its files as well
-            rel = p.toString()[len(hpath.toString()):]
+            rel = p.toString()[len(fs.makeQualified(hpath).toString()):]
             parts = [s for s in rel.split("/") if s]
             if p.getName().lower().endswith(".jsonl") and any(s.startswith((".", "_")) for s in parts):
                 raise ValueError(f"hidden file names cannot be scanned by Spark: {p}")

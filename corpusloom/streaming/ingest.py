@@ -9,8 +9,11 @@ the same encoding, and writes immutable parts named after its batch id
 reference's resume markers.
 
 A file is read whole inside one micro-batch, so ``line_no`` (position inside
-the file) is exact; a global ``line_id`` needs the finished file set and is
-assigned by the batch scan (S2) when the parts are merged.
+the file) is exact. Running ids go on from batch to batch: every batch records
+how many lines, sequences and tokens the stream has had up to its end, and
+starts from what the batch before it recorded. A replayed batch looks at earlier
+batches only, so it writes the same ids again. With files that arrive in path
+order the ids are those of one batch build over all of them.
 """
 
 from __future__ import annotations
@@ -27,7 +30,8 @@ from corpusloom.operators.index import optimal_dtype
 from corpusloom.operators.parallel import target_partitions
 from corpusloom.session import prepare_session, scratch_dir
 from corpusloom.sources.binidx import write_binidx
-from corpusloom.sources.corpus import JSONL_GLOB, with_line_ids
+from corpusloom.sources.catalogue import catalogue, read_sequences
+from corpusloom.sources.corpus import JSONL_GLOB, _hadoop_fs, with_line_ids
 
 
 def corpus_stream(spark: SparkSession, src: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -45,22 +49,54 @@ def process_batch(batch: DataFrame, batch_id: int, out: str, keys: list[str],
     one indexed dataset folder per key. All are named after the batch and
     overwritten when it is replayed."""
     spark = batch.sparkSession
+    before = totals_before(spark, out, batch_id, keys)
     raw = batch.select("*", F.monotonically_increasing_id().alias("_mid"))
     staged = scratch_dir(spark, f"batch-{batch_id}")
     parse.classify(with_line_ids(raw), keys).write.mode("overwrite").parquet(staged)
     cls = spark.read.parquet(staged)
     ok = cls.where(F.col("reason").isNull())
-    (ok.select("file_path", "line_no", *[F.col(k).alias("sentences" if len(keys) == 1 else k) for k in keys])
+    sizes = {"lines": cls.count()}
+    (ok.select("file_path", "line_no", (F.col("line_id") + before["lines"]).alias("line_id"), *[F.col(k).alias("sentences" if len(keys) == 1 else k) for k in keys])
      .write.mode("overwrite").parquet(os.path.join(out, "records", f"batch={batch_id}")))
-    (parse.quarantine(cls).write.mode("overwrite")
+    (parse.quarantine(cls).withColumn("line_id", F.col("line_id") + before["lines"]).write.mode("overwrite")
      .parquet(os.path.join(out, "quarantine", f"batch={batch_id}")))
     for key in keys if tokenizer is not None else ():
         # text is put in order before it is encoded; a task's range is one part
-        texts = (ok.select("file_path", "line_no", F.col(key).alias("sentences"))
-                 .repartitionByRange(target_partitions(ok), "file_path", "line_no").sortWithinPartitions("file_path", "line_no"))
-        enc = encode_documents(texts, tokenizer, keep=["file_path", "line_no"])
+        texts = (ok.select("line_id", F.col(key).alias("sentences"))
+                 .repartitionByRange(target_partitions(ok), "line_id").sortWithinPartitions("line_id"))
+        enc = encode_documents(texts, tokenizer, keep=["line_id"])
+        folder = os.path.join(dataset_dir(out, key), f"batch-{batch_id:09d}")
         write_binidx(enc.select(F.spark_partition_id().cast("long").alias("part"), "token_ids", "sentence_lens"),
-                     os.path.join(dataset_dir(out, key), f"batch-{batch_id:09d}"), dtype=dtype or optimal_dtype(tokenizer.vocab_size))
+                     folder, dtype=dtype or optimal_dtype(tokenizer.vocab_size))
+        _write_index(spark, folder, os.path.join(out, "index", key, f"batch={batch_id}"), before, key, sizes)
+    after = {name: before[name] + sizes.get(name, 0) for name in before}
+    (spark.createDataFrame([tuple(after.values())], ", ".join(f"`{n}` long" for n in after))
+     .coalesce(1).write.mode("overwrite").parquet(os.path.join(out, "totals", f"batch={batch_id}")))
+
+
+def totals_before(spark: SparkSession, out: str, batch_id: int, keys: list[str]) -> dict[str, int]:
+    """What the stream has had before this batch: the record of the last earlier one."""
+    names = ["lines", *[f"{what}:{k}" for k in keys for what in ("documents", "sequences", "bytes")]]
+    found = []
+    fs, root = _hadoop_fs(spark, os.path.join(out, "totals"))
+    if fs.exists(root):
+        done = [int(f.getPath().getName().split("=")[1]) for f in fs.listStatus(root) if "=" in f.getPath().getName()]  # one name a batch
+        found = [b for b in done if b < batch_id]
+    if not found:
+        return dict.fromkeys(names, 0)
+    row = spark.read.parquet(os.path.join(out, "totals", f"batch={max(found)}")).first().asDict()
+    return {n: row.get(n) or 0 for n in names}
+
+
+def _write_index(spark: SparkSession, folder: str, target: str, before: dict, key: str, sizes: dict) -> None:
+    """The batch's sequences with their ids and byte pointers in the whole stream."""
+    parts = catalogue(spark, folder)
+    index = read_sequences(spark, folder, columns="index").join(parts.select("prefix", "byte_base"), "prefix")
+    (index.select((F.col("seq_id") + before[f"sequences:{key}"]).alias("seq_id"), (F.col("doc_id") + before[f"documents:{key}"]).alias("doc_id"),
+                  "sent_pos", "length", (F.col("ptr") + F.col("byte_base") + before[f"bytes:{key}"]).alias("ptr"))
+     .write.mode("overwrite").parquet(target))
+    n = parts.agg(F.sum("n_docs"), F.sum("n_seq"), F.sum(F.greatest("bin_size", F.lit(0)))).first()
+    sizes |= {f"documents:{key}": n[0] or 0, f"sequences:{key}": n[1] or 0, f"bytes:{key}": n[2] or 0}
 
 
 def dataset_dir(out: str, key: str) -> str:
