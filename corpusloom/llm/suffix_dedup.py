@@ -361,15 +361,8 @@ def _resolve(dealt: DataFrame, side: int) -> DataFrame:
             .mapInArrow(run, _DEAL))
 
 
-def _first_deal(contexts: DataFrame) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            yield _batch([y for x in zip(*(c.to_pylist() for c in b.columns)) for y in _dealt(x, SIDE)])
-    return contexts.mapInArrow(run, _DEAL)
-
-
 def _contexts(keyed: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Bytes around the wanted anchors of each document."""
+    """The first deal: bytes around the wanted anchors of each document."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out = []
@@ -377,7 +370,7 @@ def _contexts(keyed: DataFrame, wanted: DataFrame) -> DataFrame:
                 data = text.encode("utf-8")
                 for a in asked:
                     p = a["pos"]
-                    out.append((a["h"], 0, 0, doc, tkey, p, data[max(0, p - SIDE):p][::-1], data[p + GRAM:p + GRAM + SIDE]))
+                    out += _dealt((a["h"], 0, 0, doc, tkey, p, data[max(0, p - SIDE):p][::-1], data[p + GRAM:p + GRAM + SIDE]), SIDE)
             yield _batch(out)
     asked = wanted.groupBy("doc_id", "tkey").agg(F.collect_list(F.struct("h", "pos")).alias("asked")).select(
         F.col("doc_id").alias("d"), F.col("tkey").alias("k"), "asked")
@@ -406,15 +399,15 @@ def covered_spans(docs: DataFrame, column: str = "text") -> DataFrame:
     many = classes.groupBy("h").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("h")
     wanted = stored(classes.join(many, "h").select("h", "first.doc_id", "first.tkey", "first.pos"))
     discard(classes)
-    contexts = stored(_contexts(keyed, wanted))  # the texts' shuffle ends here, before the deals' begins
+    first_deal = dealt = stored(_contexts(keyed, wanted))  # the texts' shuffle ends here, before the deals' begins
     discard(wanted)
-    dealt, side = _first_deal(contexts), SIDE
+    side = SIDE
     found, out = [], equal
     while True:
         side = halves(side)[1]
         found.append(stored(_resolve(dealt, side)))
         if len(found) == 1:
-            discard(contexts)
+            discard(first_deal)
         dealt = found[-1].where("h IS NOT NULL")
         if not side or dealt.isEmpty():
             break
