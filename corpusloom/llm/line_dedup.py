@@ -1,14 +1,22 @@
 """Line dedup by winnowing over line hashes, in DataFrame functions only.
 
 Lines that hold more than blanks are hashed (after trimming). Of every window
-of ``min_lines`` consecutive hashes the smallest (leftmost on ties) is a
-*fingerprint*, so any repeated run of ``min_lines`` or more lines shares one.
-Fingerprints whose hash occurs once are done; the positions of the others are
-joined, each is extended both ways to the windows that chose it, and windows
-with equal hashes are compared with the first of their kind: a group is a
-partial minimum, never a list of pairs. Overlapping matched windows grow into
-the maximal repeated runs, which are deleted; the first occurrence stays.
-With ``min_words``, shorter runs that reach so many words are windows too.
+of ``min_lines`` consecutive hashes the smallest (leftmost on ties) is chosen;
+a chosen position is one *fingerprint* however many windows chose it, so any
+repeated run of ``min_lines`` or more lines shares one. A fingerprint carries
+the hashes of its neighbours, ``min_lines - 1`` on either side.
+
+Positions are joined on the fingerprint's hash: those that occur once are done.
+The others are extended to the left and to the right over their neighbours, to
+the windows that chose them, and a window is compared with the first of its
+kind: a group is a partial minimum, never a list of pairs. Overlapping matched
+windows grow into the maximal repeated runs, which are deleted; the first
+occurrence stays. With ``min_words``, shorter runs that reach so many words are
+windows too. Windows are equal if two 64-bit hashes of each line are.
+
+Common lines and passages: a hash that holds more than one in ``HOT_SHARE`` of
+all rows is one of at most ``HOT_SHARE`` such hashes, so these are broadcast and
+their rows stay where they are; only the others are shuffled to a join.
 """
 
 from __future__ import annotations
@@ -16,9 +24,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import checkpoint, fresh, prepare, text_key
+from corpusloom.llm.common import checkpoint, discard, fresh, prepare, stored, text_key
 
 MIN_LINES = 3
+HOT_SHARE = 1000  # a hot key has more than a thousandth of the rows: fewer than this many keys are hot
 
 
 def _lines(text: Column) -> Column:
@@ -26,10 +35,10 @@ def _lines(text: Column) -> Column:
 
 
 def _content(text: Column) -> Column:
-    """``array<struct<i, h>>``: line number and hash of every non-blank line."""
+    """``array<struct<i, h, g>>``: line number and two hashes of every non-blank line."""
     trimmed = F.transform(_lines(text), lambda x, i: F.struct(i.alias("i"), F.btrim(x, F.lit(" \t\r")).alias("s")))
-    return F.transform(F.filter(trimmed, lambda x: x["s"] != ""),
-                       lambda x: F.struct(x["i"].alias("i"), F.xxhash64(x["s"]).alias("h")))
+    return F.transform(F.filter(trimmed, lambda x: x["s"] != ""), lambda x: F.struct(
+        x["i"].alias("i"), F.xxhash64(x["s"]).alias("h"), F.xxhash64(F.lit(1), x["s"]).alias("g")))
 
 
 def _word_counts(text: Column) -> Column:
@@ -38,38 +47,78 @@ def _word_counts(text: Column) -> Column:
     return F.transform(F.filter(trimmed, lambda x: x != ""), lambda x: F.regexp_count(x, F.lit(r"\S+")))
 
 
+def fingerprints(docs: DataFrame, column: str = "text", min_lines: int = MIN_LINES,
+                 min_words: int | None = None) -> DataFrame:
+    """One row per distinct fingerprint of a text: ``(doc_id, tkey, f, p, lo,
+    around, check, windows)``. ``p`` is its place among the non-blank lines,
+    ``around`` and ``check`` hold both hashes of the lines from ``lo`` on, at most
+    ``min_lines - 1`` to either side, and ``windows`` the ``(at, n)`` of the
+    windows that chose it. Windows are all runs of ``min_lines`` lines and, with
+    ``min_words``, all shorter runs of so many words."""
+    content = _content(F.col(column))
+    rows = docs.select("doc_id", text_key(F.col(column)).alias("tkey"),
+                       F.transform(content, lambda x: x["h"]).alias("h"), F.transform(content, lambda x: x["g"]).alias("g"),
+                       *([_word_counts(F.col(column)).alias("words")] if min_words is not None else []))
+    sizes = range(1 if min_words is not None else min_lines, min_lines + 1)
+
+    def place(at: Column, n: int) -> Column:
+        low = F.array_min(F.transform(F.slice("h", at + 1, n), lambda x, i: F.struct(x.alias("h"), (i + at).alias("p"))))
+        return low["p"]
+
+    def starts(first: Column, last: Column, n: int) -> Column:
+        """Starts of windows of ``n`` lines from ``first`` to ``last``."""
+        out = F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<int>"))
+        return out if n == min_lines else F.filter(
+            out, lambda j: F.aggregate(F.slice("words", j + 1, n), F.lit(0), lambda a, x: a + x) >= min_words)
+
+    def windows_of(p: Column, n: int) -> Column:
+        near = starts(F.greatest(p - (n - 1), F.lit(0)), F.least(p, F.size("h") - n), n)
+        return F.transform(F.filter(near, lambda j: place(j, n) == p), lambda j: F.struct(j.alias("at"), F.lit(n).alias("n")))
+
+    def places(n: int) -> Column:
+        return F.transform(starts(F.lit(0), F.size("h") - n, n), lambda j: place(j, n))
+
+    chosen = F.array_distinct(F.concat(*(places(n) for n in sizes)))
+    side = min_lines - 1
+
+    def seed(p: Column) -> Column:
+        lo = F.greatest(p - side, F.lit(0))
+        return F.struct(F.get("h", p).alias("f"), p.alias("p"), lo.alias("lo"),
+                        F.slice("h", lo + 1, p - lo + 1 + side).alias("around"),
+                        F.slice("g", lo + 1, p - lo + 1 + side).alias("check"), F.concat(*(windows_of(p, n) for n in sizes)).alias("windows"))
+    return (rows.where(F.size("h") >= sizes[0])
+            .select("doc_id", "tkey", F.explode(F.transform(chosen, seed)).alias("s")).select("doc_id", "tkey", "s.*"))
+
+
+def _join_keys(rows: DataFrame, keys: DataFrame, on: str, total: int) -> DataFrame:
+    """``rows`` joined with ``keys(on, n, ...)``, one row per key, ``n`` its number
+    of rows among ``total``. Fewer than ``HOT_SHARE`` keys can hold more than
+    that share: their rows meet a broadcast copy in place, the others are shuffled."""
+    hot = keys.where(F.col("n") * HOT_SHARE > total)
+    cold = keys.where(F.col("n") * HOT_SHARE <= total)
+    return (rows.join(F.broadcast(hot), on)
+            .unionByName(rows.join(F.broadcast(hot.select(on)), on, "left_anti").join(cold, on)))
+
+
 def repeated_windows(docs: DataFrame, column: str = "text", min_lines: int = MIN_LINES,
                      min_words: int | None = None) -> DataFrame:
     """``(doc_id, tkey, at, n)``: start and length (in non-blank lines) of every
     window that also occurs earlier (smaller ``doc_id``, nulls last, ties by the
-    text's hash; or earlier in the same text). Windows are all runs of
-    ``min_lines`` lines and, with ``min_words``, all shorter runs of so many words."""
-    h = F.transform(_content(F.col(column)), lambda x: x["h"])
-    rows = docs.select("doc_id", text_key(F.col(column)).alias("tkey"), h.alias("h"),
-                       *([_word_counts(F.col(column)).alias("words")] if min_words is not None else []))
-
-    def windows_of(w: int) -> Column:
-        starts = F.when(F.size("h") >= w, F.sequence(F.lit(0), F.size("h") - w)).otherwise(F.array().cast("array<int>"))
-        if w < min_lines:
-            starts = F.filter(starts, lambda j: F.aggregate(F.slice("words", j + 1, w), F.lit(0), lambda a, x: a + x) >= min_words)
-        return F.transform(starts, lambda j: F.struct(
-            F.array_min(F.transform(F.slice("h", j + 1, w), lambda x, i: F.struct(x.alias("h"), (i + j).alias("p")))).alias("f"),
-            j.alias("at"), F.slice("h", j + 1, w).alias("run")))
-    sizes = range(1 if min_words is not None else min_lines, min_lines + 1)
-    chosen = F.concat(*(windows_of(w) for w in sizes))
-    rows = rows.where(F.size("h") >= sizes[0])
-    # one row per fingerprint, with the windows that chose it: what "extend both ways" looks at
-    windows = checkpoint(rows.select("doc_id", "tkey", F.explode(chosen).alias("c"))
-                         .select("doc_id", "tkey", F.col("c.f.h").alias("f"), F.col("c.f.p").alias("p"), "c.at", "c.run"))
-    seeds = windows.groupBy("f", "doc_id", "tkey", "p").agg(F.lit(1).alias("one"))
-    often = seeds.groupBy("f").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).select("f")
-    joined = windows.join(often, "f").select(
-        "run", F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "tkey", "at").alias("k"))
-    first = (joined.groupBy("run").agg(F.min("k").alias("first"), F.count(F.lit(1)).alias("n"))
-             .where(F.col("n") > 1).drop("n"))
-    later = joined.join(first, "run").where(F.col("k") != F.col("first"))
+    text's hash; or earlier in the same text)."""
+    seeds = stored(fingerprints(docs, column, min_lines, min_words))
+    often = checkpoint(seeds.groupBy("f").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1))
+    joined = _join_keys(seeds, often, "f", seeds.count())
+    # both ways over the neighbours, to the windows that chose the fingerprint
+    extended = joined.select("doc_id", "tkey", "lo", "around", "check", F.explode("windows").alias("w"))
+    at = F.col("w.at") - F.col("lo") + 1
+    matched = stored(extended.select(
+        F.concat(F.slice("around", at, F.col("w.n")), F.slice("check", at, F.col("w.n"))).alias("run"),
+        F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "tkey", F.col("w.at").alias("at")).alias("k")))
+    discard(seeds)
+    first = checkpoint(matched.groupBy("run").agg(F.min("k").alias("first"), F.count(F.lit(1)).alias("n")).where(F.col("n") > 1))
+    later = _join_keys(matched, first, "run", matched.count()).where(F.col("k") != F.col("first"))
     return later.select(F.col("k.doc_id").alias("doc_id"), F.col("k.tkey").alias("tkey"), F.col("k.at").alias("at"),
-                        F.size("run").alias("n"))
+                        (F.size("run") / 2).cast("int").alias("n"))
 
 
 def dedup_lines(docs: DataFrame, column: str = "text", min_lines: int = MIN_LINES,
@@ -83,7 +132,8 @@ def dedup_lines(docs: DataFrame, column: str = "text", min_lines: int = MIN_LINE
     ``min_lines`` lines (and ``min_words`` words) are unchanged; a text of which every line goes becomes
     empty. Rows with the same ``doc_id`` and text count as one document and
     get the same result; null ids come last; other columns are kept, whatever
-    their names. An empty table gives no rows.
+    their names. Very long texts are compared whole: a fingerprint carries its
+    neighbours only, never its text. An empty table gives no rows.
     """
     prepare(docs.sparkSession)
     key, hits, lines, gone = (fresh(docs, n) for n in ("_tkey", "_hits", "_lines", "_gone"))
