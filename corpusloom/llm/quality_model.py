@@ -3,14 +3,16 @@
 A text is the average of learned vectors: one for each word, one for each
 pair of neighbouring words (the pair is hashed by the difference of the two
 word hashes, so all immediate repetitions share one vector) and one for each
-byte n-gram inside a word with its borders; all are hashed into a fixed number
-of buckets. A softmax layer over the average gives the classes. Training is
+character n-gram inside a word with its borders; all are hashed into a fixed
+number of buckets. A softmax layer over the average gives the classes. Training is
 stochastic gradient descent in numpy over a bounded sample of labelled rows;
 scoring runs in the tasks. There the product of vectors and output layer is
 one number per bucket, so a text's score is an average of table entries.
 
 The hashes of all words and n-grams of a text are taken at once with prefix
-sums over its bytes (wrapping 64-bit polynomial hashes).
+sums over its characters (wrapping 64-bit polynomial hashes). Very long texts
+are hashed in blocks of whole words that hand their last word on, so the block
+size changes no feature.
 """
 
 from __future__ import annotations
@@ -28,18 +30,16 @@ from corpusloom.llm.common import prepare
 
 BUCKETS = 1 << 16          # per feature family
 DIM = 16
-GRAMS = (3, 4)             # bytes of an n-gram, borders included
+GRAMS = (3, 4)             # characters of an n-gram, borders included
 EPOCHS = 6
 LEAST_STEPS = 12_000      # small samples are gone over more often
 RATE = 0.5
 SAMPLE_PER_CLASS = 1500    # labelled rows of each class that the model is fitted on, at most
 FOLDS = 5
 CUTOFF = 0.3
-BLOCK = 1 << 20            # bytes of a text that are hashed at a time
+BLOCK = 1 << 18            # characters of a text that are hashed at a time
 _BASE = np.uint64(0x9E3779B97F4A7C15)  # odd: powers have inverses modulo 2^64
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
-_SPACE = np.zeros(256, dtype=bool)
-_SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
 
 @lru_cache(maxsize=1)
@@ -55,50 +55,56 @@ def _mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
-def _block_features(raw: np.ndarray) -> np.ndarray:
-    """Bucket numbers of one block of bytes."""
-    space = _SPACE[raw]
-    b = np.concatenate([[32], np.where(space, 32, raw), [32]]).astype(np.uint64)
+def _spaces(chars: np.ndarray) -> np.ndarray:
+    return (chars == 0x20) | ((chars >= 0x09) & (chars <= 0x0D))
+
+
+def _block_features(chars: np.ndarray, space: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Bucket numbers of one block of characters, and the hash of its last word;
+    ``before`` holds that of the block before (or nothing)."""
+    b = np.concatenate([[32], np.where(space, 32, chars), [32]]).astype(np.uint64)
     gap = np.concatenate([[True], space, [True]])
     start = np.nonzero(gap[:-1] & ~gap[1:])[0] + 1
     end = np.nonzero(~gap[:-1] & gap[1:])[0] + 1
     if not len(start):
-        return np.zeros(0, dtype=np.int64)
+        return np.zeros(0, dtype=np.int64), before
     up, down = _powers()
     if len(b) > len(up):
         up, down = (np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(len(b), x)]), dtype=np.uint64)
                     for x in (_BASE, _INVERSE))
     total = np.concatenate([[np.uint64(0)], np.cumsum((b + np.uint64(1)) * up[:len(b)], dtype=np.uint64)])
     word = _mix((total[end] - total[start]) * down[start])
-    pair = _mix(word[1:] - word[:-1])
-    out = [word % np.uint64(BUCKETS), pair % np.uint64(BUCKETS) + np.uint64(BUCKETS)]
-    inner = np.concatenate([[0], np.cumsum(gap)])  # gaps before each byte
+    chain = np.concatenate([before, word])
+    out = [word % np.uint64(BUCKETS), _mix(chain[1:] - chain[:-1]) % np.uint64(BUCKETS) + np.uint64(BUCKETS)]
+    inner = np.concatenate([[0], np.cumsum(gap)])  # gaps before each character
     for n in GRAMS:
         if len(b) < n:
             continue
-        # no gap strictly inside the n-gram, and not a gap alone at both ends of nothing
+        # no gap strictly inside the n-gram
         ok = np.nonzero(inner[n - 1:len(b)] - inner[1:len(b) - n + 2] == 0)[0]
-        g = np.zeros(len(ok), dtype=np.uint64)
+        g = np.full(len(ok), n, dtype=np.uint64)
         for i in range(n):
-            g = (g << np.uint64(8)) | b[ok + i]
-        out.append(_mix(g * _BASE + np.uint64(n)) % np.uint64(BUCKETS) + np.uint64(2 * BUCKETS))
-    return np.concatenate(out).astype(np.int64)
+            g = g * _BASE + b[ok + i]
+        out.append(_mix(g) % np.uint64(BUCKETS) + np.uint64(2 * BUCKETS))
+    return np.concatenate(out).astype(np.int64), word[-1:]
 
 
 def features(text: str | None) -> np.ndarray:
     """Bucket numbers of all features of a whole text, block by block (blocks
     end at white space; a longer unbroken stretch is one block)."""
-    raw = np.frombuffer((text or "").encode("utf-8"), dtype=np.uint8)
-    if len(raw) <= BLOCK:
-        return _block_features(raw)
+    chars = np.frombuffer((text or "").encode("utf-32-le"), dtype="<u4")
+    space, last = _spaces(chars), np.zeros(0, dtype=np.uint64)
+    if len(chars) <= BLOCK:
+        return _block_features(chars, space, last)[0]
     out, at = [], 0
-    spaces = np.nonzero(_SPACE[raw])[0]
-    while at < len(raw):
-        k = np.searchsorted(spaces, at + BLOCK)
-        end = int(spaces[k]) if k < len(spaces) else len(raw)
-        out.append(_block_features(raw[at:end]))
+    cuts = np.nonzero(space)[0]
+    while at < len(chars):
+        k = np.searchsorted(cuts, at + BLOCK)
+        end = int(cuts[k]) if k < len(cuts) else len(chars)
+        found, last = _block_features(chars[at:end], space[at:end], last)
+        out.append(found)
         at = end + 1
-    return np.concatenate(out) if out else np.zeros(0, dtype=np.int64)
+    return np.concatenate(out)
 
 
 @dataclass
@@ -112,6 +118,22 @@ class Model:
         return (self.vectors @ (self.output[1] - self.output[0])).astype(np.float32)
 
 
+def step(m: Model, at: np.ndarray, count: np.ndarray, y: int, rate: float) -> None:
+    """One step down the gradient of the log loss of one text with class ``y``."""
+    w = (count / max(count.sum(), 1)).astype(np.float32)  # share of each bucket in the average
+    own = m.vectors[at]
+    hidden = w @ own if len(at) else np.zeros(DIM, np.float32)
+    z = m.output @ hidden + m.bias
+    p = np.exp(z - z.max())
+    p /= p.sum()
+    p[y] -= 1.0
+    back = m.output.T @ p
+    m.output -= (rate * np.outer(p, hidden)).astype(np.float32)
+    m.bias -= (rate * p).astype(np.float32)
+    if len(at):
+        m.vectors[at] = own - rate * np.outer(w, back).astype(np.float32)
+
+
 def train(rows: list[tuple[int, np.ndarray, np.ndarray]], epochs: int = EPOCHS, rate: float = RATE, seed: int = 7) -> Model:
     """Plain SGD over ``(label, buckets, counts)`` with a linearly falling rate.
     Without rows of both classes the scores stay at the prior."""
@@ -122,25 +144,12 @@ def train(rows: list[tuple[int, np.ndarray, np.ndarray]], epochs: int = EPOCHS,
     if not len(y) or y.min() == y.max():
         return m
     epochs = max(epochs, -(-LEAST_STEPS // len(rows)))
-    step, steps = 0, epochs * len(rows)
+    done, steps = 0, epochs * len(rows)
     for _ in range(epochs):
         for i in rng.permutation(len(rows)):
-            lr = rate * (1 - step / steps)
-            step += 1
             _, at, count = rows[i]
-            w = (count / max(count.sum(), 1)).astype(np.float32)
-            own = m.vectors[at]
-            hidden = w @ own if len(at) else np.zeros(DIM, np.float32)
-            z = m.output @ hidden + m.bias
-            p = np.exp(z - z.max())
-            p /= p.sum()
-            p[y[i]] -= 1.0  # gradient of the loss in the class scores
-            back = m.output.T @ p
-            m.output -= (lr * np.outer(p, hidden)).astype(np.float32)
-            m.bias -= (0.1 * lr * p).astype(np.float32)
-            if len(at):
-                # a bucket's share of the average, scaled up so that rare buckets learn too
-                m.vectors[at] = own - lr * np.outer(np.sqrt(w), back).astype(np.float32)
+            step(m, at, count, int(y[i]), rate * (1 - done / steps))
+            done += 1
     return m
 
 
