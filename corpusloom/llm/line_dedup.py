@@ -55,10 +55,9 @@ def fingerprints(docs: DataFrame, column: str = "text", min_lines: int = MIN_LIN
     ``min_lines - 1`` to either side, and ``windows`` the ``(at, n)`` of the
     windows that chose it. Windows are all runs of ``min_lines`` lines and, with
     ``min_words``, all shorter runs of so many words."""
-    content = _content(F.col(column))
-    rows = docs.select("doc_id", text_key(F.col(column)).alias("tkey"),
-                       F.transform(content, lambda x: x["h"]).alias("h"), F.transform(content, lambda x: x["g"]).alias("g"),
+    rows = docs.select("doc_id", text_key(F.col(column)).alias("tkey"), _content(F.col(column)).alias("c"),
                        *([_word_counts(F.col(column)).alias("words")] if min_words is not None else []))
+    rows = rows.select("*", F.col("c.h").alias("h"), F.col("c.g").alias("g")).drop("c")
     sizes = range(1 if min_words is not None else min_lines, min_lines + 1)
 
     def place(at: Column, n: int) -> Column:
@@ -71,14 +70,20 @@ def fingerprints(docs: DataFrame, column: str = "text", min_lines: int = MIN_LIN
         return out if n == min_lines else F.filter(
             out, lambda j: F.aggregate(F.slice("words", j + 1, n), F.lit(0), lambda a, x: a + x) >= min_words)
 
+    def places(n: int) -> Column:
+        return F.transform(F.when(F.size("h") >= n, F.sequence(F.lit(0), F.size("h") - n))
+                           .otherwise(F.array().cast("array<int>")), lambda j: place(j, n))
+
     def windows_of(p: Column, n: int) -> Column:
         near = starts(F.greatest(p - (n - 1), F.lit(0)), F.least(p, F.size("h") - n), n)
-        return F.transform(F.filter(near, lambda j: place(j, n) == p), lambda j: F.struct(j.alias("at"), F.lit(n).alias("n")))
+        return F.transform(F.filter(near, lambda j: F.get(f"p{n}", j) == p), lambda j: F.struct(j.alias("at"), F.lit(n).alias("n")))
 
-    def places(n: int) -> Column:
-        return F.transform(starts(F.lit(0), F.size("h") - n, n), lambda j: place(j, n))
+    def chosen_by(n: int) -> Column:
+        return F.transform(starts(F.lit(0), F.size("h") - n, n), lambda j: F.get(f"p{n}", j))
 
-    chosen = F.array_distinct(F.concat(*(places(n) for n in sizes)))
+    rows = rows.where(F.size("h") >= sizes[0])
+    rows = rows.select("*", *(places(n).alias(f"p{n}") for n in sizes))  # the chosen place of every window, once
+    chosen = F.array_distinct(F.concat(*(chosen_by(n) for n in sizes)))
     side = min_lines - 1
 
     def seed(p: Column) -> Column:
@@ -86,8 +91,7 @@ def fingerprints(docs: DataFrame, column: str = "text", min_lines: int = MIN_LIN
         return F.struct(F.get("h", p).alias("f"), p.alias("p"), lo.alias("lo"),
                         F.slice("h", lo + 1, p - lo + 1 + side).alias("around"),
                         F.slice("g", lo + 1, p - lo + 1 + side).alias("check"), F.concat(*(windows_of(p, n) for n in sizes)).alias("windows"))
-    return (rows.where(F.size("h") >= sizes[0])
-            .select("doc_id", "tkey", F.explode(F.transform(chosen, seed)).alias("s")).select("doc_id", "tkey", "s.*"))
+    return rows.select("doc_id", "tkey", F.explode(F.transform(chosen, seed)).alias("s")).select("doc_id", "tkey", "s.*")
 
 
 def _join_keys(rows: DataFrame, keys: DataFrame, on: str, total: int) -> DataFrame:
