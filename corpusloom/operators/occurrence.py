@@ -134,6 +134,16 @@ def output_keys(spark: SparkSession, outputs: DataFrame, sizes: list[int]) -> Da
             .mapInPandas(run, "output string, pos long, k int, key long"))
 
 
+def candidates(spark: SparkSession, outputs: DataFrame, vectors: DataFrame) -> DataFrame:
+    """``(output, pos, n, vec)``: places whose next lengths start as a chunk's vector does."""
+    sizes = [r[0] for r in vectors.select("k").distinct().collect()]  # at most seven numbers
+    different = vectors.select("k", "key", "n", "vec").distinct()
+    # Spark takes the few names of the outputs for the size of all their positions
+    # and would send those through the driver: the join is a shuffle, whatever it guesses
+    return (output_keys(spark, outputs, sizes).hint("merge").join(different, ["k", "key"])
+            .select("output", "pos", "n", "vec"))
+
+
 def _walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Candidates sorted by output, position and falling length → the ones that
     hold and lie end to end."""
@@ -174,13 +184,10 @@ def held_chunks(spark: SparkSession, chunks: DataFrame, outputs: list[str]) -> D
     """``(chunk_id, output, pos, n)``: chunks that the outputs hold, each once."""
     prepare_session(spark)
     vectors = checkpoint(chunk_vectors(chunks))
-    sizes = [r[0] for r in vectors.select("k").distinct().collect()]  # at most seven numbers
     names = spark.createDataFrame([(p,) for p in sorted(outputs)], "output string")
-    if not sizes:
+    if vectors.isEmpty():
         return spark.createDataFrame([], "chunk_id string, output string, pos long, n long")
-    different = vectors.select("k", "key", "n", "vec").distinct()
-    found = (output_keys(spark, names, sizes).join(different, ["k", "key"]).select("output", "pos", "n", "vec")
-             .repartition("output").sortWithinPartitions("output", "pos", F.desc("n"), "vec")
+    found = (candidates(spark, names, vectors).repartition("output").sortWithinPartitions("output", "pos", F.desc("n"), "vec")
              .mapInPandas(_walk, "output string, pos long, n long, vec long"))
     places = rank_within(checkpoint(found), ["n", "vec"], ["output", "pos"], "rank")
     own = rank_within(vectors.select("n", "vec", "src_path", "start_doc", "id"), ["n", "vec"], ["src_path", "start_doc"], "rank")

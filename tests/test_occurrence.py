@@ -118,3 +118,15 @@ def test_strange_whole_files_stay(spark, tmp):
     assert os.path.exists(kept + ".idx") and os.path.exists(kept + ".bin")
     mine = [p for p in shard_files(tmp) if p[:-4] != kept]
     assert mine and all("_r1_" in p for p in mine)
+
+
+def test_positions_do_not_go_through_the_driver(spark, tmp_path):
+    """Few names of outputs stand for many positions: their join is a shuffle."""
+    lengths = [1 + i * 7919 % 13 for i in range(3000)]
+    prefix = dataset(spark, str(tmp_path / "ds"), lengths)
+    chunks = chunk_table(spark, [str(tmp_path / "ds")], 400)
+    found = O.candidates(spark, spark.createDataFrame([(prefix,)], "output string"), O.chunk_vectors(chunks).checkpoint())
+    rows = {(r.pos, r.n) for r in found.collect()}
+    assert {(r.start_doc, r.num_docs) for r in chunks.collect()} <= rows
+    plan = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan, plan
