@@ -47,6 +47,29 @@ def strings_to_bytes(arr: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return offs - lo, data[lo:hi]
 
 
+# Bytes of texts or ids that a worker turns into ids or texts at a time, at most (unless one row is longer).
+PIECE_BYTES = 4 << 20
+
+
+def _row_edges(arr: pa.Array) -> np.ndarray:
+    """Bytes of a string, string list or number list column up to each row's start, then all."""
+    if pa.types.is_string(arr.type) or pa.types.is_large_string(arr.type):
+        return strings_to_bytes(arr)[0]
+    offs = np.asarray(arr.offsets, dtype=np.int64)
+    if pa.types.is_primitive(arr.type.value_type):
+        return offs * (arr.type.value_type.bit_width // 8)
+    return strings_to_bytes(arr.values)[0][offs]
+
+
+def bounded_pieces(b: pa.RecordBatch, column: str, size: int | None = None) -> Iterator[pa.RecordBatch]:
+    """The batch's rows in runs of at most ``size`` bytes of ``column``, or one row."""
+    size, edges, lo = size or PIECE_BYTES, _row_edges(b.column(column)), 0
+    while lo < b.num_rows:
+        hi = max(lo + 1, int(np.searchsorted(edges, edges[lo] + size, side="right")) - 1)
+        yield b.slice(lo, hi - lo)
+        lo = hi
+
+
 class Memo(dict):
     """Bounded per-task memo ``key -> encode(key)`` in two generations: a full
     young generation becomes the old one, keys met again move back. Frequent
@@ -172,7 +195,7 @@ def encode_documents(df: DataFrame, tokenizer: Tokenizer, sentences_col: str = "
         raise ValueError(f"{tokenizer.name} has no end-of-document id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in (p for whole in batches for p in bounded_pieces(whole, sentences_col)):
             ids, lens = _assemble(b.column(sentences_col), tokenizer, eod)
             cols = [b.column(c) for c in keep] + [ids, lens]
             yield pa.RecordBatch.from_arrays(cols, schema=_arrow_schema(schema))
@@ -193,7 +216,7 @@ def decode_column(df: DataFrame, tokenizer: Tokenizer, ids_col: str = "token_ids
     schema = T.StructType([df.schema[c] for c in keep] + [T.StructField(out_col, T.StringType(), True)])
 
     def run(batches):
-        for b in batches:
+        for b in (p for whole in batches for p in bounded_pieces(whole, ids_col)):
             txt = tokenizer.decode_arrow(b.column(ids_col))
             yield pa.RecordBatch.from_arrays([b.column(c) for c in keep] + [txt],
                                              schema=_arrow_schema(schema))
@@ -211,7 +234,7 @@ def encode_column(df: DataFrame, tokenizer: Tokenizer, text_col: str = "text",
                           + [T.StructField(out_col, T.ArrayType(id_t, False), False)])
 
     def run(batches):
-        for b in batches:
+        for b in (p for whole in batches for p in bounded_pieces(whole, text_col)):
             ids = tokenizer.encode_arrow(b.column(text_col))
             yield pa.RecordBatch.from_arrays([b.column(c) for c in keep] + [ids],
                                              schema=_arrow_schema(schema))

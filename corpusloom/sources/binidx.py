@@ -61,7 +61,7 @@ _ARROW_ELEM = {"uint8": pa.int16(), "int8": pa.int8(), "int16": pa.int16(), "uin
 
 
 # Bytes of tokens in one Arrow batch of the reader, at most (unless one sequence is longer).
-BATCH_BYTES = 64 << 20
+BATCH_BYTES = 8 << 20
 
 
 @dataclass

@@ -96,3 +96,33 @@ def test_index_of_sparse_and_clustered_keys(spark):
     assert [tuple(r) for r in seq] == want
     got = index.document_index(df).orderBy("line_id").collect()
     assert [r.seq_end - r.seq_begin for r in got] == [len(x) for _, x in sorted(rows)] and got[-1].seq_end == len(want)
+
+
+class CountingTokenizer(Tokenizer):
+    """The id of a text is the number of texts that came with it."""
+    name = "counting"
+    eod = 0
+
+    def encode_batch(self, texts):
+        return [[len(texts)] for _ in texts]
+
+
+def test_workers_take_bounded_pieces_of_a_batch(spark):
+    long = "x" * (1 << 20)
+    df = spark.createDataFrame([(i, [long, long] if i % 2 else [long]) for i in range(20)], "doc_id long, sentences array<string>").coalesce(1)
+    got = encode_documents(df, CountingTokenizer(), keep=["doc_id"], append_eod=False).collect()
+    assert sorted(r.doc_id for r in got) == list(range(20))
+    assert max(max(r.token_ids) for r in got) <= 4 and all(len(r.token_ids) == 1 + r.doc_id % 2 for r in got)
+
+
+def test_pieces_hold_every_row_once():
+    from corpusloom.functions.base import bounded_pieces
+    cols = {"s": ["aé", None, "", "x" * 50, "y", "z" * 9], "l": [["a", "bb"], None, [], ["x" * 50], ["", None], ["z"]],
+            "i": [[1, 2], None, [], list(range(50)), [3], [4]]}
+    b = pa.RecordBatch.from_pydict(cols)
+    for whole in (b, b.slice(1, 4), b.slice(2, 0)):
+        for c in cols:
+            parts = list(bounded_pieces(whole, c, 16))
+            assert [r for p in parts for r in p.to_pylist()] == whole.to_pylist()
+            if whole is b:
+                assert len(parts) > 2
