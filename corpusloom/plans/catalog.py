@@ -1244,12 +1244,10 @@ def q_per_file_build(spark, sf_dir):
     src = documents_jsonl(spark, sf_dir)
     out = os.path.join(scratch_dir(spark, "build-files"), "corpus")
     res = build_corpus(spark, CorpusSpec(src, out, TokenizerSpec("byte"), per_file=True))
-    rows = []
-    for key, prefix in sorted(res["files"].items()):
-        rows.append(read_binidx(spark, prefix, columns="index").select(
-            F.lit("/".join(key.split("/")[:2])).alias("dir"), "seq_id", "length"))
-    from functools import reduce
-    return reduce(lambda a, b: a.unionByName(b), rows).select("dir", *_long("seq_id", "length"))
+    # one plan for all files: a plan of its own for each would grow the driver with them
+    r = read_binidx(spark, ",".join(prefix for _, prefix in sorted(res["files"].items())), columns="index")
+    key = F.expr(f"substring(prefix, {len(out) + 2})")
+    return r.select(F.substring_index(key, "/", 2).alias("dir"), *_long("file_seq", "length")).withColumnRenamed("file_seq", "seq_id")
 
 
 SQL_PER_FILE_BUILD = f"""

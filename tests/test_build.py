@@ -84,3 +84,10 @@ def test_build_resume_by_fingerprint(spark, tmp):
     os.utime(f"{tmp}/in/a.jsonl", (mtime + 10, mtime + 10))
     r3 = build_corpus(spark, spec)
     assert read_binidx(spark, r3["text"]).first().length == 4
+
+
+def test_datasets_of_many_files_are_one_plan(spark):
+    from conftest import SF0001
+    from corpusloom.plans.catalog import q_per_file_build
+    plan = q_per_file_build(spark, SF0001)._jdf.queryExecution().analyzed().toString()
+    assert plan.count("RelationV2") == 1 and "Union" not in plan, plan
