@@ -14,6 +14,7 @@ from __future__ import annotations
 import heapq
 import re
 import struct
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -23,11 +24,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from corpusloom.functions.base import bounded_pieces
 from corpusloom.llm.common import extend_schema, prepare
 
 MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6  # piece types of the model format
-MEMO_WORDS = 400_000
+MEMO_WORDS = 150_000
+PIECE_BYTES = 1 << 20  # bytes of text that a task encodes at a time, at most (unless one text is longer)
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -178,21 +181,19 @@ class PieceModel:
         return out.decode("utf-8"), np.array([*align, at], dtype=np.int64)
 
     # -- encoding ---------------------------------------------------------
-    def _encode_word(self, word: str) -> tuple[int, ...]:
-        """Ids of a word: its chunks between characters that no piece joins."""
+    def _encode_word(self, word: str) -> bytes:
+        """Ids of a word (32 bits each): its chunks between characters that no piece joins."""
         joins, chunks = self.joins, self.chunks
         cut = [i for i in range(1, len(word)) if word[i - 1:i + 1] not in joins]
         if not cut:
             return self._encode_chunk(word)
-        out: list[int] = []
-        for a, b in zip([0, *cut], [*cut, len(word)]):
-            out.extend(chunks[word[a:b]])
-        return tuple(out)
+        return b"".join([chunks[word[a:b]] for a, b in zip([0, *cut], [*cut, len(word)])])
 
-    def _encode_chunk(self, word: str) -> tuple[int, ...]:
+    def _encode_chunk(self, word: str) -> bytes:
+        out = array("i")
         if len(word) == 1 and word in self.ids:
-            return (self.ids[word],)
-        out: list[int] = []
+            out.append(self.ids[word])
+            return out.tobytes()
         for part in (_merge_short if len(word) <= 48 else _merge_long)(word, self.score):
             i = self.ids.get(part)
             if i is not None:
@@ -201,17 +202,16 @@ class PieceModel:
                 out.extend(self.bytes[b] for b in part.encode("utf-8"))
             else:
                 out.append(self.unknown)
-        return tuple(out)
+        return out.tobytes()
 
     def encode(self, text: str) -> np.ndarray:
         return self._ids(self.normalize(text)[0])
 
     def _ids(self, normalized: str) -> np.ndarray:
-        memo = self.memo
-        ids = [i for w in self.words.findall(normalized) for i in memo[w]]
-        if not self.byte_fallback:  # neighbouring unknown characters are one piece
-            ids = [i for k, i in enumerate(ids) if i != self.unknown or not k or ids[k - 1] != i]
-        return np.array(ids, dtype=np.int32)
+        ids = np.frombuffer(b"".join(map(self.memo.__getitem__, self.words.findall(normalized))), dtype=np.int32)
+        if not self.byte_fallback and len(ids):  # neighbouring unknown characters are one piece
+            ids = ids[np.concatenate([[True], (ids[1:] != self.unknown) | (ids[:-1] != self.unknown)])]
+        return ids
 
     def encode_spans(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids, and for each the first and the end byte of its source span."""
@@ -233,7 +233,7 @@ class PieceModel:
     def decode(self, ids: list[int]) -> str:
         surface = self.surface
         strip = self.dummy_prefix or self.squeeze
-        parts = [surface[i] for i in ids]
+        parts = list(map(surface.__getitem__, ids))
         for k, i in enumerate(ids):
             if not parts[k]:
                 continue  # a control piece says nothing
@@ -275,9 +275,9 @@ class _Memo(dict):
     def __init__(self, encode):
         super().__init__()
         self.encode = encode
-        self.old: dict[str, tuple[int, ...]] = {}
+        self.old: dict[str, bytes] = {}
 
-    def __missing__(self, word: str) -> tuple[int, ...]:
+    def __missing__(self, word: str) -> bytes:
         ids = self.old.get(word)
         if ids is None:
             ids = self.encode(word)
@@ -361,7 +361,7 @@ def encode_documents(docs: DataFrame, model_path: str, column: str = "text", *,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = _model(data)
-        for b in batches:
+        for b in (p for whole in batches for p in bounded_pieces(whole, column, PIECE_BYTES)):
             got = [model.encode_spans(t or "") for t in b.column(len(rest)).to_pylist()]
             offsets = np.concatenate([[0], np.cumsum([len(g[0]) for g in got], dtype=np.int64)])
             lists = [pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(
