@@ -7,13 +7,15 @@ orthography (is a word ever written in lower case, or in upper case inside a
 sentence?) decides the rest. All counts are aggregations per language over the
 whole corpus; nothing is trained beforehand.
 
-1. ``count_types``: every token is one row for the partial counts; the rows
-   that are shuffled are one per (task, type).
+1. ``count_tokens``: one pass over the texts counts tokens as they are written
+   (those with a final mark together with the token behind); the rows that are
+   shuffled are one per (task, distinct token). Types, marks and capitals are
+   worked out per distinct token, not per occurrence.
 2. Abbreviations, starters and collocations are joins of such count tables.
 3. Whether a period ends a sentence depends on (type, mark, next type, is the
    next one capitalised) alone. So the decision is made once per distinct
-   combination (``decide``), and classification is one join of the candidate
-   tokens, a narrow row each, with the combinations that are boundaries.
+   combination (``decide``), and classification is one join of the tokens
+   with a final mark, a narrow row each, with the combinations that are boundaries.
 4. ``split_learned`` gathers a document's boundaries and cuts its text in one
    pass over it; sentences keep their inner white space.
 
@@ -25,12 +27,15 @@ learns nothing and ``!`` and ``?`` still end sentences.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from corpusloom.functions.base import bounded_pieces
 from corpusloom.session import prepare_session, stored_table
 
 # Fixed values of the published method.
@@ -40,28 +45,38 @@ COLLOCATION = 7.88      # least ratio of a collocation
 PERIOD_GIVEN = 0.99     # chance of a period after an abbreviation
 LEAST_PAIRS = 2         # occurrences of a collocation
 
+GAP = "\t\n\f\r "
 WORD = "[^\\t\\n\\f\\r ]+"
 EDGES = "^[\"'(\\[{]+|[\"')\\]},;:]+$"
 NUMBER = "^[0-9.,-]*[0-9][0-9.,-]*$"
+MARKED = "[.!?][\"')\\]},;:]*[\\x85\\u2028\\u2029]?\\z"  # `$` also stands before a last line break
 
 
-def tokens(df: DataFrame, text: str, lang: str, *keep: str) -> DataFrame:
-    """One row per token: its type, its final mark, whether it is capitalised,
-    and the same of the token behind it (null at the end of the text). Every
-    step is a projection of its own, so no array is worked out twice."""
+def words(df: DataFrame, text: str, lang: str, *keep: str) -> DataFrame:
+    """One row per token as it is written (``raw``), with the token behind it
+    (``then``, null at the end of the text)."""
     rows = df.select(*keep, F.coalesce(lang, F.lit("")).alias("lang"),
-                     F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(WORD), 0).alias("raw"))
-    rows = rows.select(*keep, "lang", F.transform("raw", lambda w: F.regexp_replace(w, EDGES, "")).alias("core"))
-    rows = rows.select(*keep, "lang", F.transform("core", lambda w: F.regexp_extract(w, "([.!?])$", 1)).alias("mark"),
-                       F.transform("core", lambda w: F.regexp_replace(w, "[.!?]+$", "")).alias("body"))
-    first = lambda w: F.substring(w, 1, 1)
-    rows = rows.select(*keep, "lang", F.arrays_zip(
-        F.transform("body", lambda w: F.when(w.rlike(NUMBER), "##").otherwise(F.lower(w))).alias("type"), "mark",
-        F.transform("body", lambda w: first(w) != F.lower(first(w))).alias("upper")).alias("t"))
-    behind = F.slice("t", 2, F.greatest(F.size("t"), F.lit(1)))
-    rows = rows.select(*keep, "lang", F.posexplode(F.arrays_zip(F.col("t").alias("own"), behind.alias("then"))).alias("i", "p"))
-    return rows.select(*keep, "lang", "i", F.col("p.own.type").alias("type"), F.col("p.own.mark").alias("mark"), F.col("p.own.upper").alias("upper"),
-                       F.col("p.then.type").alias("next"), F.col("p.then.upper").alias("next_upper"))
+                     F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(WORD), 0).alias("w"))
+    behind = F.slice("w", 2, F.greatest(F.size("w"), F.lit(1)))
+    rows = rows.select(*keep, "lang", F.posexplode(F.arrays_zip(F.col("w").alias("raw"), behind.alias("then"))).alias("i", "p"))
+    return rows.select(*keep, "lang", "i", "p.raw", "p.then")
+
+
+def may_end(raw: Column) -> Column:
+    """False only for tokens without a final mark."""
+    return raw.rlike(MARKED)
+
+
+def looks(df: DataFrame, raw: str, kind: str, mark: str, upper: str) -> DataFrame:
+    """``df`` with the type of a token, its final mark and whether it is capitalised
+    in place of ``raw``. Every step is a projection of its own, so nothing is
+    worked out twice."""
+    rest = [c for c in df.columns if c != raw]
+    rows = df.select(*rest, F.regexp_replace(raw, EDGES, "").alias("_core"))
+    rows = rows.select(*rest, F.regexp_extract("_core", "([.!?])$", 1).alias(mark), F.regexp_replace("_core", "[.!?]+$", "").alias("_body"))
+    first = F.substring("_body", 1, 1)
+    return rows.select(*rest, mark, F.when(F.col("_body").rlike(NUMBER), "##").otherwise(F.lower("_body")).alias(kind),
+                       (first != F.lower(first)).alias(upper))
 
 
 def _times_log(n: Column, p: Column) -> Column:
@@ -90,14 +105,24 @@ class Boundaries:
     decisions: DataFrame     # lang, type, mark, next, next_upper, n, boundary
 
 
-def count_types(toks: DataFrame) -> DataFrame:
+def count_tokens(df: DataFrame, text: str, lang: str) -> DataFrame:
+    """Distinct written tokens per language (with the token behind, if they may
+    end a sentence): occurrences, and those behind another token."""
+    rows = words(df, text, lang)
+    return (rows.select("lang", "raw", F.when(may_end(F.col("raw")), F.col("then")).alias("then"), "i").groupBy("lang", "raw", "then")
+            .agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("i") > 0).alias("later")))
+
+
+def count_types(seen: DataFrame) -> DataFrame:
     """Per language and type: occurrences with and without a final period, in
     lower case, and capitalised behind another token."""
     dotted = F.col("mark") == "."
     letter = F.col("type").rlike("\\p{L}")
-    return (toks.where("type <> ''").groupBy("lang", "type")
-            .agg(F.count_if(dotted).alias("dotted"), F.count_if(~dotted).alias("plain"),
-                 F.count_if(letter & ~F.col("upper")).alias("low"), F.count_if(F.col("upper") & (F.col("i") > 0)).alias("up")))
+    number = lambda c, n="n": F.sum(F.when(c, F.col(n)).otherwise(0))
+    written = seen.groupBy("lang", "raw").agg(F.sum("n").alias("n"), F.sum("later").alias("later"))
+    return (looks(written, "raw", "type", "mark", "upper").where("type <> ''").groupBy("lang", "type")
+            .agg(number(dotted).alias("dotted"), number(~dotted).alias("plain"),
+                 number(letter & ~F.col("upper")).alias("low"), number(F.col("upper"), "later").alias("up")))
 
 
 def abbreviation_scores(counts: DataFrame) -> DataFrame:
@@ -115,9 +140,11 @@ def abbreviation_scores(counts: DataFrame) -> DataFrame:
 def learn(df: DataFrame, text: str = "text", lang: str = "lang") -> Boundaries:
     """The statistics of ``df``, stored as tables."""
     prepare_session(df.sparkSession)
-    toks = tokens(df, text, lang)
-    types = stored_table(abbreviation_scores(count_types(toks)))
-    ends = toks.where("mark <> ''").groupBy("lang", "type", "mark", "next", "next_upper").agg(F.count(F.lit(1)).alias("n"))
+    seen = stored_table(count_tokens(df, text, lang))
+    types = stored_table(abbreviation_scores(stored_table(count_types(seen))))
+    marked = looks(seen.where(may_end(F.col("raw"))).select("lang", "raw", "then", "n"), "raw", "type", "mark", "upper").where("mark <> ''")
+    marked = looks(marked.drop("upper"), "then", "next", "next_mark", "next_upper")
+    ends = marked.groupBy("lang", "type", "mark", "next", "next_upper").agg(F.sum("n").alias("n"))
     known = types.where("abbreviation").select("lang", "type", F.lit(True).alias("_abbr"))
     special = (F.col("type") == "##") | _is_initial(F.col("type"))
     ends = stored_table(ends.join(known, ["lang", "type"], "left").withColumn("abbreviation", F.coalesce("_abbr", F.lit(False))).drop("_abbr")
@@ -163,28 +190,30 @@ def decide(ends: DataFrame, types: DataFrame, starters: DataFrame, collocations:
 def split_learned(df: DataFrame, learned: Boundaries, id_col: str, text: str = "text", lang: str = "lang") -> DataFrame:
     """``df`` with ``sentences``: its text cut behind the tokens that are boundaries."""
     key = F.xxhash64(id_col, text)
-    toks = tokens(df.withColumn("_key", key), text, lang, id_col, "_key").where("mark <> '' AND next IS NOT NULL")
+    toks = words(df.withColumn("_key", key), text, lang, id_col, "_key").where(may_end(F.col("raw")) & F.col("then").isNotNull())
+    toks = looks(looks(toks, "raw", "type", "mark", "upper").drop("upper"), "then", "next", "next_mark", "next_upper").where("mark <> ''")
     ends = learned.decisions.where("boundary AND next IS NOT NULL").drop("n", "boundary")
     cuts = (toks.join(ends, ["lang", "type", "mark", "next", "next_upper"])
             .groupBy(F.col(id_col).alias("_id"), F.col("_key").alias("_k")).agg(F.collect_set("i").alias("_cuts")))
     rows = df.withColumn("_key", key)
     rows = rows.join(cuts, rows[id_col].eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_k")), "left")
-    return rows.withColumn("sentences", _cut_udf()(F.col(text), F.col("_cuts"))).select(*df.columns, "sentences")
+    schema = T.StructType([*df.schema.fields, T.StructField("sentences", T.ArrayType(T.StringType()))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in (p for whole in batches for p in bounded_pieces(whole, text)):
+            out = [cut(t, c) for t, c in zip(b.column(text).to_pylist(), b.column("_cuts").to_pylist())]
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(out, pa.list_(pa.string()))], names=schema.names)
+    return rows.select(*df.columns, "_cuts").mapInArrow(run, schema)
 
 
 def cut(text: str | None, cuts) -> list[str]:
     """The text cut behind the tokens with these numbers; inner white space stays."""
-    out, start, stop, cuts = [], None, 0, set(cuts if cuts is not None else ())
-    for i, m in enumerate(re.finditer(WORD, text or "")):
-        start, stop = m.start() if start is None else start, m.end()
-        if i in cuts:
-            out.append(text[start:stop])
-            start = None
-    return out if start is None else [*out, text[start:stop]]
-
-
-def _cut_udf():
-    @F.pandas_udf("array<string>")
-    def cut_all(texts: pd.Series, cuts: pd.Series) -> pd.Series:
-        return pd.Series([cut(t, c) for t, c in zip(texts, cuts)])
-    return cut_all
+    body, out, start = (text or "").strip(GAP), [], 0
+    cuts = set(cuts if cuts is not None else ())
+    if cuts:
+        for i, m in enumerate(re.finditer(WORD, body)):
+            if i in cuts:
+                out.append(body[start:m.end()].lstrip(GAP))
+                start = m.end()
+    rest = body[start:].lstrip(GAP)
+    return [*out, rest] if rest else out

@@ -80,3 +80,20 @@ def test_nothing_to_learn(spark):
     out = {x.doc_id: x.sentences for x in B.split_learned(df, B.learn(df), "doc_id").collect()}
     assert out == {1: ["a b!", "c"], 2: ["Plain words"]}
     assert B.split_learned(df.limit(0), B.learn(df.limit(0)), "doc_id").count() == 0
+
+
+def test_tokens_are_looked_at_once_per_distinct_token(spark):
+    """Counts are taken over tokens as they are written, so the table that types are
+    worked out from has a row per distinct token (and follower of a final mark), not per token."""
+    texts = ["Dr. Who came. He left. " * 40, "Dr. Who came.) \"He left.\" It (ended!) Now" * 3, "x.\u0085 Y.\u2028 z", None, ""]
+    df = spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts)], "doc_id long, text string, lang string")
+    seen = {(x.raw, x.then): (x.n, x.later) for x in B.count_tokens(df, "text", "lang").collect()}
+    want = {}
+    for t in texts:
+        found = [m[0] for m in re.finditer(B.WORD, t or "")]
+        for i, w in enumerate(found):
+            marked = re.search("[.!?]$", re.sub("^[\"'(\\[{]+|[\"')\\]},;:]+$", "", w.rstrip("\u0085\u2028")))
+            key = w, (found[i + 1] if i + 1 < len(found) else None) if marked else None
+            n, later = want.get(key, (0, 0))
+            want[key] = n + 1, later + (i > 0)
+    assert seen == want and len(seen) < 25
