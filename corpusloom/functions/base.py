@@ -11,6 +11,7 @@ buffers; only the tokenizer itself may loop in Python.
 
 from __future__ import annotations
 
+from array import array
 from typing import Iterator
 
 import numpy as np
@@ -73,14 +74,17 @@ def bounded_pieces(b: pa.RecordBatch, column: str, size: int | None = None) -> I
 class Memo(dict):
     """Bounded per-task memo ``key -> encode(key)`` in two generations: a full
     young generation becomes the old one, keys met again move back. Frequent
-    keys stay and new keys can always be remembered."""
+    keys stay and new keys can always be remembered; long keys, which hardly
+    recur, are not."""
 
-    def __init__(self, encode, size: int = 500_000):
+    def __init__(self, encode, size: int = 500_000, longest: int = 256):
         super().__init__()
-        self.encode, self.size, self.old = encode, size, {}
+        self.encode, self.size, self.longest, self.old = encode, size, longest, {}
 
     def __missing__(self, key):
         value = self.old[key] if key in self.old else self.encode(key)
+        if len(key) > self.longest:
+            return value
         if len(self) >= self.size:
             self.old = dict(self)
             self.clear()
@@ -88,6 +92,17 @@ class Memo(dict):
         return value
 
 
+def packed(ids: list[int]) -> bytes:
+    """Ids as 32-bit numbers, one behind the other."""
+    return array("i", ids).tobytes()
+
+
+def unpacked_rows(rows: list[bytes]) -> pa.Array:
+    """A list array from rows of packed ids."""
+    offsets = np.concatenate(([0], np.cumsum([len(r) // 4 for r in rows], dtype=np.int64)))
+    return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(np.frombuffer(b"".join(rows), dtype=np.int32)))
+
+
 def decode_pieces(pieces) -> str:
     """Text of a sequence of token bytes: pieces wait until, together, they are
     valid UTF-8 without U+FFFD; what never becomes valid is dropped, with

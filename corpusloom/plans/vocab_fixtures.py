@@ -1,7 +1,8 @@
 """Vocabularies the registered queries derive from ``documents`` with Spark
 (no vocabulary ships with the reference). Each is a top-k report over the
 corpus, so only k rows reach the driver, which writes the file in the
-format the matching loader reads.
+format the matching loader reads. Words and pieces are counted first; their
+parts are taken once per distinct one, with its count.
 """
 
 from __future__ import annotations
@@ -15,21 +16,23 @@ from pyspark.sql import functions as F
 from corpusloom.functions.base import encode_column
 from corpusloom.functions.bpe import byte_symbols
 from corpusloom.functions.byte_level import ByteTokenizer
+from corpusloom.functions.dictionary import piece_counts
 from corpusloom.functions.trie import format_vocab_line
 from corpusloom.functions.wordpiece import SPECIAL_TOKENS
 from corpusloom.operators import text
-from corpusloom.session import scratch_dir
+from corpusloom.session import scratch_dir, stored_table
 
 
 def rwkv_vocab_file(spark: SparkSession, docs: DataFrame, k: int = 300) -> str:
     """256 single bytes (ids 1..256) then the ``k`` most frequent character
     bigrams and trigrams inside words, ordered by count then n-gram."""
-    words = docs.select(F.explode(text.whitespace_tokenize(F.col("text"))).alias("w"))
-    grams = words.select(F.explode(F.flatten(F.array(*[
+    words = (docs.select(F.explode(text.whitespace_tokenize(F.col("text"))).alias("w"))
+             .groupBy("w").agg(F.count(F.lit(1)).alias("n")))
+    grams = words.select("n", F.explode(F.flatten(F.array(*[
         F.when(F.length("w") >= n, F.transform(F.sequence(F.lit(1), F.length("w") - n + 1),
                                                 lambda i: F.substring("w", i, n)))
          .otherwise(F.array().cast("array<string>")) for n in (2, 3)]))).alias("g"))
-    top = (grams.groupBy("g").agg(F.count(F.lit(1)).alias("n"))
+    top = (grams.groupBy("g").agg(F.sum("n").alias("n"))
            .orderBy(F.desc("n"), "g").limit(k).collect())
     lines = [format_vocab_line(b + 1, bytes([b])) for b in range(256)]
     lines += [format_vocab_line(257 + i, r.g.encode("utf-8")) for i, r in enumerate(top)]
@@ -51,8 +54,8 @@ def wordpiece_vocab_file(spark: SparkSession, docs: DataFrame, k: int = 5000) ->
     def basic(ws):
         return ws.map(lambda w: basic_words(w))
 
-    toks = (distinct_words.select(F.explode(basic("w")).alias("t"), "n")
-            .groupBy("t").agg(F.sum("n").alias("n")))
+    toks = stored_table(distinct_words.select(F.explode(basic("w")).alias("t"), "n")
+                        .groupBy("t").agg(F.sum("n").alias("n")))
     top = [r.t for r in toks.orderBy(F.desc("n"), "t").limit(k).collect()]
     chars = [r.c for r in toks.select(F.explode(F.split("t", "")).alias("c")).where(F.col("c") != "")
              .distinct().orderBy("c").collect()]
@@ -73,12 +76,12 @@ def bpe_files(spark: SparkSession, docs: DataFrame, k: int = 500) -> tuple[str,
     ``k`` most frequent adjacent byte pairs inside GPT-2 pieces as merges
     (rank = frequency order) with their merged symbols, then
     ``<|endoftext|>``."""
-    pieces = docs.select(F.explode(text.pretokenize_gpt2(F.col("text"))).alias("piece"))
+    pieces = piece_counts(docs, "text", text.pretokenize_gpt2)
     ids = encode_column(pieces, ByteTokenizer(eod=None, offset=0), "piece", "b")
-    pairs = ids.where(F.size("b") > 1).select(F.explode(F.transform(
+    pairs = ids.where(F.size("b") > 1).select("n", F.explode(F.transform(
         F.sequence(F.lit(1), F.size("b") - 1), lambda i: F.struct(F.element_at("b", i).alias("l"),
                                                                   F.element_at("b", i + 1).alias("r")))).alias("p"))
-    top = (pairs.groupBy(F.col("p.l").alias("l"), F.col("p.r").alias("r")).agg(F.count(F.lit(1)).alias("n"))
+    top = (pairs.groupBy(F.col("p.l").alias("l"), F.col("p.r").alias("r")).agg(F.sum("n").alias("n"))
            .orderBy(F.desc("n"), "l", "r").limit(k).collect())
     sym = byte_symbols()
     encoder = {sym[b]: b for b in range(256)}
