@@ -105,8 +105,8 @@ def clean_text_for_wordpiece(text: Column) -> Column:
     than tab/newline/CR, map whitespace to a space, surround CJK ideographs
     with spaces. Lower-casing and accent stripping happen per distinct word in
     the WordPiece function (they need Unicode normalization)."""
-    t = F.regexp_replace(text, r"[\x00\x{FFFD}]|[\p{Cc}\p{Cf}&&[^\t\n\r]]", "")
-    t = F.regexp_replace(t, r"[\t\n\r\p{Zs}]", " ")
+    t = F.regexp_replace(text, r"[\x{FFFD}\p{Cc}\p{Cf}&&[^\t\n\r]]", "")
+    t = F.regexp_replace(t, r"[\t\n\r\p{Zs}&&[^ ]]", " ")  # a space stays as it is
     cjk = "".join(f"\\x{{{a:X}}}-\\x{{{b:X}}}" for a, b in CJK_RANGES)
     return F.regexp_replace(t, f"([{cjk}])", " $1 ")
 

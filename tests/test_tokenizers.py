@@ -131,3 +131,45 @@ def test_wordpiece_vocabulary_lines_are_stripped_of_all_white_space(spark, tmp):
     got = {r.token: r.id for r in load_wordpiece_vocab(spark, path).collect()}
     assert got == WordPieceTokenizer.from_lines(lines).vocab == {"[UNK]": 0, "##c": 2, "de": 3, "ab": 4}
     assert WordPieceTokenizer(got).encode_batch(["abc ab-x de"]) == [[4, 2, 4, 0, 0, 3]]
+
+
+def test_packed_rows_are_the_rows_of_the_plain_form():
+    """Arrays of ids come from packed words; the plain form encodes text by text."""
+    import pyarrow as pa
+    from corpusloom.functions.bpe import Gpt2BpeTokenizer, byte_symbols
+    from corpusloom.functions.trie import TrieTokenizer
+    from corpusloom.functions.wordpiece import WordPieceTokenizer
+    sym = byte_symbols()
+    texts = ["", " ", "the  cat's hat\nthe cat ", None, "é漢😀 the", "a" * 300 + " " + "the" * 200, "x\u00a0the\tthe"]
+    single = {bytes([b]): b + 1 for b in range(256)}
+    toks = [Gpt2BpeTokenizer({**{sym[b]: b for b in range(256)}, "th": 256, "the": 257}, [("t", "h"), ("th", "e")]),
+            TrieTokenizer({**single, b"the": 300, b"th": 301, b"\nt": 302}), TrieTokenizer({**single, b"the": 300, b"e c": 301}),
+            WordPieceTokenizer({t: i for i, t in enumerate(["[PAD]", "[UNK]", "the", "cat", "##s", "c", "##the", "##a", "a"])})]
+    for tok in toks:
+        got = tok.encode_arrow(pa.array(texts, pa.string()))
+        assert got.type.value_type == pa.int32() and got.to_pylist() == tok.encode_batch([t or "" for t in texts])
+    assert [t._by_word for t in toks[1:3]] == [True, False]
+    assert all(len(k) <= 256 for t in toks for k in t._packed)
+
+
+def test_vocabularies_take_parts_of_distinct_words_only(spark, monkeypatch):
+    """Byte pairs and n-grams are taken once per distinct piece, with its count."""
+    from collections import Counter
+    from corpusloom.functions.bpe import GPT2_PATTERN
+    from corpusloom.plans import vocab_fixtures as V
+    import regex
+    rows, encode = [], V.encode_column
+    monkeypatch.setattr(V, "encode_column", lambda df, *a, **k: rows.append(df.count()) or encode(df, *a, **k))
+    df = spark.createDataFrame([("the cat the hat " * 50,), ("the the",), (None,), ("",)], "text string")
+    _, merges = V.bpe_files(spark, df, 7)
+    pieces = Counter(p for t in ("the cat the hat " * 50, "the the") for p in regex.findall(GPT2_PATTERN, t))
+    pairs = Counter()
+    for p, n in pieces.items():
+        pairs.update({(a, b): 0 for a, b in zip(p.encode(), p.encode()[1:])})
+        for a, b in zip(p.encode(), p.encode()[1:]):
+            pairs[a, b] += n
+    from corpusloom.functions.bpe import byte_symbols
+    sym = byte_symbols()
+    want = [f"{sym[a]} {sym[b]}" for (a, b), _ in sorted(pairs.items(), key=lambda x: (-x[1], x[0]))[:7]]
+    assert open(merges, encoding="utf-8").read().split("\n")[1:-1] == want
+    assert rows == [len(pieces)]  # not one per occurrence
