@@ -109,25 +109,20 @@ def prepared_records(spark: SparkSession, spec: CorpusSpec) -> tuple[DataFrame,
 
 def input_fingerprint(spark: SparkSession, spec: CorpusSpec) -> str:
     """Fingerprint of the input files (path, size, modification time,
-    from the file system listing), of the job parameters and of the contents
+    from Spark's file listing, summed in Spark), of the job parameters and of the contents
     of the tokenizer's files."""
     import hashlib
     import json
-    from corpusloom.sources.corpus import _hadoop_fs
-    fs, root = _hadoop_fs(spark, spec.input)
+    from corpusloom.sources.corpus import listed_files
     h = hashlib.sha256(json.dumps({k: str(v) for k, v in sorted(spec.__dict__.items())}).encode())
     tok = spec.tokenizer
     for path in (tok.vocab_file, tok.merges_file, tok.tokenizer_model):
         for name in sorted(_files_of(path)):
             with open(name, "rb") as f:
                 h.update(repr((name, hashlib.file_digest(f, "sha256").hexdigest())).encode())
-    it = fs.listFiles(root, True)
-    files = []
-    while it.hasNext():
-        st = it.next()
-        files.append((st.getPath().toString(), st.getLen(), st.getModificationTime()))
-    for f in sorted(files):
-        h.update(repr(f).encode())
+    each = [F.xxhash64(F.lit(k), "path", "length", "modificationTime") for k in range(2)]
+    sums = listed_files(spark, spec.input).agg(F.count(F.lit(1)), *[F.sum(x.cast("decimal(38,0)")) for x in each], *map(F.bit_xor, each))
+    h.update(repr(tuple(sums.first())).encode())
     return h.hexdigest()
 
 

@@ -16,6 +16,9 @@ global ``line_id`` without a global sort:
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -53,17 +56,41 @@ def check_corpus_path(spark: SparkSession, path: str, check_hidden: bool = True)
             raise ValueError(f"hidden file names cannot be scanned by Spark: {path}")
         return False
     if check_hidden:
-        it = fs.listFiles(hpath, True)
-        while it.hasNext():
-            p = it.next().getPath()
-            # a hidden folder anywhere below the root hides its files as well
-            rel = p.toString()[len(fs.makeQualified(hpath).toString()):]
-            parts = [s for s in rel.split("/") if s]
-            if p.getName().lower().endswith(".jsonl") and any(s.startswith((".", "_")) for s in parts):
-                raise ValueError(f"hidden file names cannot be scanned by Spark: {p}")
+        # folder by folder would be a call or more per file: the file system is asked for
+        # hidden names level by level; a hidden folder hides its files as well
+        new = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        level = _literal(fs.makeQualified(hpath).toString().rstrip("/"))
+        while fs.globStatus(new(level + "/*")):
+            for found in fs.globStatus(new(level + "/{.,_}*")) or ():
+                for p in _file_paths(fs, found):
+                    if p.lower().endswith(".jsonl"):
+                        raise ValueError(f"hidden file names cannot be scanned by Spark: {p}")
+            level += "/*"
     return True
 
 
+def _literal(path: str) -> str:
+    """A path whose characters mean themselves where patterns are read."""
+    return re.sub(r"([\\*?\[\]{}^])", r"\\\1", path)
+
+
+def _file_paths(fs, status) -> Iterator[str]:
+    """The file itself, or all files below a folder."""
+    if not status.isDirectory():
+        yield status.getPath().toString()
+        return
+    it = fs.listFiles(status.getPath(), True)
+    while it.hasNext():
+        yield it.next().getPath().toString()
+
+
+def listed_files(spark: SparkSession, path: str, names: str = "*") -> DataFrame:
+    """``path, length, modificationTime`` of the files that Spark reads below a
+    folder (or of the one file); nothing of their content is read."""
+    return (spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", names)
+            .load(_literal(path)).select("path", "length", "modificationTime"))
+
+
 def _raw_scan(reader, path: str, fmt: str) -> DataFrame:
     df = reader.format(fmt).load(path)
     return df.select(

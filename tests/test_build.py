@@ -3,6 +3,8 @@ values become sentences, end-of-document appended, counters observed."""
 
 import os
 
+import pytest
+
 from conftest import write_lines
 from corpusloom.plans.build import build_corpus, write_split_sentences
 from corpusloom.sources.binidx import read_binidx
@@ -91,3 +93,30 @@ def test_datasets_of_many_files_are_one_plan(spark):
     from corpusloom.plans.catalog import q_per_file_build
     plan = q_per_file_build(spark, SF0001)._jdf.queryExecution().analyzed().toString()
     assert plan.count("RelationV2") == 1 and "Union" not in plan, plan
+
+
+def test_listing_asks_no_file_by_file(spark, tmp, monkeypatch):
+    """Checks, fingerprints and renames of many files take no file system call per file but the rename."""
+    from corpusloom.plans.build import input_fingerprint
+    from corpusloom.plans.fixtures import rename_to_jsonl
+    from corpusloom.sources import corpus
+    from corpusloom.spec import CorpusSpec, TokenizerSpec
+    src = os.path.join(tmp, "in [1]")
+    spark.range(40).selectExpr("id div 2 AS f", "'{\"text\": \"x\"}' AS value").repartition("f").write.partitionBy("f").text(src)
+    rename_to_jsonl(spark, src)
+    names = [n for _, _, ns in os.walk(src) for n in ns if not n.endswith(".crc")]
+    assert sum(n.endswith(".jsonl") for n in names) == 20 and not any(n.endswith(".txt") for n in names)
+    walked = []
+    monkeypatch.setattr(corpus, "_file_paths", lambda fs, status, f=corpus._file_paths: [walked.append(p) or p for p in f(fs, status)])
+    assert corpus.check_corpus_path(spark, src)
+    assert all(os.path.basename(p).startswith(("_", ".")) for p in walked)
+    spec = CorpusSpec(src, os.path.join(tmp, "out"), TokenizerSpec("byte"))
+    first = input_fingerprint(spark, spec)
+    assert first == input_fingerprint(spark, spec)
+    with open(os.path.join(src, "f=3", "more.jsonl"), "w") as f:
+        f.write("{}")
+    assert first != input_fingerprint(spark, spec)
+    os.makedirs(os.path.join(src, "f=4", "_aside", "deep"))
+    open(os.path.join(src, "f=4", "_aside", "deep", "x.JSONL"), "w").close()
+    with pytest.raises(ValueError):
+        corpus.check_corpus_path(spark, src)
