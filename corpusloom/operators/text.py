@@ -29,6 +29,10 @@ WS = r"[\t\n\f\r ]"
 # character-class loops only, so Java's matcher does not recurse per
 # character on long texts.
 SENTENCE_PATTERN = (r"[^.!?]*(?:[.!?]+[^.!?\t\n\f\r ][^.!?]*)*[.!?]*" + WS + r"*")
+# The same matches in Java, whose matcher recurses once per round of a group
+# unless the group is possessive ("1.2.3..." of some 1,500 dots ends the stack).
+# What follows the group always matches, so it never has to give a round back.
+_JAVA_SENTENCE_PATTERN = SENTENCE_PATTERN.replace(")*", ")*+")
 # GPT-2 pre-tokenization pattern.
 GPT2_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 # Detokenization clean-up replacements, applied in this order.
@@ -67,7 +71,7 @@ def split_sentences(text: Column, keep_newlines: bool = False,
         import re
         alt = "|".join(re.escape(a) for a in sorted(abbreviations, key=len, reverse=True))
         text = F.regexp_replace(text, f"(?<![\\p{{L}}\\p{{N}}])({alt})\\.", "$1" + _ABBR_MARK)
-    pieces = F.regexp_extract_all(text, F.lit(SENTENCE_PATTERN), 0)
+    pieces = F.regexp_extract_all(text, F.lit(_JAVA_SENTENCE_PATTERN), 0)
     if abbreviations:
         pieces = F.transform(pieces, lambda x: F.replace(x, F.lit(_ABBR_MARK), F.lit(".")))
     if not keep_newlines:

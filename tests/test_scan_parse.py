@@ -126,6 +126,21 @@ def test_sentence_rule_and_abbreviations(spark):
     assert empty == []
 
 
+def test_sentences_of_texts_with_dots_inside_words(spark):
+    """Long runs of dots, none of which ends a sentence, and random texts: the sentences of the written rule."""
+    import random
+    import re
+    from corpusloom.operators import text as X
+    rng = random.Random(3)
+    texts = ["ab." * 60_000 + " End.", "1.2" * 60_000, "x" + ".!?" * 50_000 + "y z. a"]
+    texts += ["".join(rng.choices(".!? \t\nab\u00e9\U0001F600", k=rng.randrange(40))) for _ in range(400)]
+    strip = lambda s: re.sub(f"^{X.WS}+|{X.WS}+\\Z", "", s)
+    want = [[s for x in re.findall(X.SENTENCE_PATTERN, t) if (s := strip(x))] for t in texts]
+    df = spark.createDataFrame(list(enumerate(texts)), "k int, t string").repartition(4)
+    got = {r.k: r.s for r in df.select("k", X.split_values(F.array("t")).alias("s")).collect()}
+    assert [got[k] for k in range(len(texts))] == want
+
+
 def test_line_ids_never_exchange_the_text(spark, tmp, monkeypatch):
     """Without automatic broadcasts and over many splits: the same ids, and no exchange of ``value``."""
     from corpusloom.sources import corpus as C
