@@ -44,6 +44,14 @@ def test_split_sentences_output(spark, tmp):
     assert sorted(got) == sorted(['{"text":["One.","Two!"]}', '{"text":[]}'])
 
 
+def test_split_output_of_dots_inside_words(spark, tmp):
+    text = "ab." * 60_000
+    write_lines(f"{tmp}/in/a.jsonl", [f'{{"text":"{text} End. x"}}', '{"text":"One. Two!"}'])
+    write_split_sentences(spark, CorpusSpec(f"{tmp}/in", ""), f"{tmp}/ss")
+    got = [r.text for r in spark.read.schema("text array<string>").json(f"{tmp}/ss").collect()]
+    assert sorted(got) == sorted([[text, "End.", "x"], ["One.", "Two!"]])
+
+
 def test_glm_system_tools(spark):
     from pyspark.sql import functions as F
     from corpusloom.operators.chat import glm_system_content
