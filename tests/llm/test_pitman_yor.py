@@ -183,6 +183,53 @@ def test_seating_keeps_its_sums():
         assert (np.bincount(room, weights=tables, minlength=7) == opened).all()
 
 
+def exact_tables(c, base, discount, others):
+    """Distribution of the tables of one dish, ``others`` tables being there: the sum over all seatings, customer by customer."""
+    weight = np.zeros(c + 1)
+    weight[1] = (P.STRENGTH + discount * others) * base
+    t = np.arange(c + 1)
+    for n in range(1, c):
+        opens = weight * (P.STRENGTH + discount * (others + t)) * base
+        weight = weight * np.maximum(n - discount * t, 0)
+        weight[1:] += opens[:-1]
+        weight /= weight.sum()
+    return weight
+
+
+def test_a_sweep_seats_all_customers_anew(monkeypatch):
+    """Dishes of many customers among many tables of others: tables have their distribution
+    given the other dishes, drawn at once or by blocks of customers that get up."""
+    n, discount = 1500, 0.6
+    for c, base, others, direct in ((400, 0.3, 20, 1024), (400, 0.3, 20, 1), (300, 0.05, 2, 1), (6000, 0.2, 30, 1024)):
+        monkeypatch.setattr(P, "DIRECT", direct)
+        want = exact_tables(c, base, discount, others)
+        t = np.arange(c + 1)
+        mean = (want * t).sum()
+        dev = math.sqrt((want * (t - mean) ** 2).sum())
+        m = n if c < 1000 else 300
+        got, totals = P.sample_tables(np.full(m, c), np.arange(m), np.full(m, base), np.full(m, others + 1), discount, np.random.default_rng(7), 8)[-1]
+        assert (totals == got + others).all()
+        assert abs(got.mean() - mean) < 5 * dev / math.sqrt(m) and abs(got.std() / dev - 1) < 0.2, (c, direct, got.mean(), mean, got.std(), dev)
+
+
+def test_root_counts_the_words_of_all_parts(monkeypatch):
+    """A word part's seating of the root starts from one table for each word of all parts, then
+    from the other parts' tables of the last round and one for each word of its own."""
+    import pyarrow as pa
+    seen = []
+
+    def note(customers, room, base, totals, discount, rng, samples):
+        seen.append((float(base[0]), int(totals[0])))
+        return [(np.minimum(customers, 1), totals)] * samples
+    monkeypatch.setattr(P, "sample_tables", note)
+    words = np.array([5, 9, 12], dtype=np.uint64)
+    asked = P._rows([(P.ASK, 3, 0, P.frame(words, P.small(np.array([4, 1, 2])), P.small(np.array([2, 1, 1]))), None)])
+    assert isinstance(asked, pa.Table) and P.count_words(asked)["sums"].to_pylist() == [[3.0]]
+    P.seat_root(P.Root(10), 1)(asked)
+    P.seat_root(P.Root(10, [50.0], [30.0], 0.5, {3: [8.0]}), 1)(asked)
+    assert seen == [(1 / 11, 10), (1 / 11, 25)]
+
+
 def by_rule(monkeypatch):
     def fixed(customers, room, base, totals, discount, rng, samples):
         import numpy
