@@ -37,7 +37,8 @@ def concat_datasets(spark: SparkSession, prefixes: list[str], **kw) -> DataFrame
 def merge_binidx(spark: SparkSession, prefixes: list[str], out_prefix: str, multimodal: bool = False,
                  seqs_per_task: int = 1 << 22, delete_parts: bool = False) -> dict:
     """SN2: merge the datasets into ``out_prefix`` (``.bin`` + ``.idx``),
-    keeping their document boundaries (re-based)."""
+    keeping their document boundaries (re-based). With ``delete_parts`` the data
+    of each goes as soon as it is copied, so all of it is never there twice."""
     from corpusloom.sources.catalogue import catalogue
     parts = catalogue(spark, ",".join(prefixes))
     n_parts = parts.count()
@@ -46,7 +47,7 @@ def merge_binidx(spark: SparkSession, prefixes: list[str], out_prefix: str, mult
     plan = checkpoint(pieces.select(F.lit(out_prefix).alias("out"), *[c.split()[0] for c in PLAN_SCHEMA.split(", ")[1:]]))
     if not n_parts:
         plan = spark.createDataFrame([(out_prefix, "", "uint16", 0, 0, 0, 0, 0, 0, 0, 0)], PLAN_SCHEMA)
-    info = gather_table(spark, plan, documents="keep", multimodal=multimodal)[out_prefix]
+    info = gather_table(spark, plan, documents="keep", multimodal=multimodal, delete_data=delete_parts)[out_prefix]
     if delete_parts:
         remove_parts(parts)
     return info
@@ -109,7 +110,7 @@ PLAN_SCHEMA = ("out string, prefix string, dtype string, lo long, hi long, seq_b
 
 
 def gather_table(spark: SparkSession, plan: DataFrame, documents: str = "keep", multimodal: bool = False,
-                 before_names=None) -> dict:
+                 before_names=None, delete_data: bool = False) -> dict:
     """Write the datasets that ``plan`` (``PLAN_SCHEMA``) lays out.
 
     ``documents="keep"``: pieces are whole datasets (or consecutive ranges
@@ -121,7 +122,9 @@ def gather_table(spark: SparkSession, plan: DataFrame, documents: str = "keep",
     pieces, several each, and write their slices of data and index at the
     pieces' places with ``os.pwrite``; a retried task writes the same bytes.
     ``before_names`` is called when everything is copied, before the files get
-    their final names.
+    their final names. With ``delete_data`` the ``.bin`` of a source that is one
+    piece is deleted once it is copied, and a retried task takes a missing one as
+    copied.
     """
     from corpusloom.session import prepare_session
     prepare_session(spark)
@@ -160,7 +163,10 @@ def gather_table(spark: SparkSession, plan: DataFrame, documents: str = "keep",
                 if r.prefix:
                     head = read_header(r.prefix)
                     h = Header(r.prefix, head.dtype, head.n_seq, head.n_doc_idx, -1)
-                    _copy_piece(r, h, S, D, f"{r.out}.idx.{tag}", f"{r.out}.bin.{tag}", item, documents, multimodal)
+                    gone = delete_data and head.bin_size < 0
+                    _copy_piece(r, h, S, D, f"{r.out}.idx.{tag}", f"{r.out}.bin.{tag}", item, documents, multimodal, gone)
+                    if delete_data and not gone and (r.lo, r.hi) == (0, head.n_seq):
+                        os.remove(r.prefix + ".bin")
                 done.append((r.out, int(r.hi - r.lo)))
             yield pd.DataFrame(done, columns=["out", "n"])
 
@@ -183,7 +189,7 @@ def gather_table(spark: SparkSession, plan: DataFrame, documents: str = "keep",
 COPY_SEQUENCES = 1 << 20  # index entries written at a time
 
 
-def _copy_piece(r, h, S: int, D: int, idx: str, data: str, item: int, documents: str, multimodal: bool) -> None:
+def _copy_piece(r, h, S: int, D: int, idx: str, data: str, item: int, documents: str, multimodal: bool, index_only: bool = False) -> None:
     """One piece, in blocks: memory does not follow its number of sequences."""
     lengths, pointers, doc_idx, modes = _index_arrays(r.prefix, h, multimodal)
     fi, fb = os.open(idx, os.O_WRONLY), os.open(data, os.O_WRONLY)
@@ -197,7 +203,7 @@ def _copy_piece(r, h, S: int, D: int, idx: str, data: str, item: int, documents:
                 os.pwrite(fi, np.array(modes[a:b], "i1").tobytes(), HEADER_SIZE + 12 * S + 8 * D + at)
             if documents == "sequence":
                 os.pwrite(fi, np.arange(at + 1, at + 1 + b - a, dtype="<i8").tobytes(), HEADER_SIZE + 12 * S + 8 * (1 + at))
-        if r.hi > r.lo:
+        if r.hi > r.lo and not index_only:
             end = int(pointers[r.hi - 1]) + int(lengths[r.hi - 1]) * item
             with open(r.prefix + ".bin", "rb") as src:
                 src.seek(start)

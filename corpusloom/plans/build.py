@@ -6,8 +6,9 @@ Plan shape (``partitions == 1``): scan (S1/S2) → parse (P1-P4) → split
 split (SN1). Everything after the scan is narrow: token arrays never cross a
 shuffle; only the per-split line counts of S2 do. With ``partitions > 1`` the
 reference's partition files are reproduced as an order: R1/R2 assign a part
-to every line and one range shuffle puts lines in merged order (R3).
-Optionally the parts are merged into a single file (SN2).
+to every line, and each input split writes its lines of each part, whose names
+follow the merged order (R3). A corpus of few splits takes one range shuffle of
+its text. Optionally the parts are merged into a single file (SN2).
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from corpusloom.operators import parse, partition, text
 from corpusloom.operators.index import optimal_dtype
 from corpusloom.operators.merge import cut_pieces, gather_table, merge_binidx, remove_parts
 from corpusloom.operators.parallel import target_partitions
-from corpusloom.session import checkpoint, prepare_session
+from corpusloom.session import checkpoint, prepare_session, release
 from corpusloom.sources.binidx import read_header, write_binidx
 from corpusloom.sources.catalogue import catalogue_of
 from corpusloom.sources.corpus import read_lines, read_parquet_corpus
@@ -55,14 +56,27 @@ def classify_columns(lines: DataFrame, keys: list[str]) -> DataFrame:
                         F.when(bad, "bad_type").alias("reason"), *[t.cast("array<string>").alias(k) for t, k in zip(texts, keys)])
 
 
+def input_bytes(spark: SparkSession, path: str) -> int:
+    from corpusloom.sources.corpus import _hadoop_fs
+    fs, root = _hadoop_fs(spark, path)
+    return fs.getContentSummary(root).getLength()
+
+
 def input_splits(spark: SparkSession, path: str) -> int:
     """About as many scan splits as the input has, from its size alone (no plan
     is run to find out)."""
-    from corpusloom.sources.corpus import _hadoop_fs
-    fs, root = _hadoop_fs(spark, path)
     size = spark.conf.get("spark.sql.files.maxPartitionBytes", "128m").strip().lower().rstrip("b")
     unit = {"k": 10, "m": 20, "g": 30, "t": 40}.get(size[-1:], 0)
-    return fs.getContentSummary(root).getLength() // (int(size.rstrip("kmgt")) << unit)
+    return input_bytes(spark, path) // (int(size.rstrip("kmgt")) << unit)
+
+
+def part_room(spark: SparkSession, spec: CorpusSpec) -> int:
+    """Part ids that each reference partition has: one for every line, when each input
+    split writes its lines of each partition (enough splits for all cores, and fewer
+    bytes than ids), or one a task, when a shuffle deals the lines out."""
+    room = PART_SPACE // spec.partitions
+    narrow = input_splits(spark, spec.input) >= spark.sparkContext.defaultParallelism and input_bytes(spark, spec.input) < room
+    return room if narrow else SUB_PARTS
 
 
 def prepared_records(spark: SparkSession, spec: CorpusSpec) -> tuple[DataFrame, DataFrame]:
@@ -76,11 +90,16 @@ def prepared_records(spark: SparkSession, spec: CorpusSpec) -> tuple[DataFrame,
         cls = parse.classify(lines, keys)
     ok = cls.where(F.col("reason").isNull())
     if spec.partitions > 1:
-        # R1/R2 + R3: lines in merged order (part, line); one range shuffle of
-        # the text puts every partition on a contiguous run of that order.
+        # R1/R2 + R3: lines in merged order (part, line).
         # R2 counts every line, accepted or not
         parted = (partition.sequential(ok, spec.partitions, n_lines=lines.count()) if spec.keep_sequential_samples
                   else partition.round_robin(ok, spec.partitions))
+    if spec.partitions > 1 and (room := part_room(spark, spec)) != SUB_PARTS:
+        # each split writes its lines of each partition, no shuffle; the splits'
+        # first lines order what they wrote
+        part = F.col("part_id") * room + F.col("split_line0")
+    elif spec.partitions > 1:
+        # one range shuffle of the text puts every task on a contiguous run of that order
         tasks = max(spec.partitions, target_partitions(parted))
         if tasks >= SUB_PARTS:
             raise ValueError(f"{tasks} tasks for one build; part ids leave room for {SUB_PARTS}")
@@ -179,20 +198,23 @@ def _build(spark: SparkSession, spec: CorpusSpec) -> dict:
     dtype = spec.dtype or optimal_dtype(tok.vocab_size)
     cls, recs = prepared_records(spark, spec)
     obs = Observation("encode_stats")
+    # rows of a part are already in one task (input split or range partition); texts
+    # are put in order, which are a quarter of their ids
+    recs = recs.sortWithinPartitions("key_idx", "part", "ord", "line_id")
     enc = encode_documents(recs, tok, "sentences", keep=["line_id", "part", "ord", "key_idx", "fkey"],
                            append_eod=spec.append_eod)
     enc = enc.observe(obs, F.count(F.lit(1)).alias("documents"),
                       F.sum(F.size("sentence_lens")).alias("sequences"),
                       F.sum(F.size("token_ids")).alias("tokens"))
     part_id = F.col("key_idx").cast("long") * PART_SPACE + F.col("part")
-    # rows of a part are already in one task (input split or range partition)
-    out = enc.sortWithinPartitions("key_idx", "part", "ord", "line_id").select(
+    out = enc.select(
         part_id.alias("part"), "token_ids", "sentence_lens", *(["fkey"] if spec.per_file else []))
     if spec.per_file:
         out = out.withColumnRenamed("fkey", "tag")
     level = "sentence" if spec.split_sentences else "document"
     staging = spec.output_prefix + "__parts"
     write_binidx(out, staging, dtype=dtype)
+    release(spark)
     if spec.quarantine_path:
         parse.quarantine(cls).write.mode("overwrite").parquet(spec.quarantine_path)
     result = {"dtype": dtype, "vocab_size": tok.vocab_size, **(obs.get or {})}
@@ -206,7 +228,7 @@ def _build(spark: SparkSession, spec: CorpusSpec) -> dict:
         if spec.merge_partitions:
             merge_binidx(spark, parts, target, delete_parts=True)
         elif spec.partitions > 1:
-            _join_sub_parts(spark, parts, target)
+            _join_sub_parts(spark, parts, target, part_room(spark, spec))
         else:
             os.makedirs(target, exist_ok=True)
             for p in parts:
@@ -225,13 +247,13 @@ def _gather_parts(spark: SparkSession, parts: DataFrame) -> None:
     base = lambda c: F.coalesce(F.sum(c).over(before), F.lit(0))
     plan = pieces.select("out", "prefix", "dtype", "lo", "hi", base("n_seq").alias("seq_base"), base("n_bytes").alias("byte_base"),
                          base("n_docs").alias("doc_base"), "n_seq", "n_bytes", "n_docs")
-    gather_table(spark, checkpoint(plan), documents="keep")
+    gather_table(spark, checkpoint(plan), documents="keep", delete_data=True)
     remove_parts(cat)
 
 
-def _join_sub_parts(spark: SparkSession, parts: list[str], target: str) -> None:
-    """What several tasks wrote for a reference partition becomes its dataset."""
-    rows = [(p, os.path.join(target, f"part-{int(os.path.basename(p)[5:]) % PART_SPACE // SUB_PARTS:015d}")) for p in parts]
+def _join_sub_parts(spark: SparkSession, parts: list[str], target: str, room: int) -> None:
+    """What several tasks wrote for a reference partition (``room`` ids each) becomes its dataset."""
+    rows = [(p, os.path.join(target, f"part-{int(os.path.basename(p)[5:]) % PART_SPACE // room:015d}")) for p in parts]
     outputs = {out for _, out in rows}
     if os.path.isdir(target):  # parts of an earlier build that this one does not write
         for old in glob.glob(os.path.join(target, "part-*.*")):

@@ -52,6 +52,45 @@ def test_split_output_of_dots_inside_words(spark, tmp):
     assert sorted(got) == sorted([[text, "End.", "x"], ["One.", "Two!"]])
 
 
+def test_partitions_of_a_corpus_of_many_splits_need_no_shuffle(spark, tmp):
+    """Both ways of dealing lines out, merged and not: the order of the parts, and no exchange of text."""
+    from corpusloom.plans.build import prepared_records
+    lines = [f'{{"text":"doc {i} ' + "word " * (i % 17) + '"}' for i in range(400)]
+    write_lines(f"{tmp}/in/x/a.jsonl", lines[:250])
+    write_lines(f"{tmp}/in/y/b.jsonl", lines[250:])
+    want = {False: [i for p in range(3) for i in range(p, 400, 3)], True: list(range(400))}
+    old = {c: spark.conf.get(c) for c in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        for c, v in zip(old, ("2048", "0")):
+            spark.conf.set(c, v)
+        for sequential in (False, True):
+            for merged in (True, False):
+                spec = CorpusSpec(f"{tmp}/in", f"{tmp}/{sequential}{merged}/ds", TokenizerSpec("byte", eod=300), partitions=3,
+                                  merge_partitions=merged, keep_sequential_samples=sequential)
+                assert "Exchange" not in prepared_records(spark, spec)[1]._jdf.queryExecution().executedPlan().toString().replace("BroadcastExchange", "")
+                res = build_corpus(spark, spec)
+                assert merged or len([x for x in os.listdir(res["text"]) if x.endswith(".idx")]) == 3
+                rows = read_binidx(spark, res["text"]).orderBy("seq_id").collect()
+                assert [int(bytes(t - 1 for t in r.tokens[:-1]).split()[1]) for r in rows] == want[sequential]
+                assert not os.path.exists(f"{tmp}/{sequential}{merged}/ds__parts/part-000000000000000.bin")
+    finally:
+        for c, v in old.items():
+            spark.conf.set(c, v)
+
+
+def test_merged_data_goes_as_it_is_copied(spark, tmp):
+    """Only the data: a task that is tried again finds the index and writes it anew."""
+    from corpusloom.operators.merge import PLAN_SCHEMA, gather_table
+    from corpusloom.sources.binidx import write_binidx
+    df = spark.createDataFrame([(p, [p + 1, p + 2, 7], [2, 1]) for p in range(4)], "part long, token_ids array<int>, sentence_lens array<int>")
+    write_binidx(df.repartition(2, "part").sortWithinPartitions("part"), f"{tmp}/p", dtype="uint16")
+    plan = spark.createDataFrame([(f"{tmp}/m", f"{tmp}/p/part-{p:015d}", "uint16", 0, 2, 2 * p, 6 * p, p, 2, 6, 1) for p in range(4)], PLAN_SCHEMA)
+    gather_table(spark, plan, delete_data=True)
+    assert sorted(x[-4:] for x in os.listdir(f"{tmp}/p") if x.startswith("part-")) == [".idx"] * 4
+    rows = read_binidx(spark, f"{tmp}/m").orderBy("seq_id").collect()
+    assert [r.tokens for r in rows] == [x for p in range(4) for x in ([p + 1, p + 2], [7])] and [r.doc_id for r in rows] == [p for p in range(4) for _ in range(2)]
+
+
 def test_glm_system_tools(spark):
     from pyspark.sql import functions as F
     from corpusloom.operators.chat import glm_system_content
