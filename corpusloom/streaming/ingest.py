@@ -4,7 +4,7 @@ The reference is batch-only; its closest behaviours are the ordered line
 iterator and artifact-based resume. Here new ``.jsonl`` files in the corpus
 folder are picked up by a file stream; every micro-batch runs the same
 parse (P1-P4) as the batch job inside ``foreachBatch``, and with a tokenizer
-the same encoding, and writes immutable parts named after its batch id
+the same encoding, reading its own records, and writes immutable parts named after its batch id
 (overwrite of the same id makes a replayed batch idempotent). The streaming checkpoint replaces the
 reference's resume markers.
 
@@ -28,11 +28,13 @@ from corpusloom.functions.base import Tokenizer, encode_documents
 from corpusloom.operators import parse
 from corpusloom.operators.index import optimal_dtype
 from corpusloom.operators.parallel import target_partitions
-from corpusloom.session import prepare_session, scratch_dir
+from corpusloom.session import prepare_session, release, scratch_dir
 from corpusloom.sources.binidx import write_binidx
 from corpusloom.sources.catalogue import catalogue, read_sequences
 from corpusloom.sources.corpus import JSONL_GLOB, _hadoop_fs, with_line_ids
 
+TASK_BYTES = 32 << 20  # bytes of parsed lines (compressed) in a task of a batch, about
+
 
 def corpus_stream(spark: SparkSession, src: str, max_files_per_trigger: int | None = None) -> DataFrame:
     r = (spark.readStream.option("recursiveFileLookup", "true").option("pathGlobFilter", JSONL_GLOB))
@@ -45,29 +47,38 @@ def corpus_stream(spark: SparkSession, src: str, max_files_per_trigger: int | No
 def process_batch(batch: DataFrame, batch_id: int, out: str, keys: list[str],
                   tokenizer: Tokenizer | None = None, dtype: str | None = None) -> None:
     """One micro-batch: parsed once into the scratch folder (nothing is
-    cached), then written as records and quarantine and, with a tokenizer, as
-    one indexed dataset folder per key. All are named after the batch and
-    overwritten when it is replayed."""
+    cached), then written as records, in line order, and quarantine; the parsed
+    lines go then. With a tokenizer the records are read again, without a
+    shuffle, into one indexed dataset folder per key. All are named after the
+    batch and overwritten when it is replayed."""
     spark = batch.sparkSession
     before = totals_before(spark, out, batch_id, keys)
     raw = batch.select("*", F.monotonically_increasing_id().alias("_mid"))
     staged = scratch_dir(spark, f"batch-{batch_id}")
-    parse.classify(with_line_ids(raw), keys).write.mode("overwrite").parquet(staged)
+    rejected = F.when(F.col("reason").isNotNull(), F.col("value"))  # the line itself is for the quarantine only
+    parse.classify(with_line_ids(raw), keys).withColumn("value", rejected).write.mode("overwrite").parquet(staged)
     cls = spark.read.parquet(staged)
     ok = cls.where(F.col("reason").isNull())
     sizes = {"lines": cls.count()}
-    (ok.select("file_path", "line_no", (F.col("line_id") + before["lines"]).alias("line_id"), *[F.col(k).alias("sentences" if len(keys) == 1 else k) for k in keys])
-     .write.mode("overwrite").parquet(os.path.join(out, "records", f"batch={batch_id}")))
+    fs, root = _hadoop_fs(spark, staged)
+    tasks = max(target_partitions(ok), fs.getContentSummary(root).getLength() // TASK_BYTES)
+    records = ok.select("file_path", "line_no", (F.col("line_id") + before["lines"]).alias("line_id"),
+                        *[F.col(k).alias("sentences" if len(keys) == 1 else k) for k in keys])
+    folder = os.path.join(out, "records", f"batch={batch_id}")
+    records.repartitionByRange(tasks, "line_id").sortWithinPartitions("line_id").write.mode("overwrite").parquet(folder)
     (parse.quarantine(cls).withColumn("line_id", F.col("line_id") + before["lines"]).write.mode("overwrite")
      .parquet(os.path.join(out, "quarantine", f"batch={batch_id}")))
+    fs.delete(root, True)
+    release(spark)
+    # each records file, or range of it that a task reads, is a run of lines: one part, named after its first line
+    texts = spark.read.schema(records.schema).parquet(folder).select(
+        "*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"))
+    runs = texts.groupBy("_file", "_block").agg(F.min("line_id").alias("part"))
     for key in keys if tokenizer is not None else ():
-        # text is put in order before it is encoded; a task's range is one part
-        texts = (ok.select("line_id", F.col(key).alias("sentences"))
-                 .repartitionByRange(target_partitions(ok), "line_id").sortWithinPartitions("line_id"))
-        enc = encode_documents(texts, tokenizer, keep=["line_id"])
+        enc = encode_documents(texts.join(F.broadcast(runs), ["_file", "_block"]).select("part", F.col("sentences" if len(keys) == 1 else key).alias("sentences")),
+                               tokenizer, keep=["part"])
         folder = os.path.join(dataset_dir(out, key), f"batch-{batch_id:09d}")
-        write_binidx(enc.select(F.spark_partition_id().cast("long").alias("part"), "token_ids", "sentence_lens"),
-                     folder, dtype=dtype or optimal_dtype(tokenizer.vocab_size))
+        write_binidx(enc, folder, dtype=dtype or optimal_dtype(tokenizer.vocab_size))
         _write_index(spark, folder, os.path.join(out, "index", key, f"batch={batch_id}"), before, key, sizes)
     after = {name: before[name] + sizes.get(name, 0) for name in before}
     (spark.createDataFrame([tuple(after.values())], ", ".join(f"`{n}` long" for n in after))

@@ -64,3 +64,25 @@ def test_running_ids_are_those_of_one_build(spark, tmp):
     cols = ["seq_id", "doc_id", "sent_pos", "length", "ptr"]
     built = sorted(map(tuple, read_binidx(spark, res["text"], columns="index").select(*cols).collect()))
     assert sorted(map(tuple, spark.read.parquet(f"{out}/index/text").select(*cols).collect())) == built and len(built) > 25
+
+
+def test_a_batch_leaves_its_texts_once(spark, tmp, monkeypatch):
+    """The parsed lines go when the records are there; records and parts follow the line order."""
+    import os
+
+    from corpusloom.functions.byte_level import ByteTokenizer
+    from corpusloom.sources.binidx import read_binidx
+    from corpusloom.streaming import ingest as I
+    texts = [f"t{i}" * (1 + i % 5) for i in range(300)]
+    write_lines(f"{tmp}/in/f.jsonl", [f'{{"text":"{t}"}}' for t in texts] + ["{bad"])
+    made = []
+    monkeypatch.setattr(I, "scratch_dir", lambda s, name: made.append(f"{tmp}/scratch/{name}-{len(made)}") or made[-1])
+    one = read_lines(spark, f"{tmp}/in/f.jsonl").select("value", "file_path").withColumn("_block", F.lit(0).cast("long"))
+    tok = ByteTokenizer(eod=257)
+    I.process_batch(one, 0, f"{tmp}/out", ["text"], tok)
+    assert len(made) == 1 and not os.path.exists(made[0])
+    rows = [r.line_id for r in spark.read.parquet(f"{tmp}/out/records").collect()]
+    assert sorted(rows) == list(range(300)) and sum(b < a for a, b in zip(rows, rows[1:])) < 8
+    got = read_binidx(spark, I.streamed_prefixes(f"{tmp}/out", "text")).orderBy("seq_id").collect()
+    assert [bytes(t - tok.offset for t in r.tokens[:-1]).decode() for r in got] == texts
+    assert spark.read.parquet(f"{tmp}/out/quarantine").first().value == "{bad"
