@@ -481,7 +481,7 @@ def q_split_sentences(spark, sf_dir):
     s = text.split_values(F.array("text"))
     return docs.select(F.col("doc_id").cast("long"), F.size(s).cast("long").alias("n_sents"),
                        F.array_join(F.transform(s, lambda x: F.length(x)), ",").alias("lens"),
-                       F.element_at(s, -1).alias("last"))
+                       F.try_element_at(s, F.lit(-1)).alias("last"))
 
 
 SQL_SPLIT_SENTENCES = f"""

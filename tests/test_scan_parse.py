@@ -141,6 +141,14 @@ def test_sentences_of_texts_with_dots_inside_words(spark):
     assert [got[k] for k in range(len(texts))] == want
 
 
+def test_split_sentences_query_of_texts_without_sentences(spark, tmp):
+    from corpusloom.plans.catalog import q_split_sentences
+    rows = [(0, ""), (1, " \n"), (2, "One. Two!"), (3, None)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp}/documents.parquet")
+    got = {r.doc_id: (r.n_sents, r.lens, r.last) for r in q_split_sentences(spark, tmp).collect()}
+    assert got[0] == got[1] == (0, "", None) and got[2] == (2, "4,4", "Two!") and got[3][1:] == (None, None)
+
+
 def test_line_ids_never_exchange_the_text(spark, tmp, monkeypatch):
     """Without automatic broadcasts and over many splits: the same ids, and no exchange of ``value``."""
     from corpusloom.sources import corpus as C
