@@ -1129,7 +1129,7 @@ def q_split_output(spark, sf_dir):
     out = scratch_dir(spark, "split-out")
     write_split_sentences(spark, CorpusSpec(src, ""), out)
     back = spark.read.schema("text array<string>").json(out)
-    return back.select(F.size("text").cast("long").alias("n_sents"), F.element_at("text", 1).alias("first"))
+    return back.select(F.size("text").cast("long").alias("n_sents"), F.try_element_at("text", F.lit(1)).alias("first"))
 
 
 SQL_SPLIT_OUTPUT = f"""

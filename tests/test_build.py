@@ -52,6 +52,14 @@ def test_split_output_of_dots_inside_words(spark, tmp):
     assert sorted(got) == sorted([[text, "End.", "x"], ["One.", "Two!"]])
 
 
+def test_split_output_query_of_texts_without_sentences(spark, tmp):
+    from corpusloom.plans.catalog import q_split_output
+    rows = [(0, "", "de"), (1, " \n", "en"), (2, "One. Two!", "en"), (3, None, "fr")]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string").write.parquet(f"{tmp}/documents.parquet")
+    got = [(r.n_sents, r.first) for r in q_split_output(spark, tmp).collect()]
+    assert sorted(got, key=str) == [(0, None), (0, None), (0, None), (2, "One.")]
+
+
 def test_partitions_of_a_corpus_of_many_splits_need_no_shuffle(spark, tmp):
     """Both ways of dealing lines out, merged and not: the order of the parts, and no exchange of text."""
     from corpusloom.plans.build import prepared_records
